@@ -528,19 +528,15 @@ def arrivals_with_temperature(spark, sf_dir):
 
 @query
 def whole_run(spark, sf_dir):
-    """Sources landed as CSV, all tables built from them, rows per table."""
+    """Sources landed as CSV, all tables built from them, what the run reports."""
     root = scratch_path(spark, "run")
     where = plans.Locations(landing=f"{root}/landing", tables=f"{root}/tables")
     write_delimited(raw_airports(spark, sf_dir), where.airports)
     write_delimited(raw_demographics(spark, sf_dir), where.demographics, sep=";")
     write_delimited(raw_arrivals(spark, sf_dir), where.arrivals)
-    temperatures = raw_temperatures(spark, sf_dir).withColumn("dt", F.trunc("dt", "month"))
-    write_delimited(temperatures, where.temperatures)
+    write_delimited(raw_temperatures(spark, sf_dir), where.temperatures)
     results = plans.run_pipeline(spark, where, as_of=AS_OF, sources={"labels": label_texts(spark, sf_dir)})
-    failed = [r for r in results if r.error]
-    if failed:
-        raise RuntimeError(str(failed))
-    return plans.row_counts({r.table: read_table(spark, where.table(r.table)) for r in results})
+    return plans.pipeline_report(spark, results)
 
 
 @query

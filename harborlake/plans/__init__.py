@@ -6,7 +6,14 @@ from harborlake.plans.analytics import (
     temperature_trend,
     top_ports,
 )
-from harborlake.plans.pipeline import Locations, TableResult, land_extracts, read_ports, run_pipeline
+from harborlake.plans.pipeline import (
+    Locations,
+    TableResult,
+    land_extracts,
+    pipeline_report,
+    read_ports,
+    run_pipeline,
+)
 from harborlake.plans.quality import (
     QualityError,
     duplicate_report,
@@ -36,6 +43,7 @@ __all__ = [
     "build_ports",
     "duplicate_report",
     "land_extracts",
+    "pipeline_report",
     "port_demographics",
     "read_ports",
     "row_counts",

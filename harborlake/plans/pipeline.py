@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
@@ -157,3 +157,9 @@ def run_pipeline(
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
         runs = [pool.submit(inheritable_thread_target(spark)(build), name) for name in builds]
         return [run.result() for run in runs]
+
+
+def pipeline_report(spark: SparkSession, results: Sequence[TableResult]) -> DataFrame:
+    """One row (table, rows, error) per build."""
+    rows = [(r.table, r.rows, r.error) for r in results]
+    return spark.createDataFrame(rows, "table string, rows bigint, error string")
