@@ -51,11 +51,12 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, str(v)) for v in r])
 
 
+def plan(df):
+    """Physical plan before the query has run."""
+    return df.select("*")._jdf.queryExecution().executedPlan().toString()
+
+
 def final_plan(df):
     """Physical plan after the query has run, with what adaptive execution made of it."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
