@@ -12,6 +12,7 @@ from harborlake.plans.pipeline import (
     land_extracts,
     pipeline_report,
     read_ports,
+    register_views,
     run_pipeline,
 )
 from harborlake.plans.quality import (
@@ -46,6 +47,7 @@ __all__ = [
     "pipeline_report",
     "port_demographics",
     "read_ports",
+    "register_views",
     "row_counts",
     "run_pipeline",
     "temperature_trend",

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from harborlake import schemas
 from harborlake.plans.quality import write_checked
@@ -20,7 +20,7 @@ from harborlake.plans.tables import (
     build_ports,
 )
 from harborlake.sinks import land, preview, write_delimited
-from harborlake.sources import read_any, read_delimited, read_texts
+from harborlake.sources import read_any, read_delimited, read_table, read_texts
 
 
 @dataclass(frozen=True)
@@ -74,6 +74,7 @@ def land_extracts(
     *,
     fmt: str,
     suffix: str | None = None,
+    schema: T.StructType | str | None = None,
     target_fmt: str = "csv",
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
@@ -81,15 +82,22 @@ def land_extracts(
 
     All files are read and written in one job, so no file replaces another's rows.
     """
-    extracts = read_any(spark, fmt, source, suffix=suffix, recursive=True, options=options)
+    extracts = read_any(spark, fmt, source, schema=schema, suffix=suffix, recursive=True, options=options)
     land(extracts, target, target_fmt, **({"header": "true"} if target_fmt == "csv" else {}))
     return preview(extracts)
 
 
 def read_ports(spark: SparkSession, path: str) -> DataFrame:
     """The port reference folder, every part file of it."""
-    columns = ", ".join(f"{name} {kind}" for name, kind in schemas.PORTS.items())
-    return read_delimited(spark, path, schema=columns)
+    return read_delimited(spark, path, schema=schemas.ddl(schemas.PORTS))
+
+
+def register_views(spark: SparkSession, locations: Locations) -> None:
+    """Make the built tables and the ports known to Spark SQL as temporary views."""
+    read_ports(spark, locations.ports).createOrReplaceTempView("ports")
+    for name, columns in schemas.TABLES.items():
+        table = read_table(spark, locations.table(name), schemas.ddl(columns))
+        table.createOrReplaceTempView(name)
 
 
 def run_pipeline(

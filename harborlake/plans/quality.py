@@ -66,7 +66,8 @@ def write_checked(
         overwrite_partitions(df, path, partition_by, sent=sent)
     else:
         overwrite_table(df, path, sent=sent)
-    result = Written(sent=sent.get["rows"], stored=read_table(df.sparkSession, path).count())
+    stored = read_table(df.sparkSession, path, df.schema).count()
+    result = Written(sent=sent.get["rows"], stored=stored)
     if result.sent != result.stored:
         raise QualityError(f"{path}: {result.sent} rows sent, {result.stored} stored")
     if result.stored == 0 and not allow_empty:

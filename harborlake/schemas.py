@@ -68,3 +68,11 @@ ARRIVALS = {
     "year": "int",
 }
 TEMPERATURES = {"AverageTemperature": "double", "city_lower": "string", "port_id": "string", "dt": "date"}
+
+# Names of the built tables.
+TABLES = {"airport": AIRPORTS, "city_demo": DEMOGRAPHICS, "imm": ARRIVALS, "land_temp": TEMPERATURES}
+
+
+def ddl(columns: dict[str, str]) -> str:
+    """Schema text of a table, as Spark's readers take it."""
+    return ", ".join(f"`{name}` {kind}" for name, kind in columns.items())

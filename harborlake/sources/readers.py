@@ -78,12 +78,15 @@ def read_any(
     return reader.load(paths if isinstance(paths, str) else list(paths))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """A Parquet table, flat or partitioned, by its directory.
 
     Reading the directory, not a glob of its files, is what keeps partition columns.
+    With ``schema`` no file is opened to learn it, partition columns have the given types
+    instead of guessed ones, and a table without files is empty rather than an error.
     """
-    return spark.read.parquet(path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def stream_delimited(

@@ -12,7 +12,7 @@ from harborlake.operators import dedupe
 from harborlake.plans.tables import build_arrivals
 from harborlake.sinks import delete, is_complete, overwrite_partitions, overwrite_table, scratch_path
 from harborlake.sinks.paths import exists
-from harborlake.sources import stream_delimited
+from harborlake.sources import read_table, stream_delimited
 
 # Above this many touched partitions the stored table is read without a partition filter.
 _LISTED_PARTITIONS = 5000
@@ -86,13 +86,13 @@ def upsert_partitions(
     arrived_path, merged_path = f"{stage}/arrived", f"{stage}/merged"
     if not is_complete(spark, merged_path):
         overwrite_table(dedupe(new, on), arrived_path)
-        arrived = spark.read.schema(new.schema).parquet(arrived_path)
+        arrived = read_table(spark, arrived_path, new.schema)
         if exists(spark, target):
             stored = _slice(spark, target, arrived, partition_by)
             overwrite_table(dedupe(stored.unionByName(arrived), on), merged_path)
         else:
             overwrite_table(arrived, merged_path)
-    merged = spark.read.schema(new.schema).parquet(merged_path)
+    merged = read_table(spark, merged_path, new.schema)
     touched = _touched(merged, partition_by)
     overwrite_partitions(merged, target, partition_by, only_present=True)
     delete(spark, stage)
@@ -101,7 +101,7 @@ def upsert_partitions(
 
 def _slice(spark: SparkSession, target: str, arrived: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Stored rows of the partitions that occur in ``arrived``."""
-    stored = spark.read.schema(arrived.schema).parquet(target).select(*arrived.columns)
+    stored = read_table(spark, target, arrived.schema).select(*arrived.columns)
     values = _touched(arrived, partition_by)
     if values is not None:
         return stored.where(_in_partitions(values, partition_by))
@@ -140,7 +140,7 @@ def ingest_arrivals(
         touched = upsert_partitions(
             dated, raw_table, list(raw_parts.values()), stage=f"{stage_root}/{batch_id}"
         )
-        raw = spark.read.schema(dated.schema).parquet(raw_table)
+        raw = read_table(spark, raw_table, dated.schema)
         if touched is not None:
             by = [raw_parts[name] for name in partition_by]
             values = {tuple(row[name] for name in by) for row in touched}

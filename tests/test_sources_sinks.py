@@ -175,13 +175,15 @@ def test_checked_write(spark, tmp_path):
     assert write_checked(frame, str(tmp_path / "parts"), ["year"]).sent == 100
     with pytest.raises(QualityError, match="no rows"):
         write_checked(frame.where("id < 0"), str(tmp_path / "none"))
-    assert write_checked(frame.where("id < 0"), str(tmp_path / "none"), allow_empty=True).stored == 0
+    with pytest.raises(QualityError, match="no rows"):
+        write_checked(frame.where("id < 0"), str(tmp_path / "none"), ["year"])
+    assert write_checked(frame.where("id < 0"), str(tmp_path / "none"), ["year"], allow_empty=True).stored == 0
 
 
 def test_checked_write_notices_lost_rows(spark, tmp_path, monkeypatch):
     from harborlake.plans import quality
 
-    monkeypatch.setattr(quality, "read_table", lambda s, p: s.read.parquet(p).limit(7))
+    monkeypatch.setattr(quality, "read_table", lambda s, p, schema: s.read.schema(schema).parquet(p).limit(7))
     with pytest.raises(QualityError, match="10 rows sent, 7 stored"):
         write_checked(spark.range(10), str(tmp_path / "t"))
 

@@ -14,6 +14,7 @@ from harborlake.plans import (
     build_land_temperatures,
     build_ports,
     read_ports,
+    register_views,
     run_pipeline,
     unmatched_report,
 )
@@ -188,6 +189,14 @@ def test_whole_run(spark, landing, tmp_path):
     stored = read_table(spark, where.table("land_temp"))
     assert dict(stored.dtypes) == schemas.TEMPERATURES
     assert dict(read_table(spark, where.table("city_demo")).dtypes) == schemas.DEMOGRAPHICS
+    register_views(spark, where)
+    found = spark.sql("""
+        select i.port_city, max(d.total_pop) total_pop, count(distinct t.dt) days
+        from imm i join city_demo d on i.i94port = d.port_id join land_temp t on i.i94port = t.port_id
+        join ports p on p.port_id = i.i94port
+        where i.year = 2016 group by i.port_city""")
+    assert rows(found) == [("new york", 8550405, 3), ("portland", 632187, 1)]
+    assert spark.table("airport").count() == 5
 
 
 def test_a_failing_table_does_not_stop_the_others(spark, landing, tmp_path):
@@ -203,3 +212,13 @@ def test_an_empty_table_is_a_failure(spark, landing, tmp_path):
     nothing = read_delimited(spark, str(landing / "airport")).where("1 = 0")
     results = {r.table: r for r in run_pipeline(spark, where, as_of=AS_OF, sources={"airport": nothing})}
     assert "no rows" in results["airport"].error
+
+
+def test_command_line(spark, landing, tmp_path, capsys):
+    from harborlake.__main__ import main
+
+    assert main([str(landing), str(tmp_path / "tables"), "--as-of", "2013-09-30"]) == 0
+    assert "imm: 4 rows" in capsys.readouterr().out
+    assert main([str(landing), str(tmp_path / "tables"), "--as-of", "2030-01-01", "--concurrency", "1"]) == 0
+    assert main([str(landing), str(tmp_path / "tables"), "--as-of", "2050-01-01"]) == 1
+    assert "land_temp: QualityError" in capsys.readouterr().out
