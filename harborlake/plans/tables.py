@@ -12,8 +12,16 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harborlake.functions import part_of, sas_date, strip, unquote, without_chars
-from harborlake.operators import conform_join, dedupe, label_pairs, lookup_join, pivot_max, recent
+from harborlake.functions import lower_key, part_of, sas_date, strip, unquote, without_chars
+from harborlake.operators import (
+    conform_join,
+    dedupe,
+    known_keys_only,
+    label_pairs,
+    lookup_join,
+    pivot_max,
+    recent,
+)
 from harborlake.schemas import DEMOGRAPHICS_KEYS, RACES
 
 # What is removed from a port code.
@@ -100,7 +108,12 @@ def build_arrivals(
     says that the rows come from a de-duplicated store and saves the shuffle.
     """
     needed = ["cicid", "i94port", "arrdate"]
-    rows = arrivals.select(*needed) if already_distinct else _distinct(arrivals, needed, dedupe_on)
+    if already_distinct:
+        rows = arrivals.select(*needed)
+    elif dedupe_on is None:
+        rows = dedupe(known_keys_only(arrivals, ports, F.col("i94port"), "port_id"))
+    else:
+        rows = _distinct(arrivals, needed, dedupe_on)
     joined = lookup_join(rows, ports, "i94port", "port_id", {"port_city": "city", "port_state": "state"})
     dated = joined.withColumn("arrival_date", sas_date("arrdate"))
     return dated.select(
@@ -131,6 +144,9 @@ def build_land_temperatures(
     rows = recent(temperatures, "dt", max_days, as_of)
     if country is not None:
         rows = rows.where(F.col("Country") == country)
-    rows = _distinct(rows, ["dt", "AverageTemperature", "City"], dedupe_on)
+    if dedupe_on is None:
+        rows = dedupe(known_keys_only(rows, ports, lower_key("City"), "city"))
+    else:
+        rows = _distinct(rows, ["dt", "AverageTemperature", "City"], dedupe_on)
     joined = conform_join(rows, ports, "City", "city", ["port_id"], key_as="city_lower")
     return joined.select("AverageTemperature", "city_lower", "port_id", "dt")

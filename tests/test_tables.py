@@ -4,7 +4,7 @@ from datetime import date
 
 import pytest
 
-from conftest import rows
+from conftest import plan, rows
 from harborlake import schemas
 from harborlake.plans import (
     Locations,
@@ -222,3 +222,15 @@ def test_command_line(spark, landing, tmp_path, capsys):
     assert main([str(landing), str(tmp_path / "tables"), "--as-of", "2030-01-01", "--concurrency", "1"]) == 0
     assert main([str(landing), str(tmp_path / "tables"), "--as-of", "2050-01-01"]) == 1
     assert "land_temp: QualityError" in capsys.readouterr().out
+
+
+def test_large_reference_table_gives_the_same_rows(landing, ports, spark, temperatures, conf):
+    raw = read_delimited(spark, str(landing / "imm"))
+    small = rows(build_arrivals(raw, ports)), rows(build_land_temperatures(temperatures, ports, as_of=AS_OF))
+    assert "LeftSemi" in plan(build_land_temperatures(temperatures, ports, as_of=AS_OF))
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    assert "SortMergeJoin" in plan(build_arrivals(raw, ports))
+    assert "LeftSemi" not in plan(build_land_temperatures(temperatures, ports, as_of=AS_OF))
+    large = rows(build_arrivals(raw, ports)), rows(build_land_temperatures(temperatures, ports, as_of=AS_OF))
+    assert large == small
