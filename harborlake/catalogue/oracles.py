@@ -36,6 +36,9 @@ RAW_DEMOGRAPHICS = """raw_demographics as (
          (c_custkey % 4) * 5 + c_nationkey % 5 as code,
          c_mktsegment as segment, cast(floor(c_acctbal) as integer) as n from customer)"""
 
+DATED_IMM = """select cicid, coalesce(arrival_date, date '1960-01-01') as arrival_date, i94port, port_city, port_state,
+  coalesce(month, 0) as month, coalesce(year, 0) as year from imm"""
+
 CITY_DEMO = f"""{PORTS}, {RAW_DEMOGRAPHICS}, wide as (
   select city, g, code,
          coalesce(max(n) filter (segment = 'AUTOMOBILE'), 0) as ai_an,
@@ -101,12 +104,14 @@ ORACLES: dict[str, str] = {
         from (select o_orderkey, date '1960-01-01' + cast(floor(cast(
                 (cast(o_orderkey % 20000 + 1 as varchar) || '.0') as double)) as integer) as arrival_date
               from orders)""",
-    "calendar_parts_of_events": """select event_id, cast(day(ts) as integer) as day,
+    "calendar_parts": """select event_id, cast(day(ts) as integer) as day,
         cast(hour(ts) as integer) as hour, cast(weekofyear(ts) as integer) as week,
         strftime(ts, '%Y-%m-%d %H') as hour_stamp from events""",
     "renamed_columns": f"""with {RAW_DEMOGRAPHICS} select city as "City", g + 30.5::double as median_age,
-        nullif(g * 10, 10) as veterans_num, g * 7 as "Foreign-Born", cast(code as varchar) as state_code
+        coalesce(nullif(g * 10, 10), 0) as veterans_num, g * 7 as "Foreign-Born", cast(code as varchar) as state_code
         from raw_demographics""",
+    "columns_named_by_position": """select p_partkey as id, string_split(p_name, ' ')[1] as colour,
+        string_split(p_name, ' ')[2] as thing from part""",
     # filters
     "recent_days": """select l_orderkey, l_linenumber, cast(l_shipdate as date) as dt from lineitem
         where date_diff('day', cast(l_shipdate as date), date '2001-12-01') < 900""",
@@ -163,8 +168,8 @@ ORACLES: dict[str, str] = {
     "build_city_demographics": f"with {CITY_DEMO} select {CITY_DEMO_COLUMNS} from city_demo",
     "build_city_demographics_same_state": f"""with {CITY_DEMO} select {CITY_DEMO_COLUMNS} from city_demo
         where state_code = port_state""",
-    "build_arrivals": f"with {IMM} select * from imm",
-    "build_arrivals_by_key": f"with {IMM} select * from imm",
+    "build_arrivals": f"with {IMM} {DATED_IMM}",
+    "build_arrivals_by_key": f"with {IMM} {DATED_IMM}",
     "build_land_temperatures": f"""with {LAND_TEMP}
         select "AverageTemperature", city_lower, port_id, dt from land_temp""",
     "build_land_temperatures_one_country": f"""with {LAND_TEMP}
@@ -235,5 +240,5 @@ ORACLES: dict[str, str] = {
         union all select 'land_temp', count(*), null from recent_rows
           join ports on 'nation_' || recent_rows.city = ports.city""",
     "incremental_append": "select c_custkey, c_name, c_nationkey from customer",
-    "incremental_arrivals": f"with {IMM} select * from imm",
+    "incremental_arrivals": f"with {IMM} {DATED_IMM}",
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborlake import plans, streaming
+from harborlake import functions, plans, streaming
 from harborlake.catalogue.derived import (
     AS_OF,
     MAX_DAYS,
@@ -19,7 +19,8 @@ from harborlake.catalogue.derived import (
     table,
     text,
 )
-from harborlake.functions import calendar_parts, part_of, sas_date, strip, unquote, without_chars
+from harborlake.functions import part_of, sas_date, strip, unquote, without_chars
+from harborlake.functions.dates import SAS_EPOCH
 from harborlake.operators import (
     conform_join,
     dedupe,
@@ -86,20 +87,26 @@ def sas_days_to_date(spark, sf_dir):
 
 
 @query
-def calendar_parts_of_events(spark, sf_dir):
+def calendar_parts(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
-        "event_id", *[c.alias(name) for name, c in calendar_parts("ts").items()]
+        "event_id", *[c.alias(name) for name, c in functions.calendar_parts("ts").items()]
     )
 
 
 @query
 def renamed_columns(spark, sf_dir):
-    raw = raw_demographics(spark, sf_dir)
+    raw = raw_demographics(spark, sf_dir).fillna(0, ["Number of Veterans"])
     return raw.withColumnsRenamed({"Median Age": "median_age", "Number of Veterans": "veterans_num"}).select(
         "City", "median_age", "veterans_num", "Foreign-Born", F.col("`State Code`").alias("state_code")
     )
 
 
+@query
+def columns_named_by_position(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_partkey", F.split("p_name", " ", 2).alias("words"))
+    return part.select("p_partkey", F.get("words", F.lit(0)), F.get("words", F.lit(1))).toDF("id", "colour", "thing")
+
+
 # --- filters -----------------------------------------------------------------------
 
 
@@ -322,6 +329,11 @@ def sorted_dim_sample(spark, sf_dir):
 # --- the five tables ---------------------------------------------------------------
 
 
+def _dated(fact: DataFrame) -> DataFrame:
+    """Missing dates as day zero, since tools print a missing date or integer in different ways."""
+    return fact.withColumn("arrival_date", F.coalesce("arrival_date", F.lit(SAS_EPOCH))).fillna(0, ["year", "month"])
+
+
 @query
 def label_lines(spark, sf_dir):
     return ports(spark, sf_dir)
@@ -374,13 +386,13 @@ def build_city_demographics_same_state(spark, sf_dir):
 def build_arrivals(spark, sf_dir):
     path = scratch_path(spark, "imm")
     plans.write_checked(plans.build_arrivals(raw_arrivals(spark, sf_dir), ports(spark, sf_dir)), path, ["year"])
-    return read_table(spark, path)
+    return _dated(read_table(spark, path))
 
 
 @query
 def build_arrivals_by_key(spark, sf_dir):
     raw = raw_arrivals(spark, sf_dir)
-    return plans.build_arrivals(raw, ports(spark, sf_dir), dedupe_on=["cicid"])
+    return _dated(plans.build_arrivals(raw, ports(spark, sf_dir), dedupe_on=["cicid"]))
 
 
 @query
@@ -585,4 +597,4 @@ def incremental_arrivals(spark, sf_dir):
     ingest()
     arrive(raw.where("i94yr >= '1999.0'"), "append")
     ingest()
-    return read_table(spark, f"{path}/imm")
+    return _dated(read_table(spark, f"{path}/imm"))

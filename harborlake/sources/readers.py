@@ -33,6 +33,7 @@ def read_delimited(
     header: bool = True,
     suffix: str | None = None,
     recursive: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Delimited files as one DataFrame.
 
@@ -41,6 +42,8 @@ def read_delimited(
       casts some of them by name (text that does not fit becomes null). This keeps
       columns nobody has declared, and costs one read of one line.
     * ``infer`` reads all files once more to guess the types.
+
+    ``file_column`` adds the path of the file each row comes from.
     """
     reader: DataFrameReader = _discovery(_csv(spark.read, header, sep), suffix, recursive)
     if schema is not None:
@@ -48,6 +51,8 @@ def read_delimited(
     elif infer:
         reader = reader.option("inferSchema", True)
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
+    if file_column is not None:
+        df = df.withColumn(file_column, F.col("_metadata.file_path"))
     return with_types(df, types) if types else df
 
 

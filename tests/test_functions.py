@@ -66,3 +66,15 @@ def test_exact_average(spark):
     frame = spark.createDataFrame([(0.1,), (0.2,), (0.3,), (None,)], "v double")
     row = frame.select(exact_avg("v", 1), exact_avg("v"), exact_avg(F.lit(None).cast("double"), 1)).first()
     assert row[0] == 0.6 / 3 and abs(row[1] - 0.2) < 1e-12 and row[2] is None
+
+
+def test_settings_grow_with_the_data():
+    from harborlake.settings import settings_for
+
+    def partitions(size, cores):
+        return int(settings_for(size, cores)["spark.sql.shuffle.partitions"])
+
+    assert partitions(1, 8) == 8
+    assert partitions(100 * 2**30, 8) == 800
+    assert partitions(10**12, 8000) == 8000
+    assert partitions(10**14, 8000) == 100_000

@@ -75,6 +75,8 @@ def test_many_files_by_glob_folder_and_suffix(spark, tmp_path):
     assert rows(read_delimited(spark, f"{folder}/*.csv")) == [("1",), ("2",)]
     assert rows(read_delimited(spark, [f"{folder}/a.csv", f"{folder}/b.csv"])) == [("1",), ("2",)]
     assert rows(read_delimited(spark, folder, suffix=".csv", recursive=True)) == [("1",), ("2",), ("3",)]
+    traced = read_delimited(spark, folder, suffix=".csv", recursive=True, file_column="file")
+    assert {r.x: r.file.rsplit("/", 1)[1] for r in traced.collect()} == {"1": "a.csv", "2": "b.csv", "3": "c.csv"}
 
 
 def test_whole_texts_and_lines(spark, tmp_path):
