@@ -108,12 +108,7 @@ def build_arrivals(
     says that the rows come from a de-duplicated store and saves the shuffle.
     """
     needed = ["cicid", "i94port", "arrdate"]
-    if already_distinct:
-        rows = arrivals.select(*needed)
-    elif dedupe_on is None:
-        rows = dedupe(known_keys_only(arrivals, ports, F.col("i94port"), "port_id"))
-    else:
-        rows = _distinct(arrivals, needed, dedupe_on)
+    rows = arrivals.select(*needed) if already_distinct else _distinct(arrivals, needed, dedupe_on)
     joined = lookup_join(rows, ports, "i94port", "port_id", {"port_city": "city", "port_state": "state"})
     dated = joined.withColumn("arrival_date", sas_date("arrdate"))
     return dated.select(
@@ -139,7 +134,8 @@ def build_land_temperatures(
     """Temperature dimension: the last ``max_days`` days, one row per port of that city name.
 
     Cities of other countries with the name of a port city are included unless
-    ``country`` is given.
+    ``country`` is given. The measurements are worldwide and few cities are ports, so
+    other cities are dropped before the rows are shuffled for de-duplication.
     """
     rows = recent(temperatures, "dt", max_days, as_of)
     if country is not None:
