@@ -16,9 +16,9 @@ from bench import SF_DIR, session
 from harborlake.catalogue.derived import AS_OF, MAX_DAYS, ports, raw_arrivals, raw_temperatures, table
 from harborlake.catalogue.queries import EVENT_TYPES, PRIORITIES
 from harborlake.functions import part_of
-from harborlake.operators import dedupe, lookup_join, pivot_max, recent, unmatched, unmatched_counts
-from harborlake.plans import airport_types_by_state
-from harborlake.sinks import overwrite_partitions, scratch_path, write_delimited
+from harborlake.operators import conform_join, dedupe, lookup_join, pivot_max, recent, unmatched, unmatched_counts
+from harborlake.plans import airport_types_by_state, build_land_temperatures
+from harborlake.sinks import overwrite_partitions, overwrite_table, scratch_path, write_delimited
 from harborlake.sources import read_delimited, read_table
 
 PAIRS = {}
@@ -137,6 +137,21 @@ def one_row_per_key(spark):
     )
 
 
+@pair
+def measurements_of_few_cities(spark):
+    """de-duplicate all rows, then join | drop rows of other cities first"""
+    path = scratch_path(spark, "few_ports")
+    overwrite_table(ports(spark, SF_DIR).where("city = 'nation_3'"), path)
+    known = read_table(spark, path)
+    raw = raw_temperatures(spark, SF_DIR).withColumn("n", F.monotonically_increasing_id() % 100_000)
+
+    def all_rows():
+        joined = conform_join(dedupe(raw), known, "City", "city", ["port_id"], key_as="city_lower")
+        return joined.select("AverageTemperature", "city_lower", "port_id", "dt")
+
+    return all_rows, lambda: build_land_temperatures(raw, known, as_of=AS_OF)
+
+
 @pair
 def table_partitioned_by_date(spark):
     """every task writes every date | balanced by date"""
