@@ -155,6 +155,8 @@ def run_pipeline(
 
     def build(name: str) -> TableResult:
         spark.sparkContext.setJobDescription(f"build {name}")
+        # With FAIR scheduling the tables share the cluster instead of queueing for it.
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         make, partition_by = builds[name]
         try:
             written = write_checked(make(), locations.table(name), partition_by)

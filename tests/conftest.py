@@ -1,8 +1,12 @@
 import os
 
 import pytest
+from hypothesis import settings
 from pyspark.sql import SparkSession
 
+settings.register_profile("spark", deadline=None, derandomize=True)
+settings.load_profile("spark")
+
 TESTDATA = os.environ.get("HARBORLAKE_TESTDATA", "/root/testdata/sf0.001")
 
 

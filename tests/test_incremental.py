@@ -59,6 +59,13 @@ def test_upsert_adds_missing_rows_only(spark, tmp_path):
     assert {p.name for p in (tmp_path / "t" / "year=2015").glob("*.parquet")} == untouched
 
 
+def test_upsert_of_nothing_changes_nothing(spark, tmp_path):
+    target = str(tmp_path / "t")
+    upsert_partitions(frame(spark, (1, "a", 2015)), target, ["year"])
+    assert upsert_partitions(frame(spark, (2, "b", 2016)).where("1 = 0"), target, ["year"]) == []
+    assert rows(read_table(spark, target)) == [(1, "a", 2015)]
+
+
 def test_upsert_by_key_and_two_partition_columns(spark, tmp_path):
     target = str(tmp_path / "t")
     upsert_partitions(frame(spark, (1, "m", 2015), (2, "m", 2015)), target, ["year", "text"], on=["id", "year"])
@@ -131,6 +138,10 @@ def test_incremental_arrivals_equal_a_full_build(spark, tmp_path, ports, partiti
     write(tmp_path / "in" / "c.csv", part(0))
     ingest()
     compare()
+    # A file without rows.
+    write(tmp_path / "in" / "d.csv", HEADER)
+    ingest()
+    compare()
     # A batch that was done but not recorded as done is repeated.
     last = max(int(p.name) for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit())
     (tmp_path / "checkpoint" / "commits" / str(last)).unlink()
