@@ -13,7 +13,7 @@ TESTDATA = os.environ.get("HARBORLAKE_TESTDATA", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4,4]")  # a failed task is tried again, as on a cluster
         .appName("harborlake-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
