@@ -22,7 +22,14 @@ from harborlake.operators import (
     pivot_max,
     recent,
 )
-from harborlake.schemas import DEMOGRAPHICS_KEYS, RACES
+from harborlake.schemas import (
+    DEMOGRAPHICS_KEYS,
+    DEMOGRAPHICS_NAMES,
+    DEMOGRAPHICS_TYPES,
+    RACES,
+    TEMPERATURE_TYPES,
+)
+from harborlake.sources import with_types
 
 # What is removed from a port code.
 _CODE_CHARS = "',)"
@@ -71,7 +78,8 @@ def build_city_demographics(
     Cities of the same name in different states go to each other's ports unless
     ``match_state`` also compares the state.
     """
-    wide = dedupe(pivot_max(demographics, DEMOGRAPHICS_KEYS, "Race", "Count", list(RACES)))
+    typed = with_types(demographics, DEMOGRAPHICS_TYPES)
+    wide = dedupe(pivot_max(typed, DEMOGRAPHICS_KEYS, "Race", "Count", list(RACES)))
     joined = conform_join(
         wide,
         ports,
@@ -81,18 +89,7 @@ def build_city_demographics(
         key_as="city_lower",
         also={"State Code": "state"} if match_state else None,
     )
-    renamed = {
-        "Median Age": "median_age",
-        "Male Population": "male_pop",
-        "Female Population": "female_pop",
-        "Total Population": "total_pop",
-        "Number of Veterans": "veterans_num",
-        "Foreign-Born": "Foreign-Born",
-        "Average Household Size": "avg_household",
-        "State Code": "state_code",
-        **RACES,
-    }
-    return joined.select("port_id", "city_lower", *[F.col(f"`{c}`").alias(n) for c, n in renamed.items()])
+    return joined.select("port_id", "city_lower", *[F.col(f"`{c}`").alias(n) for c, n in DEMOGRAPHICS_NAMES.items()])
 
 
 def build_arrivals(
@@ -137,7 +134,7 @@ def build_land_temperatures(
     ``country`` is given. The measurements are worldwide and few cities are ports, so
     other cities are dropped before the rows are shuffled for de-duplication.
     """
-    rows = recent(temperatures, "dt", max_days, as_of)
+    rows = recent(with_types(temperatures, TEMPERATURE_TYPES), "dt", max_days, as_of)
     if country is not None:
         rows = rows.where(F.col("Country") == country)
     if dedupe_on is None:

@@ -38,7 +38,20 @@ RACES = {
     "White": "White",
 }
 
-# Output tables: column -> type, in stored order (partition column last).
+# The demographics columns that become table columns, and their names there.
+DEMOGRAPHICS_NAMES = {
+    "Median Age": "median_age",
+    "Male Population": "male_pop",
+    "Female Population": "female_pop",
+    "Total Population": "total_pop",
+    "Number of Veterans": "veterans_num",
+    "Foreign-Born": "Foreign-Born",
+    "Average Household Size": "avg_household",
+    "State Code": "state_code",
+    **RACES,
+}
+
+# The output tables, column -> type, in stored order (partition column last).
 PORTS = {"port_id": "string", "city_state": "string", "city": "string", "state": "string"}
 AIRPORTS = {"ident": "string", "type": "string", "iso_region": "string", "state": "string"}
 DEMOGRAPHICS = {

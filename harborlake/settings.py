@@ -26,6 +26,8 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{TASK_BYTES // MB}MB",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": f"{TASK_BYTES // MB}MB",
+        # Files are compressed; a table is broadcast only if it is small when it is not.
+        "spark.sql.sources.fileCompressionFactor": "5.0",
         # Tables that are built at the same time share the cores.
         "spark.scheduler.mode": "FAIR",
         # A table with a directory per date is listed by this many tasks, not one per directory.

@@ -57,8 +57,13 @@ def read_delimited(
 
 
 def with_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast columns by name; text that does not fit becomes null, as it does in a typed CSV scan."""
-    return df.withColumns({name: F.col(f"`{name}`").try_cast(kind) for name, kind in types.items()})
+    """Cast text columns by name; text that does not fit becomes null, as it does in a typed CSV scan.
+
+    Columns that are not text have a type already and keep it.
+    """
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    casts = {name: F.col(f"`{name}`").try_cast(kind) for name, kind in types.items() if name in texts}
+    return df.withColumns(casts) if casts else df
 
 
 def read_texts(spark: SparkSession, paths: Paths, *, whole: bool = True) -> DataFrame:

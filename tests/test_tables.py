@@ -97,6 +97,14 @@ def test_demographics(demographics, ports):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
 
 
+def test_untyped_sources_give_the_same_tables(spark, landing, demographics, temperatures, ports):
+    text = read_delimited(spark, str(landing / "city_demo"), sep=";")
+    assert rows(build_city_demographics(text, ports)) == rows(build_city_demographics(demographics, ports))
+    text = read_delimited(spark, str(landing / "land_temp"))
+    found, typed = (build_land_temperatures(t, ports, as_of=AS_OF) for t in (text, temperatures))
+    assert found.dtypes == typed.dtypes and rows(found) == rows(typed)
+
+
 def test_demographics_of_the_same_state(demographics, ports):
     found = build_city_demographics(demographics, ports, match_state=True)
     assert rows(found.select("port_id", "state_code")) == [("NYC", "NY"), ("POM", "ME"), ("POO", "OR")]
