@@ -233,7 +233,7 @@ ORACLES: dict[str, str] = {
         recent_rows as (select distinct * from (
           select cast(l_shipdate as date) as dt, case when l_returnflag <> 'N' then l_quantity end,
             l_discount, l_suppkey % 30 as city, l_linestatus from lineitem)
-          where dt > date '2001-12-01' - 9000)
+          where date_diff('day', dt, date '2001-12-01') < 900)
         select 'imm' as "table", count(*) as rows, cast(null as varchar) as error from imm
         union all select 'city_demo', count(*), null from city_demo
         union all select 'airport', count(*), null from airport

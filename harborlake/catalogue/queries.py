@@ -317,7 +317,7 @@ def landed_extracts(spark, sf_dir):
     raw.withColumn("source_year", F.col("i94yr")).write.mode("overwrite").partitionBy("source_year").json(
         f"{path}/in"
     )
-    plans.land_extracts(spark, f"{path}/in", f"{path}/out", fmt="json", suffix=".json")
+    plans.land_extracts(spark, plans.Extract(f"{path}/in", "json", suffix=".json"), f"{path}/out")
     return read_delimited(spark, f"{path}/out").select("cicid", "i94yr", "i94port", "arrdate")
 
 
@@ -540,14 +540,22 @@ def arrivals_with_temperature(spark, sf_dir):
 
 @query
 def whole_run(spark, sf_dir):
-    """Sources landed as CSV, all tables built from them, what the run reports."""
+    """Arrivals landed from extracts by year, other sources as CSV; all tables built, and what the run reports."""
     root = scratch_path(spark, "run")
     where = plans.Locations(landing=f"{root}/landing", tables=f"{root}/tables")
-    write_delimited(raw_airports(spark, sf_dir), where.airports)
-    write_delimited(raw_demographics(spark, sf_dir), where.demographics, sep=";")
-    write_delimited(raw_arrivals(spark, sf_dir), where.arrivals)
-    write_delimited(raw_temperatures(spark, sf_dir), where.temperatures)
-    results = plans.run_pipeline(spark, where, as_of=AS_OF, sources={"labels": label_texts(spark, sf_dir)})
+    write_delimited(raw_airports(spark, sf_dir), where.landed("airport"))
+    write_delimited(raw_demographics(spark, sf_dir), where.landed("city_demo"), sep=";")
+    write_delimited(raw_temperatures(spark, sf_dir), where.landed("land_temp"))
+    by_year = raw_arrivals(spark, sf_dir).withColumn("source_year", F.col("i94yr"))
+    by_year.write.partitionBy("source_year").json(f"{root}/extracts")
+    results = plans.run_pipeline(
+        spark,
+        where,
+        as_of=AS_OF,
+        max_days=MAX_DAYS,
+        extracts={"imm": plans.Extract(f"{root}/extracts", "json", suffix=".json")},
+        sources={"labels": label_texts(spark, sf_dir)},
+    )
     return plans.pipeline_report(spark, results)
 
 

@@ -7,6 +7,7 @@ from harborlake.plans.analytics import (
     top_ports,
 )
 from harborlake.plans.pipeline import (
+    Extract,
     Locations,
     TableResult,
     land_extracts,
@@ -31,6 +32,7 @@ from harborlake.plans.tables import (
 )
 
 __all__ = [
+    "Extract",
     "Locations",
     "QualityError",
     "TableResult",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark import inheritable_thread_target
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from harborlake import schemas
 from harborlake.plans.quality import write_checked
 from harborlake.plans.tables import (
+    RECENT_DAYS,
     build_airports,
     build_arrivals,
     build_city_demographics,
@@ -31,31 +32,26 @@ class Locations:
     tables: str
 
     @property
-    def labels(self) -> str:
-        return f"{self.landing}/labels"
+    def ports(self) -> str:
+        return self.landed("ports")
 
-    @property
-    def airports(self) -> str:
-        return f"{self.landing}/airport"
+    def landed(self, name: str) -> str:
+        """Folder of a source: labels, airport, city_demo, imm, land_temp, and the derived ports."""
+        return f"{self.landing}/{name}"
 
-    @property
-    def demographics(self) -> str:
-        return f"{self.landing}/city_demo"
-
-    @property
-    def arrivals(self) -> str:
-        return f"{self.landing}/imm"
+    def table(self, name: str) -> str:
+        return f"{self.tables}/{name}"
 
-    @property
-    def temperatures(self) -> str:
-        return f"{self.landing}/land_temp"
 
-    @property
-    def ports(self) -> str:
-        return f"{self.landing}/ports"
+@dataclass(frozen=True)
+class Extract:
+    """Source files that are landed before their table is built, found at any depth below ``path``."""
 
-    def table(self, name: str) -> str:
-        return f"{self.tables}/{name}"
+    path: str
+    fmt: str
+    suffix: str | None = None
+    schema: T.StructType | str | None = None
+    options: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -68,23 +64,26 @@ class TableResult:
 
 
 def land_extracts(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    *,
-    fmt: str,
-    suffix: str | None = None,
-    schema: T.StructType | str | None = None,
-    target_fmt: str = "csv",
-    options: Mapping[str, str] | None = None,
+    spark: SparkSession, extract: Extract, target: str, *, fmt: str = "csv", sep: str = ","
 ) -> DataFrame:
-    """Land all extracts below ``source``, at any depth, as one dataset; returns a preview row.
+    """Land all files of an extract as one dataset, replacing the previous one; returns a preview row.
 
-    All files are read and written in one job, so no file replaces another's rows.
+    They are read and written in one job, so no file replaces another's rows.
     """
-    extracts = read_any(spark, fmt, source, schema=schema, suffix=suffix, recursive=True, options=options)
-    land(extracts, target, target_fmt, **({"header": "true"} if target_fmt == "csv" else {}))
-    return preview(extracts)
+    rows = read_any(
+        spark,
+        extract.fmt,
+        extract.path,
+        schema=extract.schema,
+        suffix=extract.suffix,
+        recursive=True,
+        options=extract.options,
+    )
+    if fmt == "csv":
+        write_delimited(rows, target, sep=sep)
+    else:
+        land(rows, target, fmt)
+    return preview(rows)
 
 
 def read_ports(spark: SparkSession, path: str) -> DataFrame:
@@ -105,46 +104,46 @@ def run_pipeline(
     locations: Locations,
     *,
     as_of: date | None = None,
+    max_days: int = RECENT_DAYS,
     concurrency: int = 3,
+    extracts: Mapping[str, Extract] | None = None,
     sources: Mapping[str, DataFrame] | None = None,
 ) -> list[TableResult]:
-    """Build every table from the landed sources and report on each of them.
+    """Build every table from its landed source and report on each of them.
 
     A failing port build stops the run, since three tables depend on it; a failing table
-    does not stop the others. ``sources`` (labels, airport, city_demo, imm, land_temp)
-    replaces landed CSV folders by other DataFrames.
+    does not stop the others. ``extracts`` (airport, city_demo, imm, land_temp) are landed
+    first; ``sources`` (these and labels) replaces landed CSV folders by other DataFrames.
     """
     given = dict(sources or {})
+    to_land = dict(extracts or {})
 
-    def source(name: str, read: Callable[[], DataFrame]) -> DataFrame:
-        return given[name] if name in given else read()
+    def source(name: str, **read) -> DataFrame:
+        if name in given:
+            return given[name]
+        folder = locations.landed(name)
+        if name in to_land:
+            land_extracts(spark, to_land[name], folder, sep=read.get("sep", ","))
+        return read_delimited(spark, folder, **read)
 
-    write_delimited(
-        build_ports(source("labels", lambda: read_texts(spark, locations.labels))), locations.ports
-    )
+    def ports() -> DataFrame:
+        return read_ports(spark, locations.ports)
 
     def airport() -> DataFrame:
-        return build_airports(source("airport", lambda: read_delimited(spark, locations.airports)))
+        return build_airports(source("airport"))
 
     def city_demo() -> DataFrame:
-        raw = source(
-            "city_demo",
-            lambda: read_delimited(
-                spark, locations.demographics, sep=";", types=schemas.DEMOGRAPHICS_TYPES
-            ),
+        return build_city_demographics(
+            source("city_demo", sep=";", types=schemas.DEMOGRAPHICS_TYPES), ports()
         )
-        return build_city_demographics(raw, read_ports(spark, locations.ports))
 
     def imm() -> DataFrame:
-        raw = source("imm", lambda: read_delimited(spark, locations.arrivals))
-        return build_arrivals(raw, read_ports(spark, locations.ports))
+        return build_arrivals(source("imm"), ports())
 
     def land_temp() -> DataFrame:
-        raw = source(
-            "land_temp",
-            lambda: read_delimited(spark, locations.temperatures, types=schemas.TEMPERATURE_TYPES),
+        return build_land_temperatures(
+            source("land_temp", types=schemas.TEMPERATURE_TYPES), ports(), as_of=as_of, max_days=max_days
         )
-        return build_land_temperatures(raw, read_ports(spark, locations.ports), as_of=as_of)
 
     builds = {
         "airport": (airport, ()),
@@ -164,6 +163,8 @@ def run_pipeline(
             return TableResult(name, None, f"{type(error).__name__}: {error}")
         return TableResult(name, written.stored, None)
 
+    labels = given["labels"] if "labels" in given else read_texts(spark, locations.landed("labels"))
+    write_delimited(build_ports(labels), locations.ports)
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
         runs = [pool.submit(inheritable_thread_target(spark)(build), name) for name in builds]
         return [run.result() for run in runs]

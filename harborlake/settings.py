@@ -25,6 +25,10 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{TASK_BYTES // MB}MB",
         "spark.sql.shuffle.partitions": str(partitions),
+        # Creating files takes longer than filling small ones: let all cores write a small
+        # table that has many partition directories.
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
         "spark.sql.files.maxPartitionBytes": f"{TASK_BYTES // MB}MB",
         # Files are compressed; a table is broadcast only if it is small when it is not.
         "spark.sql.sources.fileCompressionFactor": "5.0",

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Observation, functions as F
 
 from conftest import plan, rows
-from harborlake.plans import QualityError, duplicate_report, land_extracts, row_counts, write_checked
+from harborlake.plans import Extract, QualityError, duplicate_report, land_extracts, row_counts, write_checked
 from harborlake.sinks import (
     balanced,
     land,
@@ -166,9 +166,12 @@ def test_all_extracts_are_landed(spark, tmp_path):
         for name in ("same.json", "other.json"):
             write(tmp_path / "in" / month / name, json.dumps({"cicid": f"{month}-{name}"}) + "\n")
     write(tmp_path / "in" / "notes.txt", "not an extract")
-    first = land_extracts(spark, str(tmp_path / "in"), str(tmp_path / "out"), fmt="json", suffix=".json")
-    assert first.count() == 1
-    assert read_delimited(spark, str(tmp_path / "out")).count() == 4
+    extract = Extract(str(tmp_path / "in"), "json", suffix=".json", schema="cicid string")
+    for fmt in ("csv", "parquet"):
+        first = land_extracts(spark, extract, str(tmp_path / fmt), fmt=fmt)
+        assert first.count() == 1
+    assert read_delimited(spark, str(tmp_path / "csv")).count() == 4
+    assert read_table(spark, str(tmp_path / "parquet")).count() == 4
 
 
 def test_checked_write(spark, tmp_path):

@@ -7,6 +7,7 @@ import pytest
 from conftest import plan, rows
 from harborlake import schemas
 from harborlake.plans import (
+    Extract,
     Locations,
     build_airports,
     build_arrivals,
@@ -207,6 +208,21 @@ def test_whole_run(spark, landing, tmp_path):
     assert spark.table("airport").count() == 5
 
 
+def test_extracts_are_landed_before_the_builds(spark, landing, tmp_path):
+    where = Locations(landing=str(tmp_path / "landing"), tables=str(tmp_path / "tables"))
+    csv = {"header": "true"}
+    extracts = {
+        "airport": Extract(str(landing / "airport"), "csv", options=csv),
+        "city_demo": Extract(str(landing / "city_demo"), "csv", suffix=".csv", options={**csv, "sep": ";"}),
+        "imm": Extract(str(landing / "imm"), "csv", options=csv),
+        "land_temp": Extract(str(tmp_path / "nowhere"), "csv", options=csv),
+    }
+    labels = read_texts(spark, str(landing / "labels"))
+    results = run_pipeline(spark, where, as_of=AS_OF, extracts=extracts, sources={"labels": labels})
+    assert [(r.table, r.rows) for r in results] == [("airport", 5), ("city_demo", 5), ("imm", 4), ("land_temp", None)]
+    assert "nowhere" in results[-1].error
+
+
 def test_a_failing_table_does_not_stop_the_others(spark, landing, tmp_path):
     where = Locations(landing=str(landing), tables=str(tmp_path / "tables"))
     broken = spark.createDataFrame([(1,)], "other int")
