@@ -1,5 +1,6 @@
 import json
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import Observation, functions as F
@@ -155,7 +156,15 @@ def test_preview(spark):
 def test_scratch_is_below_the_shared_folder(spark):
     base = spark.conf.get(CHECKPOINT_DIR)
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert one.startswith(f"{base}/x-") and one != two
+    assert one.startswith(f"{base}/harborlake-{spark.sparkContext.applicationId}/x-") and one != two
+
+
+def test_no_machine_local_scratch_on_a_cluster():
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(master="yarn")
+    )
+    with pytest.raises(ValueError, match="all executors share"):
+        scratch_path(session, "x")
 
 
 # --- landing and checks ------------------------------------------------------------
