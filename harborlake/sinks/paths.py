@@ -10,18 +10,20 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str, *, keep: bool = False) -> str:
     """A fresh path below the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder of this machine;
     on a cluster the executors would not see it, so there it is an error. What is
-    written there goes away when the application ends.
+    written there goes away when the application ends, unless it is to be kept.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         base = tempfile.gettempdir()
+    if keep:
+        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     root = f"{base.rstrip('/')}/harborlake-{spark.sparkContext.applicationId}"
     files, jvm_root = _file_system(spark, root)
     if files.mkdirs(jvm_root):

@@ -15,7 +15,7 @@ from harborlake.sinks.paths import exists
 from harborlake.sources import read_table, stream_delimited
 
 # Above this many touched partitions the stored table is read without a partition filter.
-_LISTED_PARTITIONS = 5000
+_LISTED_PARTITIONS = 1000
 
 
 def ingest_new_files(
@@ -50,14 +50,22 @@ def _touched(df: DataFrame, partition_by: Sequence[str]) -> list[Row] | None:
 
 def _in_partitions(values: Sequence[Row], partition_by: Sequence[str]) -> Column:
     """Filter on constants, so the scan lists these partitions only; null is a partition too."""
-    if len(partition_by) == 1:
-        name = partition_by[0]
-        known = F.col(name).isin([v[0] for v in values if v[0] is not None])
-        return known | F.col(name).isNull() if any(v[0] is None for v in values) else known
-    one = [
-        reduce(Column.__and__, [F.col(n).eqNullSafe(F.lit(v[n])) for n in partition_by]) for v in values
-    ]
-    return reduce(Column.__or__, one, F.lit(False))
+    name, *deeper = partition_by
+    if not deeper:
+        known = F.col(name).isin([v[name] for v in values if v[name] is not None])
+        return known | F.col(name).isNull() if any(v[name] is None for v in values) else known
+    below: dict = {}
+    for value in values:
+        below.setdefault(value[name], []).append(value)
+    return _any([F.col(name).eqNullSafe(F.lit(v)) & _in_partitions(rows, deeper) for v, rows in below.items()])
+
+
+def _any(conditions: list[Column]) -> Column:
+    """Disjunction as a balanced tree: a chain of hundreds is too deep for the optimizer."""
+    if len(conditions) < 2:
+        return conditions[0] if conditions else F.lit(False)
+    half = len(conditions) // 2
+    return _any(conditions[:half]) | _any(conditions[half:])
 
 
 def upsert_partitions(
@@ -76,13 +84,14 @@ def upsert_partitions(
 
     New rows and merged partitions are first written below ``stage``, by default in the
     shared scratch folder: the source is read once, and a table cannot be replaced while
-    it is being read. A run that is given the stage path of a run that was cut off after
-    the merge goes on from there, since the table may have lost partitions half way.
+    it is being read. A run that is cut off leaves its stage; one that is given the stage
+    path of a run that was cut off after the merge goes on from there, since the table may
+    have lost partitions half way.
 
     Returns the touched partitions, or None when they are too many to list.
     """
     spark = new.sparkSession
-    stage = stage or scratch_path(spark, "upsert")
+    stage = stage or scratch_path(spark, "upsert", keep=True)
     arrived_path, merged_path = f"{stage}/arrived", f"{stage}/merged"
     if not is_complete(spark, merged_path):
         overwrite_table(dedupe(new, on), arrived_path)

@@ -91,6 +91,13 @@ def test_slice_prunes_partitions(spark, tmp_path):
     assert rows(found) == [(2, "b", 2016)]
 
 
+def test_filter_on_many_partitions(spark):
+    values = [incremental.Row(y=y, m=m) for y in (None, *range(1900, 1980)) for m in (None, *range(1, 12))]
+    data = spark.createDataFrame([(1950, 3), (1950, 12), (1985, 3), (None, None), (None, 12)], "y int, m int")
+    assert rows(data.where(incremental._in_partitions(values, ["y", "m"]))) == [(None, None), (1950, 3)]
+    assert data.where(incremental._in_partitions([], ["y", "m"])).count() == 0
+
+
 def test_upsert_goes_on_after_a_cut(spark, tmp_path, monkeypatch):
     """The run dies while it replaces partitions; the same call restores what the table lost."""
     target, stage = str(tmp_path / "t"), str(tmp_path / "stage")

@@ -157,6 +157,7 @@ def test_scratch_is_below_the_shared_folder(spark):
     base = spark.conf.get(CHECKPOINT_DIR)
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one.startswith(f"{base}/harborlake-{spark.sparkContext.applicationId}/x-") and one != two
+    assert scratch_path(spark, "x", keep=True).startswith(f"{base}/x-")
 
 
 def test_no_machine_local_scratch_on_a_cluster():
