@@ -7,8 +7,10 @@ MB = 1 << 20
 # What one task should get: small enough to stay in the memory of an executor core with
 # room for hash tables, large enough that task start-up does not count.
 TASK_BYTES = 128 * MB
-# More reducers than this cost the driver more than smaller partitions save.
-MOST_PARTITIONS = 100_000
+# With very much data the number of tasks is the limit: the driver keeps a bit per pair of
+# map task and reducer. Tasks grow instead, and sort or hash to disk what does not fit.
+MOST_PARTITIONS = 40_000
+LARGEST_SPLIT = 1024 * MB
 
 
 def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
@@ -19,17 +21,18 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     splits hot ones. Pass the result to ``SparkSession.builder.config(map=...)``.
     """
     partitions = min(max(cores, -(-input_bytes // TASK_BYTES)), MOST_PARTITIONS)
+    split = min(max(TASK_BYTES, input_bytes // MOST_PARTITIONS), LARGEST_SPLIT)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{TASK_BYTES // MB}MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{min(split, LARGEST_SPLIT // 2) // MB}MB",
         "spark.sql.shuffle.partitions": str(partitions),
         # Creating files takes longer than filling small ones: let all cores write a small
         # table that has many partition directories.
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
-        "spark.sql.files.maxPartitionBytes": f"{TASK_BYTES // MB}MB",
+        "spark.sql.files.maxPartitionBytes": f"{split // MB}MB",
         # Files are compressed; a table is broadcast only if it is small when it is not.
         "spark.sql.sources.fileCompressionFactor": "5.0",
         # Tables that are built at the same time share the cores.

@@ -79,7 +79,7 @@ def upsert_partitions(
     """Add rows that are not there yet to a partitioned Parquet table.
 
     Only partitions that occur in ``new`` are read and replaced. Stored and new rows are
-    de-duplicated together (full rows, or by the keys ``on``), so doing it twice has the
+    de-duplicated together (full rows, or the smallest row per key ``on``), so doing it twice has the
     effect of doing it once, and no state is kept between runs.
 
     New rows and merged partitions are first written below ``stage``, by default in the

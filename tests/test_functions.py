@@ -77,4 +77,6 @@ def test_settings_grow_with_the_data():
     assert partitions(1, 8) == 8
     assert partitions(100 * 2**30, 8) == 800
     assert partitions(10**12, 8000) == 8000
-    assert partitions(10**14, 8000) == 100_000
+    assert partitions(10**14, 8000) == 40_000
+    assert settings_for(10**9, 8)["spark.sql.files.maxPartitionBytes"] == "128MB"
+    assert settings_for(10**14, 8000)["spark.sql.files.maxPartitionBytes"] == "1024MB"
