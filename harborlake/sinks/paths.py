@@ -10,21 +10,34 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given."""
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    return base.rstrip("/")
+
+
+def share_locally(spark: SparkSession) -> None:
+    """Give a session on this machine alone, as in tests, a checkpoint folder if it has none.
+
+    A cluster session is left as it is: its folder is for the cluster to name.
+    """
+    context = spark.sparkContext
+    unset = not spark.conf.get(CHECKPOINT_DIR, None) and not context.getCheckpointDir()
+    if unset and context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="harborlake-"))
+
+
 def scratch_path(spark: SparkSession, name: str, *, keep: bool = False) -> str:
-    """A fresh path below the shared folder that the cluster names in ``spark.checkpoint.dir``.
+    """A fresh path below the folder that driver and executors share.
 
-    Only a local session without that setting gets a temporary folder of this machine;
-    on a cluster the executors would not see it, so there it is an error. What is
-    written there goes away when the application ends, unless it is to be kept.
+    What is written there goes away when the application ends, unless it is to be kept.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        base = tempfile.gettempdir()
+    base = shared_folder(spark)
     if keep:
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    root = f"{base.rstrip('/')}/harborlake-{spark.sparkContext.applicationId}"
+        return f"{base}/{name}-{uuid.uuid4().hex}"
+    root = f"{base}/harborlake-{spark.sparkContext.applicationId}"
     files, jvm_root = _file_system(spark, root)
     if files.mkdirs(jvm_root):
         files.deleteOnExit(jvm_root)
