@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from harborlake.llm.common import table
 from harborlake.llm.contamination import contamination
 from harborlake.llm.exact_dedup import exact_groups
+from harborlake.llm.licences import licence_labels
 from harborlake.llm.quality import quality_scores
+from harborlake.llm.secrets import secret_spans
 from harborlake.llm.simhash import near_groups
 from harborlake.llm.toxicity import toxicity_scores
 
@@ -24,10 +26,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_labels(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -38,6 +48,8 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
+    "op7_licences": op7_licences,
     "op8_toxicity": op8_toxicity,
+    "op9_secrets": op9_secrets,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -75,3 +75,35 @@ def contamination(docs, items, n=13):
                     hit |= set(range(at, at + size))
         out.add((i, len(words), len(hit), len(found), sha(",".join(sorted(found))), bool(hit) and 20 * len(hit) >= len(words)))
     return out
+
+
+LICENCES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+
+
+def licence_base(text):
+    words = PLAIN.findall(lower(text))
+    places = []
+    for phrase, label in LICENCES.items():
+        p = phrase.split()
+        places += [(i, label) for i in range(len(words)) if words[i : i + len(p)] == p]
+    starts = [i for i, _ in places]
+    labels = ",".join(sorted({x for _, x in places}))
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), labels
+
+
+SECRETS = {
+    "assign": re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
+    "access": re.compile(r"AKIA[A-Z0-9]+"),
+    "hex": re.compile(r"[0-9a-f]+"),
+}
+
+
+def secret_base(text):
+    text, out = text or "", []
+    for n, (kind, pattern) in enumerate(SECRETS.items()):
+        for m in pattern.finditer(text):
+            size = len(m[2]) if kind == "assign" else len(m[0])
+            if size >= {"assign": 6, "access": 20, "hex": 24}[kind]:
+                out.append((m.start(), n, f"{kind}:{m.start()}:{m.end()}"))
+    counts = [sum(1 for o in out if o[1] == n) for n in range(3)]
+    return (*counts, sha(",".join(o[2] for o in sorted(out)))), {o[2] for o in out}
