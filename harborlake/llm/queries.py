@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from harborlake.llm.bpe import digests, encode_and_decode
 from harborlake.llm.common import table
 from harborlake.llm.contamination import contamination
 from harborlake.llm.exact_dedup import exact_groups
@@ -13,11 +15,17 @@ from harborlake.llm.secrets import secret_spans
 from harborlake.llm.simhash import near_groups
 from harborlake.llm.toxicity import toxicity_scores
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode_and_decode(table(spark, sf_dir, "documents"), TOKENIZER))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
 
@@ -46,6 +54,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality": op2_quality,
+    "op3_bpe": op3_bpe,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
     "op7_licences": op7_licences,
