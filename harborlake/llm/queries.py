@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from harborlake.llm.bpe import digests, encode_and_decode
+from harborlake.llm import bpe, pii
 from harborlake.llm.common import table
 from harborlake.llm.contamination import contamination
 from harborlake.llm.exact_dedup import exact_groups
@@ -23,7 +23,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(encode_and_decode(table(spark, sf_dir, "documents"), TOKENIZER))
+    return bpe.digests(bpe.encode_and_decode(table(spark, sf_dir, "documents"), TOKENIZER))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +59,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality": op2_quality,
     "op3_bpe": op3_bpe,
+    "op4_pii": op4_pii,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
     "op7_licences": op7_licences,

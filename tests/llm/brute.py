@@ -107,3 +107,35 @@ def secret_base(text):
                 out.append((m.start(), n, f"{kind}:{m.start()}:{m.end()}"))
     counts = [sum(1 for o in out if o[1] == n) for n in range(3)]
     return (*counts, sha(",".join(o[2] for o in sorted(out)))), {o[2] for o in out}
+
+
+PERSONAL = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+
+
+def _luhn(digits):
+    doubled = [int(d) if n % 2 == 0 else sum(map(int, str(2 * int(d)))) for n, d in enumerate(digits[::-1])]
+    return sum(doubled) % 10 == 0
+
+
+def personal_base(text):
+    out, counts = [], []
+    for kind, pattern in PERSONAL.items():
+        own = []
+        for m in pattern.finditer(text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": lambda: True,
+                "ip": lambda: all(int(p) <= 255 for p in m[0].split(".")),
+                "card": lambda: 13 <= len(digits) <= 19 and _luhn(digits),
+                "phone": lambda: 9 <= len(digits) <= 15,
+            }[kind]()
+            if good:
+                own.append(f"{kind}:{m.start()}:{m.end()}")
+        out += own
+        counts.append(len(own))
+    return (*counts, sha(",".join(out))), out
