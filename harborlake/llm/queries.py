@@ -10,6 +10,7 @@ from harborlake.llm.common import table
 from harborlake.llm.contamination import contamination
 from harborlake.llm.exact_dedup import exact_groups
 from harborlake.llm.licences import licence_labels
+from harborlake.llm.mixing import model_scores
 from harborlake.llm.quality import quality_scores
 from harborlake.llm.secrets import secret_spans
 from harborlake.llm.simhash import near_groups
@@ -18,6 +19,10 @@ from harborlake.llm.toxicity import toxicity_scores
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
@@ -57,6 +62,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_quality": op2_quality,
     "op3_bpe": op3_bpe,
     "op4_pii": op4_pii,
