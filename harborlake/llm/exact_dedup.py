@@ -20,7 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from harborlake.llm.common import encoded, slices, stored, texts
 
@@ -33,6 +33,7 @@ BASES = (1_000_003, 998_244_353)
 CHUNK_BYTES = 1024
 PIECE_CHARS = 1 << 20
 COMPARED_CHARS = 1 << 16
+FILTER_BITS = 24  # of the bitmap that keeps most texts without copies out of the comparison: 2 MB
 
 
 class Part(NamedTuple):
@@ -191,16 +192,34 @@ def fingerprints(docs: DataFrame, *, primes=PRIMES, bases=BASES, piece_chars: in
     )
 
 
+def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose hashed doc_id is marked in a bitmap of all ``wanted``: these and few others.
+
+    The bitmap has 2**FILTER_BITS bits however many are wanted, and is sent to every task.
+    """
+
+    def marks(doc_id: str) -> list[Column]:
+        h = F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS))
+        return [F.floor(h / 32768).alias("_part"), (h % 32768).alias("_bit")]
+
+    bitmap = wanted.select(*marks("doc_id")).groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    byte = F.conv(F.hex(F.substring("_map", (F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    marked = docs.select("*", *marks("doc_id")).join(F.broadcast(bitmap), "_part")
+    bit = F.pow(F.lit(2.0), F.col("_bit") % 8).cast("long")
+    return marked.where(F.floor(byte / bit) % 2 == 1).select(*docs.columns)
+
+
 def _unequal(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (doc_id, text_sha256, rep, rep_sha256) whose texts differ in a chunk.
 
     The chunks of a document meet those of its representative in a join on the representative and
     the chunk's number; a representative with very many copies is a skewed key of a plain join.
     """
-    wanted = pairs.select("doc_id", "text_sha256").union(pairs.select("rep", "rep_sha256")).distinct()
+    wanted = pairs.select("doc_id").union(pairs.select("rep")).distinct()
+    # merge joins at every size, so that what is shuffled follows the input and not a switch of plans
     chunks = (
-        texts(docs)
-        .join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+        _likely(texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")), wanted)
+        .join(wanted.hint("merge"), "doc_id")  # inner: a semi join would be pushed below the bitmap
         .withColumn("text", F.regexp_replace("text", WHITE_SQL, " "))
         .withColumn("text_sha256", F.sha2("text", 256))
         .withColumn("chunks", F.floor(F.char_length("text") / COMPARED_CHARS).cast("int"))
@@ -217,7 +236,7 @@ def _unequal(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         )
     )
     chunks = stored(chunks, "compared_chunks")
-    own = chunks.join(pairs, ["doc_id", "text_sha256"])
+    own = chunks.join(pairs.hint("merge"), ["doc_id", "text_sha256"])
     kept = chunks.join(pairs.select("rep", "rep_sha256").distinct().withColumnsRenamed({"rep": "doc_id", "rep_sha256": "text_sha256"}), ["doc_id", "text_sha256"], "left_semi")
     kept = kept.select(F.col("doc_id").alias("rep"), F.col("text_sha256").alias("rep_sha256"), "at", F.col("chunks").alias("rep_chunks"), F.col("chunk").alias("rep_chunk"))
     same = F.coalesce(F.col("chunk") == F.col("rep_chunk"), F.lit(False)) & (F.col("chunks") == F.col("rep_chunks"))
