@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborlake.llm.common import slices, texts
+from harborlake.llm.common import slices, stored, texts
 
 # Fixed value: how byte-level vocabularies of this family cut a text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -268,8 +268,21 @@ class Cutter:
         return out
 
 
+class _Numbered(dict):
+    """Pieces to numbers; a new piece gets the next one and is noted."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.fresh.append(piece)
+        return number
+
+
 class Encoder:
-    """Ids of pieces, remembered for a bounded number of them."""
+    """Ids of texts; the ids of pieces are remembered for a bounded number of them."""
 
     def __init__(self, merges: Merges, lexicon: Lexicon):
         self.merges, self.lexicon = merges, lexicon
@@ -278,26 +291,39 @@ class Encoder:
 
     def forget(self) -> None:
         special = self.merges.special
-        self.known: dict[str, int] = dict(zip(special, range(len(special))))
-        self.ids = [np.array([i], dtype=np.int64) for i in special.values()]
+        self.known = _Numbered(zip(special, range(len(special))))
+        self.ids = np.array(list(special.values()), dtype=np.int64)
+        self.lengths = np.ones(len(special), dtype=np.int64)
 
-    def learn(self, pieces: list[str]) -> None:
-        words = [p.encode("utf-8", "surrogatepass") for p in pieces]
+    def learn(self) -> None:
+        words = [p.encode("utf-8", "surrogatepass") for p in self.known.fresh]
+        self.known.fresh.clear()
         places = self.lexicon.places(words)
         unseen = np.flatnonzero(places < 0).tolist()
         merged = dict(zip(unseen, self.merges.encode([words[n] for n in unseen])))
         ends, ids = self.lexicon.id_ends, self.lexicon.ids
-        for n, (piece, place) in enumerate(zip(pieces, places.tolist())):
-            self.known[piece] = len(self.ids)
-            self.ids.append(merged[n] if place < 0 else ids[ends[place] : ends[place + 1]])
+        found = [merged[n] if place < 0 else ids[ends[place] : ends[place + 1]] for n, place in enumerate(places.tolist())]
+        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, found), dtype=np.int64, count=len(found))])
+        self.ids = np.concatenate([self.ids, *found])
 
-    def __call__(self, found: list[str]) -> list[np.ndarray]:
-        cut = [self.cut(t) for t in found]
+    def __call__(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has."""
         if len(self.known) > _KNOWN:
             self.forget()
-        self.learn(list(set().union(*cut).difference(self.known)))
-        known, ids = self.known, self.ids
-        return [np.concatenate([np.zeros(0, dtype=np.int64), *[ids[known[p]] for p in own]]) for own in cut]
+        numbers, pieces = [], []
+        for text in found:
+            own = list(map(self.known.__getitem__, self.cut(text)))
+            pieces.append(len(own))
+            numbers.extend(own)
+        if self.known.fresh:
+            self.learn()
+        numbers = np.array(numbers, dtype=np.int64)
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        starts = (np.cumsum(self.lengths) - self.lengths)[numbers]
+        ids = self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())]
+        stops = np.concatenate([[0], ends])[np.cumsum(pieces)]
+        return ids, np.diff(stops, prepend=0)
 
 
 def piece_counts(docs: DataFrame, special: dict[str, int]) -> DataFrame:
@@ -323,10 +349,20 @@ def piece_counts(docs: DataFrame, special: dict[str, int]) -> DataFrame:
 
 
 def frequent_lexicon(docs: DataFrame, merges: Merges, size: int = LEXICON_WORDS) -> Lexicon:
-    """The ``size`` most frequent pieces of at most LONGEST_WORD bytes; so many words at most reach the driver."""
+    """The most frequent pieces of at most LONGEST_WORD bytes, at most ``size``; so many words at most reach the driver.
+
+    Frequencies are graded, and all pieces of a grade are taken or none, so no task sends a list of its own.
+    """
     counts = piece_counts(docs, merges.special).where(F.octet_length("piece") <= LONGEST_WORD)
-    rows = counts.orderBy(F.desc("n"), "piece").limit(size).collect()
-    words = sorted(r.piece.encode() for r in rows)
+    counts = stored(counts.withColumn("grade", F.floor(F.log2("n") * 8).cast("int")), "piece_counts")
+    grades = {r.grade: r["count"] for r in counts.groupBy("grade").count().collect()}  # eight for each doubling
+    least, total = max(grades, default=0) + 1, 0
+    for grade in sorted(grades, reverse=True):
+        total += grades[grade]
+        if total > size:
+            break
+        least = grade
+    words = sorted(r.piece.encode() for r in counts.where(F.col("grade") >= least).select("piece").collect())
     return Lexicon.compile(words, merges.encode(words))
 
 
@@ -341,9 +377,13 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, *, lexicon_words: int = L
         merges = Merges(state)
         encode = Encoder(merges, Lexicon.mapped(data))
         for batch in slices(batches):
-            ids = encode(batch.column("text").to_pylist())
-            decoded = [merges.decode(i).decode("utf-8", "replace") for i in ids]
-            packed = [i.astype("<u4").tobytes() for i in ids]
+            ids, counts = encode(batch.column("text").to_pylist())
+            spelled, packed = merges.decode(ids), ids.astype("<u4").tobytes()
+            stops = np.cumsum(counts)
+            bytes_of = np.concatenate([[0], np.cumsum(np.diff(merges.spelling_ends)[ids])])[stops].tolist()
+            stops = (stops * 4).tolist()
+            decoded = [spelled[a:b].decode("utf-8", "replace") for a, b in zip([0, *bytes_of], bytes_of)]
+            packed = [packed[a:b] for a, b in zip([0, *stops], stops)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(decoded, pa.string())],
                 ["doc_id", "ids", "decoded"],
