@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 import mmap
+import re
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
@@ -29,10 +30,16 @@ from harborlake.llm.common import slices, stored, texts
 
 # Fixed value: how byte-level vocabularies of this family cut a text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The same for texts of Latin letters alone (up to U+024F, where all but two signs from U+00C0 are letters).
+_LETTERS, _NUMBERS, _SPACES = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r\x20\x85\xa0"
+LATIN_PIECES = (
+    f" ?[{_LETTERS}]+| ?[{_NUMBERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+"
+    f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
+)
 LEXICON_WORDS = 1 << 16
 LONGEST_WORD = 64
 _LOCKSTEP = 32
-_KNOWN = 1 << 18
+_KNOWN = 1 << 20
 _COUNTED = 1 << 19
 _NEVER = np.iinfo(np.int32).max
 
@@ -47,6 +54,11 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... for each stretch, one after the other."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
+
+
 class Merges:
     """Vocabulary and merges of a tokenizer file."""
 
@@ -84,20 +96,25 @@ class Merges:
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where((self.keys[at] == wanted) & (right >= 0), self.ranks[at], _NEVER), at
 
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word; words of like length are merged side by side, one merge of each at a time."""
-        out: list = [None] * len(words)
-        groups: dict[int, list[int]] = {}
-        for n, w in enumerate(words):
-            if len(w) > _LOCKSTEP:
-                out[n] = self._encode_long(w)
-            else:
-                groups.setdefault(-(-len(w) // 4) * 4, []).append(n)
-        for width, members in groups.items():
-            ids = np.full((len(members), width), -1, dtype=np.int32)
-            for row, n in enumerate(members):
-                ids[row, : len(words[n])] = self.of_byte[np.frombuffer(words[n], dtype=np.uint8)]
-            rows, columns = np.arange(len(members)), np.arange(width)
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and how many each has.
+
+        Words of like length are merged side by side, one merge of each at a time.
+        """
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        first = np.cumsum(sizes) - sizes
+        letters = self.of_byte[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for n in np.flatnonzero(sizes > _LOCKSTEP).tolist():
+            own = self._encode_long(words[n])
+            found.append((np.array([n]), np.array([len(own)]), own))
+        for width in range(4, _LOCKSTEP + 1, 4):
+            members = np.flatnonzero((sizes <= width) & (sizes > width - 4))
+            if not len(members):
+                continue
+            ids, columns = np.full((len(members), width), -1, dtype=np.int32), np.arange(width)
+            ids[columns < sizes[members][:, None]] = letters[_spread(first[members], sizes[members])]
+            rows = np.arange(len(members))
             while len(rows):
                 now = ids[rows]
                 ranks, at = self._ranked(now[:, :-1], now[:, 1:])
@@ -109,9 +126,14 @@ class Merges:
                 now = np.take_along_axis(now, columns + (columns > best[:, None]), axis=1)
                 now[np.arange(len(rows)), best] = self.made[at]
                 ids[rows] = now
-            for row, n in enumerate(members):
-                out[n] = ids[row][ids[row] >= 0]
-        return out
+            found.append((members, (ids >= 0).sum(axis=1), ids[ids >= 0]))
+        counts = np.zeros(len(words), dtype=np.int64)
+        for members, own, _ in found:
+            counts[members] = own
+        out, starts = np.empty(int(counts.sum()), dtype=np.int64), np.cumsum(counts) - counts
+        for members, own, ids in found:
+            out[_spread(starts[members], own)] = ids
+        return out, counts
 
     def _encode_long(self, word: bytes) -> np.ndarray:
         ids = self.of_byte[np.frombuffer(word, dtype=np.uint8)].tolist()
@@ -147,9 +169,7 @@ class Merges:
 
     def decode(self, ids: np.ndarray) -> bytes:
         starts = self.spelling_ends[ids]
-        lengths = self.spelling_ends[ids + 1] - starts
-        skipped = np.cumsum(lengths) - lengths
-        return self.spelling[np.repeat(starts - skipped, lengths) + np.arange(lengths.sum())].tobytes()
+        return self.spelling[_spread(starts, self.spelling_ends[ids + 1] - starts)].tobytes()
 
 
 class Lexicon:
@@ -165,8 +185,8 @@ class Lexicon:
         self.__dict__.update(arrays)
 
     @classmethod
-    def compile(cls, words: list[bytes], ids: list[np.ndarray]) -> Lexicon:
-        """``words`` in ascending order. States with the same continuations become one as soon as they are complete."""
+    def compile(cls, words: list[bytes], ids: np.ndarray, counts: np.ndarray) -> Lexicon:
+        """``words`` in ascending order, the ids of all of them, and how many each has. States with the same continuations become one as soon as they are complete."""
         registry: dict[tuple, int] = {}
         frozen: list[tuple[bool, list[tuple[int, int]]]] = []
 
@@ -210,8 +230,8 @@ class Lexicon:
                 "targets": table[:, 1].copy(),
                 "outputs": table[:, 2].copy(),
                 "final": final,
-                "id_ends": np.cumsum([0, *map(len, ids)]).astype(np.int64),
-                "ids": np.concatenate([np.zeros(0, dtype=np.int64), *ids]).astype(np.int64),
+                "id_ends": np.concatenate([[0], np.cumsum(counts)]).astype(np.int64),
+                "ids": ids.astype(np.int64),
             }
         )
 
@@ -255,16 +275,18 @@ class Cutter:
 
     def __init__(self, special: dict[str, int]):
         self.special = special
-        self.pieces = regex.compile(PIECES)
+        self.pieces, self.latin = regex.compile(PIECES), re.compile(LATIN_PIECES)
+        self.beyond = re.compile("[^\x00-\u024f]")
         names = sorted(special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
     def __call__(self, text: str) -> list[str]:
+        find = self.pieces.findall if self.beyond.search(text) else self.latin.findall
         if self.marks is None or not any(name in text for name in self.special):
-            return self.pieces.findall(text)
+            return find(text)
         out = []
         for part in self.marks.split(text):
-            out.extend([part] if part in self.special else self.pieces.findall(part))
+            out.extend([part] if part in self.special else find(part))
         return out
 
 
@@ -299,12 +321,15 @@ class Encoder:
         words = [p.encode("utf-8", "surrogatepass") for p in self.known.fresh]
         self.known.fresh.clear()
         places = self.lexicon.places(words)
-        unseen = np.flatnonzero(places < 0).tolist()
-        merged = dict(zip(unseen, self.merges.encode([words[n] for n in unseen])))
-        ends, ids = self.lexicon.id_ends, self.lexicon.ids
-        found = [merged[n] if place < 0 else ids[ends[place] : ends[place + 1]] for n, place in enumerate(places.tolist())]
-        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, found), dtype=np.int64, count=len(found))])
-        self.ids = np.concatenate([self.ids, *found])
+        seen, unseen = np.flatnonzero(places >= 0), np.flatnonzero(places < 0)
+        ends, lengths = self.lexicon.id_ends, np.empty(len(words), dtype=np.int64)
+        merged, lengths[unseen] = self.merges.encode([words[n] for n in unseen.tolist()])
+        lengths[seen] = ends[places[seen] + 1] - ends[places[seen]]
+        starts = np.cumsum(lengths) - lengths
+        ids = np.empty(int(lengths.sum()), dtype=np.int64)
+        ids[_spread(starts[unseen], lengths[unseen])] = merged
+        ids[_spread(starts[seen], lengths[seen])] = self.lexicon.ids[_spread(ends[places[seen]], lengths[seen])]
+        self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
 
     def __call__(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each has."""
@@ -321,7 +346,7 @@ class Encoder:
         lengths = self.lengths[numbers]
         ends = np.cumsum(lengths)
         starts = (np.cumsum(self.lengths) - self.lengths)[numbers]
-        ids = self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())]
+        ids = self.ids[_spread(starts, lengths)]
         stops = np.concatenate([[0], ends])[np.cumsum(pieces)]
         return ids, np.diff(stops, prepend=0)
 
@@ -363,7 +388,7 @@ def frequent_lexicon(docs: DataFrame, merges: Merges, size: int = LEXICON_WORDS)
             break
         least = grade
     words = sorted(r.piece.encode() for r in counts.where(F.col("grade") >= least).select("piece").collect())
-    return Lexicon.compile(words, merges.encode(words))
+    return Lexicon.compile(words, *merges.encode(words))
 
 
 def encode_and_decode(docs: DataFrame, tokenizer: str, *, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
