@@ -51,7 +51,7 @@ def build_index(docs: DataFrame) -> DataFrame:
             gaps = np.diff(places, prepend=0)
             starts = (np.cumsum(per_term) - per_term).astype(np.int64)
             gaps[starts] = places[starts]
-            row = [first + number, np.asarray(batch.column("doc_id").to_pylist(), dtype=object), counts, terms, per_term, gaps]
+            row = [first + number, batch.column("doc_id").to_pylist(), counts, terms, per_term, gaps]
             kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int32()))
             names = ["segment", "doc_ids", "doc_words", "terms", "term_counts", "gaps"]
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
