@@ -87,6 +87,8 @@ class Phrases:
 
         With ``slop`` each word may stand up to so many words from where the phrase has it.
         """
+        if not terms or not len(self.rows):
+            return
         slot = dict(zip(terms, range(len(terms))))
         at = np.array([slot.get(t, -1) for t in self.terms] + [-2], dtype=np.int64)
         ends = np.cumsum(counts)
