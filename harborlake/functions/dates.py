@@ -37,14 +37,16 @@ def calendar_parts(moment: ColumnOrName) -> dict[str, Column]:
 
 
 def exact_avg(value: ColumnOrName, scale: int | None = None) -> Column:
-    """Average that ignores nulls.
+    """Average that ignores nulls, and NaN as if it were null.
 
     A sum of doubles depends on the order in which tasks finish. With ``scale``, the
     number of decimals the data has, the sum is taken over decimals, so the result is
-    the same on every run and every cluster size.
+    the same on every run and every cluster size. Six more decimals are kept, so values that
+    are finer than announced are not cut.
     """
     measure = as_column(value)
+    measure = F.when(~F.isnan(measure.cast("double")), measure)
     if scale is None:
         return F.avg(measure)
-    total = F.sum(measure.cast(f"decimal(18,{scale})")).cast("double")
-    return F.try_divide(total, F.count(measure).cast("double"))
+    exact = measure.cast(f"decimal(28,{scale + 6})")
+    return F.try_divide(F.sum(exact).cast("double"), F.count(exact).cast("double"))

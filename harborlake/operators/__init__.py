@@ -2,7 +2,6 @@ from harborlake.operators.dedupe import dedupe
 from harborlake.operators.filters import lines_matching, recent, recent_by_difference
 from harborlake.operators.joins import (
     conform_join,
-    fits_broadcast,
     known_keys_only,
     lookup_join,
     unmatched,
@@ -14,7 +13,6 @@ from harborlake.operators.pivot import pivot_max, pivot_values
 __all__ = [
     "conform_join",
     "dedupe",
-    "fits_broadcast",
     "known_keys_only",
     "label_pairs",
     "lines_matching",

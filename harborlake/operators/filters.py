@@ -29,7 +29,7 @@ def recent(df: DataFrame, date_column: str, max_days: int, as_of: date | Column
         return df.where(column >= first_day)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return df.where(column >= first_day.cast(kind))
-    return df.where(column.cast("date") >= first_day)
+    return df.where(column.try_cast("date") >= first_day)  # other text is no date
 
 
 def recent_by_difference(

@@ -71,22 +71,14 @@ def conform_join(
     return left.join(side, condition, "inner").drop(_KEY, *extra)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's estimate of the size of ``df`` is within its limit for broadcasts. Runs no job."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def known_keys_only(fact: DataFrame, dim: DataFrame, fact_key: Column, dim_key: str) -> DataFrame:
     """Drop rows that a later inner join on the key drops anyway, before an expensive step in between.
 
     De-duplicating full rows shuffles every column of every row, so rows of unknown
-    ports should be gone by then. This is done while the keys are small enough to be
-    broadcast; beyond that it would cost a shuffle itself, and ``fact`` is left as it is.
+    ports should be gone by then. Whether the keys are broadcast is Spark's choice.
     """
     keys = dim.select(F.col(dim_key).alias(_KEY))
-    return fact.join(keys, fact_key == F.col(_KEY), "left_semi") if fits_broadcast(keys) else fact
+    return fact.join(keys, fact_key == F.col(_KEY), "left_semi")
 
 
 def unmatched(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:

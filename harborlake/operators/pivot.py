@@ -42,7 +42,7 @@ def pivot_max(
         values = pivot_values(df, pivot_column)
     cells = [
         F.max(F.when(F.col(f"`{pivot_column}`").eqNullSafe(F.lit(v)), F.col(f"`{value_column}`"))).alias(
-            "null" if v is None else str(v)
+            "null" if v is None else str(v).lower() if isinstance(v, bool) else str(v)
         )
         for v in values
     ]

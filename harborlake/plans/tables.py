@@ -48,6 +48,7 @@ def build_ports(texts: DataFrame, text_column: str = "value") -> DataFrame:
 
     A label is split at its first comma; without one the whole label is the city and
     the state is null. Empty texts are null, as they are after a trip through CSV.
+    A port that several texts name alike is one port.
     """
     pairs = label_pairs(texts.select(F.col(text_column).alias("value")))
     named = pairs.select(
@@ -61,7 +62,7 @@ def build_ports(texts: DataFrame, text_column: str = "value") -> DataFrame:
         "city": strip(F.lower(F.get(parts, F.lit(0)))),
         "state": strip(F.get(parts, F.lit(1))),
     }
-    return named.select(*[F.nullif(c, F.lit("")).alias(name) for name, c in columns.items()])
+    return dedupe(named.select(*[F.nullif(c, F.lit("")).alias(name) for name, c in columns.items()]))
 
 
 def build_airports(airports: DataFrame, *, dedupe_on: Sequence[str] | None = None) -> DataFrame:
@@ -105,7 +106,12 @@ def build_arrivals(
     says that the rows come from a de-duplicated store and saves the shuffle.
     """
     needed = ["cicid", "i94port", "arrdate"]
-    rows = arrivals.select(*needed) if already_distinct else _distinct(arrivals, needed, dedupe_on)
+    if already_distinct:
+        rows = arrivals.select(*needed)
+    elif dedupe_on is None:  # rows of unknown ports go before all columns of all rows are shuffled
+        rows = dedupe(known_keys_only(arrivals, ports, F.col("i94port"), "port_id"))
+    else:
+        rows = _distinct(arrivals, needed, dedupe_on)
     joined = lookup_join(rows, ports, "i94port", "port_id", {"port_city": "city", "port_state": "state"})
     dated = joined.withColumn("arrival_date", sas_date("arrdate"))
     return dated.select(

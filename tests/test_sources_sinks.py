@@ -162,7 +162,7 @@ def test_scratch_is_below_the_shared_folder(spark):
 
 def test_no_machine_local_scratch_on_a_cluster():
     session = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(master="yarn")
+        conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
     )
     with pytest.raises(ValueError, match="all executors share"):
         scratch_path(session, "x")
