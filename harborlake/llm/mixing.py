@@ -21,11 +21,12 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from harborlake.llm.common import encoded, fold, slices, spaced_words, stored, texts
 
@@ -45,9 +46,10 @@ KNOWN = 0.5
 STEP = 0.1  # of log odds, which are kept as eight-bit numbers
 LEAST = 1e-6  # probability that no decision falls below
 _TILE = 128
-_CACHED_BYTES = 1 << 17
+_CACHED_BYTES = 1 << 15
 _PART_BITS = 14
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 16 << 20
+_BUCKET_BYTES = 8 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _CODEC = "zstd"
 
@@ -209,35 +211,35 @@ def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) ->
     owner, start, size = owner[order], start[order], size[order]
     lanes, steps = len(owner), int(size[0])
     active = np.searchsorted(-size, -np.arange(steps), side="left")  # lanes longer than each step
-    weights = np.full((CONTEXTS, lanes), START_WEIGHT, dtype=np.float32)
-    gated = np.zeros((CONTEXTS, lanes), dtype=np.float32)
+    weights = np.zeros((2 * CONTEXTS, lanes), dtype=np.float32)  # those of the open gate come last
+    weights[:CONTEXTS] = START_WEIGHT
+    products = np.empty_like(weights)
     slope, shift = np.ones(lanes, dtype=np.float32), np.zeros(lanes, dtype=np.float32)
-    cost, buffers = np.zeros(lanes), np.empty((4, lanes), dtype=np.float32)
+    cost, buffers = np.zeros(lanes), np.empty((3, lanes), dtype=np.float32)
     views = [np.lib.stride_tricks.sliding_window_view(v, _TILE) for v in (bits, *inputs)]
     rate, refine, one = np.float32(RATE), np.float32(REFINE_RATE), np.float32(1)
     least, most = np.float32(LEAST), np.float32(1 - LEAST)
     add, multiply, subtract = np.add, np.multiply, np.subtract
     for low in range(0, steps, _TILE):  # the inputs of some steps of all lanes are laid out at a time
         n = int(active[low])
-        truth, *laid = [np.ascontiguousarray(v[start[:n] + low].T) for v in views]
-        truth = truth.astype(np.float32)
-        known = np.abs(laid[-1]) > KNOWN
-        opened = [x * known for x in laid]
+        at = start[:n] + low
+        truth = np.ascontiguousarray(views[0][at].T).astype(np.float32)
+        laid = np.empty((_TILE, 2 * CONTEXTS, n), dtype=np.float32)
+        for k, v in enumerate(views[1:]):
+            laid[:, k] = v[at].T
+        known = np.abs(laid[:, CONTEXTS - 1]) > KNOWN
+        multiply(laid[:, :CONTEXTS], known[:, None], out=laid[:, CONTEXTS:])
         chance = np.zeros((_TILE, n), dtype=np.float32)
         for step in range(min(_TILE, steps - low)):
             m = int(active[low + step])
-            x, p, e, product = buffers[:, :m]
-            s = [v[step, :m] for v in (*laid, *opened)]
-            w = [v[:m] for v in (*weights, *gated)]
-            multiply(w[0], s[0], out=x)
-            for a, b in zip(w[1:], s[1:]):
-                add(x, multiply(a, b, out=product), out=x)
+            x, p, e = buffers[:, :m]
+            s, w, product = laid[step, :, :m], weights[:, :m], products[:, :m]
+            add.reduce(multiply(w, s, out=product), axis=0, out=x)
             t = truth[step, :m]
             np.exp(np.negative(x, out=p), out=p)
             np.reciprocal(add(p, one, out=p), out=p)
             multiply(subtract(t, p, out=e), rate, out=e)
-            for a, b in zip(w, s):
-                add(a, multiply(b, e, out=product), out=a)
+            add(w, multiply(s, e, out=product), out=w)
             # the mixed prediction is refined by a slope and a shift that follow its errors
             a, b = slope[:m], shift[:m]
             add(multiply(a, x, out=p), b, out=p)
@@ -260,18 +262,20 @@ def _training(docs: DataFrame) -> DataFrame:
     return docs.where(~F.col("held_out")).select("text")
 
 
-def byte_pairs(docs: DataFrame) -> np.ndarray:
+def byte_pairs(batches: DataFrame) -> np.ndarray:
     """Counts of class and byte of all training texts: 256 numbers a class."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES << 8, dtype=np.int64)
-        for batch in slices(batches):
-            total += np.bincount(pair_keys([coded_text(t) for t in encoded(batch.column("text"))]), minlength=CLASSES << 8)
+        for packed in (p for part in parts for p in part.column("pairs").to_pylist()):
+            own = np.frombuffer(packed, dtype=np.int64).reshape(2, -1)
+            total[own[0]] += own[1]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["pair", "n"])
 
     out = np.zeros(CLASSES << 8)
-    for r in _training(docs).mapInArrow(counted, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    found = batches.select("pairs").mapInArrow(counted, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    for r in found.collect():
         out[r.pair] = r.n
     return out
 
@@ -341,53 +345,116 @@ def mixed_bits(docs: DataFrame, trees: Trees, stretch: list[np.ndarray]) -> Data
     return docs.mapInArrow(scored, "doc_id long, text_hash long, held_out boolean, coded_bytes long, bits double")
 
 
-def baseline(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, n_tokens, n_known, train_tokens, base_score) of each distinct document.
+def word_batches(docs: DataFrame) -> DataFrame:
+    """Documents in batches, stored, each with its distinct words in the order of their hashes and their training counts.
 
-    Documents are taken in batches. Each batch sends its distinct words with their training counts, once,
-    to be added up over all batches, and gets the sums back in the order of its own list.
+    A text is a row of numbers in its batch's list of words. Counts of byte pairs of the training texts are noted, too.
     """
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def listed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, codec = TaskContext.get().partitionId() << 32, pa.Codec(_CODEC, 1)
-        for number, batch in enumerate(slices(batches, _BATCH_BYTES)):
+        for number, batch in enumerate(slices(parts, _BATCH_BYTES)):
             known: dict[bytes, int] = {END: 0}
-            ids, sizes = [], []
-            for text in encoded(batch.column("text")):
-                own = [known.setdefault(w, len(known)) for w in spaced_words(text)]
+            pairs, coded, size = np.zeros(CLASSES << 8, dtype=np.int64), [], 0
+            ids, sizes, held = [], [], batch.column("held_out").to_pylist()
+            for text, out in zip(encoded(batch.column("text")), held):
+                words = spaced_words(text)
+                own = [known.setdefault(w, len(known)) for w in words]
                 own.append(0)
-                ids.extend(own)
+                ids.append(np.array(own, dtype=np.int32))
                 sizes.append(len(own))
-            ids = np.array(ids, dtype=np.int32)
-            train = np.repeat(~np.array(batch.column("held_out").to_pylist(), dtype=bool), sizes)
-            counts = np.bincount(ids[train], minlength=len(known))
+                if not out:
+                    coded.append(b" ".join(words) + b" " + END if words else END)
+                    size += len(coded[-1])
+                if size > _CACHED_BYTES:
+                    pairs += np.bincount(pair_keys(coded), minlength=CLASSES << 8)
+                    coded, size = [], 0
+            if coded:
+                pairs += np.bincount(pair_keys(coded), minlength=CLASSES << 8)
+            ids = np.concatenate(ids)
+            train = np.repeat(~np.array(held, dtype=bool), sizes)
+            words = [b"", *list(known)[1:]]  # the end stands as no bytes, which no word is
+            hashes = np.fromiter(map(crc32, words), dtype=np.uint32, count=len(words))
+            order = np.argsort(hashes, kind="stable")
+            place = np.empty(len(order), dtype=np.int32)
+            place[order] = np.arange(len(order), dtype=np.int32)
+            ids = place[ids]
+            counts = np.bincount(ids[train], minlength=len(words))
+            some = np.flatnonzero(pairs)
+            joined = b"\n".join([words[n] for n in order.tolist()])
             row = {
                 "batch": [first + number],
                 "doc_ids": [batch.column("doc_id").to_pylist()],
                 "text_hashes": [batch.column("text_hash").to_pylist()],
                 "sizes": [sizes],
                 "ids": [codec.compress(ids.tobytes(), asbytes=True)],
-                "words": [list(known)],
-                "counts": [counts],
+                "hashes": [hashes[order].tobytes()],
+                "counts": [counts.tobytes()],
+                "words": [codec.compress(joined, asbytes=True)],
+                "word_bytes": [len(joined)],
+                "n": [int(counts.sum())],
+                "pairs": [np.concatenate([some, pairs[some]]).tobytes()],
             }
             yield pa.RecordBatch.from_pydict(row, schema=_BATCH)
 
-    batches = stored(docs.mapInArrow(listed, _BATCH_SQL), "word_batches")
-    words = batches.select("batch", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
-    same = Window.partitionBy("word")
-    sums = (
-        words.select("batch", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-        .select("batch", "place", F.sum("n").over(same).alias("c"), (F.min("batch").over(same) == F.col("batch")).alias("first"), "n")
-        .groupBy("batch")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("place", "c"))).alias("sums"),
-            F.sum((F.col("first") & (F.col("c") > 0)).cast("long")).alias("v"),
-            F.sum("n").alias("n"),
-        )
-        .select("batch", F.col("sums.c").alias("sums"), "v", "n")
-    )
-    sums = stored(sums, "word_counts")
-    n, v = sums.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    return stored(docs.mapInArrow(listed, _BATCH_SQL), "word_batches")
+
+
+def summed_words(batches: DataFrame) -> DataFrame:
+    """(batch, bucket, sums, distinct): training counts over all batches of the words of each batch, in the order of its list.
+
+    Hashes are cut into buckets of about ``_BUCKET_BYTES`` of words, however many batches there are. Each batch sends its
+    words of a bucket with their counts, and once more to ask for the sums; the answers follow the last counts, so a
+    task holds the distinct words of one bucket. A frequent word comes once from each batch.
+    """
+    buckets = 1 + (batches.agg(F.sum("word_bytes")).first()[0] or 0) // _BUCKET_BYTES
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec(_CODEC, 1)
+        for part in parts:
+            for batch, size, *packed in zip(*(part.column(c).to_pylist() for c in ("batch", "word_bytes", "hashes", "counts", "words"))):
+                hashes, counts = np.frombuffer(packed[0], np.uint32), np.frombuffer(packed[1], np.int64)
+                words = codec.decompress(packed[2], size, asbytes=True).split(b"\n")
+                bucket = (hashes.astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                met = np.flatnonzero(np.diff(bucket, prepend=-1))
+                rows = []
+                for low, high in zip(met.tolist(), [*met[1:].tolist(), len(words)]):
+                    joined, own = b"\n".join(words[low:high]), counts[low:high]
+                    trained = np.flatnonzero(own)
+                    if len(trained):
+                        some = joined if len(trained) == high - low else b"\n".join([words[low + n] for n in trained.tolist()])
+                        rows.append((bucket[low], False, batch, some, own[trained].tobytes()))
+                    rows.append((bucket[low], True, batch, joined, b""))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _PIECE.types)], schema=_PIECE)
+
+    def answered(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sums, told = None, {}, False
+        for part in parts:
+            rows = []
+            for bucket, asks, batch, joined, counts in zip(*(part.column(n).to_pylist() for n in _PIECE.names)):
+                if bucket != at:
+                    at, sums, told = bucket, {}, False
+                words = joined.split(b"\n")
+                if not asks:
+                    for w, c in zip(words, np.frombuffer(counts, np.int64).tolist()):
+                        sums[w] = sums.get(w, 0) + c
+                    continue
+                own = np.array([sums.get(w, 0) for w in words], dtype=np.int64)
+                rows.append((batch, bucket, own.tobytes(), 0 if told else len(sums)))
+                told = True
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _SUMS.types)], schema=_SUMS)
+
+    pieces = batches.select("batch", "word_bytes", "hashes", "counts", "words").mapInArrow(cut, _PIECE_SQL)
+    sent = pieces.repartition(int(buckets), "bucket").sortWithinPartitions("bucket", "asks")
+    return stored(sent.mapInArrow(answered, _SUMS_SQL), "word_sums")
+
+
+def baseline(batches: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, n_tokens, n_known, train_tokens, base_score) of each distinct document of the batches."""
+    sums = summed_words(batches)
+    n = batches.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    v = sums.agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
     norm = float(np.log10(n + 0.5 * (v + 1)))
 
     def added(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,7 +463,7 @@ def baseline(docs: DataFrame) -> DataFrame:
             for r in range(part.num_rows):
                 row = part.slice(r, 1)
                 sizes = np.asarray(row.column("sizes").flatten()).astype(np.int64)
-                c = np.asarray(row.column("sums").flatten())
+                c = np.frombuffer(b"".join(row.column("sums").flatten().to_pylist()), np.int64)
                 total = int(sizes.sum())
                 ids = np.frombuffer(codec.decompress(row.column("ids")[0].as_py(), total * 4, asbytes=True), np.int32)
                 starts = np.cumsum(sizes) - sizes
@@ -405,9 +472,10 @@ def baseline(docs: DataFrame) -> DataFrame:
                 columns = [row.column("doc_ids").flatten(), row.column("text_hashes").flatten(), pa.array(sizes), pa.array(known), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_tokens", "n_known", "base_score"])
 
+    parts = sums.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("bucket", "sums"))).alias("parts"))
     found = (
         batches.select("batch", "doc_ids", "text_hashes", "sizes", "ids")
-        .join(sums.select("batch", "sums"), "batch")
+        .join(parts.select("batch", F.col("parts.sums").alias("sums")), "batch")
         .select("doc_ids", "text_hashes", "sizes", "ids", "sums")
         .mapInArrow(added, "doc_id long, text_hash long, n_tokens long, n_known long, base_score double")
     )
@@ -416,7 +484,7 @@ def baseline(docs: DataFrame) -> DataFrame:
 
 
 _BATCH_SQL = """batch long, doc_ids array<long>, text_hashes array<long>, sizes array<int>, ids binary,
-    words array<binary>, counts array<long>"""
+    hashes binary, counts binary, words binary, word_bytes long, n long, pairs binary"""
 _BATCH = pa.schema(
     [
         ("batch", pa.int64()),
@@ -424,10 +492,18 @@ _BATCH = pa.schema(
         ("text_hashes", pa.list_(pa.int64())),
         ("sizes", pa.list_(pa.int32())),
         ("ids", pa.binary()),
-        ("words", pa.list_(pa.binary())),
-        ("counts", pa.list_(pa.int64())),
+        ("hashes", pa.binary()),
+        ("counts", pa.binary()),
+        ("words", pa.binary()),
+        ("word_bytes", pa.int64()),
+        ("n", pa.int64()),
+        ("pairs", pa.binary()),
     ]
 )
+_PIECE_SQL = "bucket long, asks boolean, batch long, words binary, counts binary"
+_PIECE = pa.schema([("bucket", pa.int64()), ("asks", pa.bool_()), ("batch", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())])
+_SUMS_SQL = "batch long, bucket long, sums binary, distinct long"
+_SUMS = pa.schema([("batch", pa.int64()), ("bucket", pa.int64()), ("sums", pa.binary()), ("distinct", pa.int64())])
 
 
 def model_scores(docs: DataFrame) -> DataFrame:
@@ -441,9 +517,10 @@ def model_scores(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("text_hash"),
         (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"),
     )
-    trees = Trees(byte_pairs(rows))
+    batches = word_batches(rows)
+    trees = Trees(byte_pairs(batches))
     scored = mixed_bits(rows, trees, gathered(rows, trees))
-    base = baseline(rows).withColumnRenamed("doc_id", "base_id").withColumnRenamed("text_hash", "base_hash")
+    base = baseline(batches).withColumnRenamed("doc_id", "base_id").withColumnRenamed("text_hash", "base_hash")
     same = scored.doc_id.eqNullSafe(base.base_id) & (scored.text_hash == base.base_hash)
     return scored.join(base, same).select(
         "doc_id",
