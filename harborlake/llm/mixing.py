@@ -2,7 +2,7 @@
 
 The event that is scored is a document's sequence of words (A-Z in lower case) with its end: each word
 and a blank, then an end byte. A byte is coded as a path of binary decisions in a tree that
-depends on the byte before it and, after a letter, on some bits of the one before that (Huffman trees of the
+depends on the byte before it and, after a letter, on four bits of the one before that (Huffman trees of the
 training texts), so usual bytes take few decisions.
 Every decision is predicted in several contexts (the three bytes before, the five bytes before, the word so
 far), each of which hashes to a slot with counts of zeros and ones gathered from all training documents. The
@@ -25,6 +25,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -32,7 +33,7 @@ from harborlake.llm.common import encoded, fold, slices, spaced_words, stored, t
 
 FOLDS, HELD_OUT = 5, 1
 END = b"\n"  # no word holds it; it also stands before the first byte
-CLASSES = 256 + 26 * 8
+CLASSES = 256 + 26 * 16
 # Slots of each context: what follows three bytes, five bytes, a word so far.
 SLOT_BITS = (19, 21, 22)
 CONTEXTS = len(SLOT_BITS)
@@ -45,10 +46,11 @@ ORDERS = (3, 5)  # bytes before, of the contexts besides the word so far
 KNOWN = 0.5
 STEP = 0.1  # of log odds, which are kept as eight-bit numbers
 LEAST = 1e-6  # probability that no decision falls below
-_TILE = 128
+_TILE = 64
+_SCORED_BYTES = 1 << 20  # of texts that are scored side by side
 _CACHED_BYTES = 1 << 15
 _PART_BITS = 14
-_BATCH_BYTES = 16 << 20
+_BATCH_BYTES = 12 << 20
 _BUCKET_BYTES = 8 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _CODEC = "zstd"
@@ -106,9 +108,9 @@ def _before(data: np.ndarray, place: np.ndarray, back: int) -> np.ndarray:
 
 
 def _classed(b1: np.ndarray, b2: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Class and byte in one number; after a letter of ASCII, three bits of the byte before it count."""
+    """Class and byte in one number; after a letter of ASCII, four bits of the byte before it count."""
     letter = (b1 >= 97) & (b1 <= 122)
-    return np.where(letter, 256 - 97 * 8 + b1.astype(np.int32) * 8 + (b2 & 7), b1) << 8 | data
+    return np.where(letter, 256 - 97 * 16 + b1.astype(np.int32) * 16 + (b2 & 15), b1) << 8 | data
 
 
 def pair_keys(found: list[bytes]) -> np.ndarray:
@@ -335,7 +337,7 @@ def mixed_bits(docs: DataFrame, trees: Trees, stretch: list[np.ndarray]) -> Data
         np.seterr(over="ignore")  # a sure decision has odds beyond single precision; its probability is 0 or 1
         trees = Trees.__new__(Trees)
         trees.__dict__.update(state)
-        for batch in slices(batches):
+        for batch in slices(batches, _SCORED_BYTES):
             found = [coded_text(t) for t in encoded(batch.column("text"))]
             cost = costs(found, trees, stretch)
             columns = [batch.column(c) for c in ("doc_id", "text_hash", "held_out")]
@@ -354,26 +356,29 @@ def word_batches(docs: DataFrame) -> DataFrame:
     def listed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, codec = TaskContext.get().partitionId() << 32, pa.Codec(_CODEC, 1)
         for number, batch in enumerate(slices(parts, _BATCH_BYTES)):
-            known: dict[bytes, int] = {END: 0}
+            held = batch.column("held_out").to_pylist()
+            listed = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(batch.column("text"))))
+            found = listed.flatten().cast(pa.binary()).dictionary_encode()
+            words = found.dictionary.to_pylist()
+            # the end stands as no bytes, which no word is; a text without words splits into just that
+            end = words.index(b"") if b"" in words else len(words)
+            words += [b""] * (end == len(words))
+            lengths = np.asarray(pc.list_value_length(listed)).astype(np.int64)
+            ids, ends = np.asarray(found.indices), np.cumsum(lengths)
+            lone = (lengths == 1) & (ids[ends - 1] == end)
+            ids = np.insert(ids, ends[~lone], end)
+            sizes = lengths + ~lone
             pairs, coded, size = np.zeros(CLASSES << 8, dtype=np.int64), [], 0
-            ids, sizes, held = [], [], batch.column("held_out").to_pylist()
             for text, out in zip(encoded(batch.column("text")), held):
-                words = spaced_words(text)
-                own = [known.setdefault(w, len(known)) for w in words]
-                own.append(0)
-                ids.append(np.array(own, dtype=np.int32))
-                sizes.append(len(own))
                 if not out:
-                    coded.append(b" ".join(words) + b" " + END if words else END)
+                    coded.append(coded_text(text))
                     size += len(coded[-1])
-                if size > _CACHED_BYTES:
+                if size > _SCORED_BYTES:
                     pairs += np.bincount(pair_keys(coded), minlength=CLASSES << 8)
                     coded, size = [], 0
             if coded:
                 pairs += np.bincount(pair_keys(coded), minlength=CLASSES << 8)
-            ids = np.concatenate(ids)
             train = np.repeat(~np.array(held, dtype=bool), sizes)
-            words = [b"", *list(known)[1:]]  # the end stands as no bytes, which no word is
             hashes = np.fromiter(map(crc32, words), dtype=np.uint32, count=len(words))
             order = np.argsort(hashes, kind="stable")
             place = np.empty(len(order), dtype=np.int32)
@@ -386,7 +391,7 @@ def word_batches(docs: DataFrame) -> DataFrame:
                 "batch": [first + number],
                 "doc_ids": [batch.column("doc_id").to_pylist()],
                 "text_hashes": [batch.column("text_hash").to_pylist()],
-                "sizes": [sizes],
+                "sizes": [sizes.tolist()],
                 "ids": [codec.compress(ids.tobytes(), asbytes=True)],
                 "hashes": [hashes[order].tobytes()],
                 "counts": [counts.tobytes()],
