@@ -50,7 +50,7 @@ _TILE = 64
 _SCORED_BYTES = 1 << 20  # of texts that are scored side by side
 _CACHED_BYTES = 1 << 15
 _PART_BITS = 14
-_BATCH_BYTES = 12 << 20
+_BATCH_BYTES = 8 << 20
 _BUCKET_BYTES = 8 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _CODEC = "zstd"
@@ -146,19 +146,37 @@ def _scramble(x: np.ndarray, salt: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
 
 
-def decisions(found: list[bytes], trees: Trees, orders: tuple[int, int] = ORDERS) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray]]:
-    """Of the texts, some at a time so that arrays stay in the cache: bit of each decision, its slot in each context, decisions of each text."""
-    at = 0
+def _pieces(text: bytes, limit: int, lead: int) -> Iterator[bytes]:
+    """A text in pieces that begin at words, all but the first with the ``lead`` bytes before them."""
+    low = 0
+    while low < len(text):
+        high = text.find(b" ", low + limit) + 1 or len(text)
+        yield text[max(0, low - lead) : high]
+        low = high
+
+
+def decisions(
+    found: list[bytes], trees: Trees, orders: tuple[int, int] = ORDERS
+) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray, bool]]:
+    """Of some texts at a time, so that arrays stay in the cache: bit of each decision, its slot in each context,
+    decisions of each text. A long text comes in pieces; the last value says that the first text goes on."""
+    at, lead = 0, max(orders)
     while at < len(found):
         stop, size = at, 0
         while stop < len(found) and (stop == at or size + len(found[stop]) <= _CACHED_BYTES):
             size += len(found[stop])
             stop += 1
-        yield _decisions(found[at:stop], trees, orders)
+        if stop == at + 1:
+            for number, piece in enumerate(_pieces(found[at], _CACHED_BYTES, lead)):
+                yield *_decisions([piece], trees, orders, lead if number else 0), number > 0
+        else:
+            yield *_decisions(found[at:stop], trees, orders, 0), False
         at = stop
 
 
-def _decisions(found: list[bytes], trees: Trees, orders: tuple[int, int]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+def _decisions(
+    found: list[bytes], trees: Trees, orders: tuple[int, int], lead: int
+) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     data = np.frombuffer(b"".join(found), dtype=np.uint8)
     sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
     first = np.cumsum(sizes) - sizes
@@ -176,6 +194,7 @@ def _decisions(found: list[bytes], trees: Trees, orders: tuple[int, int]) -> tup
     hashes.append(_scramble((summed[at] - summed[word]) * inverse[word], 0))
     pair = _classed(back[0], back[1], data)
     lengths = trees.lengths[pair]
+    lengths[:lead] = 0  # coded with the piece before
     ends = np.cumsum(lengths)
     path = np.repeat((trees.starts[pair] - ends + lengths).astype(np.int32), lengths)
     path += np.arange(len(path), dtype=np.int32)
@@ -188,15 +207,18 @@ def _decisions(found: list[bytes], trees: Trees, orders: tuple[int, int]) -> tup
 def costs(found: list[bytes], trees: Trees, stretch: list[np.ndarray]) -> np.ndarray:
     """Bits that each coded text costs."""
     bits, inputs, sizes = [], [[] for _ in range(CONTEXTS)], []
-    for truth, slots, per_text in decisions(found, trees):
+    for truth, slots, per_text, goes_on in decisions(found, trees):
         bits.append(truth)
-        sizes.append(per_text)
+        if goes_on:
+            sizes[-1][-1] += per_text[0]
+        else:
+            sizes.append(per_text)
         for k, own in enumerate(slots):
-            inputs[k].append(stretch[k].take(own) * np.float32(STEP))
+            inputs[k].append(stretch[k].take(own))
     if not sizes:
         return np.zeros(0)
-    rest = np.zeros(_TILE, dtype=np.float32)
-    return _mixed(np.concatenate([*bits, rest.astype(np.uint8)]), [np.concatenate([*own, rest]) for own in inputs], np.concatenate(sizes))
+    rest = np.zeros(_TILE, dtype=np.int8)
+    return _mixed(np.concatenate([*bits, rest.view(np.uint8)]), [np.concatenate([*own, rest]) for own in inputs], np.concatenate(sizes))
 
 
 def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) -> np.ndarray:
@@ -219,7 +241,7 @@ def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) ->
     slope, shift = np.ones(lanes, dtype=np.float32), np.zeros(lanes, dtype=np.float32)
     cost, buffers = np.zeros(lanes), np.empty((3, lanes), dtype=np.float32)
     views = [np.lib.stride_tricks.sliding_window_view(v, _TILE) for v in (bits, *inputs)]
-    rate, refine, one = np.float32(RATE), np.float32(REFINE_RATE), np.float32(1)
+    rate, refine, one, step_size = np.float32(RATE), np.float32(REFINE_RATE), np.float32(1), np.float32(STEP)
     least, most = np.float32(LEAST), np.float32(1 - LEAST)
     add, multiply, subtract = np.add, np.multiply, np.subtract
     for low in range(0, steps, _TILE):  # the inputs of some steps of all lanes are laid out at a time
@@ -228,7 +250,7 @@ def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) ->
         truth = np.ascontiguousarray(views[0][at].T).astype(np.float32)
         laid = np.empty((_TILE, 2 * CONTEXTS, n), dtype=np.float32)
         for k, v in enumerate(views[1:]):
-            laid[:, k] = v[at].T
+            multiply(v[at].T, step_size, out=laid[:, k])
         known = np.abs(laid[:, CONTEXTS - 1]) > KNOWN
         multiply(laid[:, :CONTEXTS], known[:, None], out=laid[:, CONTEXTS:])
         chance = np.zeros((_TILE, n), dtype=np.float32)
@@ -295,7 +317,7 @@ def gathered(docs: DataFrame, trees: Trees) -> list[np.ndarray]:
         counts = np.zeros(ends[-1], dtype=np.uint32)
         tables = np.split(counts, ends[:-1])
         for batch in slices(batches):
-            for bits, slots, _ in decisions([coded_text(t) for t in encoded(batch.column("text"))], trees):
+            for bits, slots, *_ in decisions([coded_text(t) for t in encoded(batch.column("text"))], trees):
                 for table, own in zip(tables, slots):
                     np.add.at(table, own * 2 + bits, np.uint32(1))
         codec = pa.Codec(_CODEC, 1)
@@ -357,13 +379,13 @@ def word_batches(docs: DataFrame) -> DataFrame:
         first, codec = TaskContext.get().partitionId() << 32, pa.Codec(_CODEC, 1)
         for number, batch in enumerate(slices(parts, _BATCH_BYTES)):
             held = batch.column("held_out").to_pylist()
-            listed = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(batch.column("text"))))
-            found = listed.flatten().cast(pa.binary()).dictionary_encode()
+            listed_words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(batch.column("text"))))
+            found = listed_words.flatten().cast(pa.binary()).dictionary_encode()
             words = found.dictionary.to_pylist()
             # the end stands as no bytes, which no word is; a text without words splits into just that
             end = words.index(b"") if b"" in words else len(words)
             words += [b""] * (end == len(words))
-            lengths = np.asarray(pc.list_value_length(listed)).astype(np.int64)
+            lengths = np.asarray(pc.list_value_length(listed_words)).astype(np.int64)
             ids, ends = np.asarray(found.indices), np.cumsum(lengths)
             lone = (lengths == 1) & (ids[ends - 1] == end)
             ids = np.insert(ids, ends[~lone], end)
@@ -401,6 +423,8 @@ def word_batches(docs: DataFrame) -> DataFrame:
                 "pairs": [np.concatenate([some, pairs[some]]).tobytes()],
             }
             yield pa.RecordBatch.from_pydict(row, schema=_BATCH)
+            del listed_words, found, words, row
+            pa.default_memory_pool().release_unused()
 
     return stored(docs.mapInArrow(listed, _BATCH_SQL), "word_batches")
 
