@@ -47,7 +47,7 @@ KNOWN = 0.5
 STEP = 0.1  # of log odds, which are kept as eight-bit numbers
 LEAST = 1e-6  # probability that no decision falls below
 _TILE = 64
-_SCORED_BYTES = 1 << 20  # of texts that are scored side by side
+_SCORED_BYTES = 2 << 20  # of texts that are scored side by side
 _CACHED_BYTES = 1 << 15
 _PART_BITS = 14
 _BATCH_BYTES = 8 << 20
@@ -120,6 +120,16 @@ def pair_keys(found: list[bytes]) -> np.ndarray:
     return _classed(_before(data, place, 1), _before(data, place, 2), data)
 
 
+def word_pairs(words: list[bytes], counts: np.ndarray, end: int) -> np.ndarray:
+    """Counts of class and byte of words that stand in a text so often; a first word counts like any other."""
+    some = [n for n in np.flatnonzero(counts).tolist() if n != end]
+    keys = pair_keys([b" ".join([words[n] for n in some]) + b" "])
+    times = np.repeat(counts[some], np.fromiter((len(words[n]) + 1 for n in some), np.int64, len(some))) if some else [0]
+    pairs = np.bincount(keys, times, CLASSES << 8).astype(np.int64)
+    pairs[ord(" ") << 8 | END[0]] += counts[end]
+    return pairs
+
+
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -224,6 +234,9 @@ def costs(found: list[bytes], trees: Trees, stretch: list[np.ndarray]) -> np.nda
 def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) -> np.ndarray:
     """All blocks advance side by side, a decision at a time, longest first.
 
+    Weights and shifts are kept with their sign turned, so that a step needs no negation, and inputs times the root of
+    the rate (weights divided by it), so that errors need not be scaled.
+
     The weight of an input is one number, plus another where the gate is open: the word so far is known.
     """
     blocks = -(-per_text // BLOCK)
@@ -236,12 +249,12 @@ def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) ->
     lanes, steps = len(owner), int(size[0])
     active = np.searchsorted(-size, -np.arange(steps), side="left")  # lanes longer than each step
     weights = np.zeros((2 * CONTEXTS, lanes), dtype=np.float32)  # those of the open gate come last
-    weights[:CONTEXTS] = START_WEIGHT
+    weights[:CONTEXTS] = -START_WEIGHT / RATE**0.5
     products = np.empty_like(weights)
     slope, shift = np.ones(lanes, dtype=np.float32), np.zeros(lanes, dtype=np.float32)
     cost, buffers = np.zeros(lanes), np.empty((3, lanes), dtype=np.float32)
     views = [np.lib.stride_tricks.sliding_window_view(v, _TILE) for v in (bits, *inputs)]
-    rate, refine, one, step_size = np.float32(RATE), np.float32(REFINE_RATE), np.float32(1), np.float32(STEP)
+    refine, one, step_size, known_size = np.float32(REFINE_RATE), np.float32(1), np.float32(STEP * RATE**0.5), np.float32(KNOWN * RATE**0.5)
     least, most = np.float32(LEAST), np.float32(1 - LEAST)
     add, multiply, subtract = np.add, np.multiply, np.subtract
     for low in range(0, steps, _TILE):  # the inputs of some steps of all lanes are laid out at a time
@@ -251,7 +264,7 @@ def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) ->
         laid = np.empty((_TILE, 2 * CONTEXTS, n), dtype=np.float32)
         for k, v in enumerate(views[1:]):
             multiply(v[at].T, step_size, out=laid[:, k])
-        known = np.abs(laid[:, CONTEXTS - 1]) > KNOWN
+        known = np.abs(laid[:, CONTEXTS - 1]) > known_size
         multiply(laid[:, :CONTEXTS], known[:, None], out=laid[:, CONTEXTS:])
         chance = np.zeros((_TILE, n), dtype=np.float32)
         for step in range(min(_TILE, steps - low)):
@@ -260,22 +273,22 @@ def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) ->
             s, w, product = laid[step, :, :m], weights[:, :m], products[:, :m]
             add.reduce(multiply(w, s, out=product), axis=0, out=x)
             t = truth[step, :m]
-            np.exp(np.negative(x, out=p), out=p)
-            np.reciprocal(add(p, one, out=p), out=p)
-            multiply(subtract(t, p, out=e), rate, out=e)
-            add(w, multiply(s, e, out=product), out=w)
+            np.reciprocal(add(np.exp(x, out=p), one, out=p), out=p)
+            subtract(t, p, out=e)
+            subtract(w, multiply(s, e, out=product), out=w)
             # the mixed prediction is refined by a slope and a shift that follow its errors
             a, b = slope[:m], shift[:m]
             add(multiply(a, x, out=p), b, out=p)
-            np.exp(np.negative(p, out=p), out=p)
-            np.reciprocal(add(p, one, out=p), out=p)
-            np.maximum(np.minimum(p, most, out=p), least, out=p)
+            np.reciprocal(add(np.exp(p, out=p), one, out=p), out=p)
             subtract(t, p, out=e)
             np.abs(e, out=chance[step, :m])
             multiply(e, refine, out=e)
-            add(b, e, out=b)
-            add(a, multiply(x, e, out=x), out=a)
-        np.subtract(one, chance, out=chance)
+            subtract(b, e, out=b)
+            subtract(a, multiply(x, e, out=x), out=a)
+        np.subtract(one, chance, out=chance)  # what no step has written stays 1
+        for step in range(min(_TILE, steps - low)):
+            own = chance[step, : int(active[low + step])]
+            np.clip(own, least, most, out=own)
         some = chance.reshape(-1, 4, n)  # four factors of at least LEAST are far from the least number
         some = some[:, 0] * some[:, 1] * some[:, 2] * some[:, 3]
         cost[:n] -= np.log2(some, out=some).sum(axis=0, dtype=np.float64)
@@ -390,16 +403,6 @@ def word_batches(docs: DataFrame) -> DataFrame:
             lone = (lengths == 1) & (ids[ends - 1] == end)
             ids = np.insert(ids, ends[~lone], end)
             sizes = lengths + ~lone
-            pairs, coded, size = np.zeros(CLASSES << 8, dtype=np.int64), [], 0
-            for text, out in zip(encoded(batch.column("text")), held):
-                if not out:
-                    coded.append(coded_text(text))
-                    size += len(coded[-1])
-                if size > _SCORED_BYTES:
-                    pairs += np.bincount(pair_keys(coded), minlength=CLASSES << 8)
-                    coded, size = [], 0
-            if coded:
-                pairs += np.bincount(pair_keys(coded), minlength=CLASSES << 8)
             train = np.repeat(~np.array(held, dtype=bool), sizes)
             hashes = np.fromiter(map(crc32, words), dtype=np.uint32, count=len(words))
             order = np.argsort(hashes, kind="stable")
@@ -407,6 +410,7 @@ def word_batches(docs: DataFrame) -> DataFrame:
             place[order] = np.arange(len(order), dtype=np.int32)
             ids = place[ids]
             counts = np.bincount(ids[train], minlength=len(words))
+            pairs = word_pairs(words, counts[place], end)
             some = np.flatnonzero(pairs)
             joined = b"\n".join([words[n] for n in order.tolist()])
             row = {
