@@ -139,8 +139,8 @@ ORACLES: dict[str, str] = {
         from customer join nation on lower('Nation_' || c_nationkey) = lower(n_name)""",
     "fanout_join": f"""with {PORTS} select c_custkey, 'Nation_' || c_nationkey as "City", port_id, state
         from customer join ports on lower('Nation_' || c_nationkey) = city""",
-    "unmatched_keys": """select c_custkey, c_name from customer where not exists (
-        select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'F' and o_totalprice > 300000)""",
+    "unmatched_keys": f"""with {PORTS}, {RAW_ARRIVALS} select cicid, i94port from raw_arrivals
+        where i94port is null or i94port not in (select port_id from ports)""",
     # sources and sinks
     "csv_string_roundtrip": """select cast(c_custkey as varchar) as c_custkey, c_name, c_mktsegment
         from customer""",

@@ -210,10 +210,7 @@ def fanout_join(spark, sf_dir):
 
 @query
 def unmatched_keys(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' and o_totalprice > 300000")
-    return unmatched(
-        table(spark, sf_dir, "customer"), dedupe(orders.select("o_custkey")), "c_custkey", "o_custkey"
-    ).select("c_custkey", "c_name")
+    return unmatched(raw_arrivals(spark, sf_dir), ports(spark, sf_dir), "i94port", "port_id").select("cicid", "i94port")
 
 
 # --- sources and sinks -------------------------------------------------------------
@@ -451,9 +448,15 @@ def arrivals_by_port_month(spark, sf_dir):
     return plans.arrivals_by_port_month(_orders_by_nation(spark, sf_dir), port="c_nationkey")
 
 
+def _counted_by_nation(spark, sf_dir):
+    """Orders are counted per customer before they meet the customers."""
+    counted = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
+    return lookup_join(counted, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey", ["c_nationkey"])
+
+
 @query
 def top_ports(spark, sf_dir):
-    return plans.top_ports(_orders_by_nation(spark, sf_dir), 5, port="c_nationkey")
+    return plans.top_ports(_counted_by_nation(spark, sf_dir), 5, port="c_nationkey", weight="orders")
 
 
 @query
@@ -467,7 +470,11 @@ def port_demographics(spark, sf_dir):
         )
     )
     return plans.port_demographics(
-        _orders_by_nation(spark, sf_dir), population, port="c_nationkey", measures=[s.lower() for s in SEGMENTS]
+        _counted_by_nation(spark, sf_dir),
+        population,
+        port="c_nationkey",
+        measures=[s.lower() for s in SEGMENTS],
+        weight="orders",
     )
 
 

@@ -22,9 +22,17 @@ def arrivals_by_port_month(
     return arrivals.groupBy(port, year, month).agg(F.count(F.lit(1)).alias("arrivals"))
 
 
-def top_ports(arrivals: DataFrame, k: int, *, port: str = "i94port") -> DataFrame:
-    """The ``k`` ports with most arrivals; ties go to the smaller port id."""
-    counted = arrivals.groupBy(port).agg(F.count(F.lit(1)).alias("arrivals"))
+def _per_port(arrivals: DataFrame, port: str, weight: str | None) -> DataFrame:
+    arrived = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return arrivals.groupBy(port).agg(arrived.alias("arrivals"))
+
+
+def top_ports(arrivals: DataFrame, k: int, *, port: str = "i94port", weight: str | None = None) -> DataFrame:
+    """The ``k`` ports with most arrivals; ties go to the smaller port id.
+
+    ``weight`` names a column that says how many arrivals a row stands for.
+    """
+    counted = _per_port(arrivals, port, weight)
     return counted.orderBy(F.desc("arrivals"), port).limit(k)
 
 
@@ -37,15 +45,13 @@ def port_demographics(
     dim_key: str = "port_id",
     total: str = "total_pop",
     measures: Sequence[str] = (*RACES.values(), "Foreign-Born"),
+    weight: str | None = None,
 ) -> DataFrame:
     """Arrivals per port with its population columns and their shares of the total.
 
-    ``k`` keeps the most popular ports only. A share is null where the total is 0.
+    ``k`` keeps the most popular ports only. A share is null where the total is 0. ``weight`` as in ``top_ports``.
     """
-    if k is None:
-        counted = arrivals.groupBy(port).agg(F.count(F.lit(1)).alias("arrivals"))
-    else:
-        counted = top_ports(arrivals, k, port=port)
+    counted = _per_port(arrivals, port, weight) if k is None else top_ports(arrivals, k, port=port, weight=weight)
     shares = [
         F.try_divide(F.col(f"`{m}`").cast("double"), F.col(f"`{total}`").cast("double")).alias(f"{m}_share")
         for m in measures

@@ -64,7 +64,8 @@ def land(df: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None
 
 def save_table(df: DataFrame, name: str, *, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
     """Replace a catalog table, so that many users can query it by name under the catalog's access rules."""
-    writer = df.write.mode("overwrite").format("parquet")
+    rows = balanced(df, partition_by) if partition_by else df
+    writer = rows.write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)
     if partition_by:
