@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from harborlake.operators import unmatched_counts
-from harborlake.sinks import overwrite_partitions, overwrite_table
+from harborlake.sinks import delete, overwrite_partitions, overwrite_table
+from harborlake.sinks.paths import swap_in
 from harborlake.sources import read_table
 
 
@@ -56,20 +57,23 @@ class Written:
 def write_checked(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), *, allow_empty: bool = False
 ) -> Written:
-    """Replace a Parquet table, read it back, and fail unless it holds the rows that were sent.
+    """Replace a Parquet table, but only by one that holds the rows that were sent, some unless ``allow_empty``.
 
-    The rows sent are counted while they are written; the count of the stored table
-    needs no data pages, only the Parquet footers.
+    The new table is written beside the old one, counted, and then takes its place; when a check or the
+    write fails, the old table stays as it was. The rows sent are counted while they are written; the count
+    of the stored table needs no data pages, only the Parquet footers.
     """
-    sent = Observation()
+    spark, path, sent = df.sparkSession, path.rstrip("/"), Observation()
+    staged = f"{path}__staged"
     if partition_by:
-        overwrite_partitions(df, path, partition_by, sent=sent)
+        overwrite_partitions(df, staged, partition_by, sent=sent)
     else:
-        overwrite_table(df, path, sent=sent)
-    stored = read_table(df.sparkSession, path, df.schema).count()
+        overwrite_table(df, staged, sent=sent)
+    stored = read_table(spark, staged, df.schema).count()
     result = Written(sent=sent.get["rows"], stored=stored)
-    if result.sent != result.stored:
-        raise QualityError(f"{path}: {result.sent} rows sent, {result.stored} stored")
-    if result.stored == 0 and not allow_empty:
-        raise QualityError(f"{path}: no rows")
+    if result.sent != result.stored or (result.stored == 0 and not allow_empty):
+        delete(spark, staged)
+        wrong = "no rows" if result.sent == result.stored else f"{result.sent} rows sent, {result.stored} stored"
+        raise QualityError(f"{path}: {wrong}")
+    swap_in(spark, staged, path)
     return result

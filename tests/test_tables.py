@@ -9,6 +9,7 @@ from harborlake import schemas
 from harborlake.plans import (
     Extract,
     Locations,
+    QualityError,
     build_airports,
     build_arrivals,
     build_city_demographics,
@@ -18,6 +19,7 @@ from harborlake.plans import (
     register_views,
     run_pipeline,
     unmatched_report,
+    write_checked,
 )
 from harborlake.sinks import overwrite_partitions, write_delimited
 from harborlake.sources import read_delimited, read_table, read_texts
@@ -259,3 +261,16 @@ def test_large_reference_table_gives_the_same_rows(landing, ports, spark, temper
         assert "SortMergeJoin" in found and found.index("HashAggregate") < found.index("LeftSemi")
     large = rows(build_arrivals(raw, ports)), rows(build_land_temperatures(temperatures, ports, as_of=AS_OF))
     assert large == small
+
+
+@pytest.mark.parametrize("partition_by", [(), ("year",)])
+def test_a_failed_check_keeps_the_old_table(spark, tmp_path, partition_by):
+    good = spark.createDataFrame([(1, 2015), (2, 2016)], "id int, year int")
+    path = str(tmp_path / "t")
+    assert write_checked(good, path, partition_by).stored == 2
+    with pytest.raises(QualityError):
+        write_checked(good.where("id > 9"), path, partition_by)
+    assert rows(spark.read.parquet(path)) == [(1, 2015), (2, 2016)]
+    assert write_checked(good.where("id > 1"), path, partition_by).stored == 1
+    assert rows(spark.read.parquet(path)) == [(2, 2016)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
