@@ -1,14 +1,17 @@
-"""Licence scans: an exact set-similarity join of text blocks with licence templates, in SQL functions only.
+"""Licence scans: an exact set-similarity join of texts with licence templates, in SQL functions only.
 
-A block is a line of a text, seen as the set of its words; a template is the set of words of a usual
-notice. A block matches a template if it holds at least ``threshold`` of the template's words. Words of
-all templates are ordered by how many blocks of the whole corpus hold them, rarest first. Then
+A template is the set of words of a usual notice. It matches a text if ``threshold`` of its words stand in one line of
+the text, or in a window of twice as many words as the notice has, wherever lines end; such a window must
+also hold the word that tells the notice from those of other licences. Every window is looked at.
 
-* prefix: a matching block holds one of the template's first |T| - need + 1 words;
+Words of all templates are ordered by how many texts of the whole corpus hold them, rarest first. A line or window
+matches only if its whole text, seen as a set of words, does; for texts
+
+* prefix: a matching text holds one of the template's first |T| - need + 1 words;
 * length: it has at least ``need`` words;
 * position: from the first word that both share in that order, enough words are left on both sides;
 
-and what passes is verified by intersecting the sets. Only block and template ranks are joined.
+and what passes is verified by intersecting the sets, then in the lines and windows of the text.
 
 Besides, the base phrases are located as consecutive words anywhere in the text. A missing or empty text
 has no words and no labels. Repeated rows and null doc_ids keep a row each.
@@ -51,6 +54,19 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
+# The word that a window must hold, for notices that differ little from others.
+TELLING = {"agpl": "affero", "apache": "apache", "apache-2.0": "apache", "cc-by-nc-4.0": "nc", "cc-by-sa": "sharealike", "gpl-3.0": "3", "mpl": "mozilla"}
+SHORT = 8  # words; of shorter notices, the label's first part is the telling word if none is given
+WINDOW = 2  # words of a window for each word of the notice
+
+
+def telling_word(label: str, text: str) -> str | None:
+    return TELLING.get(label) or (label.split("-")[0] if len(notice(text)) < SHORT else None)
+
+
+def notice(text: str) -> list[str]:
+    return re.sub(SEPARATORS, " ", text.lower()).split()
+
 
 def template_words(text: str) -> set[str]:
     return set(re.sub(SEPARATORS, " ", text.lower()).split())
@@ -76,49 +92,74 @@ def _places(phrase: str) -> Column:
     return F.when(F.col("plain").contains(f" {phrase} "), found)
 
 
-def scanned(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """One row per document: row, doc_id, n_words, places of each phrase, blocks with words of ``vocabulary``."""
+def scanned(docs: DataFrame, sets: list[tuple[list[str], int]]) -> DataFrame:
+    """One row per document: row, doc_id, n_words, places of each phrase, size and words of the set of its words.
+
+    ``words`` are those of the templates. ``lowered`` is the text if it holds enough words of a template, or else null.
+    """
     plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(_lowered(), SEPARATORS, " ")), F.lit(" "))
     n_words = F.when(F.col("plain") == "  ", 0).otherwise(_blanks(F.col("plain")) - 1).cast("long")
-    known = F.array(*[F.lit(w) for w in vocabulary])
-
-    def block(line: Column) -> Column:
-        words = F.array_distinct(F.array_remove(F.split(line, SEPARATORS), ""))
-        return F.struct(F.size(words).alias("size"), F.array_intersect(words, known).alias("words"))
-
-    blocks = F.transform(F.split(_lowered(), r"[\r\n]+"), block)
+    known = F.array(*[F.lit(w) for w in sorted({w for words, _ in sets for w in words})])
+    needs = F.array(*[F.struct(F.array(*[F.lit(w) for w in words]).alias("words"), F.lit(need).alias("need")) for words, need in sets])
+    own = F.array_distinct(F.array_remove(F.split(F.trim("plain"), " "), ""))
+    enough = F.exists(needs, lambda t: F.size(F.array_intersect(F.col("words"), t.words)) >= t.need)
     return (
         texts(docs)
         .withColumn("plain", plain)
         .withColumn("n_words", n_words)
+        .select("*", F.inline(F.transform(F.array(own), lambda s: F.struct(F.size(s).alias("size"), F.array_intersect(s, known).alias("words")))).alias("size", "words"))
         .select(
             F.monotonically_increasing_id().alias("row"),
             F.col("doc_id").cast("long").alias("doc_id"),
             "n_words",
             F.array(*[_places(p) for p in PHRASES]).alias("places"),
-            F.filter(blocks, lambda b: F.size(b.words) > 0).alias("blocks"),
+            "size",
+            "words",
+            F.when(enough, _lowered()).alias("lowered"),
         )
     )
 
 
+def _shared(target: Column, window: Column, telling: Column) -> Column:
+    """Most words of ``target`` that one line or one window of ``lowered`` holds."""
+    lines = F.transform(F.split("lowered", r"[\r\n]+"), lambda line: F.size(F.array_intersect(F.split(line, SEPARATORS), target)))
+
+    def met(words: Column) -> Column:
+        return F.filter(F.transform(words, lambda w, n: F.struct(n.alias("n"), w.alias("w"))), lambda h: F.array_contains(target, h.w))
+
+    def best(hits: Column) -> Column:
+        def held(h: Column, i: Column) -> Column:
+            near = F.filter(F.slice(hits, i + 1, window), lambda x: x.n < h.n + window)
+            # a step over one element, so that the window's words are made once
+            own = F.array(F.array_distinct(F.transform(near, lambda x: x.w)))
+            return F.get(F.transform(own, lambda o: F.when(telling.isNull() | F.array_contains(o, telling), F.size(o)).otherwise(0)), F.lit(0))
+
+        return F.coalesce(F.array_max(F.transform(hits, held)), F.lit(0))
+
+    words = F.filter(F.split("lowered", SEPARATORS), lambda w: w != "")
+    windows = F.get(F.transform(F.transform(F.array(words), met), best), F.lit(0))
+    return F.greatest(F.array_max(lines), windows)
+
+
 def licence_labels(docs: DataFrame, *, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    The score is the share of the best matching template that a block holds; a base phrase counts as whole.
+    The score is the share of the best matching template that a line or window holds; a base phrase counts as whole.
     """
     spark = docs.sparkSession
-    sets = [(label, template_words(text)) for label, text in templates]
-    vocabulary = sorted(set().union(*[words for _, words in sets]))
-    rows = stored(scanned(docs, vocabulary), "licence_blocks")
-    blocks = rows.select("row", F.posexplode("blocks").alias("block", "b")).select("row", "block", "b.size", "b.words")
+    sets = []
+    for label, text in templates:
+        words = template_words(text)
+        sets.append((label, words, math.ceil(threshold * len(words) - 1e-9), WINDOW * len(notice(text)), telling_word(label, text)))
+    vocabulary = sorted(set().union(*[words for _, words, *_ in sets]))
+    rows = stored(scanned(docs, [(sorted(words), need) for _, words, need, *_ in sets]), "licence_texts")
 
     # One row for each word of the templates, so it is bounded by them.
-    counts = {r.word: r["count"] for r in blocks.select(F.explode("words").alias("word")).groupBy("word").count().collect()}
+    counts = {r.word: r["count"] for r in rows.select(F.explode("words").alias("word")).groupBy("word").count().collect()}
     rank = {w: n for n, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
     prefixes, wholes = [], []
-    for number, (label, words) in enumerate(sets):
+    for number, (label, words, need, *_) in enumerate(sets):
         ordered = sorted(rank[w] for w in words)
-        need = math.ceil(threshold * len(ordered) - 1e-9)
         wholes.append(ordered)
         prefixes += [(r, number, label, i, need) for i, r in enumerate(ordered[: len(ordered) - need + 1])]
     prefix = spark.createDataFrame(prefixes, "rank int, template int, label string, i int, need int")
@@ -126,22 +167,35 @@ def licence_labels(docs: DataFrame, *, templates=TEMPLATES, threshold: float = T
     ranks = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
     whole = F.array(*[F.array(*[F.lit(r) for r in ordered]) for ordered in wholes])
     first = sorted({r for r, *_ in prefixes})
-    in_order = blocks.withColumn("ranks", F.array_sort(F.transform("words", lambda w: ranks[w]))).drop("words")
+    possible = rows.where("lowered is not null")
+    in_order = possible.select("row", "size", F.array_sort(F.transform("words", lambda w: ranks[w])).alias("ranks"))
     in_order = in_order.where(F.arrays_overlap("ranks", F.array(*[F.lit(r) for r in first])))
     candidates = (
-        in_order.select("row", "block", "size", "ranks", F.posexplode("ranks").alias("j", "rank"))
+        in_order.select("row", "size", "ranks", F.posexplode("ranks").alias("j", "rank"))
         .join(F.broadcast(prefix), "rank")  # as many rows as the templates have words
         .where("size >= need")
-        .groupBy("row", "block", "template", "label", "need")
+        .groupBy("row", "template", "label", "need")
         .agg(F.min_by(F.struct("i", "j", "ranks"), "i").alias("first"))
         .select("row", "template", "label", "need", "first.*")
     )
     target = F.get(whole, F.col("template"))
-    shared = F.size(F.array_intersect("ranks", target))
+    candidates = candidates.where(F.least(F.size(target) - F.col("i"), F.size("ranks") - F.col("j")) >= F.col("need"))
+    candidates = candidates.where(F.size(F.array_intersect("ranks", target)) >= F.col("need"))
+
+    def of_template(values: list[Column]) -> Column:
+        return F.get(F.array(*values), F.col("template"))
+
+    target = of_template([F.array(*[F.lit(w) for w in sorted(words)]) for _, words, *_ in sets])
+    shared = _shared(F.col("target"), F.col("window"), F.col("telling"))
     verified = (
-        candidates.where(F.least(F.size(target) - F.col("i"), F.size("ranks") - F.col("j")) >= F.col("need"))
-        .withColumn("share", shared / F.size(target))
-        .where(shared >= F.col("need"))
+        candidates.select("row", "label", "template", "need")
+        .join(possible.select("row", "lowered"), "row")
+        .withColumn("target", target)
+        .withColumn("window", of_template([F.lit(w) for *_, w, _ in sets]))
+        .withColumn("telling", of_template([F.lit(t).cast("string") for *_, t in sets]))
+        .select("row", "label", "need", F.size("target").alias("size"), shared.alias("shared"))
+        .where("shared >= need")
+        .withColumn("share", F.col("shared") / F.col("size"))
     )
     found = verified.groupBy("row").agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
     standing = F.array_compact(F.transform("places", lambda p: p))

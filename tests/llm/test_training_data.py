@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -175,6 +176,16 @@ def test_licence_filters_lose_no_block(spark):
     test_licences(frame(spark, list(enumerate(lines))), list(enumerate(lines)))
 
 
+def test_licence_notices_are_found_wherever_lines_end(spark):
+    notices = [(label, text) for label, text in licences.TEMPLATES if len(text.split()) > 10]
+    lines = [(label, f"{prose(40)}\n\n# " + "\n# ".join(textwrap.wrap(text, 30)) + f"\n\n{prose(40)}") for label, text in notices]
+    lines += [("mit", "Released under\nthe MIT\nLicense."), ("", "Released under\nthe zlib\nLicense."), ("", "the license\n" + prose(60) + "\nunder MIT released")]
+    found = {r.doc_id: set(r.labels.split(",")) for r in licences.licence_labels(frame(spark, [(n, t) for n, (_, t) in enumerate(lines)])).collect()}
+    assert [label for n, (label, _) in enumerate(lines) if label not in found[n]] == []
+    assert "agpl" not in found[[label for label, _ in notices].index("gpl")]
+    assert "mit" not in found[len(lines) - 1] | found[len(lines) - 2]
+
+
 def test_secrets(docs, rows):
     texts = dict(rows)
     for r in secrets.secret_spans(docs).collect():
