@@ -8,8 +8,8 @@ Every decision is predicted in several contexts (the three bytes before, the fiv
 far), each of which hashes to a slot with counts of zeros and ones gathered from all training documents. The
 predictions are mixed in the logistic domain by weights that depend on a gate (whether the word so far is
 known) and are corrected after every decision; the result is refined by a slope and a shift that are corrected
-as well. Weights start anew every BLOCK decisions of a document, so blocks are independent and run side
-by side, and a score depends on the text and the model alone.
+as well. Weights, slope and shift are carried from the first decision of a document to its last, however long it
+is; documents run side by side, so a score depends on the text and the model alone.
 
 As a baseline, each word counts with its smoothed frequency in the training documents.
 
@@ -37,7 +37,6 @@ CLASSES = 256 + 26 * 16
 # Slots of each context: what follows three bytes, five bytes, a word so far.
 SLOT_BITS = (19, 21, 22)
 CONTEXTS = len(SLOT_BITS)
-BLOCK = 2048
 RATE = 0.02
 REFINE_RATE = 0.02
 START_WEIGHT = 0.45
@@ -47,7 +46,7 @@ KNOWN = 0.5
 STEP = 0.1  # of log odds, which are kept as eight-bit numbers
 LEAST = 1e-6  # probability that no decision falls below
 _TILE = 64
-_SCORED_BYTES = 2 << 20  # of texts that are scored side by side
+_SCORED_BYTES = 16 << 20  # of texts that are scored side by side; long ones need others beside them
 _CACHED_BYTES = 1 << 15
 _PART_BITS = 14
 _BATCH_BYTES = 8 << 20
@@ -214,38 +213,49 @@ def _decisions(
     return trees.bits[path], slots, np.add.reduceat(lengths, first)
 
 
+class _Grown:
+    """Arrays of eight-bit numbers put one after the other, without a second copy."""
+
+    def __init__(self):
+        self.data, self.size = np.zeros(1 << 20, dtype=np.int8), 0
+
+    def add(self, own: np.ndarray) -> None:
+        end = self.size + len(own)
+        if end > len(self.data):
+            self.data.resize(end + (end >> 3), refcheck=False)
+        self.data[self.size : end] = own
+        self.size = end
+
+
 def costs(found: list[bytes], trees: Trees, stretch: list[np.ndarray]) -> np.ndarray:
     """Bits that each coded text costs."""
-    bits, inputs, sizes = [], [[] for _ in range(CONTEXTS)], []
+    bits, inputs, sizes = _Grown(), [_Grown() for _ in range(CONTEXTS)], []
     for truth, slots, per_text, goes_on in decisions(found, trees):
-        bits.append(truth)
+        bits.add(truth.view(np.int8))
         if goes_on:
             sizes[-1][-1] += per_text[0]
         else:
             sizes.append(per_text)
         for k, own in enumerate(slots):
-            inputs[k].append(stretch[k].take(own))
+            inputs[k].add(stretch[k].take(own))
     if not sizes:
         return np.zeros(0)
     rest = np.zeros(_TILE, dtype=np.int8)
-    return _mixed(np.concatenate([*bits, rest.view(np.uint8)]), [np.concatenate([*own, rest]) for own in inputs], np.concatenate(sizes))
+    for grown in (bits, *inputs):
+        grown.add(rest)
+    return _mixed(bits.data[: bits.size].view(np.uint8), [own.data[: own.size] for own in inputs], np.concatenate(sizes))
 
 
 def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) -> np.ndarray:
-    """All blocks advance side by side, a decision at a time, longest first.
+    """All texts advance side by side, a decision at a time, longest first.
 
     Weights and shifts are kept with their sign turned, so that a step needs no negation, and inputs times the root of
     the rate (weights divided by it), so that errors need not be scaled.
 
     The weight of an input is one number, plus another where the gate is open: the word so far is known.
     """
-    blocks = -(-per_text // BLOCK)
-    owner = np.repeat(np.arange(len(per_text)), blocks)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-    start = (np.cumsum(per_text) - per_text)[owner] + number * BLOCK
-    size = np.minimum(BLOCK, per_text[owner] - number * BLOCK)
-    order = np.argsort(-size, kind="stable")
-    owner, start, size = owner[order], start[order], size[order]
+    owner = np.argsort(-per_text, kind="stable")
+    size, start = per_text[owner], (np.cumsum(per_text) - per_text)[owner]
     lanes, steps = len(owner), int(size[0])
     active = np.searchsorted(-size, -np.arange(steps), side="left")  # lanes longer than each step
     weights = np.zeros((2 * CONTEXTS, lanes), dtype=np.float32)  # those of the open gate come last
@@ -267,17 +277,18 @@ def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) ->
         known = np.abs(laid[:, CONTEXTS - 1]) > known_size
         multiply(laid[:, :CONTEXTS], known[:, None], out=laid[:, CONTEXTS:])
         chance = np.zeros((_TILE, n), dtype=np.float32)
+        m = -1
         for step in range(min(_TILE, steps - low)):
-            m = int(active[low + step])
-            x, p, e = buffers[:, :m]
-            s, w, product = laid[step, :, :m], weights[:, :m], products[:, :m]
+            if m != active[low + step]:
+                m = int(active[low + step])
+                x, p, e = buffers[:, :m]
+                w, product, a, b = weights[:, :m], products[:, :m], slope[:m], shift[:m]
+            s, t = laid[step, :, :m], truth[step, :m]
             add.reduce(multiply(w, s, out=product), axis=0, out=x)
-            t = truth[step, :m]
             np.reciprocal(add(np.exp(x, out=p), one, out=p), out=p)
             subtract(t, p, out=e)
             subtract(w, multiply(s, e, out=product), out=w)
             # the mixed prediction is refined by a slope and a shift that follow its errors
-            a, b = slope[:m], shift[:m]
             add(multiply(a, x, out=p), b, out=p)
             np.reciprocal(add(np.exp(p, out=p), one, out=p), out=p)
             subtract(t, p, out=e)
@@ -286,13 +297,18 @@ def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) ->
             subtract(b, e, out=b)
             subtract(a, multiply(x, e, out=x), out=a)
         np.subtract(one, chance, out=chance)  # what no step has written stays 1
-        for step in range(min(_TILE, steps - low)):
-            own = chance[step, : int(active[low + step])]
-            np.clip(own, least, most, out=own)
+        if steps - low >= _TILE and m == n:
+            np.clip(chance, least, most, out=chance)
+        else:
+            for step in range(min(_TILE, steps - low)):
+                own = chance[step, : int(active[low + step])]
+                np.clip(own, least, most, out=own)
         some = chance.reshape(-1, 4, n)  # four factors of at least LEAST are far from the least number
         some = some[:, 0] * some[:, 1] * some[:, 2] * some[:, 3]
         cost[:n] -= np.log2(some, out=some).sum(axis=0, dtype=np.float64)
-    return np.bincount(owner, weights=cost, minlength=len(per_text))
+    out = np.empty(lanes)
+    out[owner] = cost
+    return out
 
 
 def _training(docs: DataFrame) -> DataFrame:

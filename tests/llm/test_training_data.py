@@ -284,6 +284,24 @@ def test_a_score_depends_on_its_text_alone(docs):
     assert together == pytest.approx([mixing.costs([t], trees, odds)[0] for t in texts], rel=1e-6)
 
 
+def test_weights_are_carried_through_a_whole_document():
+    trees = mixing.Trees(np.ones(mixing.CLASSES << 8))
+    odds = [np.random.default_rng(2).integers(-30, 30, 1 << b).astype(np.int8) for b in mixing.SLOT_BITS]
+    texts = [mixing.coded_text(prose(n).encode()) for n in (700, 2, 150)]
+    for text, cost in zip(texts, mixing.costs(texts, trees, odds)):
+        weights, slope, shift, bits = np.array([mixing.START_WEIGHT] * mixing.CONTEXTS + [0] * mixing.CONTEXTS), 1.0, 0.0, 0.0
+        for truth, slots, *_ in mixing.decisions([text], trees):
+            for t, *own in zip(truth.tolist(), *(o[at].tolist() for o, at in zip(odds, slots))):
+                x = np.array(own) * mixing.STEP
+                x = np.concatenate([x, x * (abs(x[-1]) > mixing.KNOWN + 1e-9)])
+                mixed = weights @ x
+                weights += mixing.RATE * x * (t - 1 / (1 + math.exp(-mixed)))
+                p = 1 / (1 + math.exp(-slope * mixed - shift))
+                slope, shift = slope + mixing.REFINE_RATE * mixed * (t - p), shift + mixing.REFINE_RATE * (t - p)
+                bits -= math.log2(min(max(p if t else 1 - p, mixing.LEAST), 1 - mixing.LEAST))
+        assert cost == pytest.approx(bits, rel=1e-3)
+
+
 def test_probabilities_of_all_next_bytes_add_up():
     trees = mixing.Trees(np.ones(mixing.CLASSES << 8))
     odds = [np.random.default_rng(1).integers(-60, 60, 1 << b).astype(np.int8) for b in mixing.SLOT_BITS]
