@@ -5,10 +5,12 @@ inferred from its characters and gives an alphabet; then three tests ask whether
 drawn uniformly from it: chi-squared of the symbol counts, the number of runs above and below the middle of the
 alphabet, and the correlation of neighbouring symbols. Their p values are combined by Fisher's method.
 
-Which p values are high enough is controlled by length. Tokens of letters in one case are words: they serve
-as controls. In each band of lengths, the share of controls (of that band and the shorter ones, which
-are harder to tell from chance) above a value estimates how many other tokens above it are
-ordinary, and the lowest value is taken at which that is at most ``rate`` of those found. Tokens of digits
+A token whose p value is below LEAST_P is not random. Of the others, those are reported that ordinary text does not
+explain: how much likelier a token is drawn uniformly from its alphabet than written by a fixed model of ordinary text
+(letters as frequent as in European languages, kinds of characters that seldom change) is an e value, and for each
+encoding and band of lengths the e values are cut where the false-discovery rate is at most ``rate`` (the procedure of
+Benjamini and Hochberg for e values). The model does not depend on the table, so neither words nor other keys are
+needed as controls, and tokens of letters in one case are tested like all others, against their 26 letters. Tokens of digits
 alone are not tested: they are numbers.
 
 A missing or empty text has no spans. Repeated rows and null doc_ids keep a row each.
@@ -16,6 +18,8 @@ A missing or empty text has no spans. Repeated rows and null doc_ids keep a row
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from harborlake.llm.common import stored, texts
@@ -29,23 +33,39 @@ KINDS = {
 LEAST_ASSIGNED = 6
 RANDOM = "random"
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
-BINS = 200
 RATE = 0.05
+LEAST_P = 0.01
+MOST_BITS = 63  # of an e value
 
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Encodings in the order they are tried: pattern of the token, alphabet, whether it is a control.
+_SIGNS = "+/_=-"
+# Encodings in the order they are tried: pattern of the token, alphabet. A capital before small letters counts as one of them.
+_TITLE = r"^[A-Z]?[a-z]+$"
 ENCODINGS = (
-    (r"^[A-Z]?[a-z]+$", _LOWER + _UPPER, True),
-    (r"^[A-Z]+$", _UPPER, True),
-    (r"^[0-9a-f]+$", _DIGITS + "abcdef", False),
-    (r"^[0-9A-F]+$", _DIGITS + "ABCDEF", False),
-    (r"^[A-Z2-7]+=*$", _UPPER + "234567", False),
-    (r"^[A-Z0-9]+$", _DIGITS + _UPPER, False),
-    (r"^[a-z0-9]+$", _DIGITS + _LOWER, False),
-    (r"^[A-Za-z0-9]+$", _DIGITS + _UPPER + _LOWER, False),
-    (r"^[A-Za-z0-9+/]+=*$", _DIGITS + _UPPER + _LOWER + "+/", False),
-    (r"", _DIGITS + _UPPER + _LOWER + "-_+/=", False),
+    (_TITLE, _LOWER),
+    (r"^[A-Z]+$", _UPPER),
+    (r"^[0-9a-f]+$", _DIGITS + "abcdef"),
+    (r"^[0-9A-F]+$", _DIGITS + "ABCDEF"),
+    (r"^[A-Z2-7]+=*$", _UPPER + "234567"),
+    (r"^[A-Z0-9]+$", _DIGITS + _UPPER),
+    (r"^[a-z0-9]+$", _DIGITS + _LOWER),
+    (r"^[A-Za-z0-9]+$", _DIGITS + _UPPER + _LOWER),
+    (r"^[A-Za-z0-9+/]+=*$", _DIGITS + _UPPER + _LOWER + "+/"),
+    (r"", _DIGITS + _UPPER + _LOWER + "-_+/="),
 )
+ONE_KIND = 2  # encodings whose tokens have one kind of characters
+
+# How often letters stand in texts of European languages, in percent; one letter in ten is any.
+_LETTERS = dict(zip(_LOWER, (8.6, 1.5, 3.3, 4.3, 14.7, 1.5, 1.7, 3.1, 7.1, 0.35, 0.6, 4.4, 2.6, 7.8, 5.4, 2.1, 0.7, 6.6, 7.2, 6.9, 4.2, 1.2, 1.1, 0.3, 1.1, 0.6)))
+ANY = 0.1
+STAYS = 0.85  # probability that a character is of the kind of the one before
+
+
+def _ordinary() -> list[tuple[str, int, float]]:
+    """Characters with their kind and the binary logarithm of their share of it in ordinary text."""
+    total = sum(_LETTERS.values())
+    out = [(c, n, math.log2((1 - ANY) * _LETTERS[c.lower()] / total + ANY / 26)) for n, kind in enumerate((_LOWER, _UPPER)) for c in kind]
+    return out + [(c, n, -math.log2(len(kind))) for n, kind in ((2, _DIGITS), (3, _SIGNS)) for c in kind]
 
 
 def spans(kind: str, pattern: str) -> Column:
@@ -75,19 +95,23 @@ def _tail(z: Column) -> Column:
 
 
 def battery(value: Column) -> Column:
-    """(control, length, p) of a token, where p is high if it may be random; null for numbers."""
+    """(encoding, length, p, bits) of a token: p is high if it may be random, bits is the binary logarithm of its e value; null for numbers."""
     encoding = F.lit(None)
-    for n, (pattern, _, _) in reversed(list(enumerate(ENCODINGS))):
+    for n, (pattern, _) in reversed(list(enumerate(ENCODINGS))):
         encoding = F.when(value.rlike(pattern), F.lit(n)).otherwise(encoding)
-    alphabets = F.array(*[F.lit(a) for _, a, _ in ENCODINGS])
-    controls = F.array(*[F.lit(c) for _, _, c in ENCODINGS])
-    token = F.struct(value.alias("value"), encoding.alias("encoding"))
+    alphabets = F.array(*[F.lit(a) for _, a in ENCODINGS])
+    written = F.when(value.rlike(_TITLE), F.lower(value)).otherwise(value)
+    token = F.struct(written.alias("value"), encoding.alias("encoding"))
+    ordinary = _ordinary()
+    known = F.lit("".join(c for c, *_ in ordinary))
+    kinds, shares = F.array(*[F.lit(n) for _, n, _ in ordinary]), F.array(*[F.lit(v) for *_, v in ordinary])
 
     def numbers(t: Column) -> Column:
         alphabet = F.get(alphabets, t.encoding)
         symbols = F.split(F.rtrim(t.value, F.lit("=")), "")
         codes = F.transform(symbols, lambda c: F.instr(alphabet, c).cast("double"))
-        return F.struct(codes.alias("x"), F.char_length(alphabet).cast("double").alias("k"), t.encoding.alias("encoding"))
+        at = F.transform(symbols, lambda c: F.instr(known, c) - 1)
+        return F.struct(at.alias("at"), codes.alias("x"), F.char_length(alphabet).cast("double").alias("k"), t.encoding.alias("encoding"))
 
     def tested(t: Column) -> Column:
         n, k = F.size(t.x).cast("double"), t.k
@@ -112,10 +136,16 @@ def battery(value: Column) -> Column:
         joint = F.aggregate(neighbours, zero, lambda a, v: a + (v.a - mean) * (v.b - mean))
         z_serial = F.when(spread > 0, F.abs(joint / spread) * F.sqrt(n)).otherwise(8.0)
         x = -(F.ln(_tail(z_chi)) + F.ln(2 * _tail(z_runs)) + F.ln(2 * _tail(z_serial)))
+        kind = F.transform(t["at"], lambda i: F.get(kinds, i))
+        same = F.zip_with(F.slice(kind, F.lit(1), F.size(kind) - 1), F.slice(kind, F.lit(2), F.size(kind) - 1), lambda a, b: a == b)
+        stays, goes = math.log2(STAYS), math.log2((1 - STAYS) / 3)
+        steps = F.aggregate(same, F.lit(-2.0), lambda a, v: a + F.when(v, stays).otherwise(goes))
+        written = F.aggregate(t["at"], zero, lambda a, i: a + F.get(shares, i)) + F.when(t.encoding >= ONE_KIND, steps).otherwise(0.0)
         return F.struct(
-            F.get(controls, t.encoding).alias("control"),
+            t.encoding.alias("encoding"),
             F.size(t.x).alias("length"),
             F.least(F.exp(-x) * (1 + x + x * x / 2), F.lit(1.0)).alias("p"),
+            (-n * F.log2(k) - written).alias("bits"),
         )
 
     # each step is a transform over one element, so that what it defines is computed once
@@ -124,7 +154,7 @@ def battery(value: Column) -> Column:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, base spans, and tested tokens with band of lengths and bin of p."""
+    """One row per document: doc_id, base spans, and tested tokens with their group (encoding and band of lengths) and bits of the e value."""
     assigned = KINDS["assign"]
     base = F.concat(
         F.filter(spans("assign", assigned), lambda s: F.char_length(F.regexp_extract(s.value, assigned, 1)) >= LEAST_ASSIGNED),
@@ -142,45 +172,40 @@ def scanned(docs: DataFrame) -> DataFrame:
         lambda s: F.struct(
             s.start.alias("start"),
             s.end.alias("end"),
-            s.t.control.alias("control"),
-            F.floor(F.log2(s.t.length.cast("double")) * 2).cast("int").alias("band"),
-            F.least(F.floor(s.t.p * BINS), F.lit(BINS - 1)).cast("int").alias("bin"),
+            (s.t.encoding * 100 + F.floor(F.log2(s.t.length.cast("double")) * 2)).cast("int").alias("group"),
+            F.when(s.t.p < LEAST_P, 0).otherwise(F.greatest(F.least(F.floor(s.t.bits), F.lit(MOST_BITS)), F.lit(0))).cast("int").alias("bits"),
         ),
     )
     return texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), plain.alias("base"), tokens.alias("tokens"))
 
 
-def least_bins(tokens: DataFrame, rate: float) -> dict[int, int]:
-    """For each band of lengths that has discoveries, the lowest bin of p that is one."""
-    histogram = tokens.where("band is not null").groupBy("band", "bin", "control").count().collect()  # bands times BINS
+def least_bits(tokens: DataFrame, rate: float) -> dict[int, int]:
+    """For each group of tokens that has discoveries, the lowest bits of an e value that is one."""
+    # groups times MOST_BITS
+    histogram = tokens.where("group is not null").groupBy("group", "bits").count().collect()
     out = {}
-    for band in sorted({r.band for r in histogram}):
-        controls, others = [0] * (BINS + 1), [0] * (BINS + 1)
+    for group in sorted({r.group for r in histogram}):
+        counts = [0] * (MOST_BITS + 1)
         for r in histogram:
-            if r.control and r.band <= band:
-                controls[r.bin] += r["count"]
-            elif not r.control and r.band == band:
-                others[r.bin] += r["count"]
-        all_controls, all_others = sum(controls), sum(others)
-        above_controls = above_others = 0
-        for at in range(BINS - 1, -1, -1):
-            above_controls += controls[at]
-            above_others += others[at]
-            expected = (above_controls + 1) / (all_controls + 1) * all_others
-            if above_others and expected <= rate * above_others:
-                out[band] = at
+            if r.group == group:
+                counts[r.bits] += r["count"]
+        found = 0
+        for at in range(MOST_BITS, 0, -1):
+            found += counts[at]
+            if counts[at] and 2.0**at * rate * found >= sum(counts):
+                out[group] = at
     return out
 
 
 def secret_spans(docs: DataFrame, *, rate: float = RATE) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random."""
     rows = stored(scanned(docs), "secret_tokens")
-    least = least_bins(rows.select(F.inline("tokens")), rate)
-    bands = F.create_map(*[F.lit(v) for pair in least.items() for v in pair]) if least else None
-    if bands is None:
+    least = least_bits(rows.select(F.inline("tokens")), rate)
+    groups = F.create_map(*[F.lit(v) for pair in least.items() for v in pair]) if least else None
+    if groups is None:
         random = F.filter("tokens", lambda s: F.lit(False))
     else:
-        random = F.filter("tokens", lambda s: ~s.control & (s.bin >= F.coalesce(bands[s.band], F.lit(BINS))))
+        random = F.filter("tokens", lambda s: s.bits >= F.coalesce(groups[s.group], F.lit(MOST_BITS + 1)))
     random = F.transform(random, lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), F.lit(RANDOM).alias("kind")))
     order = F.array(*[F.lit(k) for k in (*KINDS, RANDOM)])
 

@@ -208,6 +208,16 @@ def test_random_tokens_are_told_from_words(spark):
     assert not [i for i in hit if i >= 60]
 
 
+@pytest.mark.parametrize("letters", ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"])
+def test_random_tokens_are_found_without_controls(spark, letters):
+    draw = random.Random(9)
+    keys = ["".join(draw.choice(letters) for _ in range(40)) for _ in range(40)]
+    ordinary = ["internationalization" * 2, "CONGRATULATIONSTOALLOFTHEWINNERSOFTHEGAME", "hello" * 8, "usr/local/lib/python/site-packages/numpy", "X" * 40]
+    found = {r.doc_id: r.n_random for r in secrets.secret_spans(frame(spark, [(n, f"é {t} end") for n, t in enumerate(keys + ordinary)])).collect()}
+    assert sum(found[n] for n in range(40)) >= 35
+    assert not [n for n in range(40, len(found)) if found[n]]
+
+
 def test_personal_data(docs, rows):
     texts = dict(rows)
     for r in pii.digests(pii.personal_data(docs)).collect():
