@@ -2,7 +2,7 @@
 
 What the patterns of the four base kinds find are the seeds. The words around each seed induce lexical
 patterns (two words before it; a word before and one after). The same patterns are noted around every other
-token with a digit or an at sign. Patterns and instances form a graph with one edge for
+token with a digit or an at sign, and around neighbouring groups of digits and signs as one unit. Patterns and instances form a graph with one edge for
 each pair that occurs, however often, so copies count once. Spark scores it in rounds: a pattern by
 the share of its instances that are trusted, an instance by the patterns it stands in; instances
 that reach ``least_instance`` are trusted in the next round. At the end, tokens that are no seeds and stand in a trusted
@@ -36,6 +36,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"\S+")
 _MARKED = re.compile(r"[0-9@]")
+_GROUP = re.compile(r"[(+]*[0-9][0-9().+-]*")
 _EDGE = "\"'`.,;:!?()[]{}<>|*"
 
 
@@ -82,6 +83,30 @@ def _plain(word: str) -> str:
     return re.sub("[0-9]", "0", word.strip(_EDGE).lower())
 
 
+def joined_groups(text: str, units: list[tuple[int, int, str | None]]) -> Iterator[tuple[int, int, int, int]]:
+    """First and last unit, start and end of each row of two or more groups of digits and signs that only blanks part."""
+    n = 0
+    while n < len(units):
+        first = last = None
+        while n < len(units) and units[n][2] is None:
+            a, b, _ = units[n]
+            shown = text[a:b].rstrip(".,;:!?")
+            apart = first is not None and text[units[n - 1][1] : a].strip(" \t")
+            if apart or not _GROUP.fullmatch(shown):
+                break
+            first, last, end = n if first is None else first, n, a + len(shown)
+            n += 1
+            if end < b:  # a sign of punctuation ends the row
+                break
+        if first is None:
+            n += 1
+        elif last > first:
+            start = units[first][0]
+            if text[start] == "(" and text.find(")", start, end) in (-1, end - 1):  # around the whole row
+                start, end = start + 1, end - (text[end - 1] == ")")
+            yield first, last, start, end
+
+
 def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     """Seeds and other marked tokens with the patterns around them."""
     if not _MARKED.search(text):
@@ -95,6 +120,18 @@ def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
         at = b
     units += [(m.start(), m.end(), None) for m in _TOKEN.finditer(text, at)]
     out = []
+
+    def note(first: int, last: int, a: int, b: int, seed: bool) -> None:
+        before = [_plain(text[u[0] : u[1]]) for u in units[max(0, first - 2) : first]]
+        after = _plain(text[units[last + 1][0] : units[last + 1][1]]) if last + 1 < len(units) else ""
+        patterns = []
+        if len(before) == 2 and all(before):
+            patterns.append(f"{before[0]} {before[1]} <>")
+        if before and before[-1] and after:
+            patterns.append(f"{before[-1]} <> {after}")
+        if patterns:
+            out.append({"start": a, "end": b, "instance": text[a:b].lower(), "seed": seed, "patterns": patterns})
+
     for n, (a, b, kind) in enumerate(units):
         value = text[a:b]
         if kind is None:
@@ -105,15 +142,10 @@ def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
             a, b = a + cut, a + cut + len(value)
             if len(value) < LEAST_CHARS:
                 continue
-        before = [_plain(text[u[0] : u[1]]) for u in units[max(0, n - 2) : n]]
-        after = _plain(text[units[n + 1][0] : units[n + 1][1]]) if n + 1 < len(units) else ""
-        patterns = []
-        if len(before) == 2 and all(before):
-            patterns.append(f"{before[0]} {before[1]} <>")
-        if before and before[-1] and after:
-            patterns.append(f"{before[-1]} <> {after}")
-        if patterns:
-            out.append({"start": a, "end": b, "instance": value.lower(), "seed": kind is not None, "patterns": patterns})
+        note(n, n, a, b, kind is not None)
+    for first, last, a, b in joined_groups(text, units):
+        if b - a >= LEAST_CHARS:
+            note(first, last, a, b, False)
     return out
 
 

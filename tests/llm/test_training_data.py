@@ -236,6 +236,17 @@ def test_contexts_find_unseen_identifiers(spark):
     assert not new[len(seeds) + 1]
 
 
+def test_contexts_find_identifiers_of_several_tokens(spark):
+    seeds = [f"{prose(5)} please call me +1 555 000 10{n} today {prose(3)}" for n in range(10, 18)]
+    units = ["(555) 123-4567", "1234 5678 9012 3456", "555 123 4567"]
+    more = [f"{prose(5)} please call me {u} today" for u in units] + [f"{prose(5)} was born 12 34 56 there"]
+    found = pii.personal_data(frame(spark, list(enumerate(seeds + more)))).collect()
+    new = {r.doc_id: [(s.start, s.end) for s in r["all"] if s.kind == "context"] for r in found}
+    for n, u in enumerate(units):
+        assert (more[n].index(u), more[n].index(u) + len(u)) in new[len(seeds) + n]
+    assert not new[len(seeds) + len(units)]
+
+
 def test_personal_patterns_on_noise():
     for _ in range(3000):
         text = "".join(rng.choice("ab@@..--  ++1234567890()%_é\n") for _ in range(rng.randint(1, 80)))
