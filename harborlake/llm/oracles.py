@@ -1,3 +1,16 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+# The white space that is stripped from lines.
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLES: dict[str, str] = {
+    "op11_line_dedup": f"""with lines as (
+          select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+            unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as pos from documents),
+        keyed as (select *, translate(trim(line, {_WHITE}), {_LOWER}) as key from lines),
+        shared as (select key from keyed where key <> '' group by key having count(distinct doc_id) >= 10)
+        select doc_id, count(*) as n_lines, count(shared.key) as n_dropped,
+          sha256(coalesce(string_agg(line, chr(10) order by pos) filter (shared.key is null), '')) as kept_sha256
+        from keyed left join shared using (key) group by doc_id""",
+}

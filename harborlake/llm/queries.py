@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from harborlake.llm import bpe, pii
+from harborlake.llm import bpe, line_dedup, pii
 from harborlake.llm.common import table
 from harborlake.llm.contamination import contamination
 from harborlake.llm.exact_dedup import exact_groups
@@ -61,6 +61,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(line_dedup.without_shared_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_quality": op2_quality,
@@ -72,4 +76,5 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_secrets": op9_secrets,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_line_dedup": op11_line_dedup,
 }
