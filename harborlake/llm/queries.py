@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from harborlake.llm import bpe, line_dedup, pii
+from harborlake.llm import bpe, line_dedup, periods, pii
 from harborlake.llm.common import table
 from harborlake.llm.contamination import contamination
 from harborlake.llm.exact_dedup import exact_groups
@@ -65,6 +67,21 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(line_dedup.without_shared_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1))
 
 
+def repeating_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """What the contract of op12 makes of the words of a document: in a tenth of them, the last words repeat some of them."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(periods.periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeating_tail))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_quality": op2_quality,
@@ -77,4 +94,5 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_line_dedup": op11_line_dedup,
+    "op12_periods": op12_periods,
 }

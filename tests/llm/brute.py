@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter
+from fractions import Fraction
 
 import xxhash
 
@@ -139,3 +140,40 @@ def personal_base(text):
         out += own
         counts.append(len(own))
     return (*counts, sha(",".join(out))), out
+
+
+def runs(words):
+    """All (start, length, period) by trying every period at every place."""
+    n, found = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            length = i - start + q
+            if length >= max(6, 4 * q):
+                block = words[start : start + length]
+                if not any(all(block[k] == block[k + p] for k in range(length - p)) for p in range(1, q)):
+                    found.append((start, length, q))
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, found):
+    gone = {i for s, length, q in found for i in range(s + q, s + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def periods(docs, rewrite):
+    out = set()
+    for i, t in docs:
+        words = rewrite(i, WORD.findall(t or ""))
+        found = runs(words)
+        best = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+        top = (None,) * 4 if best is None else (best[0], best[1], best[2], 1000 * best[1] // best[2])
+        lines = "".join(f"{s},{length},{q}\n" for s, length, q in found)
+        out.add((i, len(found), *top, sha(lines), sha(collapsed(words, found))))
+    return out
