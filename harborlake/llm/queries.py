@@ -5,9 +5,9 @@ from __future__ import annotations
 import zlib
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborlake.llm import bpe, line_dedup, periods, pii
+from harborlake.llm import bpe, line_dedup, periods, pii, prefix_trie
 from harborlake.llm.common import table
 from harborlake.llm.contamination import contamination
 from harborlake.llm.exact_dedup import exact_groups
@@ -82,6 +82,11 @@ def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.digests(periods.periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeating_tail))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = F.crc32(F.col("conv_id").cast("string")) % 6
+    return prefix_trie.prefix_trie(prefix_trie.sequences(table(spark, sf_dir, "conversations"), shared_turns=shared))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_quality": op2_quality,
@@ -95,4 +100,5 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_line_dedup": op11_line_dedup,
     "op12_periods": op12_periods,
+    "op13_prefix_trie": op13_prefix_trie,
 }
