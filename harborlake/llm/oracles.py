@@ -14,9 +14,9 @@ ORACLES: dict[str, str] = {
           sha256(coalesce(string_agg(line, chr(10) order by pos) filter (shared.key is null), '')) as kept_sha256
         from keyed left join shared using (key) group by doc_id""",
     "op13_prefix_trie": """with turns as (
-          select conv_id, row_number() over (partition by conv_id order by turn nulls first) as at,
+          select conv_id, row_number() over (partition by conv_id order by turn nulls first) as pos,
             {'role': coalesce(role, ''), 'text': coalesce(text, '')} as turn from conversations where conv_id is not null),
-        own as (select conv_id, list(turn order by at) as turns from turns group by conv_id),
+        own as (select conv_id, list(turn order by pos) as turns from turns group by conv_id),
         hashed as (
           select *, xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ord(c)::ubigint)),
               lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, i: xor(v >> 1, (v & 1) * 3988292384::ubigint))),
@@ -33,7 +33,7 @@ ORACLES: dict[str, str] = {
         complete as (
           select nodes.*, coalesce(n_children, 0) as n_children,
             case when depth > 0 then (n_convs - 1) * length(path[depth].text) else 0 end as saved
-          from nodes left join parents on nodes.path = parents.path),
+          from nodes left join parents using (path)),
         above as (select path[1:unnest(range(depth + 1))] as path, n_children, saved from complete),
         sums as (select path, count(*) filter (n_children = 0) as n_leaves, cast(sum(saved) as bigint) as saved_tokens from above group by path)
         select c.conv_id, c.depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
