@@ -48,6 +48,14 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def product(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """x @ w with the terms of every row added up in the same order, so that a row's result doesn't depend on the other rows."""
+    out = x[:, :1] * w[0]
+    for k in range(1, len(w)):
+        out += x[:, k : k + 1] * w[k]
+    return out
+
+
 def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
     """The middle of the gap between two logits that gives the highest mean of both classes' accuracy."""
     order = np.argsort(logits, kind="stable")

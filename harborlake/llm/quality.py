@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from harborlake.llm.common import encoded, fold, slices, texts
-from harborlake.llm.learn import FOLDS, HELD_OUT, SAMPLE_PER_CLASS, best_threshold, labelled_sample, sigmoid, train
+from harborlake.llm.learn import FOLDS, HELD_OUT, SAMPLE_PER_CLASS, best_threshold, labelled_sample, product, sigmoid, train
 
 PASSAGE_WORDS = 64
 BUCKETS = 1 << 12
@@ -73,24 +73,25 @@ def passages(found: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
 
 
 def _sums(values: np.ndarray, size: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(size), values.shape[1]), dtype=np.float32)
+    out = np.zeros((len(size), values.shape[1]))
     some = size > 0
     if some.any():
         out[some] = np.add.reduceat(values, (np.cumsum(size) - size)[some], axis=0)
     return out
 
 
-def forward(m: dict, features, size, doc_start, buckets) -> dict:
+def forward(m: dict, features, size, doc_start, buckets, times=np.matmul) -> dict:
+    """``times`` multiplies matrices: fast ones in training, ones whose rows don't depend on each other in scoring."""
     mean = _sums(m["embedding"][buckets], size) / np.maximum(size, 1)[:, None]
     x = (features - m["centre"]) / m["spread"]
-    h = np.tanh(x @ m["encode"] + mean + m["encode_bias"])
-    left, right = np.tanh(h @ m["gate_tanh"]), sigmoid(h @ m["gate_sigmoid"])
-    raw = (left * right) @ m["attend"]
+    h = np.tanh(times(x, m["encode"]) + mean + m["encode_bias"])
+    left, right = np.tanh(times(h, m["gate_tanh"])), sigmoid(times(h, m["gate_sigmoid"]))
+    raw = times(left * right, m["attend"][:, None])[:, 0]
     docs = np.repeat(np.arange(len(doc_start)), np.diff(np.append(doc_start, len(raw))))
     e = np.exp(raw - np.maximum.reduceat(raw, doc_start)[docs])
     a = e / np.add.reduceat(e, doc_start)[docs]
     z = np.add.reduceat(a[:, None] * h, doc_start, axis=0)
-    return {"x": x, "h": h, "left": left, "right": right, "a": a, "z": z, "docs": docs, "logit": z @ m["score"] + m["score_bias"][0]}
+    return {"x": x, "h": h, "left": left, "right": right, "a": a, "z": z, "docs": docs, "logit": times(z, m["score"][:, None])[:, 0] + m["score_bias"][0]}
 
 
 def gradients(m: dict, bag: tuple, labels: np.ndarray, decay: float) -> dict:
@@ -174,7 +175,7 @@ def _learned(docs: DataFrame, labels: DataFrame, label: str, per_class: int) ->
     if len(set(y.tolist())) < 2:
         return None
     bags = [(np.array(r.features, dtype=np.float32).reshape(-1, FEATURES), np.array(r.size), np.zeros(1, dtype=np.int64), np.array(r.buckets, dtype=np.int32)) for r in rows]
-    return {k: v.astype(np.float32) if isinstance(v, np.ndarray) else v for k, v in fit(bags, y).items()}
+    return fit(bags, y)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality", threshold: float = THRESHOLD, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
@@ -189,9 +190,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality"
             per_doc = np.diff(np.append(bag[2], len(bag[1])))
             score, share = np.full(len(per_doc), 0.5), 1 / per_doc
             if m is not None:
-                f = forward(m, *bag)
-                score = sigmoid(f["logit"].astype(np.float64) - m["threshold"] + shift)
-                share = np.maximum.reduceat(f["a"].astype(np.float64), bag[2])
+                f = forward(m, *bag, times=product)
+                score = sigmoid(f["logit"] - m["threshold"] + shift)
+                share = np.maximum.reduceat(f["a"], bag[2])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(score), pa.array(per_doc.astype(np.int64)), pa.array(share)],
                 ["doc_id", "score", "passages", "attention"],
