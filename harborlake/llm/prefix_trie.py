@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from harborlake.llm.common import stored
 
 TURN = 16  # bytes of a turn's fingerprint
-LIMIT = 2000  # sequences of a container, at least
+LIMIT = 256  # sequences of a container, at least
 MOST_HEADS = 50_000  # of the upper trie: heads of one level hold different sequences, more than the limit each
 LEVELS = 4  # that are counted in the first round; twice as many in each further one
 PACK = 65_536
