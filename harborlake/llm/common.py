@@ -28,6 +28,20 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+IDENTITY = ("doc_id", "t", "u")
+
+
+def identity() -> list[Column]:
+    """What tells rows of ``texts`` apart: doc_id and a hash of the text, 128 bits. Rows that are alike in it have equal results."""
+    return [F.col("doc_id"), F.xxhash64("text").alias("t"), F.xxhash64(F.lit("text"), F.col("text")).alias("u")]
+
+
+def same_text(left: str = "l", right: str = "r") -> Column:
+    """Join condition of two tables with the columns of ``identity``, null doc_ids included."""
+    pairs = [(F.col(f"{left}.{c}"), F.col(f"{right}.{c}")) for c in IDENTITY]
+    return pairs[0][0].eqNullSafe(pairs[0][1]) & (pairs[1][0] == pairs[1][1]) & (pairs[2][0] == pairs[2][1])
+
+
 def fold(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the identity as text, modulo ``folds``; a missing identity counts as an empty text."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

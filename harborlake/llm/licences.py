@@ -1,20 +1,22 @@
-"""Licence scans: an exact set-similarity join of texts with licence templates, in SQL functions only.
+"""Licence scans: an exact set-similarity join of text blocks with licence templates, in SQL functions only.
 
-A template is the set of words of a usual notice. It matches a text if ``threshold`` of its words stand in one line of
-the text, or in a window of twice as many words as the notice has, wherever lines end; such a window must
-also hold the word that tells the notice from those of other licences. Every window is looked at.
+A template is the set of words of a usual notice. It matches a text if ``threshold`` of its words stand in a
+window of twice as many consecutive words as the notice has, wherever lines end, among them the word that
+tells the notice from those of other licences, if it has one. Every window of every text counts.
 
-Words of all templates are ordered by how many texts of the whole corpus hold them, rarest first. A line or window
-matches only if its whole text, seen as a set of words, does; for texts
+Texts are cut into blocks of ``BLOCK`` words, each with the next one, so that every window lies in one of them. Words of all
+templates are ordered by how many texts of the whole corpus hold them, rarest first. Of the words that a block and a template share,
+the first in that order is one of the template's first |T| - need + 1 words if the template matches, so
 
-* prefix: a matching text holds one of the template's first |T| - need + 1 words;
-* length: it has at least ``need`` words;
-* position: from the first word that both share in that order, enough words are left on both sides;
+* prefix: blocks are joined with templates on those words alone, and a text that holds none of them is not even cut;
+* length: the block must hold ``need`` different words;
+* position: behind that first shared word, enough words of both must be left;
 
-and what passes is verified by intersecting the sets, then in the lines and windows of the text.
+and what passes is verified in all windows of the block. Blocks are bounded, whatever the length of the text, and are never shuffled.
 
 Besides, the base phrases are located as consecutive words anywhere in the text. A missing or empty text
-has no words and no labels. Repeated rows and null doc_ids keep a row each.
+has no words and no labels. Repeated rows and null doc_ids keep a row each; an empty table gives none. Columns besides doc_id
+and text are never read.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harborlake.llm.common import LOWER, UPPER, stored, texts
+from harborlake.llm.common import IDENTITY, LOWER, UPPER, identity, same_text, stored, texts
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD = 0.8
@@ -58,6 +60,7 @@ TEMPLATES = (
 TELLING = {"agpl": "affero", "apache": "apache", "apache-2.0": "apache", "cc-by-nc-4.0": "nc", "cc-by-sa": "sharealike", "gpl-3.0": "3", "mpl": "mozilla"}
 SHORT = 8  # words; of shorter notices, the label's first part is the telling word if none is given
 WINDOW = 2  # words of a window for each word of the notice
+BLOCK = 128  # words, at least as many as the longest window has
 
 
 def telling_word(label: str, text: str) -> str | None:
@@ -92,40 +95,49 @@ def _places(phrase: str) -> Column:
     return F.when(F.col("plain").contains(f" {phrase} "), found)
 
 
-def scanned(docs: DataFrame, sets: list[tuple[list[str], int]]) -> DataFrame:
-    """One row per document: row, doc_id, n_words, places of each phrase, size and words of the set of its words.
+def _plain() -> Column:
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(_lowered(), SEPARATORS, " ")), F.lit(" "))
 
-    ``words`` are those of the templates. ``lowered`` is the text if it holds enough words of a template, or else null.
-    """
-    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(_lowered(), SEPARATORS, " ")), F.lit(" "))
+
+def _literals(values) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def _fenced(value: Column) -> Column:
+    """A generator of one row, whose column is made once however often it is used."""
+    return F.explode(F.array(value))
+
+
+def scanned(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """One row per document: doc_id, t, u, n_words, places of each phrase, and which words of the templates it holds."""
     n_words = F.when(F.col("plain") == "  ", 0).otherwise(_blanks(F.col("plain")) - 1).cast("long")
-    known = F.array(*[F.lit(w) for w in sorted({w for words, _ in sets for w in words})])
-    needs = F.array(*[F.struct(F.array(*[F.lit(w) for w in words]).alias("words"), F.lit(need).alias("need")) for words, need in sets])
-    own = F.array_distinct(F.array_remove(F.split(F.trim("plain"), " "), ""))
-    enough = F.exists(needs, lambda t: F.size(F.array_intersect(F.col("words"), t.words)) >= t.need)
     return (
         texts(docs)
-        .withColumn("plain", plain)
+        .select(*identity(), _fenced(_plain()).alias("plain"))
         .withColumn("n_words", n_words)
-        .select("*", F.inline(F.transform(F.array(own), lambda s: F.struct(F.size(s).alias("size"), F.array_intersect(s, known).alias("words")))).alias("size", "words"))
         .select(
-            F.monotonically_increasing_id().alias("row"),
-            F.col("doc_id").cast("long").alias("doc_id"),
+            *IDENTITY,
             "n_words",
             F.array(*[_places(p) for p in PHRASES]).alias("places"),
-            "size",
-            "words",
-            F.when(enough, _lowered()).alias("lowered"),
+            F.array_intersect(F.split("plain", " "), _literals(vocabulary)).alias("known"),
         )
     )
 
 
-def _shared(target: Column, window: Column, telling: Column) -> Column:
-    """Most words of ``target`` that one line or one window of ``lowered`` holds."""
-    lines = F.transform(F.split("lowered", r"[\r\n]+"), lambda line: F.size(F.array_intersect(F.split(line, SEPARATORS), target)))
+def blocks(docs: DataFrame, wanted: list[str]) -> DataFrame:
+    """(doc_id, t, u, words): blocks of texts that hold one of the ``wanted`` words, as far as they hold one themselves."""
+    whole = texts(docs).select(*identity(), _fenced(_plain()).alias("plain"))
+    whole = whole.where(F.arrays_overlap(F.split("plain", " "), _literals(wanted)))
+    pieces = F.regexp_extract_all(F.ltrim("plain"), F.lit(r"(?:[^ ]++ ){1,%d}" % BLOCK), F.lit(0))
+    cut = whole.select(*IDENTITY, _fenced(pieces).alias("pieces"))
+    paired = F.transform("pieces", lambda piece, n: F.concat(piece, F.coalesce(F.get("pieces", n + 1), F.lit(""))))
+    words = cut.select(*IDENTITY, F.explode(paired).alias("block")).select(*IDENTITY, _fenced(F.split(F.trim("block"), " ")).alias("words"))
+    return words.where(F.arrays_overlap("words", _literals(wanted)))
+
 
-    def met(words: Column) -> Column:
-        return F.filter(F.transform(words, lambda w, n: F.struct(n.alias("n"), w.alias("w"))), lambda h: F.array_contains(target, h.w))
+def _shared(words: Column, target: Column, window: Column, telling: Column) -> Column:
+    """Most words of ``target`` that one window of ``words`` holds, where it holds the telling one."""
+    hits = F.filter(F.transform(words, lambda w, n: F.struct(n.alias("n"), w.alias("w"))), lambda h: F.array_contains(target, h.w))
 
     def best(hits: Column) -> Column:
         def held(h: Column, i: Column) -> Column:
@@ -136,74 +148,64 @@ def _shared(target: Column, window: Column, telling: Column) -> Column:
 
         return F.coalesce(F.array_max(F.transform(hits, held)), F.lit(0))
 
-    words = F.filter(F.split("lowered", SEPARATORS), lambda w: w != "")
-    windows = F.get(F.transform(F.transform(F.array(words), met), best), F.lit(0))
-    return F.greatest(F.array_max(lines), windows)
+    return F.get(F.transform(F.array(hits), best), F.lit(0))
 
 
-def licence_labels(docs: DataFrame, *, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
+def candidates(found: DataFrame, templates: DataFrame, rank: dict[str, int]) -> DataFrame:
+    """Blocks with the templates that they may match: one row for each pair that passes the three filters.
 
-    The score is the share of the best matching template that a line or window holds; a base phrase counts as whole.
+    ``templates`` has a row for each word of each prefix: rank, i (its place in the template), label, need, ordered (ranks of
+    the whole template), target (its words), window, telling.
     """
-    spark = docs.sparkSession
-    sets = []
-    for label, text in templates:
-        words = template_words(text)
-        sets.append((label, words, math.ceil(threshold * len(words) - 1e-9), WINDOW * len(notice(text)), telling_word(label, text)))
-    vocabulary = sorted(set().union(*[words for _, words, *_ in sets]))
-    rows = stored(scanned(docs, [(sorted(words), need) for _, words, need, *_ in sets]), "licence_texts")
-
+    ranks = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
+    known = F.array_intersect("words", _literals(rank))
+    in_order = found.select("*", F.size(F.array_distinct("words")).alias("size"), _fenced(F.array_sort(F.transform(known, lambda w: ranks[w]))).alias("ranks"))
+    pairs = in_order.select("*", F.posexplode("ranks").alias("j", "rank")).join(F.broadcast(templates), "rank")  # a row a word of the templates
+    length = F.col("size") >= F.col("need")
+    position = F.least(F.size("ordered") - F.col("i"), F.size("ranks") - F.col("j")) >= F.col("need")
+    first = F.col("rank") == F.array_min(F.array_intersect("ranks", "ordered"))
+    return pairs.where(length & position & first)
+
+
+def matches(docs: DataFrame, base: DataFrame, templates, threshold: float) -> DataFrame:
+    """(doc_id, t, u, label, share): templates that a text matches, and the share of their words in its best window."""
+    sets = [(label, sorted(template_words(text)), WINDOW * len(notice(text)), telling_word(label, text)) for label, text in templates]
+    if max((window for *_, window, _ in sets), default=0) > BLOCK:
+        raise ValueError(f"a template has more than {BLOCK // WINDOW} words")
     # One row for each word of the templates, so it is bounded by them.
-    counts = {r.word: r["count"] for r in rows.select(F.explode("words").alias("word")).groupBy("word").count().collect()}
+    counts = {r.word: r["count"] for r in base.select(F.explode("known").alias("word")).groupBy("word").count().collect()}
+    vocabulary = {w for _, words, *_ in sets for w in words}
     rank = {w: n for n, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
-    prefixes, wholes = [], []
-    for number, (label, words, need, *_) in enumerate(sets):
+    prefixes = []
+    for label, words, window, telling in sets:
+        need = math.ceil(threshold * len(words) - 1e-9)
         ordered = sorted(rank[w] for w in words)
-        wholes.append(ordered)
-        prefixes += [(r, number, label, i, need) for i, r in enumerate(ordered[: len(ordered) - need + 1])]
-    prefix = spark.createDataFrame(prefixes, "rank int, template int, label string, i int, need int")
-
-    ranks = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
-    whole = F.array(*[F.array(*[F.lit(r) for r in ordered]) for ordered in wholes])
-    first = sorted({r for r, *_ in prefixes})
-    possible = rows.where("lowered is not null")
-    in_order = possible.select("row", "size", F.array_sort(F.transform("words", lambda w: ranks[w])).alias("ranks"))
-    in_order = in_order.where(F.arrays_overlap("ranks", F.array(*[F.lit(r) for r in first])))
-    candidates = (
-        in_order.select("row", "size", "ranks", F.posexplode("ranks").alias("j", "rank"))
-        .join(F.broadcast(prefix), "rank")  # as many rows as the templates have words
-        .where("size >= need")
-        .groupBy("row", "template", "label", "need")
-        .agg(F.min_by(F.struct("i", "j", "ranks"), "i").alias("first"))
-        .select("row", "template", "label", "need", "first.*")
+        prefixes += [(r, i, label, need, ordered, words, window, telling) for i, r in enumerate(ordered[: len(ordered) - need + 1])]
+    schema = "rank int, i int, label string, need int, ordered array<int>, target array<string>, window int, telling string"
+    wanted = {r for r, *_ in prefixes}
+    pairs = candidates(
+        blocks(docs, [w for w, r in rank.items() if r in wanted]), docs.sparkSession.createDataFrame(prefixes, schema), rank
     )
-    target = F.get(whole, F.col("template"))
-    candidates = candidates.where(F.least(F.size(target) - F.col("i"), F.size("ranks") - F.col("j")) >= F.col("need"))
-    candidates = candidates.where(F.size(F.array_intersect("ranks", target)) >= F.col("need"))
-
-    def of_template(values: list[Column]) -> Column:
-        return F.get(F.array(*values), F.col("template"))
-
-    target = of_template([F.array(*[F.lit(w) for w in sorted(words)]) for _, words, *_ in sets])
-    shared = _shared(F.col("target"), F.col("window"), F.col("telling"))
-    verified = (
-        candidates.select("row", "label", "template", "need")
-        .join(possible.select("row", "lowered"), "row")
-        .withColumn("target", target)
-        .withColumn("window", of_template([F.lit(w) for *_, w, _ in sets]))
-        .withColumn("telling", of_template([F.lit(t).cast("string") for *_, t in sets]))
-        .select("row", "label", "need", F.size("target").alias("size"), shared.alias("shared"))
-        .where("shared >= need")
-        .withColumn("share", F.col("shared") / F.col("size"))
-    )
-    found = verified.groupBy("row").agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
+    shared = _shared(F.col("words"), F.col("target"), F.col("window"), F.col("telling"))
+    verified = pairs.select(*IDENTITY, "label", "need", F.size("target").alias("of"), shared.alias("shared")).where("shared >= need")
+    return verified.select(*IDENTITY, "label", (F.col("shared") / F.col("of")).alias("share"))
+
+
+def licence_labels(docs: DataFrame, *, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
+
+    The score is the share of the best matching template that a window holds; a base phrase counts as whole.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = stored(scanned(docs, sorted({w for _, text in templates for w in template_words(text)})), "licence_texts")
+    found = matches(docs, rows, templates, threshold)
+    found = found.groupBy(*IDENTITY).agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
     standing = F.array_compact(F.transform("places", lambda p: p))
     base = F.array_compact(F.array(*[F.when(F.get("places", F.lit(n)).isNotNull(), F.lit(label)) for n, label in enumerate(PHRASES.values())]))
     n_base = F.aggregate(standing, F.lit(0).cast("long"), lambda a, p: a + p.n)
     none = F.array().cast("array<string>")
-    return rows.join(found, "row", "left").select(
-        "doc_id",
+    return rows.alias("l").join(found.alias("r"), same_text(), "left").select(
+        "l.doc_id",
         "n_words",
         n_base.alias("n_base"),
         F.array_min(F.transform(standing, lambda p: p.first)).alias("first_word"),

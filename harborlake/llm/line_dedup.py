@@ -23,14 +23,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harborlake.llm.common import LOWER, UPPER, stored, texts
+from harborlake.llm.common import IDENTITY, LOWER, UPPER, identity, same_text, stored, texts
 
 # What is stripped from a line, and what ends it.
 WHITE, LINE_END = " \t\n\x0b\x0c\r", "\n"
 
 HEAVY = 4096  # shared lines that are broadcast, 16 bytes each; all others hold less than 1/4096 of all lines
 _HASH = ["a", "b"]
-_TEXT = ["doc_id", "t", "u"]
 
 
 def keyed_lines(docs: DataFrame, min_chars: int = 1) -> DataFrame:
@@ -44,11 +43,7 @@ def keyed_lines(docs: DataFrame, min_chars: int = 1) -> DataFrame:
             F.struct(at.alias("at"), F.xxhash64(key).alias("a"), F.xxhash64(F.lit("line"), key).alias("b")),
         )
 
-    return texts(docs).select(*_identity(), F.transform(F.split(plain, LINE_END), keyed).alias("lines"))
-
-
-def _identity() -> list[Column]:
-    return [F.col("doc_id"), F.xxhash64("text").alias("t"), F.xxhash64(F.lit("text"), F.col("text")).alias("u")]
+    return texts(docs).select(*identity(), F.transform(F.split(plain, LINE_END), keyed).alias("lines"))
 
 
 def shared_keys(lines: DataFrame, min_docs: int) -> DataFrame:
@@ -62,23 +57,21 @@ def shared_keys(lines: DataFrame, min_docs: int) -> DataFrame:
 def dropped_lines(docs: DataFrame, *, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """(doc_id, t, u, dropped): the sorted positions of dropped lines, for texts that have any."""
     keyed = stored(keyed_lines(docs, min_chars), "lines")
-    lines = keyed.select(*_TEXT, F.explode("lines").alias("line")).where("line is not null").select(*_TEXT, "line.*")
+    lines = keyed.select(*IDENTITY, F.explode("lines").alias("line")).where("line is not null").select(*IDENTITY, "line.*")
     shared = stored(shared_keys(lines, min_docs), "shared_lines")
     total = lines.count()
     heavy = F.broadcast(shared.where(F.col("rows") > total / HEAVY).select(*_HASH))
     found = lines.join(heavy, _HASH, "left_semi").unionByName(
         lines.join(heavy, _HASH, "left_anti").join(shared.where(F.col("rows") <= total / HEAVY), _HASH, "left_semi")
     )
-    return found.groupBy(*_TEXT).agg(F.array_sort(F.collect_set("at")).alias("dropped"))
+    return found.groupBy(*IDENTITY).agg(F.array_sort(F.collect_set("at")).alias("dropped"))
 
 
 def without_shared_lines(docs: DataFrame, *, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """(doc_id, n_lines, n_dropped, text) per row: the text without lines whose key stands in ``min_docs`` documents or more."""
-    whole = texts(docs).select(*_identity(), F.split("text", LINE_END).alias("lines"))
+    whole = texts(docs).select(*identity(), F.split("text", LINE_END).alias("lines"))
     gone = dropped_lines(docs, min_docs=min_docs, min_chars=min_chars)
-    gone = gone.select(F.col("doc_id").alias("id"), F.col("t").alias("t2"), F.col("u").alias("u2"), "dropped")
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("t") == F.col("t2")) & (F.col("u") == F.col("u2"))
-    met = whole.join(gone, same, "left").select("doc_id", "lines", "dropped")
+    met = whole.alias("l").join(gone.alias("r"), same_text(), "left").select("l.doc_id", "lines", "dropped")
 
     # What stays lies between two dropped lines, or between one and an end of the text: linear in the lines.
     ends = F.concat(F.array(F.lit(-1)), "dropped", F.array(F.size("lines")))

@@ -177,3 +177,16 @@ def periods(docs, rewrite):
         lines = "".join(f"{s},{length},{q}\n" for s, length, q in found)
         out.add((i, len(found), *top, sha(lines), sha(collapsed(words, found))))
     return out
+
+
+def licence_windows(text, licences):
+    """Label -> share of the best window, of templates that some window of the text matches."""
+    words, out = PLAIN.findall(lower(text)), {}
+    for label, template in licences.TEMPLATES:
+        target, telling = licences.template_words(template), licences.telling_word(label, template)
+        size = licences.WINDOW * len(licences.notice(template))
+        for at in (i for i, w in enumerate(words) if w in target):
+            held = target & set(words[at : at + size])
+            if (telling is None or telling in held) and len(held) / len(target) >= licences.THRESHOLD:
+                out[label] = max(out.get(label, 0), len(held) / len(target))
+    return out

@@ -153,13 +153,8 @@ def test_licences(docs, rows):
     for r in licences.licence_labels(docs).collect():
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.licence_base(texts[r.doc_id])
         best, own = 0, set(filter(None, r.base_labels.split(",")))
-        for line in re.split(r"[\r\n]+", brute.lower(texts[r.doc_id])):
-            words = set(brute.PLAIN.findall(line))
-            for label, text in licences.TEMPLATES:
-                target = licences.template_words(text)
-                share = len(words & target) / len(target)
-                if share >= licences.THRESHOLD:
-                    best, own = max(best, share), own | {label}
+        for label, share in brute.licence_windows(texts[r.doc_id], licences).items():
+            best, own = max(best, share), own | {label}
         assert r.labels == ",".join(sorted(own))
         assert r.score == (1 if r.n_base else best)
 
@@ -186,6 +181,36 @@ def test_licence_notices_are_found_wherever_lines_end(spark):
     assert "mit" not in found[len(lines) - 1] | found[len(lines) - 2]
 
 
+def test_telling_words_count_within_a_line_too(spark):
+    lines = ["Released under the zlib License.", "The license under which it was released", "released under the MIT license", prose(3) + " mit " + prose(3)]
+    found = [r.labels for r in licences.licence_labels(frame(spark, list(enumerate(lines)))).orderBy("doc_id").collect()]
+    assert found == ["", "", "mit", ""]
+
+
+def test_licence_filters_drop_most_pairs(spark):
+    """Of all pairs of blocks and templates, few reach the verification, and those are few more than match."""
+    rows = [(n, prose(200) + " the license to use of and in under software is you") for n in range(40)] + [(100 + n, f"{prose(30)} {text}") for n, (_, text) in enumerate(licences.TEMPLATES)]
+    docs = frame(spark, rows).select("doc_id", "text")
+    base = licences.scanned(docs, sorted({w for _, t in licences.TEMPLATES for w in licences.template_words(t)})).persist()
+    seen = []
+    verify, licences.candidates = licences.candidates, lambda *a: seen.append(verify(*a)) or seen[0]
+    try:
+        found = licences.matches(docs, base, licences.TEMPLATES, licences.THRESHOLD).count()
+    finally:
+        licences.candidates = verify
+    pairs = sum(-(-len(t.split()) // licences.BLOCK) for _, t in rows) * len(licences.TEMPLATES)
+    assert len(licences.TEMPLATES) <= found <= seen[0].count() <= min(2 * found, pairs // 20)
+
+
+def test_notices_across_blocks_and_in_dense_long_texts(spark):
+    notices = [text for _, text in licences.TEMPLATES if len(text.split()) > 15]
+    rows = [(n, f"{prose(licences.BLOCK - n)} {notices[n % len(notices)]}, {prose(20)}") for n in range(0, licences.BLOCK, 5)]
+    rows.append((1000, " ".join(notices[n % len(notices)] for n in range(3000))))
+    found = {r.doc_id: r for r in licences.licence_labels(frame(spark, rows)).collect()}
+    for n, text in rows:
+        assert found[n].labels == ",".join(sorted({*brute.licence_windows(text, licences), *filter(None, found[n].base_labels.split(","))}))
+
+
 def test_secrets(docs, rows):
     texts = dict(rows)
     for r in secrets.secret_spans(docs).collect():
