@@ -64,6 +64,42 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(jvm_path, True)
 
 
+def names(spark: SparkSession, folder: str) -> dict[str, float]:
+    """Names in a folder, and when each was modified; empty for a folder that is not there."""
+    files, jvm_path = _file_system(spark, folder)
+    if not files.exists(jvm_path):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in files.listStatus(jvm_path)}
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    files, jvm_path = _file_system(spark, path)
+    stream = files.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file; False if there is one of that name, which then stays as it is."""
+    files, jvm_path = _file_system(spark, path)
+    if files.exists(jvm_path):
+        return False
+    try:
+        stream = files.create(jvm_path, False)
+    except Exception:
+        if files.exists(jvm_path):  # another writer was faster
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     """Put a finished folder in the place of another, which is set aside until the new one is there."""
     files, jvm_staged = _file_system(spark, staged)

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
+from harborlake.versions import is_versioned, read_version
+
 Paths = str | Sequence[str]
 
 
@@ -89,12 +91,14 @@ def read_any(
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A Parquet table, flat or partitioned, by its directory.
+    """A Parquet table, flat or partitioned, by its directory; of a table with versions, the newest one.
 
     Reading the directory, not a glob of its files, is what keeps partition columns.
     With ``schema`` no file is opened to learn it, partition columns have the given types
     instead of guessed ones, and a table without files is empty rather than an error.
     """
+    if is_versioned(spark, path):
+        return read_version(spark, path)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 

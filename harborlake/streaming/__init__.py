@@ -1,7 +1,4 @@
-from harborlake.streaming.incremental import (
-    ingest_arrivals,
-    ingest_new_files,
-    upsert_partitions,
-)
+from harborlake.streaming.appending import append_distinct, ingest_arrivals, raw_rows, refresh_fact
+from harborlake.streaming.incremental import ingest_new_files, upsert_partitions
 
-__all__ = ["ingest_arrivals", "ingest_new_files", "upsert_partitions"]
+__all__ = ["append_distinct", "ingest_arrivals", "ingest_new_files", "raw_rows", "refresh_fact", "upsert_partitions"]

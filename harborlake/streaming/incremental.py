@@ -3,19 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, types as T
 
-from harborlake.functions import sas_date
 from harborlake.operators import dedupe
-from harborlake.plans.tables import build_arrivals
 from harborlake.sinks import delete, is_complete, overwrite_partitions, overwrite_table, scratch_path
 from harborlake.sinks.paths import exists
 from harborlake.sources import read_table, stream_delimited
-
-# Above this many touched partitions the stored table is read without a partition filter.
-_LISTED_PARTITIONS = 1000
+from harborlake.streaming.appending import in_partitions
 
 
 def ingest_new_files(
@@ -42,30 +37,9 @@ def _drain(writer, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _touched(df: DataFrame, partition_by: Sequence[str]) -> list[Row] | None:
-    """Partition values that occur in ``df``; None when there are too many to list."""
-    values = df.select(*partition_by).distinct().limit(_LISTED_PARTITIONS + 1).collect()
-    return None if len(values) > _LISTED_PARTITIONS else values
-
-
-def _in_partitions(values: Sequence[Row], partition_by: Sequence[str]) -> Column:
-    """Filter on constants, so the scan lists these partitions only; null is a partition too."""
-    name, *deeper = partition_by
-    if not deeper:
-        known = F.col(name).isin([v[name] for v in values if v[name] is not None])
-        return known | F.col(name).isNull() if any(v[name] is None for v in values) else known
-    below: dict = {}
-    for value in values:
-        below.setdefault(value[name], []).append(value)
-    return _any([F.col(name).eqNullSafe(F.lit(v)) & _in_partitions(rows, deeper) for v, rows in below.items()])
-
-
-def _any(conditions: list[Column]) -> Column:
-    """Disjunction as a balanced tree: a chain of hundreds is too deep for the optimizer."""
-    if len(conditions) < 2:
-        return conditions[0] if conditions else F.lit(False)
-    half = len(conditions) // 2
-    return _any(conditions[:half]) | _any(conditions[half:])
+def _touched(df: DataFrame, partition_by: Sequence[str]) -> list[Row]:
+    """Partition values that occur in ``df``: as many as the folders that a write of it lists anyway."""
+    return df.select(*partition_by).distinct().collect()
 
 
 def upsert_partitions(
@@ -75,7 +49,7 @@ def upsert_partitions(
     *,
     on: Sequence[str] | None = None,
     stage: str | None = None,
-) -> list[Row] | None:
+) -> list[Row]:
     """Add rows that are not there yet to a partitioned Parquet table.
 
     Only partitions that occur in ``new`` are read and replaced. Stored and new rows are
@@ -88,7 +62,7 @@ def upsert_partitions(
     path of a run that was cut off after the merge goes on from there, since the table may
     have lost partitions half way.
 
-    Returns the touched partitions, or None when they are too many to list.
+    Returns the touched partitions.
     """
     spark = new.sparkSession
     stage = stage or scratch_path(spark, "upsert", keep=True)
@@ -111,51 +85,4 @@ def upsert_partitions(
 def _slice(spark: SparkSession, target: str, arrived: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Stored rows of the partitions that occur in ``arrived``."""
     stored = read_table(spark, target, arrived.schema).select(*arrived.columns)
-    values = _touched(arrived, partition_by)
-    if values is not None:
-        return stored.where(_in_partitions(values, partition_by))
-    there = arrived.select(*partition_by).distinct().alias("n")
-    same = [F.col(f"s.{n}").eqNullSafe(F.col(f"n.{n}")) for n in partition_by]
-    return stored.alias("s").join(there, reduce(Column.__and__, same), "left_semi")
-
-
-def ingest_arrivals(
-    spark: SparkSession,
-    source: str,
-    schema: T.StructType | str,
-    raw_table: str,
-    fact_table: str,
-    ports: DataFrame,
-    checkpoint: str,
-    *,
-    partition_by: Sequence[str] = ("year",),
-    files_per_batch: int | None = None,
-) -> None:
-    """Take in new arrival files: keep their distinct raw rows, refresh the fact partitions they touch.
-
-    ``raw_table`` holds every distinct source row, partitioned by arrival year and month.
-    Each batch is merged into the months it touches, and the partitions of ``fact_table``
-    these months belong to are built again. The outcome equals a full build over all
-    files seen so far, and a batch that is cut off is done again with the same result.
-    With ``partition_by=("year", "month")`` the fact is refreshed by month, too.
-    """
-    columns = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    stage_root = f"{checkpoint.rstrip('/')}/stage"
-    raw_parts = {"year": "arrival_year", "month": "arrival_month"}
-
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        arrived_on = sas_date("arrdate")
-        dated = batch.withColumns({"arrival_year": F.year(arrived_on), "arrival_month": F.month(arrived_on)})
-        touched = upsert_partitions(
-            dated, raw_table, list(raw_parts.values()), stage=f"{stage_root}/{batch_id}"
-        )
-        raw = read_table(spark, raw_table, dated.schema)
-        if touched is not None:
-            by = [raw_parts[name] for name in partition_by]
-            values = {tuple(row[name] for name in by) for row in touched}
-            raw = raw.where(_in_partitions([Row(*by)(*v) for v in values], by))
-        fact = build_arrivals(raw.select(*columns.names), ports, already_distinct=True)
-        overwrite_partitions(fact, fact_table, partition_by, only_present=True)
-
-    stream = stream_delimited(spark, source, columns, files_per_batch=files_per_batch)
-    _drain(stream.writeStream.foreachBatch(refresh), checkpoint)
+    return stored.where(in_partitions(_touched(arrived, partition_by), partition_by))

@@ -1,11 +1,13 @@
 import shutil
 
 import pytest
+from pyspark.sql import Row
 
 from conftest import plan, rows
 from harborlake.plans import build_arrivals, build_ports
 from harborlake.sources import read_delimited, read_table
 from harborlake.streaming import incremental, ingest_arrivals, ingest_new_files, upsert_partitions
+from harborlake.streaming.appending import in_partitions
 from sources import ARRIVALS, LABELS, write
 
 SCHEMA = "cicid string, i94yr string, i94mon string, i94port string, arrdate string"
@@ -74,13 +76,12 @@ def test_upsert_by_key_and_two_partition_columns(spark, tmp_path):
     assert rows(stored) == [(1, 2015, "m"), (2, 2015, "m"), (3, 2015, "007")]
 
 
-def test_upsert_with_too_many_partitions_to_list(spark, tmp_path, monkeypatch):
+def test_upsert_lists_partitions_however_many(spark, tmp_path):
     target = str(tmp_path / "t")
-    data = [(i, "x", 2000 + i) for i in range(6)] + [(9, None, None)]
+    data = [(i, "x", 2000 + i) for i in range(60)] + [(9, None, None)]
     upsert_partitions(frame(spark, *data), target, ["year"])
-    monkeypatch.setattr(incremental, "_LISTED_PARTITIONS", 3)
-    assert upsert_partitions(frame(spark, *data, (10, "new", 2001)), target, ["year"]) is None
-    assert read_table(spark, target).count() == 8
+    assert len(upsert_partitions(frame(spark, *data, (100, "new", 2001)), target, ["year"])) == 61
+    assert read_table(spark, target).count() == 62
 
 
 def test_slice_prunes_partitions(spark, tmp_path):
@@ -92,10 +93,10 @@ def test_slice_prunes_partitions(spark, tmp_path):
 
 
 def test_filter_on_many_partitions(spark):
-    values = [incremental.Row(y=y, m=m) for y in (None, *range(1900, 1980)) for m in (None, *range(1, 12))]
+    values = [Row(y=y, m=m) for y in (None, *range(1900, 1980)) for m in (None, *range(1, 12))]
     data = spark.createDataFrame([(1950, 3), (1950, 12), (1985, 3), (None, None), (None, 12)], "y int, m int")
-    assert rows(data.where(incremental._in_partitions(values, ["y", "m"]))) == [(None, None), (1950, 3)]
-    assert data.where(incremental._in_partitions([], ["y", "m"])).count() == 0
+    assert rows(data.where(in_partitions(values, ["y", "m"]))) == [(None, None), (1950, 3)]
+    assert data.where(in_partitions([], ["y", "m"])).count() == 0
 
 
 def test_upsert_goes_on_after_a_cut(spark, tmp_path, monkeypatch):
