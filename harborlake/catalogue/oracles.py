@@ -241,4 +241,17 @@ ORACLES: dict[str, str] = {
           join ports on 'nation_' || recent_rows.city = ports.city""",
     "incremental_append": "select c_custkey, c_name, c_nationkey from customer",
     "incremental_arrivals": f"with {IMM} {DATED_IMM}",
+    "table_versions": """select o_orderkey, cast(year(o_orderdate) as integer) as year, 1 as version from orders where year(o_orderdate) < 1996
+        union all select o_orderkey, cast(year(o_orderdate) as integer), 3 from orders where year(o_orderdate) >= 1996""",
+    "append_only_arrivals": f"with {IMM} {DATED_IMM}",
+    "maintained_reports": f"""with {IMM}, {CITY_DEMO.removeprefix(PORTS + ", ")}, {AIRPORT}, {LAND_TEMP.removeprefix(PORTS + ", ")}
+        select 'port and month' as report, i94port as key, coalesce(year, 0) || '-' || coalesce(month, 0) as part, count(*) as n, 0::double as value
+        from imm group by all
+        union all select 'airport types', state, type, arrivals, airports::double from
+          (select state, type, count(*) as airports from airport group by state, type)
+          join (select port_state, count(*) as arrivals from imm group by port_state) on state = port_state
+        union all select 'temperatures', port_id, cast(cast(date_trunc('month', dt) as date) as varchar), count("AverageTemperature"),
+          coalesce({_exact_avg('"AverageTemperature"')}, 0) from land_temp group by port_id, date_trunc('month', dt)
+        union all select 'demographics', i94port, cast(total_pop as varchar), arrivals, coalesce("White"::double / nullif(total_pop, 0)::double, 0)
+        from (select i94port, count(*) as arrivals from imm group by i94port) join city_demo on i94port = port_id""",
 }

@@ -252,7 +252,7 @@ def compact(spark: SparkSession, table: str) -> Version:
 def expire(spark: SparkSession, table: str, *, keep: int = 1, min_age_seconds: float = 86_400) -> list[str]:
     """Delete pointers older than the ``keep`` newest versions, and folders that none of those name.
 
-    Folders younger than ``min_age_seconds`` stay, since a writer may be about to name them. Returns what was deleted.
+    What is younger than ``min_age_seconds`` stays: a writer may be about to name it, a reader still be reading. Returns what was deleted.
     """
     table = table.rstrip("/")
     versions = history(spark, table)[: max(1, keep)]
@@ -263,7 +263,8 @@ def expire(spark: SparkSession, table: str, *, keep: int = 1, min_age_seconds: f
     old = time.time() - min_age_seconds
     gone = [f"{table}/{n}" for n, at in paths.names(spark, table).items() if n.startswith(f"{BATCH}=") and n not in named and at <= old]
     gone += [f"{table}/{_VALUES}/{n}" for n, at in paths.names(spark, f"{table}/{_VALUES}").items() if n not in folders and at <= old]
-    gone += [_pointer(table, n) for n in _numbers(spark, table) if n < versions[-1].number]
+    pointers = paths.names(spark, f"{table}/{_POINTERS}")
+    gone += [f"{table}/{_POINTERS}/{n}" for n, at in pointers.items() if n < _pointer("", versions[-1].number).rpartition("/")[2] and at <= old]
     for path in gone:
         paths.delete(spark, path)
     return gone
