@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from harborlake import plans, streaming, versions
+from harborlake import operators, plans, streaming, versions
 from harborlake.catalogue.derived import (
     AS_OF,
     MAX_DAYS,
@@ -20,8 +20,10 @@ from harborlake.catalogue.derived import (
 )
 from harborlake.catalogue.queries import _dated, query
 from harborlake.plans import maintained
+from harborlake.operators.pivot import cell
 from harborlake.sinks import scratch_path
-from harborlake.sources import read_table
+from harborlake.sinks.landing import land_files, landed_files, manifest
+from harborlake.sources import read_delimited, read_table, type_misfits, with_types
 
 _RAW = "cicid string, i94yr string, i94port string, arrdate string"
 # Overlapping years of arrival, one wave of files each.
@@ -99,3 +101,83 @@ def maintained_reports(spark, sf_dir):
         F.lit("demographics"), "i94port", text("total_pop"), "arrivals", F.coalesce("White_share", F.lit(0.0))
     )
     return by_month.union(types).union(months).union(people)
+
+
+@query
+def stream_without_copies(spark, sf_dir):
+    """Events in three files, with copies of the latest days and rows that come ten days late; what is kept and what is late."""
+    path = scratch_path(spark, "stream")
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    waves = (
+        "ts < '2024-01-12'",
+        "ts >= '2024-01-11' and ts < '2024-01-22' or ts < '2024-01-08' and event_id % 3 = 0",
+        "ts >= '2024-01-21' or event_type is null",
+    )
+    for n, wave in enumerate(waves):
+        events.where(wave).coalesce(1).write.parquet(f"{path}/in/{n}")
+    arriving = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    streaming.ingest_distinct(arriving, f"{path}/out", f"{path}/checkpoint", keys=["event_id"], event_time="ts", delay="2 days")
+    kept = streaming.on_time(spark, f"{path}/out").withColumn("late", F.lit(False))
+    found = kept.unionByName(streaming.late_rows(spark, f"{path}/out").withColumn("late", F.lit(True)))
+    return found.select("event_id", "event_type", "late")
+
+
+@query
+def dedupe_by_digest(spark, sf_dir):
+    """Wide rows, some of them twice."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return operators.dedupe_by_digest(documents.unionAll(documents.where("doc_id % 10 = 0")))
+
+
+@query
+def side_by_side(spark, sf_dir):
+    """Suppliers by name beside customers by balance, of which there are more, from differently dealt tables."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").repartition(5)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal").repartition(11, "c_custkey")
+    return operators.side_by_side(suppliers, customers, ["s_name", "s_suppkey"], ["c_acctbal", "c_custkey"], name="position")
+
+
+@query
+def pivot_of_many_values(spark, sf_dir):
+    """Largest quantity per supplier and part, with more parts than columns are allowed; a few cells taken out."""
+    cells = operators.pivot_max_map(table(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_partkey", "l_quantity")
+    some = [cell(p, 0.0).alias(f"part_{p}") for p in (1, 2, 3)]
+    return cells.select("l_suppkey", F.size("cells").cast("bigint").alias("parts"), *some)
+
+
+@query
+def whole_numbers_with_fractions(spark, sf_dir):
+    """Numbers as an export of floats writes them, some of them no whole numbers; how each column misfits beside its sum."""
+    path = scratch_path(spark, "floats")
+    customer = table(spark, sf_dir, "customer")
+    written = customer.select(
+        F.concat(text("c_custkey"), F.lit(".0")).alias("key"),
+        F.when(F.col("c_custkey") % 7 == 0, "n/a").otherwise(F.concat(text("c_nationkey"), F.lit(".00"))).alias("nation"),
+        F.concat(text("c_nationkey"), F.when(F.col("c_custkey") % 5 == 0, ".5").otherwise(".0")).alias("half"),
+    )
+    written.write.option("header", True).csv(path)
+    types = {"key": "bigint", "nation": "int", "half": "int"}
+    raw = read_delimited(spark, path)
+    typed = with_types(raw, types).agg(*[F.sum(c).alias(c) for c in types])
+    sums = typed.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("total")) for c in types])))
+    return sums.join(type_misfits(raw, types), "column", "left").select("column", "total", F.coalesce("misfits", F.lit(0)).alias("misfits"))
+
+
+@query
+def landed_bytes(spark, sf_dir):
+    """A file per nation with quotes, blanks and line ends, landed byte for byte in two runs: what the manifest and the bytes say."""
+    path = scratch_path(spark, "bytes")
+    lines = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit('  "'), F.col("c_name"), F.lit('",\t\r')).alias("value"), "c_custkey", F.col("c_nationkey").alias("n")
+    )
+
+    def arrive(some):
+        some = some.repartition("n").sortWithinPartitions("n", "c_custkey").drop("c_custkey")
+        some.write.mode("append").partitionBy("n").text(f"{path}/in")
+        land_files(spark, f"{path}/in", f"{path}/out", suffix=".txt", piece_bytes=1000)
+
+    arrive(lines.where("n < 11"))
+    arrive(lines.where("n >= 11"))
+    nation = F.regexp_extract("path", "n=([0-9]+)", 1).cast("int").alias("nation")
+    landed = landed_files(spark, f"{path}/out").select(nation, "length", F.sha2("content", 256).alias("sha256"))
+    return landed.join(manifest(spark, f"{path}/out").select(nation, "pieces"), "nation")

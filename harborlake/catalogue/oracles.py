@@ -254,4 +254,27 @@ ORACLES: dict[str, str] = {
           coalesce({_exact_avg('"AverageTemperature"')}, 0) from land_temp group by port_id, date_trunc('month', dt)
         union all select 'demographics', i94port, cast(total_pop as varchar), arrivals, coalesce("White"::double / nullif(total_pop, 0)::double, 0)
         from (select i94port, count(*) as arrivals from imm group by i94port) join city_demo on i94port = port_id""",
+    "stream_without_copies": """select event_id, event_type, false as late from events
+        union all select event_id, event_type, true from events
+        where ts < timestamp '2024-01-08' and event_id % 3 = 0""",
+    "dedupe_by_digest": "select doc_id, text, lang, source from documents",
+    "side_by_side": """select coalesce(s.position, c.position) as position, s_suppkey, s_name, c_custkey, c_acctbal from
+          (select *, row_number() over (order by s_name, s_suppkey) - 1 as position from supplier) s
+        full join (select *, row_number() over (order by c_acctbal, c_custkey) - 1 as position from customer) c using (position)""",
+    "pivot_of_many_values": """select l_suppkey, count(distinct l_partkey) as parts,
+          coalesce(max(l_quantity) filter (l_partkey = 1), 0) as part_1, coalesce(max(l_quantity) filter (l_partkey = 2), 0) as part_2,
+          coalesce(max(l_quantity) filter (l_partkey = 3), 0) as part_3 from lineitem group by l_suppkey""",
+    "whole_numbers_with_fractions": """select 'key' as "column", cast(sum(c_custkey) as bigint) as total, cast(0 as bigint) as misfits from customer
+        union all select 'nation', cast(sum(c_nationkey) filter (c_custkey % 7 <> 0) as bigint), count(*) filter (c_custkey % 7 = 0) from customer
+        union all select 'half', cast(sum(c_nationkey) filter (c_custkey % 5 <> 0) as bigint), count(*) filter (c_custkey % 5 = 0) from customer""",
+    "landed_bytes": """select cast(c_nationkey as integer) as nation, cast(length(bytes) as bigint) as length, sha256(bytes) as sha256,
+          cast(greatest(1, ceil(length(bytes) / 1000)) as integer) as pieces from
+          (select c_nationkey, string_agg('  "' || c_name || '",' || chr(9) || chr(13) || chr(10), '' order by c_custkey) as bytes
+           from customer group by c_nationkey)""",
+    "recent_until_today": """select l_orderkey, l_linenumber from lineitem where date_diff('day', cast(l_shipdate as date), current_date) < 11500""",
+    "arrivals_with_temperature_overall": f"""with {IMM}, {LAND_TEMP.removeprefix(PORTS + ", ")}
+        select port_id, arrivals, avg_temperature, measurements from
+          (select i94port as port_id, count(*) as arrivals from imm group by 1)
+        join (select port_id, {_exact_avg('"AverageTemperature"')} as avg_temperature,
+             count("AverageTemperature") as measurements from land_temp group by 1) using (port_id)""",
 }

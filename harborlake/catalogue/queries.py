@@ -126,6 +126,12 @@ def recent_day_differences(spark, sf_dir):
     )
 
 
+@query
+def recent_until_today(spark, sf_dir):
+    lineitem = table(spark, sf_dir, "lineitem")
+    return recent(lineitem, "l_shipdate", 11_500).select("l_orderkey", "l_linenumber")
+
+
 @query
 def matching_lines(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
@@ -308,14 +314,15 @@ def saved_table(spark, sf_dir):
 
 @query
 def landed_extracts(spark, sf_dir):
-    """Extracts in nested folders, two of them of the same file name, become one CSV dataset."""
+    """Extracts in nested folders, two of them of the same file name, become one dataset."""
     path = scratch_path(spark, "extracts")
-    raw = raw_arrivals(spark, sf_dir).fillna("")
+    raw = raw_arrivals(spark, sf_dir)
     raw.withColumn("source_year", F.col("i94yr")).write.mode("overwrite").partitionBy("source_year").json(
         f"{path}/in"
     )
-    plans.land_extracts(spark, plans.Extract(f"{path}/in", "json", suffix=".json"), f"{path}/out")
-    return read_delimited(spark, f"{path}/out").select("cicid", "i94yr", "i94port", "arrdate")
+    schema = "cicid string, i94yr string, i94port string, arrdate string"
+    plans.land_extracts(spark, plans.Extract(f"{path}/in", "json", suffix=".json", schema=schema), f"{path}/out")
+    return read_table(spark, f"{path}/out", schema)
 
 
 @query
@@ -542,6 +549,16 @@ def arrivals_with_temperature(spark, sf_dir):
     )
 
 
+@query
+def arrivals_with_temperature_overall(spark, sf_dir):
+    """The same over all years, from stored tables."""
+    known, path = ports(spark, sf_dir), scratch_path(spark, "overall")
+    overwrite_table(plans.build_arrivals(raw_arrivals(spark, sf_dir), known), f"{path}/imm")
+    temperatures = plans.build_land_temperatures(raw_temperatures(spark, sf_dir), known, as_of=AS_OF, max_days=MAX_DAYS)
+    overwrite_table(temperatures, f"{path}/land_temp")
+    return plans.arrivals_with_temperature(read_table(spark, f"{path}/imm"), read_table(spark, f"{path}/land_temp"), scale=2)
+
+
 # --- runs and incremental loads ----------------------------------------------------
 
 
@@ -560,7 +577,11 @@ def whole_run(spark, sf_dir):
         where,
         as_of=AS_OF,
         max_days=MAX_DAYS,
-        extracts={"imm": plans.Extract(f"{root}/extracts", "json", suffix=".json")},
+        extracts={
+            "imm": plans.Extract(
+                f"{root}/extracts", "json", suffix=".json", schema="cicid string, i94yr string, i94port string, arrdate string"
+            )
+        },
         sources={"labels": label_texts(spark, sf_dir)},
     )
     return plans.pipeline_report(spark, results)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def pivot_values(df: DataFrame, pivot_column: str) -> list:
@@ -48,3 +48,22 @@ def pivot_max(
     ]
     wide = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*cells)
     return wide if fill is None else wide.fillna(fill)
+
+
+def pivot_max_map(df: DataFrame, keys: Sequence[str], pivot_column: str, value_column: str, into: str = "cells") -> DataFrame:
+    """One row per key and a map from pivot value to the largest value of the cell, however many pivot values there are.
+
+    Cells are reduced first, so a key's map holds one entry per value that it really has; columns are taken out of the map where they
+    are needed (``cell``), not made for every value in the data. Cells without a value and rows without a pivot value only
+    contribute their keys. The map's entries are in no particular order.
+    """
+    by = [F.col(f"`{k}`") for k in keys]
+    cells = df.groupBy(*by, F.col(f"`{pivot_column}`").alias("__value")).agg(F.max(F.col(f"`{value_column}`")).alias("__max"))
+    entry = F.when(F.col("__value").isNotNull() & F.col("__max").isNotNull(), F.struct("__value", "__max"))
+    return cells.groupBy(*by).agg(F.map_from_entries(F.collect_list(entry)).alias(into))
+
+
+def cell(value, fill: float | None = 0, of: str = "cells") -> Column:
+    """A cell of ``pivot_max_map``."""
+    found = F.try_element_at(F.col(of), F.lit(value))
+    return found if fill is None else F.coalesce(found, F.lit(fill))

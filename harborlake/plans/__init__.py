@@ -18,10 +18,13 @@ from harborlake.plans.pipeline import (
 )
 from harborlake.plans.quality import (
     QualityError,
+    check_ports,
     duplicate_report,
+    port_conflicts,
     row_counts,
     unmatched_report,
     write_checked,
+    write_checked_version,
 )
 from harborlake.plans.tables import (
     build_airports,
@@ -44,9 +47,11 @@ __all__ = [
     "build_city_demographics",
     "build_land_temperatures",
     "build_ports",
+    "check_ports",
     "duplicate_report",
     "land_extracts",
     "pipeline_report",
+    "port_conflicts",
     "port_demographics",
     "read_ports",
     "register_views",
@@ -56,4 +61,5 @@ __all__ = [
     "top_ports",
     "unmatched_report",
     "write_checked",
+    "write_checked_version",
 ]

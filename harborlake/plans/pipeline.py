@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from harborlake import schemas
-from harborlake.plans.quality import write_checked
+from harborlake.plans.quality import check_ports, write_checked_version
 from harborlake.plans.tables import (
     RECENT_DAYS,
     build_airports,
@@ -21,7 +21,7 @@ from harborlake.plans.tables import (
     build_ports,
 )
 from harborlake.sinks import land, preview, write_delimited
-from harborlake.sources import read_any, read_delimited, read_table, read_texts
+from harborlake.sources import read_any, read_delimited, read_table, read_texts, with_types
 
 
 @dataclass(frozen=True)
@@ -64,11 +64,12 @@ class TableResult:
 
 
 def land_extracts(
-    spark: SparkSession, extract: Extract, target: str, *, fmt: str = "csv", sep: str = ","
+    spark: SparkSession, extract: Extract, target: str, *, fmt: str = "parquet", sep: str = ","
 ) -> DataFrame:
     """Land all files of an extract as one dataset, replacing the previous one; returns a preview row.
 
-    They are read and written in one job, so no file replaces another's rows.
+    They are read and written in one job, so no file replaces another's rows. Parquet keeps every text as it is;
+    ``fmt="csv"`` trims blanks, makes empty texts null and lets line ends break rows. ``land_files`` keeps the bytes of the files.
     """
     rows = read_any(
         spark,
@@ -113,7 +114,8 @@ def run_pipeline(
 
     A failing port build stops the run, since three tables depend on it; a failing table
     does not stop the others. ``extracts`` (airport, city_demo, imm, land_temp) are landed
-    first; ``sources`` (these and labels) replaces landed CSV folders by other DataFrames.
+    first, as Parquet; ``sources`` (these and labels) replaces landed CSV folders by other DataFrames.
+    Every table gets a new version (``harborlake.versions``), which ``read_table`` finds; older ones stay until they are expired.
     """
     given = dict(sources or {})
     to_land = dict(extracts or {})
@@ -122,9 +124,11 @@ def run_pipeline(
         if name in given:
             return given[name]
         folder = locations.landed(name)
-        if name in to_land:
-            land_extracts(spark, to_land[name], folder, sep=read.get("sep", ","))
-        return read_delimited(spark, folder, **read)
+        if name not in to_land:
+            return read_delimited(spark, folder, **read)
+        land_extracts(spark, to_land[name], folder)
+        landed = read_table(spark, folder)
+        return with_types(landed, read["types"]) if "types" in read else landed
 
     def ports() -> DataFrame:
         return read_ports(spark, locations.ports)
@@ -158,13 +162,14 @@ def run_pipeline(
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         make, partition_by = builds[name]
         try:
-            written = write_checked(make(), locations.table(name), partition_by)
+            written = write_checked_version(make(), locations.table(name), partition_by)
         except Exception as error:  # reported, so that the other tables are still built
             return TableResult(name, None, f"{type(error).__name__}: {error}")
-        return TableResult(name, written.stored, None)
+        return TableResult(name, written.rows, None)
 
     labels = given["labels"] if "labels" in given else read_texts(spark, locations.landed("labels"))
     write_delimited(build_ports(labels), locations.ports)
+    check_ports(labels, ports())
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
         runs = [pool.submit(inheritable_thread_target(spark)(build), name) for name in builds]
         return [run.result() for run in runs]

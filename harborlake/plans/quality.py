@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from harborlake.operators import unmatched_counts
 from harborlake.sinks import delete, overwrite_partitions, overwrite_table
 from harborlake.sinks.paths import swap_in
+from harborlake.operators.labels import PORT_BLOCK_MARKER
 from harborlake.sources import read_table
+from harborlake.versions import Version, write_version
 
 
 class QualityError(ValueError):
@@ -57,7 +59,10 @@ class Written:
 def write_checked(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), *, allow_empty: bool = False
 ) -> Written:
-    """Replace a Parquet table, but only by one that holds the rows that were sent, some unless ``allow_empty``.
+    """Replace a plain Parquet folder, but only by one that holds the rows that were sent, some unless ``allow_empty``.
+
+    For readers that know nothing of versions, on a file system that renames folders at once. Between the two renames there is no
+    table for a moment, and object stores copy it; ``write_checked_version`` has neither fault.
 
     The new table is written beside the old one, counted, and then takes its place; when a check or the
     write fails, the old table stays as it was. The rows sent are counted while they are written; the count
@@ -77,3 +82,34 @@ def write_checked(
         raise QualityError(f"{path}: {wrong}")
     swap_in(spark, staged, path)
     return result
+
+
+def write_checked_version(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), *, allow_empty: bool = False
+) -> Version:
+    """Make a new version of a table, but only one that holds the rows that were sent, some unless ``allow_empty``.
+
+    Readers see the version before until the new one is complete and checked.
+    """
+    try:
+        return write_version(df, path, partition_by, allow_empty=allow_empty)
+    except (ValueError, OSError) as error:
+        raise QualityError(f"{path}: {error}") from error
+
+
+def port_conflicts(ports: DataFrame) -> DataFrame:
+    """(port_id, names): codes that stand for several names."""
+    named = ports.groupBy("port_id").agg(F.array_sort(F.collect_set(F.coalesce("city_state", F.lit("")))).alias("names"), F.count("*").alias("n"))
+    return named.where("n > 1").select("port_id", "names")
+
+
+def check_ports(texts: DataFrame, ports: DataFrame, text_column: str = "value", marker: str = PORT_BLOCK_MARKER, shown: int = 5) -> None:
+    """An error if a label text has no block of ports, no port was found at all, or a code has several names."""
+    without = texts.where(~F.coalesce(F.col(text_column).contains(marker), F.lit(False))).count()
+    if without:
+        raise QualityError(f"ports: {without} label texts without {marker}")
+    if ports.isEmpty():
+        raise QualityError("ports: no rows")
+    wrong = port_conflicts(ports).orderBy("port_id").limit(shown).collect()
+    if wrong:
+        raise QualityError("ports: several names for " + "; ".join(f"{r.port_id}: {', '.join(r.names)}" for r in wrong))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from harborlake.versions import is_versioned, read_version
 
@@ -58,16 +58,53 @@ def read_delimited(
     return with_types(df, types) if types else df
 
 
-def with_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _typed(name: str, kind: str) -> Column:
+    """Text as a value of a type, else null; a whole number may be written with a fraction of zeros (``1000.0``)."""
+    column = F.col(f"`{name}`")
+    if kind not in _WHOLE:
+        return column.try_cast(kind)
+    number = column.try_cast("decimal(38,10)")
+    return F.coalesce(column.try_cast(kind), F.when(number == F.floor(number), number).try_cast(kind))
+
+
+def with_types(df: DataFrame, types: Mapping[str, str], *, strict: bool = False) -> DataFrame:
     """Cast text columns by name; text that does not fit becomes null, as it does in a typed CSV scan.
 
-    Columns that are not text have a type already and keep it.
+    Columns that are not text have a type already and keep it. With ``strict``, text that does not fit is an error when its
+    row is read; blank text is missing, not misfitting.
     """
-    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
-    casts = {name: F.col(f"`{name}`").try_cast(kind) for name, kind in types.items() if name in texts}
+    casts = {}
+    for name, kind in _text_columns(df, types).items():
+        typed = _typed(name, kind)
+        if strict:
+            what = F.concat(F.lit(f"{name} is no {kind}: "), F.col(f"`{name}`"))
+            typed = F.when(_misfits(name, kind), F.raise_error(what).cast(kind)).otherwise(typed)
+        casts[name] = typed
     return df.withColumns(casts) if casts else df
 
 
+def _text_columns(df: DataFrame, types: Mapping[str, str]) -> dict[str, str]:
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return {name: kind for name, kind in types.items() if name in texts}
+
+
+def _misfits(name: str, kind: str) -> Column:
+    return F.coalesce(F.trim(F.col(f"`{name}`")) != "", F.lit(False)) & _typed(name, kind).isNull()
+
+
+def type_misfits(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """(column, misfits, example): how many texts ``with_types`` turns into nulls, per column that has any, in one pass."""
+    columns = _text_columns(df, types)
+    counts = [F.struct(F.count_if(_misfits(n, k)).alias("n"), F.min(F.when(_misfits(n, k), F.col(f"`{n}`"))).alias("x")).alias(n) for n, k in columns.items()]
+    if not counts:
+        return df.sparkSession.createDataFrame([], "column string, misfits bigint, example string")
+    rows = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"`{n}`.n").alias("misfits"), F.col(f"`{n}`.x").alias("example")) for n in columns])
+    return df.agg(*counts).select(F.inline(rows)).where("misfits > 0")
+
+
 def read_texts(spark: SparkSession, paths: Paths, *, whole: bool = True) -> DataFrame:
     """Text files: one row per file with its whole text, or one row per line."""
     return spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=whole)
