@@ -105,13 +105,13 @@ def maintained_reports(spark, sf_dir):
 
 @query
 def stream_without_copies(spark, sf_dir):
-    """Events in three files, with copies of the latest days and rows that come ten days late; what is kept and what is late."""
+    """Events in three files, with copies of the latest days and rows that come two weeks late; what is kept and what is late."""
     path = scratch_path(spark, "stream")
     events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
     waves = (
         "ts < '2024-01-12'",
-        "ts >= '2024-01-11' and ts < '2024-01-22' or ts < '2024-01-08' and event_id % 3 = 0",
-        "ts >= '2024-01-21' or event_type is null",
+        "ts >= '2024-01-11' and ts < '2024-01-22'",
+        "ts >= '2024-01-21' or ts < '2024-01-08' and event_id % 3 = 0",
     )
     for n, wave in enumerate(waves):
         events.where(wave).coalesce(1).write.parquet(f"{path}/in/{n}")

@@ -3,6 +3,7 @@
 A landed file is one or more rows (path, modified, length, sha256, piece, pieces, content) of a table of versions; a piece has
 ``PIECE_BYTES`` at most, so that rows and pages stay small. A file that was landed already, with the same length and time of
 modification, is not read again; one that has changed since is landed again, and the newer edition counts.
+Files without a single byte are nothing to Spark's scans and are left out.
 """
 
 from __future__ import annotations

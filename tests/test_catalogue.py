@@ -18,6 +18,7 @@ DUCKDB_TYPES = {
     "double": "DOUBLE",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
 }
 
 
