@@ -55,6 +55,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+HEAVY = 4096  # keys that are broadcast: each holds more than 1/4096 of the rows, so there are not more of them
+
+
+def join_spread(rows: DataFrame, side: DataFrame, key: list[str], weight: str, total: int) -> DataFrame:
+    """Inner join with a table of one row per key, whose ``weight`` says how many of the ``total`` rows have that key.
+
+    Keys with more than 1/HEAVY of all rows are broadcast, so no task gets all rows of a hot key; the others are joined as usual.
+    ``rows`` and ``side`` are read twice. The weight is dropped.
+    """
+    hot = F.broadcast(side.where(F.col(weight) > total / HEAVY).drop(weight))
+    rest = rows.join(hot.select(*key), key, "left_anti").join(side.where(F.col(weight) <= total / HEAVY).drop(weight), key)
+    return rows.join(hot, key).unionByName(rest)
+
+
+def with_key(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows with a number of their own, written so that it stays theirs; returns them and the name of its column."""
+    key = "_key"
+    while key in {c.lower() for c in docs.columns}:
+        key += "_"
+    return stored(docs.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches with a ``text`` column so that each slice has about ``limit`` bytes of text, one row at least."""
     for batch in batches:

@@ -7,8 +7,10 @@ monoid (length, hashes, blank at either end), so a huge document is cut into pie
 by different tasks, and a run of white space across a cut still counts as one blank. Documents with
 equal fingerprints are then compared chunk by chunk, so the result is exact whatever the hashes do.
 
-Empty and missing texts are equal to each other. Rows without a doc_id are groups of their own and
-stay. Repeated rows (same doc_id and text) give one row of the result and count each in its group.
+Empty and missing texts are equal to each other. Every row gives a row of the result, repeated ones (same doc_id and text) too; of
+those one stays at most. A row without a doc_id stays only if no equal text has one. Inside, such rows have the number
+``NO_ID``, which is therefore no doc_id. An empty table gives no rows; columns besides doc_id and text are never read.
+No task gets a whole hot group: groups that hold more than a fixed share of all rows meet their representative by broadcast.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harborlake.llm.common import encoded, slices, stored, texts
+from harborlake.llm.common import encoded, join_spread, slices, stored, texts
 
 WHITE = rb"[\x20\x09-\x0D]+"
 WHITE_SQL = r"[\x20\x09-\x0D]+"
@@ -30,6 +32,8 @@ WHITE_SQL = r"[\x20\x09-\x0D]+"
 # Two primes below 2**31, so that products fit 64 bits, and a base for each.
 PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
 BASES = (1_000_003, 998_244_353)
+NO_ID = -(1 << 63)
+TOGETHER = 64  # members of a group whose chunks meet one copy of their representative's
 CHUNK_BYTES = 1024
 PIECE_CHARS = 1 << 20
 COMPARED_CHARS = 1 << 16
@@ -120,7 +124,7 @@ def fingerprints(docs: DataFrame, *, primes=PRIMES, bases=BASES, piece_chars: in
 
     Documents of more than ``piece_chars`` characters are cut and their pieces spread over the cluster.
     """
-    rows = texts(docs).where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = numbered_texts(docs)
     long = F.char_length("text") > piece_chars
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,15 +214,16 @@ def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _unequal(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (doc_id, text_sha256, rep, rep_sha256) whose texts differ in a chunk.
+    """Those of ``pairs`` (doc_id, text_sha256, rep, rep_sha256, salts) whose texts differ in a chunk.
 
-    The chunks of a document meet those of its representative in a join on the representative and
-    the chunk's number; a representative with very many copies is a skewed key of a plain join.
+    The chunks of a document meet those of its representative in a join on the representative and the chunk's number, and on one of
+    ``salts`` numbers, for each of which the representative's chunks are there once more: no task gets more than about
+    ``TOGETHER`` members of a group.
     """
     wanted = pairs.select("doc_id").union(pairs.select("rep")).distinct()
     # merge joins at every size, so that what is shuffled follows the input and not a switch of plans
     chunks = (
-        _likely(texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")), wanted)
+        _likely(numbered_texts(docs), wanted)
         .join(wanted.hint("merge"), "doc_id")  # inner: a semi join would be pushed below the bitmap
         .withColumn("text", F.regexp_replace("text", WHITE_SQL, " "))
         .withColumn("text_sha256", F.sha2("text", 256))
@@ -236,12 +241,16 @@ def _unequal(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         )
     )
     chunks = stored(chunks, "compared_chunks")
-    own = chunks.join(pairs.hint("merge"), ["doc_id", "text_sha256"])
-    kept = chunks.join(pairs.select("rep", "rep_sha256").distinct().withColumnsRenamed({"rep": "doc_id", "rep_sha256": "text_sha256"}), ["doc_id", "text_sha256"], "left_semi")
-    kept = kept.select(F.col("doc_id").alias("rep"), F.col("text_sha256").alias("rep_sha256"), "at", F.col("chunks").alias("rep_chunks"), F.col("chunk").alias("rep_chunk"))
+    salt = F.pmod(F.xxhash64("doc_id", "text_sha256"), F.col("salts")).cast("int").alias("salt")
+    own = chunks.join(pairs.select("doc_id", "text_sha256", "rep", "rep_sha256", salt).hint("merge"), ["doc_id", "text_sha256"])
+    reps = pairs.groupBy(F.col("rep").alias("doc_id"), F.col("rep_sha256").alias("text_sha256")).agg(F.max("salts").alias("salts"))
+    reps = reps.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    # a row with the doc_id and text of a representative may be there more than once
+    once = chunks.dropDuplicates(["doc_id", "text_sha256", "at"]).join(reps, ["doc_id", "text_sha256"])
+    kept = once.select(F.col("doc_id").alias("rep"), F.col("text_sha256").alias("rep_sha256"), "at", "salt", F.col("chunks").alias("rep_chunks"), F.col("chunk").alias("rep_chunk"))
     same = F.coalesce(F.col("chunk") == F.col("rep_chunk"), F.lit(False)) & (F.col("chunks") == F.col("rep_chunks"))
     return (
-        own.join(kept, ["rep", "rep_sha256", "at"], "left")
+        own.join(kept, ["rep", "rep_sha256", "at", "salt"], "left")
         .groupBy("doc_id", "text_sha256")
         .agg(F.min(F.coalesce(same, F.lit(False))).alias("equal"))
         .where("not equal")
@@ -249,8 +258,13 @@ def _unequal(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def numbered_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, NO_ID where it is missing, and text of each row."""
+    return texts(docs).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+
+
 def exact_groups(docs: DataFrame, *, primes=PRIMES, bases=BASES, piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, fingerprint, length.
+    """One row per row: doc_id, keep_id, group_size, kept, text_sha256, fingerprint, length.
 
     The row with the smallest doc_id of equal texts stays. Where a fingerprint is shared by texts
     that turn out to differ, those that are unlike its smallest document are grouped again among
@@ -261,44 +275,26 @@ def exact_groups(docs: DataFrame, *, primes=PRIMES, bases=BASES, piece_chars: in
         marks.groupBy("doc_id", "length", "fingerprint", "text_sha256").agg(F.count("*").alias("copies")),
         "fingerprints",
     )
-    key = ["length", "fingerprint"]
+    key, total = ["length", "fingerprint"], marks.count()
     pending, settled = marks, None
+    order = F.struct((F.col("doc_id") == NO_ID).alias("without"), "doc_id", "text_sha256")
     while True:
-        first = pending.groupBy(*key).agg(
-            F.min(F.struct("doc_id", "text_sha256")).alias("rep"), F.count("*").alias("members")
-        )
-        shared = first.where("members > 1").select(*key, "rep.doc_id", "rep.text_sha256")
-        shared = shared.withColumnsRenamed({"doc_id": "rep", "text_sha256": "rep_sha256"})
-        pairs = stored(
-            pending.join(shared, key).where("doc_id <> rep or text_sha256 <> rep_sha256"), "equal_fingerprints"
-        )
-        failed = stored(_unequal(docs, pairs.select("doc_id", "text_sha256", "rep", "rep_sha256")), "unequal")
+        first = stored(pending.groupBy(*key).agg(F.min(order).alias("rep"), F.count("*").alias("members")), "representatives")
+        first = first.select(*key, F.col("rep.doc_id").alias("rep"), F.col("rep.text_sha256").alias("rep_sha256"), "members")
+        salts = F.ceil(F.col("members") / TOGETHER).cast("int").alias("salts")
+        pairs = join_spread(pending, first.where("members > 1").select("*", salts), key, "members", total)
+        pairs = stored(pairs.where("doc_id <> rep or text_sha256 <> rep_sha256"), "equal_fingerprints")
+        failed = stored(_unequal(docs, pairs.select("doc_id", "text_sha256", "rep", "rep_sha256", "salts")), "unequal")
         anti = pending.join(failed, ["doc_id", "text_sha256"], "left_anti")
-        done = anti.join(first.select(*key, F.col("rep.doc_id").alias("keep_id"), F.col("rep.text_sha256").alias("keep_sha256")), key)
-        settled = done if settled is None else settled.union(done)
+        done = join_spread(anti, first.withColumnsRenamed({"rep": "keep_id", "rep_sha256": "keep_sha256"}), key, "members", total)
+        settled = done if settled is None else settled.unionByName(done)
         if failed.isEmpty():
             break
         pending = stored(pending.join(failed, ["doc_id", "text_sha256"], "left_semi"), "pending")
-    sizes = settled.groupBy("keep_id", "keep_sha256").agg(F.sum("copies").alias("group_size"))
-    alone = texts(docs).where("doc_id is null").select(
-        F.lit(None).cast("long").alias("doc_id"),
-        F.lit(None).cast("long").alias("keep_id"),
-        F.lit(1).cast("long").alias("group_size"),
-        F.lit(True).alias("kept"),
-        F.sha2(F.regexp_replace("text", WHITE_SQL, " "), 256).alias("text_sha256"),
-        F.lit(None).cast("long").alias("fingerprint"),
-        F.lit(None).cast("long").alias("length"),
-    )
-    return (
-        settled.join(sizes, ["keep_id", "keep_sha256"])
-        .select(
-            "doc_id",
-            "keep_id",
-            "group_size",
-            ((F.col("doc_id") == F.col("keep_id")) & (F.col("text_sha256") == F.col("keep_sha256"))).alias("kept"),
-            "text_sha256",
-            "fingerprint",
-            "length",
-        )
-        .union(alone)
-    )
+    settled = stored(settled, "groups")
+    sizes = settled.groupBy("keep_id", "keep_sha256").agg(F.sum("copies").alias("group_size"), F.count("*").alias("members"))
+    found = join_spread(settled, stored(sizes, "sizes"), ["keep_id", "keep_sha256"], "members", total)
+    stands = (F.col("doc_id") == F.col("keep_id")) & (F.col("text_sha256") == F.col("keep_sha256"))
+    found = found.withColumn("stands", stands).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    given = [F.nullif(F.col(c), F.lit(NO_ID)).alias(c) for c in ("doc_id", "keep_id")]
+    return found.select(*given, "group_size", (F.col("stands") & (F.col("copy") == 1)).alias("kept"), "text_sha256", *key[::-1])

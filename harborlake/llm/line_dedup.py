@@ -23,12 +23,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harborlake.llm.common import IDENTITY, LOWER, UPPER, identity, same_text, stored, texts
+from harborlake.llm.common import IDENTITY, LOWER, UPPER, identity, join_spread, same_text, stored, texts
 
 # What is stripped from a line, and what ends it.
 WHITE, LINE_END = " \t\n\x0b\x0c\r", "\n"
 
-HEAVY = 4096  # shared lines that are broadcast, 16 bytes each; all others hold less than 1/4096 of all lines
 _HASH = ["a", "b"]
 
 
@@ -60,10 +59,7 @@ def dropped_lines(docs: DataFrame, *, min_docs: int = 10, min_chars: int = 1) ->
     lines = keyed.select(*IDENTITY, F.explode("lines").alias("line")).where("line is not null").select(*IDENTITY, "line.*")
     shared = stored(shared_keys(lines, min_docs), "shared_lines")
     total = lines.count()
-    heavy = F.broadcast(shared.where(F.col("rows") > total / HEAVY).select(*_HASH))
-    found = lines.join(heavy, _HASH, "left_semi").unionByName(
-        lines.join(heavy, _HASH, "left_anti").join(shared.where(F.col("rows") <= total / HEAVY), _HASH, "left_semi")
-    )
+    found = join_spread(lines, shared, _HASH, "rows", total)
     return found.groupBy(*IDENTITY).agg(F.array_sort(F.collect_set("at")).alias("dropped"))
 
 

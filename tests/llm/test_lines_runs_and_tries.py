@@ -12,7 +12,7 @@ from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 import brute
-from harborlake.llm import line_dedup, periods, prefix_trie, queries
+from harborlake.llm import common, line_dedup, periods, prefix_trie, queries
 from harborlake.llm.oracles import ORACLES
 
 rng = random.Random(11)
@@ -70,7 +70,7 @@ def test_lines(spark, min_docs, min_chars):
 def test_lines_when_none_is_heavy_and_when_all_are(spark, monkeypatch):
     rows = [(n, "a\nb\nc" if n % 3 else f"a\n{n}\n{n % 5}") for n in range(60)]
     for heavy in (1, 10**9):
-        monkeypatch.setattr(line_dedup, "HEAVY", heavy)
+        monkeypatch.setattr(common, "HEAVY", heavy)
         assert tuples(line_dedup.digests(line_dedup.without_shared_lines(frame(spark, rows), min_docs=5))) == lines_by_hand(rows, 5)
 
 

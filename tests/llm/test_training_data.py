@@ -92,9 +92,19 @@ def test_parts_are_a_monoid():
 
 
 def test_rows_without_identity_and_repeated_rows(spark):
-    df = frame(spark, [(None, "x"), (None, "x"), (4, "x"), (4, "x"), (9, " x"), (9, "x"), (4, "y")])
+    df = frame(spark, [(None, "x"), (None, "x"), (4, "x"), (4, "x"), (9, " x"), (9, "x"), (4, "y"), (None, "z"), (None, "z")])
     found = sorted(map(tuple, exact_dedup.exact_groups(df).select("doc_id", "keep_id", "group_size", "kept").collect()), key=str)
-    assert found == sorted([(None, None, 1, True)] * 2 + [(4, 4, 3, True), (9, 4, 3, False), (9, 9, 1, True), (4, 4, 1, True)], key=str)
+    x = [(None, 4, 5, False)] * 2 + [(4, 4, 5, True), (4, 4, 5, False), (9, 4, 5, False)]
+    assert found == sorted(x + [(9, 9, 1, True), (4, 4, 1, True), (None, None, 2, True), (None, None, 2, False)], key=str)
+
+
+@pytest.mark.parametrize("heavy, together", [(1, 1), (10**9, 2), (1, 10**6)])
+def test_hot_groups_are_spread(spark, monkeypatch, heavy, together):
+    monkeypatch.setattr(common, "HEAVY", heavy)
+    monkeypatch.setattr(exact_dedup, "TOGETHER", together)
+    rows = [(n, BASE[0] if n % 3 else BASE[n % 5 + 1]) for n in range(90)] + [(200 + n, f"text {n}") for n in range(10)]
+    for options in ({}, {"primes": (2, 2), "bases": (1, 1)}):
+        assert as_set(exact_dedup.exact_groups(frame(spark, rows), **options), *EXACT) == brute.exact(rows)
 
 
 def test_simhash(docs, rows):
@@ -410,7 +420,7 @@ def test_empty_table(spark, docs, name):
     assert OPERATORS[name](docs.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("name", [n for n in OPERATORS if n != "op10"])
+@pytest.mark.parametrize("name", OPERATORS)
 def test_rows_without_identity_keep_a_row_each(spark, name):
     df = frame(spark, [(None, "a b c"), (None, None), (3, "a b c"), (3, "a b c")])
     assert sorted((r.doc_id for r in OPERATORS[name](df).collect()), key=str) == [3, 3, None, None]
@@ -443,6 +453,29 @@ def test_pipeline_keeps_columns_and_removes_what_it_should(spark, tmp_path):
     assert encoded == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in texts}
 
 
+CLASHING = "doc_id long, text string, _key string, _digest string, row int, keep_id int, component_id string, contaminated int"
+
+
+def test_pipeline_decides_on_rows(spark, tmp_path):
+    """Copies, near copies and contaminated rows without a doc_id or with another's are removed too; columns of any name survive."""
+    near = BASE[5] + " " + BASE[6]
+    rows = [
+        (None, BASE[0]), (None, BASE[0]), (7, BASE[0]), (None, BASE[1]), (None, BASE[1].replace(" ", "  ")), (8, BASE[2]), (8, BASE[2]), (8, BASE[3]),
+        (20, near), (None, near.replace("a", "A")), (21, near.replace(" ", "\n", 1)), (8, f"{BASE[4]} {PASSAGE}"), (None, f"{BASE[7]} {PASSAGE}"), (None, None), (30, ""),
+    ]
+    df = spark.createDataFrame([(i, t, f"k{n}", f"d{n}", n, n, f"c{n}", n) for n, (i, t) in enumerate(rows)], CLASHING)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    current = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        current = common.stored(stage(spark, current, str(tmp_path)), name)
+        assert current.columns == df.columns
+    kept = {r.row: tuple(r) for r in current.collect()}
+    assert set(kept) == {2, kept.keys() & {3, 4} and min(kept.keys() & {3, 4}), min(kept.keys() & {5, 6}), 7, 8, 14}
+    assert all(kept[n] == (rows[n][0], rows[n][1], f"k{n}", f"d{n}", n, n, f"c{n}", n) for n in kept)
+
+
 def test_pipeline_of_empty_tables(spark, docs, labels, tmp_path):
     docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     labels.limit(0).write.parquet(f"{tmp_path}/labels.parquet")
