@@ -1,9 +1,9 @@
 """A corpus from documents: toxic ones go, then copies, near copies and benchmark passages; the rest is encoded.
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last keep the columns of
-``docs``, whatever they are called. Stages are joined to their decisions by doc_id: rows without one are only
-removed by the first stage, which needs no join. Rows that share a doc_id and a text become one; rows that share a
-doc_id with different texts stay as long as one of them may. Empty tables go through all stages.
+``docs``, whatever they are called. A stage that decides by comparing numbers its rows first and writes them with their
+number, so its decisions reach rows without a doc_id and tell rows with the same doc_id apart. Of a group of copies the
+row with the smallest doc_id stays, one without a doc_id if there is no other. Empty tables go through all stages.
 """
 
 from __future__ import annotations
@@ -11,18 +11,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harborlake.llm import bpe
-from harborlake.llm.common import stored, table
+from harborlake.llm.common import stored, table, with_key
 from harborlake.llm.contamination import contamination
-from harborlake.llm.exact_dedup import WHITE_SQL, exact_groups
+from harborlake.llm.exact_dedup import exact_groups
 from harborlake.llm.queries import TOKENIZER
 from harborlake.llm.simhash import near_groups
 from harborlake.llm.toxicity import toxicity_scores
 
 
-def _without(docs: DataFrame, stays: DataFrame) -> DataFrame:
-    """Less the documents none of whose rows in ``stays`` (doc_id, stay) is true."""
-    gone = stays.groupBy("doc_id").agg(F.max("stay").alias("stay")).where("not stay").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame, str]:
+    """The rows with a number of their own, the same as documents of that number, and the name of its column."""
+    rows, key = with_key(docs, name)
+    return rows, rows.select(F.col(key).alias("doc_id"), "text"), key
+
+
+def _first_of_each(rows: DataFrame, key: str, groups: DataFrame) -> DataFrame:
+    """Of the rows in each of ``groups`` (doc_id: the row's number, group), the one with the smallest doc_id."""
+    order = F.struct(F.col("id").isNull().alias("without"), "id", "number").alias("order")
+    ids = rows.select(F.col(key).alias("number"), F.col("doc_id").alias("id"))
+    first = ids.join(groups, ids["number"] == groups["doc_id"]).select("group", order).groupBy("group").agg(F.min("order").alias("order"))
+    kept = first.select(F.col("order.number").alias("__kept"))
+    return rows.join(kept, F.col(key) == F.col("__kept"), "left_semi").drop(key)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,28 +42,23 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the one with the smallest doc_id."""
-    groups = stored(exact_groups(docs).select("doc_id", "text_sha256", "kept"), "exact_groups")
-    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    repeated = stored(ids.where("n > 1").select("doc_id"), "repeated_ids")
-    once = docs.join(groups.where("not kept").select("doc_id").union(repeated).distinct(), "doc_id", "left_anti")
-    digest = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), WHITE_SQL, " "), 256)
-    kept = groups.where("kept").select("doc_id", F.col("text_sha256").alias("_digest"))
-    more = docs.join(repeated, "doc_id", "left_semi").withColumn("_digest", digest).dropDuplicates(["doc_id", "_digest"])
-    more = more.join(kept, ["doc_id", "_digest"], "left_semi")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return once.select(*columns).union(more.select(*columns))
+    rows, numbered, key = _numbered(docs, "exact_rows")
+    return _first_of_each(rows, key, exact_groups(numbered).select("doc_id", F.col("keep_id").alias("group")))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id."""
-    groups = near_groups(docs, shingle_words=3, max_bits=3)
-    return _without(docs, groups.select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("stay")))
+    rows, numbered, key = _numbered(docs, "simhash_rows")
+    groups = near_groups(numbered, shingle_words=3, max_bits=3)
+    return _first_of_each(rows, key, groups.select("doc_id", F.col("component_id").alias("group")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth are windows of benchmark items."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"), window=13)
-    return _without(docs, found.select("doc_id", (~F.col("contaminated")).alias("stay")))
+    rows, numbered, key = _numbered(docs, "tested_rows")
+    found = contamination(numbered, table(spark, sf_dir, "benchmark"), window=13)
+    gone = found.where("contaminated").select(F.col("doc_id").alias("__gone"))
+    return rows.join(gone, F.col(key) == F.col("__gone"), "left_anti").drop(key)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
