@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,6 +11,7 @@ from harborlake import operators, plans, streaming, versions
 from harborlake.catalogue.derived import (
     AS_OF,
     MAX_DAYS,
+    label_texts,
     ports,
     raw_airports,
     raw_arrivals,
@@ -20,9 +22,11 @@ from harborlake.catalogue.derived import (
 )
 from harborlake.catalogue.queries import _dated, query
 from harborlake.plans import maintained
+from harborlake.plans.editions import build_arrivals_by_edition, build_port_editions
 from harborlake.operators.pivot import cell
 from harborlake.sinks import scratch_path
 from harborlake.sinks.landing import land_files, landed_files, manifest
+from harborlake.sinks.layout import save_bucketed, write_clustered
 from harborlake.sources import read_delimited, read_table, type_misfits, with_types
 
 _RAW = "cicid string, i94yr string, i94port string, arrdate string"
@@ -181,3 +185,42 @@ def landed_bytes(spark, sf_dir):
     nation = F.regexp_extract("path", "n=([0-9]+)", 1).cast("int").alias("nation")
     landed = landed_files(spark, f"{path}/out").select(nation, "length", F.sha2("content", 256).alias("sha256"))
     return landed.join(manifest(spark, f"{path}/out").select(nation, "pieces"), "nation")
+
+
+@query
+def arrivals_by_edition(spark, sf_dir):
+    """Arrivals with their ports as of the day of arrival, from three editions of the label text."""
+    now = label_texts(spark, sf_dir)
+    earlier = F.regexp_replace(F.regexp_replace("value", "'P3'[^\\n]*\\n", "\n"), "(?i)nation_5, 5 ", "Old Town, 5 ")
+    editions = [
+        now.select(earlier.alias("value"), F.lit("1993-01-01").cast("date").alias("valid_from")),
+        now.select("value", F.lit("1995-07-01").cast("date").alias("valid_from")),
+        now.select(F.regexp_replace("value", "(?i)nation_7, 7 ", "New Town, 7 ").alias("value"), F.lit("1997-02-15").cast("date").alias("valid_from")),
+    ]
+    known = build_port_editions(reduce(DataFrame.unionByName, editions))
+    return _dated(build_arrivals_by_edition(raw_arrivals(spark, sf_dir), known))
+
+
+@query
+def point_of_clustered_table(spark, sf_dir):
+    """A range of days and one supplier from line items that are clustered by both."""
+    path = scratch_path(spark, "clustered")
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity")
+    write_clustered(items, path, ["l_suppkey", "l_shipdate"], bloom=["l_suppkey"], files=16)
+    days = F.col("l_shipdate").cast("date").between("1995-01-01", "1995-12-31")
+    return read_table(spark, path).where(days | (F.col("l_suppkey") == 7)).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query
+def bucketed_lookup(spark, sf_dir):
+    """Orders and customers as bucketed catalog tables, joined on their buckets and counted per customer."""
+    names = {n: f"harborlake_{n}_{uuid.uuid4().hex[:8]}" for n in ("orders", "customer")}
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), "o_totalprice")
+    save_bucketed(orders, names["orders"], ["custkey"], 8, path=scratch_path(spark, "bucketed"))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_name")
+    save_bucketed(customers, names["customer"], ["custkey"], 8, path=scratch_path(spark, "bucketed"))
+    joined = operators.lookup_join(spark.table(names["orders"]), spark.table(names["customer"]), "custkey", "custkey", ["c_name"])
+    counted = joined.groupBy("custkey", "c_name").agg(F.count("*").alias("orders"), F.max("o_totalprice").alias("dearest"))
+    for name in names.values():  # the plan has its files already, which stay in the scratch folder
+        spark.sql(f"drop table {name}")
+    return counted

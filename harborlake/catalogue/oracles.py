@@ -277,4 +277,15 @@ ORACLES: dict[str, str] = {
           (select i94port as port_id, count(*) as arrivals from imm group by 1)
         join (select port_id, {_exact_avg('"AverageTemperature"')} as avg_temperature,
              count("AverageTemperature") as measurements from land_temp group by 1) using (port_id)""",
+    "arrivals_by_edition": f"""with {IMM}, named as (select cicid, arrival_date, i94port, port_state, month, year,
+            coalesce(arrival_date, date '2000-01-01') as day, port_city from imm)
+        select cicid, coalesce(arrival_date, date '1960-01-01') as arrival_date, i94port,
+          case when i94port = 'P5' and day < date '1995-07-01' then 'old town'
+               when i94port = 'P7' and day >= date '1997-02-15' then 'new town' else port_city end as port_city,
+          port_state, coalesce(month, 0) as month, coalesce(year, 0) as year
+        from named where not (i94port = 'P3' and day < date '1995-07-01')""",
+    "point_of_clustered_table": """select l_orderkey, l_linenumber, l_quantity from lineitem
+        where cast(l_shipdate as date) between date '1995-01-01' and date '1995-12-31' or l_suppkey = 7""",
+    "bucketed_lookup": """select o_custkey as custkey, c_name, count(*) as orders, max(o_totalprice) as dearest
+        from orders join customer on o_custkey = c_custkey group by 1, 2""",
 }

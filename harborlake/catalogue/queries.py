@@ -309,7 +309,9 @@ def saved_table(spark, sf_dir):
     save_table(
         table(spark, sf_dir, "supplier"), "harborlake_supplier", path=scratch_path(spark, "supplier")
     )
-    return spark.sql("select s_suppkey, s_name from harborlake_supplier")
+    found = spark.sql("select s_suppkey, s_name from harborlake_supplier")
+    spark.sql("drop table harborlake_supplier")  # its files stay in the scratch folder
+    return found
 
 
 @query

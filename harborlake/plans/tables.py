@@ -43,15 +43,16 @@ def _distinct(df: DataFrame, needed: Sequence[str], on: Sequence[str] | None) ->
     return dedupe(df.select(*dict.fromkeys([*on, *needed])), on)
 
 
-def build_ports(texts: DataFrame, text_column: str = "value") -> DataFrame:
+def build_ports(texts: DataFrame, text_column: str = "value", *, carried: Sequence[str] = ()) -> DataFrame:
     """Port reference table (port_id, city_state, city, state) from SAS label texts.
 
     A label is split at its first comma; without one the whole label is the city and
     the state is null. Empty texts are null, as they are after a trip through CSV.
-    A port that several texts name alike is one port.
+    A port that several texts name alike is one port. Columns of the texts in ``carried`` stay beside their ports.
     """
-    pairs = label_pairs(texts.select(F.col(text_column).alias("value")))
+    pairs = label_pairs(texts.select(*carried, F.col(text_column).alias("value")))
     named = pairs.select(
+        *carried,
         strip(without_chars("code", _CODE_CHARS)).alias("port_id"),
         unquote("label").alias("city_state"),
     )
@@ -62,7 +63,7 @@ def build_ports(texts: DataFrame, text_column: str = "value") -> DataFrame:
         "city": strip(F.lower(F.get(parts, F.lit(0)))),
         "state": strip(F.get(parts, F.lit(1))),
     }
-    return dedupe(named.select(*[F.nullif(c, F.lit("")).alias(name) for name, c in columns.items()]))
+    return dedupe(named.select(*carried, *[F.nullif(c, F.lit("")).alias(name) for name, c in columns.items()]))
 
 
 def build_airports(airports: DataFrame, *, dedupe_on: Sequence[str] | None = None) -> DataFrame:
