@@ -13,12 +13,14 @@ Benjamini and Hochberg for e values). The model does not depend on the table, so
 needed as controls, and tokens of letters in one case are tested like all others, against their 26 letters. Tokens of digits
 alone are not tested: they are numbers.
 
-A missing or empty text has no spans. Repeated rows and null doc_ids keep a row each.
+A missing or empty text has no spans. Repeated rows and null doc_ids keep a row each; an empty table gives none. Columns besides
+doc_id and text are never read. A text of any length costs in proportion to its tokens.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -36,6 +38,7 @@ TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 RATE = 0.05
 LEAST_P = 0.01
 MOST_BITS = 63  # of an e value
+TOGETHER = 256  # matches whose places are added up in one go
 
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SIGNS = "+/_=-"
@@ -68,8 +71,16 @@ def _ordinary() -> list[tuple[str, int, float]]:
     return out + [(c, n, -math.log2(len(kind))) for n, kind in ((2, _DIGITS), (3, _SIGNS)) for c in kind]
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def spans(kind: str, pattern: str) -> Column:
-    """All places of a pattern: array of (start, end, kind, value), counted in code points."""
+    """All places of a pattern: array of (start, end, kind, value), counted in code points.
+
+    Lengths are added up within groups of TOGETHER matches and then over the groups, so the cost grows with the matches.
+    """
     values = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
     before = F.split("text", pattern, -1)
     start = F.struct(
@@ -77,25 +88,38 @@ def spans(kind: str, pattern: str) -> Column:
     )
 
     def add(a: Column, x: Column) -> Column:
-        begin = a.at + F.char_length(x.before)
-        end = begin + F.char_length(x.value)
-        one = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x.value.alias("value"))
-        return F.struct(F.array_append(a.spans, one).alias("spans"), end.alias("at"))
-
-    pairs = F.arrays_zip(before.alias("before"), values.alias("value"))
-    pairs = F.filter(pairs, lambda x: x.value.isNotNull())
-    found = F.aggregate(pairs, start, add, lambda a: a.spans)
+        def placed(begin: Column) -> Column:
+            end = begin + F.char_length(x.value)
+            one = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x.value.alias("value"))
+            return F.struct(F.array_append(a.spans, one).alias("spans"), end.alias("at"))
+
+        return _let(a.at + F.char_length(x.before), placed)
+
+    def grouped(pairs: Column) -> Column:
+        groups = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / TOGETHER).cast("int"))
+        return F.transform(groups, lambda g: F.aggregate(F.slice(pairs, g * TOGETHER + 1, F.lit(TOGETHER)), start, add))
+
+    def moved(groups: Column) -> Column:
+        none = F.struct(F.array().cast("array<int>").alias("offsets"), F.lit(0).alias("at"))
+        offsets = F.aggregate(groups, none, lambda a, g: F.struct(F.array_append(a.offsets, a.at).alias("offsets"), (a.at + g.at).alias("at")), lambda a: a.offsets)
+
+        def by(g: Column, offset: Column) -> Column:
+            return F.transform(g.spans, lambda s: F.struct((s.start + offset).alias("start"), (s.end + offset).alias("end"), s.kind.alias("kind"), s.value.alias("value")))
+
+        return F.flatten(F.zip_with(groups, offsets, by))
+
+    pairs = F.filter(F.arrays_zip(before.alias("before"), values.alias("value")), lambda x: x.value.isNotNull())
+    found = _let(_let(pairs, grouped), moved)
     return F.when(F.col("text").rlike(pattern), found).otherwise(start.spans)
 
 
 def _tail(z: Column) -> Column:
-    """Probability of more than z under the normal law, by its usual logistic approximation."""
-    z = F.least(F.greatest(z, F.lit(-8.0)), F.lit(8.0))
+    """Probability of more than z, between -8 and 8, under the normal law, by its usual logistic approximation."""
     return 1 / (1 + F.exp(1.5976 * z + 0.070565992 * z * z * z))
 
 
 def battery(value: Column) -> Column:
-    """(encoding, length, p, bits) of a token: p is high if it may be random, bits is the binary logarithm of its e value; null for numbers."""
+    """(encoding, length, chi, runs, serial, bits, p) of a token, the tests as normal deviates: p is high if it may be random, bits is the binary logarithm of its e value; null for numbers."""
     encoding = F.lit(None)
     for n, (pattern, _) in reversed(list(enumerate(ENCODINGS))):
         encoding = F.when(value.rlike(pattern), F.lit(n)).otherwise(encoding)
@@ -107,49 +131,79 @@ def battery(value: Column) -> Column:
     kinds, shares = F.array(*[F.lit(n) for _, n, _ in ordinary]), F.array(*[F.lit(v) for *_, v in ordinary])
 
     def numbers(t: Column) -> Column:
-        alphabet = F.get(alphabets, t.encoding)
-        symbols = F.split(F.rtrim(t.value, F.lit("=")), "")
-        codes = F.transform(symbols, lambda c: F.instr(alphabet, c).cast("double"))
-        at = F.transform(symbols, lambda c: F.instr(known, c) - 1)
-        return F.struct(at.alias("at"), codes.alias("x"), F.char_length(alphabet).cast("double").alias("k"), t.encoding.alias("encoding"))
-
-    def tested(t: Column) -> Column:
-        n, k = F.size(t.x).cast("double"), t.k
-        zero = F.lit(0.0)
-        squares = F.aggregate(
-            F.transform(F.array_distinct(t.x), lambda c: F.size(F.filter(t.x, lambda v: v == c)).cast("double")),
-            zero,
-            lambda a, c: a + c * c,
-        )
-        freedom = k - 1
-        chi = F.greatest(squares * k / n - n, zero)
-        z_chi = (F.cbrt(chi / freedom) - (1 - 2 / (9 * freedom))) / F.sqrt(2 / (9 * freedom))
-        neighbours = F.zip_with(F.slice(t.x, F.lit(1), F.size(t.x) - 1), F.slice(t.x, F.lit(2), F.size(t.x) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        middle = (k + 1) / 2
-        high = F.aggregate(t.x, zero, lambda a, v: a + F.when(v > middle, 1.0).otherwise(0.0))
-        runs = F.aggregate(neighbours, F.lit(1.0), lambda a, v: a + F.when((v.a > middle) != (v.b > middle), 1.0).otherwise(0.0))
-        mean_runs = 2 * high * (n - high) / n + 1
-        var_runs = (mean_runs - 1) * (mean_runs - 2) / F.greatest(n - 1, F.lit(1.0))
-        z_runs = F.when(var_runs > 0, F.abs(runs - mean_runs) / F.sqrt(var_runs)).otherwise(8.0)
-        mean = F.aggregate(t.x, zero, lambda a, v: a + v) / n
-        spread = F.aggregate(t.x, zero, lambda a, v: a + (v - mean) * (v - mean))
-        joint = F.aggregate(neighbours, zero, lambda a, v: a + (v.a - mean) * (v.b - mean))
-        z_serial = F.when(spread > 0, F.abs(joint / spread) * F.sqrt(n)).otherwise(8.0)
-        x = -(F.ln(_tail(z_chi)) + F.ln(2 * _tail(z_runs)) + F.ln(2 * _tail(z_serial)))
+        def coded(alphabet: Column) -> Column:
+            symbols = F.split(F.rtrim(t.value, F.lit("=")), "")
+            codes = F.transform(symbols, lambda c: F.instr(alphabet, c).cast("double"))
+            at = F.transform(symbols, lambda c: F.instr(known, c) - 1)
+            return F.struct(at.alias("at"), codes.alias("x"), F.char_length(alphabet).cast("double").alias("k"), t.encoding.alias("encoding"))
+
+        return _let(F.get(alphabets, t.encoding), coded)
+
+    def counted(t: Column) -> Column:
+        """Sums over the symbols, of which each is asked for once."""
+        n, zero, middle = F.size(t.x).cast("double"), F.lit(0.0), (t.k + 1) / 2
+        # of equal symbols in a row, the first adds 1 to the sum of squared counts, the second 3, the third 5
+        first = F.struct(F.lit(-1.0).alias("last"), F.lit(0.0).alias("same"), F.lit(0.0).alias("total"))
+
+        def squared(a: Column, v: Column) -> Column:
+            return _let(
+                F.when(a.last == v, a.same + 1).otherwise(0.0),
+                lambda same: F.struct(v.alias("last"), same.alias("same"), (a.total + 2 * same + 1).alias("total")),
+            )
+
         kind = F.transform(t["at"], lambda i: F.get(kinds, i))
-        same = F.zip_with(F.slice(kind, F.lit(1), F.size(kind) - 1), F.slice(kind, F.lit(2), F.size(kind) - 1), lambda a, b: a == b)
-        stays, goes = math.log2(STAYS), math.log2((1 - STAYS) / 3)
-        steps = F.aggregate(same, F.lit(-2.0), lambda a, v: a + F.when(v, stays).otherwise(goes))
-        written = F.aggregate(t["at"], zero, lambda a, i: a + F.get(shares, i)) + F.when(t.encoding >= ONE_KIND, steps).otherwise(0.0)
+        return F.struct(
+            t.encoding.alias("encoding"),
+            t.k.alias("k"),
+            n.alias("n"),
+            t.x.alias("x"),
+            middle.alias("middle"),
+            F.aggregate(F.array_sort(t.x), first, squared, lambda a: a.total).alias("squares"),
+            F.aggregate(t.x, zero, lambda a, v: a + F.when(v > middle, 1.0).otherwise(0.0)).alias("high"),
+            (F.aggregate(t.x, zero, lambda a, v: a + v) / n).alias("mean"),
+            F.aggregate(t["at"], zero, lambda a, i: a + F.get(shares, i)).alias("shares"),
+            _let(kind, lambda k: F.size(F.filter(F.transform(F.slice(k, 1, F.size(k) - 1), lambda v, i: v == F.get(k, i + 1)), lambda v: v))).alias("stays"),
+        )
+
+    def compared(t: Column) -> Column:
+        """The three statistics as normal deviates."""
+        freedom = t.k - 1
+        rest = F.slice(t.x, F.lit(1), F.size(t.x) - 1)
+        mean_runs = 2 * t.high * (t.n - t.high) / t.n + 1
+        runs = F.aggregate(
+            F.transform(rest, lambda v, i: (v > t.middle) != (F.get(t.x, i + 1) > t.middle)), F.lit(1.0), lambda a, v: a + F.when(v, 1.0).otherwise(0.0)
+        )
+        spread = F.aggregate(t.x, F.lit(0.0), lambda a, v: a + (v - t.mean) * (v - t.mean))
+        joint = F.aggregate(
+            F.transform(rest, lambda v, i: (v - t.mean) * (F.get(t.x, i + 1) - t.mean)), F.lit(0.0), lambda a, v: a + v
+        )
+        z_chi = _let(
+            F.greatest(t.squares * t.k / t.n - t.n, F.lit(0.0)),
+            lambda chi: (F.cbrt(chi / freedom) - (1 - 2 / (9 * freedom))) / F.sqrt(2 / (9 * freedom)),
+        )
+        z_runs = _let(
+            mean_runs,
+            lambda m: _let((m - 1) * (m - 2) / F.greatest(t.n - 1, F.lit(1.0)), lambda var: F.when(var > 0, F.abs(runs - m) / F.sqrt(var)).otherwise(8.0)),
+        )
+        z_serial = _let(spread, lambda all_of: F.when(all_of > 0, F.abs(joint / all_of) * F.sqrt(t.n)).otherwise(8.0))
+        steps = t.stays * math.log2(STAYS) + (t.n - 1 - t.stays) * math.log2((1 - STAYS) / 3) - 2
+        written = t.shares + F.when(t.encoding >= ONE_KIND, steps).otherwise(0.0)
         return F.struct(
             t.encoding.alias("encoding"),
             F.size(t.x).alias("length"),
-            F.least(F.exp(-x) * (1 + x + x * x / 2), F.lit(1.0)).alias("p"),
-            (-n * F.log2(k) - written).alias("bits"),
+            z_chi.alias("chi"),
+            z_runs.alias("runs"),
+            z_serial.alias("serial"),
+            (-t.n * F.log2(t.k) - written).alias("bits"),
         )
 
-    # each step is a transform over one element, so that what it defines is computed once
-    result = F.get(F.transform(F.transform(F.array(token), numbers), tested), F.lit(0))
+    def combined(t: Column) -> Column:
+        tails = [_let(F.least(F.greatest(z, F.lit(-8.0)), F.lit(8.0)), _tail) for z in (t.chi, t.runs, t.serial)]
+        fisher = -(F.ln(tails[0]) + F.ln(2 * tails[1]) + F.ln(2 * tails[2]))
+        p = _let(fisher, lambda x: F.least(F.exp(-x) * (1 + x + x * x / 2), F.lit(1.0)))
+        return F.struct(*[t[c].alias(c) for c in ("encoding", "length", "chi", "runs", "serial", "bits")], p.alias("p"))
+
+    result = _let(_let(_let(_let(token, numbers), counted), compared), combined)
     return F.when(~value.rlike(r"^[0-9]+$") & (F.char_length(F.rtrim(value, F.lit("="))) > 2), result)
 
 

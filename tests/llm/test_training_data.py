@@ -5,6 +5,7 @@ import math
 import random
 import re
 import textwrap
+import time
 from collections import Counter
 
 import numpy as np
@@ -253,6 +254,49 @@ def test_random_tokens_are_found_without_controls(spark, letters):
     assert not [n for n in range(40, len(found)) if found[n]]
 
 
+def battery_by_hand(token):
+    """Chi-squared, runs and serial correlation of a token, as normal deviates, with numpy."""
+    n = next(n for n, (pattern, _) in enumerate(secrets.ENCODINGS) if re.search(pattern, token))
+    alphabet = secrets.ENCODINGS[n][1]
+    symbols = (token.lower() if re.search(secrets.ENCODINGS[0][0], token) else token).rstrip("=")
+    x, k = np.array([alphabet.index(c) + 1 if c in alphabet else 0 for c in symbols], dtype=float), len(alphabet)
+    counts, free = np.unique(x, return_counts=True)[1].astype(float), k - 1
+    chi = max((counts**2).sum() * k / len(x) - len(x), 0)
+    high = x > (k + 1) / 2
+    runs, m = 1 + (high[1:] != high[:-1]).sum(), 2 * high.sum() * (len(x) - high.sum()) / len(x) + 1
+    var, d = (m - 1) * (m - 2) / max(len(x) - 1, 1), x - x.mean()
+    return (
+        n,
+        len(x),
+        (np.cbrt(chi / free) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free)),
+        abs(runs - m) / math.sqrt(var) if var > 0 else 8.0,
+        abs((d[1:] * d[:-1]).sum() / (d**2).sum()) * math.sqrt(len(x)) if (d**2).sum() > 0 else 8.0,
+    )
+
+
+def test_battery_by_hand(spark):
+    draw = random.Random(4)
+    tokens = ["".join(draw.choice(alphabet) for _ in range(draw.randint(16, 60))) for _, alphabet in secrets.ENCODINGS for _ in range(8)]
+    tokens += ["a" * 20, "Abcdefghijklmnopqrstuvwx", "QUJDREVGR0hJSktMTU5PUA==", "0123456789abcdef" * 2]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", secrets.battery(F.col("t")).alias("b"))
+    for r in df.where("b is not null").collect():
+        assert (r.b.encoding, r.b.length, r.b.chi, r.b.runs, r.b.serial) == pytest.approx(battery_by_hand(r.t), rel=1e-9, abs=1e-9)
+
+
+def test_dense_long_texts_cost_in_proportion(spark):
+    draw = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    seconds = {}
+    for n in (5_000, 40_000):
+        tokens = ["".join(draw.choice(letters) for _ in range(20)) for _ in range(n)]
+        began = time.monotonic()
+        row = secrets.secret_spans(frame(spark, [(1, " ".join(tokens))])).first()
+        seconds[n] = time.monotonic() - began
+        found = [s.split(":") for s in row.spans.split(",")]
+        assert all((int(end) - int(start), int(start) % 21) == (20, 0) for kind, start, end in found if kind == "random") and row.n_random > n // 2
+    assert seconds[40_000] < 8 * seconds[5_000] + 10
+
+
 def test_personal_data(docs, rows):
     texts = dict(rows)
     for r in pii.digests(pii.personal_data(docs)).collect():
