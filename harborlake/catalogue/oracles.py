@@ -288,4 +288,17 @@ ORACLES: dict[str, str] = {
         where cast(l_shipdate as date) between date '1995-01-01' and date '1995-12-31' or l_suppkey = 7""",
     "bucketed_lookup": """select o_custkey as custkey, c_name, count(*) as orders, max(o_totalprice) as dearest
         from orders join customer on o_custkey = c_custkey group by 1, 2""",
+    "whole_run_contents": f"""with {IMM}, {CITY_DEMO.removeprefix(PORTS + ", ")}, {AIRPORT},
+        recent_rows as (select distinct * from (
+          select cast(l_shipdate as date) as dt, case when l_returnflag <> 'N' then l_quantity end as t,
+            l_discount, l_suppkey % 30 as city, l_linestatus from lineitem)
+          where date_diff('day', dt, date '2001-12-01') < 900),
+        measured as (select dt, t, port_id from recent_rows join ports on 'nation_' || recent_rows.city = ports.city)
+        select 'imm' as "table", count(*) as rows, cast(sum(cast(cast(cicid as double) as bigint)) + sum(date_diff('day', date '1960-01-01', arrival_date))
+          + sum(month) + sum(year) + sum(length(port_city)) + sum(length(port_state)) as bigint) as content from imm
+        union all select 'city_demo', count(*), cast(sum(male_pop + female_pop + total_pop + veterans_num + "Foreign-Born" + ai_an + "Asian"
+          + black_aa + h_l + "White" + length(port_id)) + sum(cast(avg_household * 2 as bigint)) as bigint) from city_demo
+        union all select 'airport', count(*), cast(sum(length(ident)) + sum(length(type)) + sum(length(iso_region)) + sum(length(state)) as bigint) from airport
+        union all select 'land_temp', count(*), cast(sum(cast(t as bigint)) + sum(length(port_id)) + sum(date_diff('day', date '1960-01-01', dt)) as bigint)
+          from measured""",
 }

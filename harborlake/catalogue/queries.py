@@ -564,9 +564,8 @@ def arrivals_with_temperature_overall(spark, sf_dir):
 # --- runs and incremental loads ----------------------------------------------------
 
 
-@query
-def whole_run(spark, sf_dir):
-    """Arrivals landed from extracts by year, other sources as CSV; all tables built, and what the run reports."""
+def _run(spark, sf_dir) -> tuple[plans.Locations, list[plans.TableResult]]:
+    """Arrivals landed from extracts by year, other sources as CSV; all tables built."""
     root = scratch_path(spark, "run")
     where = plans.Locations(landing=f"{root}/landing", tables=f"{root}/tables")
     write_delimited(raw_airports(spark, sf_dir), where.landed("airport"))
@@ -574,19 +573,43 @@ def whole_run(spark, sf_dir):
     write_delimited(raw_temperatures(spark, sf_dir), where.landed("land_temp"))
     by_year = raw_arrivals(spark, sf_dir).withColumn("source_year", F.col("i94yr"))
     by_year.write.partitionBy("source_year").json(f"{root}/extracts")
+    raw = plans.Extract(
+        f"{root}/extracts", "json", suffix=".json", schema="cicid string, i94yr string, i94port string, arrdate string"
+    )
     results = plans.run_pipeline(
         spark,
         where,
         as_of=AS_OF,
         max_days=MAX_DAYS,
-        extracts={
-            "imm": plans.Extract(
-                f"{root}/extracts", "json", suffix=".json", schema="cicid string, i94yr string, i94port string, arrdate string"
-            )
-        },
+        extracts={"imm": raw},
         sources={"labels": label_texts(spark, sf_dir)},
     )
-    return plans.pipeline_report(spark, results)
+    return where, results
+
+
+@query
+def whole_run(spark, sf_dir):
+    """What a whole run reports."""
+    return plans.pipeline_report(spark, _run(spark, sf_dir)[1])
+
+
+@query
+def whole_run_contents(spark, sf_dir):
+    """What a whole run has stored, by sums over each table's columns."""
+    where, _ = _run(spark, sf_dir)
+
+    def summed(name, *parts):
+        total = sum((F.coalesce(F.sum(part.cast("bigint")), F.lit(0)) for part in parts[1:]), F.coalesce(F.sum(parts[0].cast("bigint")), F.lit(0)))
+        return read_table(spark, where.table(name)).agg(F.count("*").alias("rows"), total.alias("content")).select(F.lit(name).alias("table"), "rows", "content")
+
+    numbers = ["male_pop", "female_pop", "total_pop", "veterans_num", "Foreign-Born", "ai_an", "Asian", "black_aa", "h_l", "White"]
+    days = F.datediff("arrival_date", F.lit(SAS_EPOCH))
+    return (
+        summed("imm", F.regexp_extract("cicid", "[0-9]+", 0), days, F.col("month"), F.col("year"), F.length("port_city"), F.length("port_state"))
+        .union(summed("city_demo", *[F.col(f"`{c}`") for c in numbers], F.length("port_id"), F.col("avg_household") * 2))
+        .union(summed("airport", F.length("ident"), F.length("type"), F.length("iso_region"), F.length("state")))
+        .union(summed("land_temp", F.col("AverageTemperature"), F.length("port_id"), F.datediff("dt", F.lit(SAS_EPOCH))))
+    )
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -69,7 +70,7 @@ def write_checked(
     of the stored table needs no data pages, only the Parquet footers.
     """
     spark, path, sent = df.sparkSession, path.rstrip("/"), Observation()
-    staged = f"{path}__staged"
+    staged = f"{path}__staged-{uuid.uuid4().hex}"  # two runs do not meet
     if partition_by:
         overwrite_partitions(df, staged, partition_by, sent=sent)
     else:

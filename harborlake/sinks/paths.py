@@ -104,9 +104,8 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     """Put a finished folder in the place of another, which is set aside until the new one is there."""
     files, jvm_staged = _file_system(spark, staged)
     _, jvm_path = _file_system(spark, path)
-    _, jvm_old = _file_system(spark, f"{path}__replaced")
+    _, jvm_old = _file_system(spark, f"{path}__replaced-{uuid.uuid4().hex}")
     if files.exists(jvm_path):
-        files.delete(jvm_old, True)
         if not files.rename(jvm_path, jvm_old):
             raise OSError(f"{path} could not be set aside")
     if not files.rename(jvm_staged, jvm_path):
