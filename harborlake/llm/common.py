@@ -69,12 +69,53 @@ def join_spread(rows: DataFrame, side: DataFrame, key: list[str], weight: str, t
     return rows.join(hot, key).unionByName(rest)
 
 
-def with_key(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The rows with a number of their own, written so that it stays theirs; returns them and the name of its column."""
-    key = "_key"
-    while key in {c.lower() for c in docs.columns}:
-        key += "_"
-    return stored(docs.withColumn(key, F.monotonically_increasing_id()), name), key
+class Rows:
+    """Rows told apart by a number, so that decisions on them reach those without a doc_id and those that share one.
+
+    A doc_id that one row has is its number. Rows without a doc_id and rows that share one get a number for each different pair of doc_id
+    and text, below all doc_ids; only these pairs are written. Rows that are alike in both have one number.
+    """
+
+    def __init__(self, docs: DataFrame):
+        self.columns = docs.columns
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+        rows = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        ids = rows.groupBy("doc_id").agg(F.count("*").alias("n"))
+        shared = stored(ids.where("doc_id is not null and n > 1").select("doc_id"), "shared_ids")
+        least = rows.agg(F.min("doc_id")).first()[0] or 0
+        self.known = rows.where("doc_id is not null").join(shared, "doc_id", "left_anti")
+        odd = rows.where("doc_id is null").unionByName(rows.join(shared, "doc_id", "left_semi"))
+        self.odd = odd.select("row", "text", *identity())
+        numbers = self.odd.select(*IDENTITY).distinct().withColumn("number", F.lit(least - 1) - F.monotonically_increasing_id())
+        self.numbers = stored(numbers, "numbers")
+
+    def _numbered(self, once: bool) -> DataFrame:
+        odd = self.odd.dropDuplicates(list(IDENTITY)) if once else self.odd
+        return odd.alias("l").join(self.numbers.alias("r"), same_text()).select("l.row", "l.text", "r.number")
+
+    def documents(self) -> DataFrame:
+        """(doc_id: the number, text), one row for each number."""
+        return self.known.select("doc_id", "text").union(self._numbered(True).select("number", "text"))
+
+    def first_of_each(self, groups: DataFrame) -> DataFrame:
+        """(number): of each of ``groups`` (doc_id: a number, group), the row with the smallest doc_id, one without if there is no other."""
+        own = self.numbers.select("number", F.col("doc_id").alias("own"))
+        named = groups.join(own, groups["doc_id"] == own["number"], "left")
+        true = F.when(F.col("number").isNull(), groups["doc_id"]).otherwise(F.col("own"))
+        order = F.struct(true.isNull().alias("without"), true.alias("id"), groups["doc_id"].alias("number"))
+        return named.groupBy("group").agg(F.min(order).alias("first")).select("first.number")
+
+    def kept(self, numbers: DataFrame, *, once: bool) -> DataFrame:
+        """The rows with these numbers, of rows that share one all or just one (``once``)."""
+        chosen = numbers.select(F.col("number").alias("chosen"))
+        known = self.known.join(chosen, F.col("doc_id") == F.col("chosen"), "left_semi").select("row.*")
+        return known.union(self._numbered(once).join(chosen, F.col("number") == F.col("chosen"), "left_semi").select("row.*"))
+
+    def without(self, numbers: DataFrame) -> DataFrame:
+        """The rows with other numbers than these."""
+        gone = numbers.select(F.col("number").alias("gone"))
+        known = self.known.join(gone, F.col("doc_id") == F.col("gone"), "left_anti").select("row.*")
+        return known.union(self._numbered(False).join(gone, F.col("number") == F.col("gone"), "left_anti").select("row.*"))
 
 
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
