@@ -1,9 +1,9 @@
 """A corpus from documents: toxic ones go, then copies, near copies and benchmark passages; the rest is encoded.
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last keep the columns of
-``docs``, whatever they are called. A stage that decides by comparing numbers its rows first and writes them with their
-number, so its decisions reach rows without a doc_id and tell rows with the same doc_id apart. Of a group of copies the
-row with the smallest doc_id stays, one without a doc_id if there is no other. Empty tables go through all stages.
+``docs``, whatever they are called. Stages that compare documents tell rows apart by numbers (``Rows``), so their decisions
+reach rows without a doc_id and rows that share one. Of a group of copies the row with the smallest doc_id stays, one
+without a doc_id if there is no other. Empty tables go through all stages.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harborlake.llm import bpe
-from harborlake.llm.common import stored, table, with_key
+from harborlake.llm.common import Rows, stored, table
 from harborlake.llm.contamination import contamination
 from harborlake.llm.exact_dedup import exact_groups
 from harborlake.llm.queries import TOKENIZER
@@ -19,21 +19,6 @@ from harborlake.llm.simhash import near_groups
 from harborlake.llm.toxicity import toxicity_scores
 
 
-def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame, str]:
-    """The rows with a number of their own, the same as documents of that number, and the name of its column."""
-    rows, key = with_key(docs, name)
-    return rows, rows.select(F.col(key).alias("doc_id"), "text"), key
-
-
-def _first_of_each(rows: DataFrame, key: str, groups: DataFrame) -> DataFrame:
-    """Of the rows in each of ``groups`` (doc_id: the row's number, group), the one with the smallest doc_id."""
-    order = F.struct(F.col("id").isNull().alias("without"), "id", "number").alias("order")
-    ids = rows.select(F.col(key).alias("number"), F.col("doc_id").alias("id"))
-    first = ids.join(groups, ids["number"] == groups["doc_id"]).select("group", order).groupBy("group").agg(F.min("order").alias("order"))
-    kept = first.select(F.col("order.number").alias("__kept"))
-    return rows.join(kept, F.col(key) == F.col("__kept"), "left_semi").drop(key)
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
     scored = toxicity_scores(docs, table(spark, sf_dir, "labels"), keep=docs.columns)
@@ -42,23 +27,23 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the one with the smallest doc_id."""
-    rows, numbered, key = _numbered(docs, "exact_rows")
-    return _first_of_each(rows, key, exact_groups(numbered).select("doc_id", F.col("keep_id").alias("group")))
+    rows = Rows(docs)
+    groups = exact_groups(rows.documents()).select("doc_id", F.col("keep_id").alias("group"))
+    return rows.kept(rows.first_of_each(groups), once=True)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id."""
-    rows, numbered, key = _numbered(docs, "simhash_rows")
-    groups = near_groups(numbered, shingle_words=3, max_bits=3)
-    return _first_of_each(rows, key, groups.select("doc_id", F.col("component_id").alias("group")))
+    rows = Rows(docs)
+    groups = near_groups(rows.documents(), shingle_words=3, max_bits=3).select("doc_id", F.col("component_id").alias("group"))
+    return rows.kept(rows.first_of_each(groups), once=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth are windows of benchmark items."""
-    rows, numbered, key = _numbered(docs, "tested_rows")
-    found = contamination(numbered, table(spark, sf_dir, "benchmark"), window=13)
-    gone = found.where("contaminated").select(F.col("doc_id").alias("__gone"))
-    return rows.join(gone, F.col(key) == F.col("__gone"), "left_anti").drop(key)
+    rows = Rows(docs)
+    found = contamination(rows.documents(), table(spark, sf_dir, "benchmark"), window=13)
+    return rows.without(found.where("contaminated").select(F.col("doc_id").alias("number")))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
