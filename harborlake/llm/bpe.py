@@ -8,7 +8,8 @@ into memory. Pieces that it does not hold are merged pair by pair, lowest rank f
 those of plain encoding whatever the lexicon holds: its size only decides the speed.
 
 The text of a special token is that token. A missing text is empty and has no ids. Repeated rows and
-null doc_ids keep a row each. Long texts are encoded whole, long pieces with a heap.
+null doc_ids keep a row each. Long texts are encoded whole, long pieces with a heap. Which of equally
+frequent pieces the lexicon holds makes no difference. An empty table gives no rows; columns besides doc_id and text are never read.
 """
 
 from __future__ import annotations

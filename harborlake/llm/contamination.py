@@ -8,7 +8,8 @@ its place in the phrase, are intersected with those of the next rarest, until no
 
 Words are runs of ASCII letters (A-Z in lower case), digits and all characters beyond ASCII. A missing
 or empty text has no words; an item without words has no window; rows of the benchmark without an
-item_id are left out. Every row of ``docs`` gives one row, repeated rows and null doc_ids included.
+item_id are left out. Every row of ``docs`` gives one row, repeated rows and null doc_ids included; an empty table gives none, an
+empty benchmark hits nothing. A document of any length lies in one segment. Columns besides the ids and texts are never read.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ the share of its instances that are trusted, an instance by the patterns it stan
 that reach ``least_instance`` are trusted in the next round. At the end, tokens that are no seeds and stand in a trusted
 pattern are reported as ``context`` spans.
 
-A missing or empty text has no spans. Repeated rows and null doc_ids keep a row each.
+A missing or empty text has no spans. Repeated rows and null doc_ids keep a row each; an empty table gives none. A text is
+searched whole, however long, and its notes leave the task a pattern at a time. Columns besides doc_id and text are never read.
 """
 
 from __future__ import annotations

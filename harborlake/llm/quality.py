@@ -6,7 +6,9 @@ words; a gated attention, learned from labels of whole documents, weights the pa
 weighted sum is scored. Training runs in numpy on a bounded sample (``per_class``); all whole texts are scored.
 
 A document without words is a single passage of zeros, and gets a score like any other. Without labels of
-both classes there is nothing to learn: every score is then 0.5. Repeated rows and null doc_ids keep a row each.
+both classes there is nothing to learn: every score is then 0.5. Repeated rows and null doc_ids keep a row each; an empty table gives
+none. Of several labels of a doc_id the largest counts. Sums are taken in one order, so a score depends on the text and the
+model alone. Columns besides doc_id and text are never read.
 """
 
 from __future__ import annotations

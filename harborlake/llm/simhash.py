@@ -8,7 +8,8 @@ all of its pairs: a fingerprint that is already reached is not compared again. B
 
 Equal fingerprints are one node; documents without words have fingerprint zero and are linked like
 any other. Every row of the input gives one row; rows without a doc_id get a fingerprint and the
-smallest doc_id of the others they are linked to, null if there is none.
+smallest doc_id of the others they are linked to, null if there is none. A bit that half of the shingles set is zero. An empty
+table gives no rows, a text is read whole by one task, and columns besides doc_id and text are never read.
 """
 
 from __future__ import annotations
