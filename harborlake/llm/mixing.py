@@ -8,14 +8,15 @@ Every decision is predicted in several contexts (the three bytes before, the fiv
 far), each of which hashes to a slot with counts of zeros and ones gathered from all training documents. The
 predictions are mixed in the logistic domain by weights that depend on a gate (whether the word so far is
 known) and are corrected after every decision; the result is refined by a slope and a shift that are corrected
-as well. Weights, slope and shift are carried from the first decision of a document to its last, however long it
-is; documents run side by side, so a score depends on the text and the model alone.
+as well. Weights, slope and shift are handed on through a whole document, however long it is: it is cut into spans, which
+run once to see where each ends and once from where the one before ended. All spans run side by side, so a score depends on
+the text and the model alone and time follows the number of bytes.
 
 As a baseline, each word counts with its smoothed frequency in the training documents.
 
 Missing and empty texts are a lone end. Without training documents all counts are zero. Repeated rows and null
 doc_ids keep a row each; a null doc_id is in the fold of the empty text. An empty table gives no rows; columns besides doc_id and text
-are never read. A very long text is one lane of one task: time and 12 bytes of memory grow with its bytes.
+are never read. A very long text is scored by one task, with 12 bytes of memory a byte.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ ORDERS = (3, 5)  # bytes before, of the contexts besides the word so far
 KNOWN = 0.5
 STEP = 0.1  # of log odds, which are kept as eight-bit numbers
 LEAST = 1e-6  # probability that no decision falls below
+SPAN = 8192  # decisions of a long text that run as one lane
 _TILE = 64
 _SCORED_BYTES = 16 << 20  # of texts that are scored side by side; long ones need others beside them
 _CACHED_BYTES = 1 << 15
@@ -248,21 +250,42 @@ def costs(found: list[bytes], trees: Trees, stretch: list[np.ndarray]) -> np.nda
 
 
 def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) -> np.ndarray:
-    """All texts advance side by side, a decision at a time, longest first.
+    """Bits that each text costs; long texts are cut into spans that run side by side with all others.
+
+    Every span starts as a text does, and is then run once more, but for the first of a text, from where the span before it ended: by
+    then, what it had started from is forgotten. So time follows the number of decisions, and not the longest text.
+    """
+    spans = -(-per_text // SPAN)
+    text = np.repeat(np.arange(len(per_text)), spans)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(spans) - spans, spans)
+    start = np.repeat(np.cumsum(per_text) - per_text, spans) + number * SPAN
+    size = np.minimum(SPAN, per_text[text] - number * SPAN)
+    cost, ended = _advanced(bits, inputs, start, size, None)
+    later = np.flatnonzero(number)
+    if len(later):
+        cost[later], _ = _advanced(bits, inputs, start[later], size[later], ended[:, later - 1])
+    return np.bincount(text, cost, minlength=len(per_text))
+
+
+def _advanced(bits: np.ndarray, inputs: list[np.ndarray], starts: np.ndarray, sizes: np.ndarray, state: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """All spans advance side by side, a decision at a time, longest first; gives their cost, and weights, slope and shift at their end.
 
     Weights and shifts are kept with their sign turned, so that a step needs no negation, and inputs times the root of
     the rate (weights divided by it), so that errors need not be scaled.
 
     The weight of an input is one number, plus another where the gate is open: the word so far is known.
     """
-    owner = np.argsort(-per_text, kind="stable")
-    size, start = per_text[owner], (np.cumsum(per_text) - per_text)[owner]
+    owner = np.argsort(-sizes, kind="stable")
+    size, start = sizes[owner], starts[owner]
     lanes, steps = len(owner), int(size[0])
     active = np.searchsorted(-size, -np.arange(steps), side="left")  # lanes longer than each step
-    weights = np.zeros((2 * CONTEXTS, lanes), dtype=np.float32)  # those of the open gate come last
-    weights[:CONTEXTS] = -START_WEIGHT / RATE**0.5
+    now = np.zeros((2 * CONTEXTS + 2, lanes), dtype=np.float32)  # weights, those of the open gate last, slope and shift
+    if state is None:
+        now[:CONTEXTS], now[-2] = -START_WEIGHT / RATE**0.5, 1
+    else:
+        now[:] = state[:, owner]
+    weights, slope, shift = now[:-2], now[-2], now[-1]
     products = np.empty_like(weights)
-    slope, shift = np.ones(lanes, dtype=np.float32), np.zeros(lanes, dtype=np.float32)
     cost, buffers = np.zeros(lanes), np.empty((3, lanes), dtype=np.float32)
     views = [np.lib.stride_tricks.sliding_window_view(v, _TILE) for v in (bits, *inputs)]
     refine, one, step_size, known_size = np.float32(REFINE_RATE), np.float32(1), np.float32(STEP * RATE**0.5), np.float32(KNOWN * RATE**0.5)
@@ -307,9 +330,9 @@ def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) ->
         some = chance.reshape(-1, 4, n)  # four factors of at least LEAST are far from the least number
         some = some[:, 0] * some[:, 1] * some[:, 2] * some[:, 3]
         cost[:n] -= np.log2(some, out=some).sum(axis=0, dtype=np.float64)
-    out = np.empty(lanes)
-    out[owner] = cost
-    return out
+    out, ended = np.empty(lanes), np.empty_like(now)
+    out[owner], ended[:, owner] = cost, now
+    return out, ended
 
 
 def _training(docs: DataFrame) -> DataFrame:

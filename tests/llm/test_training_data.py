@@ -402,6 +402,27 @@ def test_weights_are_carried_through_a_whole_document():
         assert cost == pytest.approx(bits, rel=1e-3)
 
 
+def test_spans_of_a_long_text_start_where_the_one_before_ended(monkeypatch):
+    """Cut into many spans, a text costs what it costs in one go, but for what the start of a span still remembers."""
+    trees = mixing.Trees(np.ones(mixing.CLASSES << 8))
+    odds = [np.random.default_rng(3).integers(-30, 30, 1 << b).astype(np.int8) for b in mixing.SLOT_BITS]
+    texts = [mixing.coded_text(prose(n).encode()) for n in (3000, 5, 900)]
+    found = {}
+    for span in (1 << 40, 8192, 2048):
+        monkeypatch.setattr(mixing, "SPAN", span)
+        found[span] = mixing.costs(texts, trees, odds)
+    assert found[8192] == pytest.approx(found[1 << 40], rel=2e-3) and found[2048] == pytest.approx(found[1 << 40], rel=5e-3)
+
+
+def test_a_text_of_megabytes():
+    trees = mixing.Trees(np.ones(mixing.CLASSES << 8))
+    odds = [np.zeros(1 << b, dtype=np.int8) for b in mixing.SLOT_BITS]
+    text = mixing.coded_text(b"word of a long text " * 50_000)
+    began = time.monotonic()
+    assert mixing.costs([text], trees, odds)[0] > 0
+    assert time.monotonic() - began < 60
+
+
 def test_probabilities_of_all_next_bytes_add_up():
     trees = mixing.Trees(np.ones(mixing.CLASSES << 8))
     odds = [np.random.default_rng(1).integers(-60, 60, 1 << b).astype(np.int8) for b in mixing.SLOT_BITS]
