@@ -166,17 +166,20 @@ def _learned(docs: DataFrame, labels: DataFrame, label: str, per_class: int) ->
         for batch in batches:
             bags = [passages([t]) for t in encoded(batch.column("text"))]
             columns = [batch.column("doc_id"), batch.column("label")]
-            columns += [pa.array([b[k].ravel().tolist() for b in bags], pa.list_(t)) for k, t in ((0, pa.float32()), (1, pa.int32()), (3, pa.int32()))]
+            columns += [pa.array([b[k].astype(t).tobytes() for b in bags], pa.binary()) for k, t in ((0, "<f4"), (1, "<i4"), (3, "<i4"))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "features", "size", "buckets"])
 
     sample = labelled_sample(docs, labels, label, per_class).mapInArrow(
-        featurised, "doc_id long, label int, features array<float>, size array<int>, buckets array<int>"
+        featurised, "doc_id long, label int, features binary, size binary, buckets binary"
     )
     rows = sorted(sample.collect(), key=lambda r: (r.doc_id, r.buckets))
     y = np.array([r.label for r in rows])
     if len(set(y.tolist())) < 2:
         return None
-    bags = [(np.array(r.features, dtype=np.float32).reshape(-1, FEATURES), np.array(r.size), np.zeros(1, dtype=np.int64), np.array(r.buckets, dtype=np.int32)) for r in rows]
+    bags = [
+        (np.frombuffer(r.features, "<f4").reshape(-1, FEATURES), np.frombuffer(r.size, "<i4").astype(np.int64), np.zeros(1, dtype=np.int64), np.frombuffer(r.buckets, "<i4"))
+        for r in rows
+    ]
     return fit(bags, y)
 
 
