@@ -4,7 +4,31 @@
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+# Runs of white space, and words of letters, digits and characters beyond ASCII.
+_SPACES = r"'[\x20\x09-\x0D]+'"
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
 ORACLES: dict[str, str] = {
+    "op6_decontamination": f"""with words as (
+          select doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_WORDS}) as words from documents),
+        items as (select item_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_WORDS}) as words from benchmark where item_id is not null),
+        sized as (select item_id, words, least(13, len(words)) as size from items where len(words) > 0),
+        starts as (select item_id, words, size, unnest(range(1, len(words) - size + 2)) as first from sized),
+        windows as (select distinct item_id, size, array_to_string(words[first:first + size - 1], ' ') as phrase from starts),
+        sizes as (select distinct size from windows),
+        places as (select doc_id, words, size, unnest(range(1, len(words) - size + 2)) as first from words, sizes where len(words) >= size),
+        said as (select doc_id, size, first, array_to_string(words[first:first + size - 1], ' ') as phrase from places),
+        found as (select doc_id, item_id, size, first from said join windows using (size, phrase)),
+        hit as (select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(range(first, first + size)) as place from found) group by doc_id),
+        named as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names
+          from (select distinct doc_id, item_id::varchar as item_id from found) group by doc_id)
+        select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256,
+          coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
+        from words left join hit using (doc_id) left join named using (doc_id)""",
+    "op10_exact_dedup": f"""with plain as (
+          select doc_id, sha256(regexp_replace(coalesce(text, ''), {_SPACES}, ' ', 'g')) as text_sha256 from documents),
+        grouped as (select *, min(doc_id) over (partition by text_sha256) as keep_id, count(*) over (partition by text_sha256) as group_size from plain)
+        select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from grouped""",
     "op11_line_dedup": f"""with lines as (
           select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
             unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as pos from documents),

@@ -228,7 +228,7 @@ def test_trie_of_nothing(spark):
 @pytest.mark.parametrize("name", ORACLES)
 def test_sql(spark, testdata, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "benchmark"):
         connection.sql(f"create view {table} as select * from '{testdata}/{table}.parquet'")
     expected = connection.sql(ORACLES[name])
     found = queries.QUERIES[name](spark, testdata)
