@@ -145,7 +145,7 @@ def spaced_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def smallest_reachable(edges: DataFrame, *, rounds_per_store: int = 1) -> DataFrame:
+def smallest_reachable(edges: DataFrame) -> DataFrame:
     """(node, component) for all nodes of the edges (a, b): the smallest node that can be reached.
 
     Alternates the two star operations: each node's larger neighbours, then its smaller ones, are
