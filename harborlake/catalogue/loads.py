@@ -21,7 +21,7 @@ from harborlake.catalogue.derived import (
     text,
 )
 from harborlake.catalogue.queries import _dated, query
-from harborlake.plans import maintained
+from harborlake.plans import maintained, measured
 from harborlake.plans.editions import build_arrivals_by_edition, build_port_editions
 from harborlake.operators.pivot import cell
 from harborlake.sinks import scratch_path
@@ -224,3 +224,17 @@ def bucketed_lookup(spark, sf_dir):
     for name in names.values():  # the plan has its files already, which stay in the scratch folder
         spark.sql(f"drop table {name}")
     return counted
+
+
+@query
+def measured_builds(spark, sf_dir):
+    """Per table: source rows, copies among them, rows without a port, distinct rows, and rows of the table."""
+    known = ports(spark, sf_dir)
+    builds = {
+        "imm": measured.measured_arrivals(raw_arrivals(spark, sf_dir), known),
+        "airport": measured.measured_airports(raw_airports(spark, sf_dir)),
+        "land_temp": measured.measured_temperatures(raw_temperatures(spark, sf_dir), known, as_of=AS_OF, max_days=MAX_DAYS),
+    }
+    tables = plans.row_counts({name: build.table for name, build in builds.items()}).withColumnRenamed("rows", "written")
+    counts = [build.counts.withColumn("table", F.lit(name)) for name, build in builds.items()]
+    return reduce(DataFrame.unionByName, counts).join(tables, "table")

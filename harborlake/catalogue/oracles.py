@@ -301,4 +301,19 @@ ORACLES: dict[str, str] = {
         union all select 'airport', count(*), cast(sum(length(ident)) + sum(length(type)) + sum(length(iso_region)) + sum(length(state)) as bigint) from airport
         union all select 'land_temp', count(*), cast(sum(cast(t as bigint)) + sum(length(port_id)) + sum(date_diff('day', date '1960-01-01', dt)) as bigint)
           from measured""",
+    "measured_builds": f"""with {IMM}, {AIRPORT}, raw_items as (
+          select cast(l_shipdate as date) as dt, case when l_returnflag <> 'N' then l_quantity end as t,
+            l_discount, l_suppkey % 30 as city, l_linestatus, unnest(range(case when l_linenumber = 1 then 2 else 1 end)) as copy from lineitem),
+        recent_items as (select dt, t, l_discount, city, l_linestatus from raw_items where date_diff('day', dt, date '2001-12-01') < 900),
+        at_port as (select * from recent_items where 'nation_' || city in (select city from ports)),
+        items as (select distinct * from at_port),
+        known as (select * from raw_arrivals where i94port in (select port_id from ports)),
+        raw_parts as (select p_partkey, p_type, p_name, p_brand, p_size, unnest(range(case when p_size > 25 then 2 else 1 end)) as copy from part)
+        select 'imm' as "table", (select count(*) from raw_arrivals) as rows, (select count(*) from known) - (select count(*) from (select distinct * from known)) as copies,
+          (select count(*) from raw_arrivals) - (select count(*) from known) as unmatched, (select count(*) from (select distinct * from known)) as distinct_rows,
+          (select count(*) from imm) as written
+        union all select 'airport', (select count(*) from raw_parts), (select count(*) from raw_parts) - count(*), 0, count(*), count(*) from airport
+        union all select 'land_temp', (select count(*) from recent_items), (select count(*) from at_port) - (select count(*) from items),
+          (select count(*) from recent_items) - (select count(*) from at_port), (select count(*) from items),
+          (select count(*) from items join ports on 'nation_' || items.city = ports.city)""",
 }

@@ -66,10 +66,13 @@ def build_ports(texts: DataFrame, text_column: str = "value", *, carried: Sequen
     return dedupe(named.select(*carried, *[F.nullif(c, F.lit("")).alias(name) for name, c in columns.items()]))
 
 
-def build_airports(airports: DataFrame, *, dedupe_on: Sequence[str] | None = None) -> DataFrame:
+def build_airports(
+    airports: DataFrame, *, dedupe_on: Sequence[str] | None = None, already_distinct: bool = False
+) -> DataFrame:
     """Airport dimension: the state is the second part of the region code (``US-PA`` -> ``PA``)."""
     needed = ["ident", "type", "iso_region"]
-    return _distinct(airports, needed, dedupe_on).select(*needed, part_of("iso_region", "-", 1).alias("state"))
+    rows = airports if already_distinct else _distinct(airports, needed, dedupe_on)
+    return rows.select(*needed, part_of("iso_region", "-", 1).alias("state"))
 
 
 def build_city_demographics(
