@@ -47,7 +47,7 @@ ORDERS = (3, 5)  # bytes before, of the contexts besides the word so far
 KNOWN = 0.5
 STEP = 0.1  # of log odds, which are kept as eight-bit numbers
 LEAST = 1e-6  # probability that no decision falls below
-SPAN = 8192  # decisions of a long text that run as one lane
+SPAN = 4096  # decisions of a long text that run as one lane
 _TILE = 64
 _SCORED_BYTES = 16 << 20  # of texts that are scored side by side; long ones need others beside them
 _CACHED_BYTES = 1 << 15
