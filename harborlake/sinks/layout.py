@@ -10,24 +10,33 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 BITS = 8  # of each column: ranges of a 256th of the rows
 
 
-def _code(df: DataFrame, column: str, bits: int) -> Column:
-    """Number of the range that a value lies in, of about equally many rows each; missing values are in the first.
-
-    The bounds are estimates from ``approx_percentile``: one number per range reaches the driver.
-    """
+def _number(df: DataFrame, column: str) -> Column:
+    """A number in the order of the values."""
     kind, value = df.schema[column].dataType, F.col(f"`{column}`")
     if isinstance(kind, T.StringType):  # the order of the first characters is enough to be near each other
-        value = F.conv(F.substring(F.hex(F.rpad(F.coalesce(value, F.lit("")), 7, "\0")), 1, 14), 16, 10).cast("double")
-    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        value = F.unix_seconds(value.cast("timestamp")).cast("double")
-    else:
-        value = value.cast("double")
-    share = [n / (1 << bits) for n in range(1, 1 << bits)]
-    bounds = sorted(set(df.select(F.approx_percentile(value, F.array(*[F.lit(s) for s in share]), 10_000)).first()[0] or []))
+        return F.conv(F.substring(F.hex(F.rpad(F.coalesce(value, F.lit("")), 7, "\0")), 1, 14), 16, 10).cast("double")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.unix_seconds(value.cast("timestamp")).cast("double")
+    return value.cast("double")
+
+
+def _codes(df: DataFrame, columns: Sequence[str], bits: int) -> list[Column]:
+    """Of each column, number of the range that a value lies in, of about equally many rows each; missing values are in the first.
+
+    The bounds are estimates from ``approx_percentile``, all from one scan: one number per range reaches the driver. A value
+    finds its range by halving.
+    """
+    values = [_number(df, c) for c in columns]
+    share = F.array(*[F.lit(n / (1 << bits)) for n in range(1, 1 << bits)])
+    found = df.select(*[F.approx_percentile(v, share, 10_000).alias(f"b{n}") for n, v in enumerate(values)]).first()
+    return [_range_of(v, sorted(set(bounds or [])), bits) for v, bounds in zip(values, found)]
+
+
+def _range_of(value: Column, bounds: list[float], bits: int) -> Column:
     if not bounds:
         return F.lit(0)
-    found = F.array(*[F.lit(b) for b in bounds])
-    below = F.coalesce(F.size(F.filter(found, lambda b: b < value)), F.lit(0))
+    known, steps = F.array(*[F.lit(b) for b in bounds]), F.array(*[F.lit(1 << k) for k in reversed(range(bits))])
+    below = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(known, at + step - 1) < value, step).otherwise(0))
     return F.floor(below * (1 << bits) / (len(bounds) + 1)).cast("int")  # few different values spread over all bits, too
 
 
@@ -52,8 +61,8 @@ def write_clustered(
     Rows are dealt out by ranges, so equal codes of a hot value can share a file, but are not gathered in one task beyond that;
     ``files`` is their number, by default as many as shuffles have.
     """
-    code = interleaved([_code(df, c, bits) for c in columns], bits)
-    placed = df.withColumn("__code", code)
+    codes = {f"__code{n}": code for n, code in enumerate(_codes(df, columns, bits))}  # columns, so that no code is computed for each of its bits
+    placed = df.withColumns(codes).withColumn("__code", interleaved([F.col(c) for c in codes], bits)).drop(*codes)
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])  # a hot range can be cut
     by = [F.col("__code"), tie]
     placed = placed.repartitionByRange(files, *by) if files else placed.repartitionByRange(*by)

@@ -11,7 +11,7 @@ from conftest import final_plan, plan, rows
 from harborlake.operators import lookup_join
 from harborlake.plans import QualityError, port_demographics
 from harborlake.plans.editions import build_arrivals_by_edition, build_port_editions
-from harborlake.sinks.layout import interleaved, save_bucketed, write_clustered
+from harborlake.sinks.layout import _codes, interleaved, save_bucketed, write_clustered
 
 
 def texts(spark, *editions):
@@ -84,6 +84,22 @@ def test_bits_are_interleaved(spark):
     assert found == 0b10_01_11
 
 
+def test_codes_are_found_by_halving(spark):
+    """As many as bounds below the value, of repeated, missing and odd values; no comparison with every bound."""
+    values = [None, float("nan"), float("-inf"), *[float(n * n % 1013) for n in range(3000)], *[7.0] * 500]
+    df = spark.createDataFrame([(v, n % 3) for n, v in enumerate(values)], "a double, b int").repartition(3)
+    for bits in (2, 8):
+        codes = _codes(df, ["a", "b"], bits)
+        share = [n / (1 << bits) for n in range(1, 1 << bits)]
+        bounds = sorted(set(df.select(F.approx_percentile("a", share, 10_000)).first()[0]))
+        few = sorted(set(df.select(F.approx_percentile(F.col("b").cast("double"), share, 10_000)).first()[0]))
+        expected = F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("a"))), F.lit(0))
+        fewer = F.size(F.filter(F.array(*[F.lit(b) for b in few]), lambda b: b < F.col("b").cast("double")))
+        spread = [F.floor(e * (1 << bits) / (len(found) + 1)).cast("int") for e, found in ((expected, bounds), (fewer, few))]
+        assert df.select(*codes, *spread).where(~(codes[0] == spread[0]) | ~(codes[1] == spread[1])).count() == 0
+        assert "filter(" not in plan(df.select(*codes))
+
+
 @pytest.mark.parametrize("column, value", [("day", date(2020, 4, 9)), ("port", "P17"), ("n", 41)])
 def test_a_clustered_table_is_skipped_in_every_column(spark, tmp_path, column, value):
     df = spark.range(0, 40_000, 1, 8).select(
