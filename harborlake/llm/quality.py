@@ -3,7 +3,8 @@
 A document is a bag of passages of 64 words. Each passage is encoded from what can be seen in it
 (letter case, digits, signs, lengths, repeated words) and from a trained embedding of its hashed
 words; a gated attention, learned from labels of whole documents, weights the passages, and the
-weighted sum is scored. Training runs in numpy on a bounded sample (``per_class``); all whole texts are scored.
+weighted sum is scored. All labelled rows outside the held-out fold are learned from, in shards whose changes are averaged
+(``learn.rounds``); all whole texts are scored.
 
 A document without words is a single passage of zeros, and gets a score like any other. Without labels of
 both classes there is nothing to learn: every score is then 0.5. Repeated rows and null doc_ids keep a row each; an empty table gives
@@ -21,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from harborlake.llm.common import encoded, fold, slices, texts
-from harborlake.llm.learn import FOLDS, HELD_OUT, SAMPLE_PER_CLASS, best_threshold, labelled_sample, product, sigmoid, train
+from harborlake.llm.learn import FOLDS, HELD_OUT, LOGIT_STEPS, ROUNDS, Shards, best_threshold, logit_counts, logit_steps, product, rounds, sigmoid, train
 
 PASSAGE_WORDS = 64
 BUCKETS = 1 << 12
 HIDDEN, GATE = 16, 8
 THRESHOLD = 0.7
 FEATURES = 11
+EPOCHS = 12
+MOMENT_STEPS = 1 << 20  # of a feature's unit, in sums of whole numbers
 
 # Kinds of bytes: white space, lower case, upper case, digit, sign, part of a character beyond ASCII.
 _KINDS = np.array(
@@ -123,13 +126,35 @@ def gradients(m: dict, bag: tuple, labels: np.ndarray, decay: float) -> dict:
     }
 
 
-def fit(bags: list[tuple], labels: np.ndarray, *, seed: int = 7, epochs: int = 12) -> dict:
-    """A model from bags of single documents; a fifth of them calibrates the threshold."""
+def _moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of each feature over the passages of all rows, from sums of whole numbers."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.concatenate([np.zeros((0, FEATURES)), *(b[0] for b in _bags(batch))])
+            sums = [np.rint(v * MOMENT_STEPS).astype(np.int64).sum(axis=0) for v in (x, x * x)]
+            yield pa.RecordBatch.from_arrays([pa.array([len(x)], pa.int64()), *(pa.array([v]) for v in np.concatenate(sums))], ["n", *names])
+
+    names = [f"s{k}" for k in range(2 * FEATURES)]
+    found = rows.mapInArrow(summed, "n long, " + ", ".join(f"{c} long" for c in names)).agg(F.sum("n"), *[F.sum(c) for c in names]).first()
+    mean, square = np.array(found[1:], dtype=np.float64).reshape(2, FEATURES) / MOMENT_STEPS / found[0]
+    return mean, np.sqrt(np.maximum(0, square - mean * mean))
+
+
+def _bags(rows: pa.RecordBatch | pa.Table) -> list[tuple]:
+    columns = [rows.column(c).to_pylist() for c in ("features", "size", "buckets")]
+    return [
+        (np.frombuffer(f, "<f4").reshape(-1, FEATURES), np.frombuffer(n, "<i4").astype(np.int64), np.zeros(1, dtype=np.int64), np.frombuffer(b, "<i4"))
+        for f, n, b in zip(*columns)
+    ]
+
+
+def fit(shards: Shards, *, seed: int = 7) -> dict:
+    """A model; the calibrating rows give the threshold."""
     rng = np.random.default_rng(seed)
-    everything = np.concatenate([b[0] for b in bags])
+    mean, spread = _moments(shards.training)
+    scale = {"centre": mean, "spread": spread + 1e-3}
     m = {
-        "centre": everything.mean(axis=0),
-        "spread": everything.std(axis=0) + 1e-3,
         "embedding": np.zeros((BUCKETS, HIDDEN)),
         "encode": rng.normal(0, FEATURES**-0.5, (FEATURES, HIDDEN)),
         "encode_bias": np.zeros(HIDDEN),
@@ -139,19 +164,29 @@ def fit(bags: list[tuple], labels: np.ndarray, *, seed: int = 7, epochs: int = 1
         "score": rng.normal(0, HIDDEN**-0.5, HIDDEN),
         "score_bias": np.zeros(1),
     }
-    order = rng.permutation(len(bags))
-    kept_back, used = order[: len(order) // 5], order[len(order) // 5 :]
-    trained = {k: v for k, v in m.items() if k not in ("centre", "spread")}
-
-    def grads_of(numbers):
-        chosen = used[numbers]
-        return gradients(m, together([bags[i] for i in chosen]), labels[chosen], 1e-5)
-
-    train(trained, grads_of, len(used), rate=0.01, epochs=epochs, batch=64, seed=seed)
-    if len(set(labels[kept_back].tolist())) < 2:
-        kept_back = order
-    logits = forward(m, *together([bags[i] for i in kept_back]))["logit"]
-    m["threshold"] = best_threshold(logits, labels[kept_back])
+
+    def local(common: dict, table: pa.Table, seed: list[int]) -> tuple[np.ndarray, dict]:
+        bags, labels = _bags(table), table.column("label").to_numpy()
+        m = {k: v.copy() for k, v in common.items()}
+
+        def grads_of(numbers):
+            return gradients(m | scale, together([bags[i] for i in numbers]), labels[numbers], 1e-5)
+
+        train(m, grads_of, len(bags), rate=0.01, epochs=-(-EPOCHS // ROUNDS), batch=64, seed=seed)
+        return np.arange(BUCKETS), m
+
+    m = rounds(shards, m, local, seed=seed) | scale
+    model = shards.rows.sparkSession.sparkContext.broadcast(m)
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 64):
+                part = batch.slice(a, 64)
+                values = logit_steps(forward(model.value, *together(_bags(part)), times=product)["logit"])
+                yield pa.RecordBatch.from_arrays([values, part.column("label")], ["step", "label"])
+
+    found = logit_counts(shards, steps, "step int, label int")
+    m["threshold"] = best_threshold(found.column("step").to_numpy() / LOGIT_STEPS, found.column("label").to_numpy(), found.column("n").to_numpy())
     return m
 
 
@@ -161,31 +196,21 @@ def together(bags: list[tuple]) -> tuple:
     return np.concatenate(features), np.concatenate(sizes), np.concatenate([s + b for s, b in zip(starts, before)]), np.concatenate(buckets)
 
 
-def _learned(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> dict | None:
+def _learned(docs: DataFrame, labels: DataFrame, label: str) -> dict | None:
     def featurised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             bags = [passages([t]) for t in encoded(batch.column("text"))]
             columns = [batch.column("doc_id"), batch.column("label")]
             columns += [pa.array([b[k].astype(t).tobytes() for b in bags], pa.binary()) for k, t in ((0, "<f4"), (1, "<i4"), (3, "<i4"))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "features", "size", "buckets"])
 
-    sample = labelled_sample(docs, labels, label, per_class).mapInArrow(
-        featurised, "doc_id long, label int, features binary, size binary, buckets binary"
-    )
-    rows = sorted(sample.collect(), key=lambda r: (r.doc_id, r.buckets))
-    y = np.array([r.label for r in rows])
-    if len(set(y.tolist())) < 2:
-        return None
-    bags = [
-        (np.frombuffer(r.features, "<f4").reshape(-1, FEATURES), np.frombuffer(r.size, "<i4").astype(np.int64), np.zeros(1, dtype=np.int64), np.frombuffer(r.buckets, "<i4"))
-        for r in rows
-    ]
-    return fit(bags, y)
+    shards = Shards(docs, labels, label, featurised, "doc_id long, label int, features binary, size binary, buckets binary")
+    return fit(shards) if shards.known else None
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality", threshold: float = THRESHOLD, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, passages, attention (share of the weightiest passage)."""
-    model = docs.sparkSession.sparkContext.broadcast(_learned(docs, labels, label, per_class))
+    model = docs.sparkSession.sparkContext.broadcast(_learned(docs, labels, label))
     shift = float(np.log(threshold / (1 - threshold)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

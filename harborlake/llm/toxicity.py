@@ -1,8 +1,8 @@
 """Toxicity by a convolutional classifier of hashed words.
 
 Words are hashed to trained embeddings; filters of several widths slide over all of them and the
-strongest response of each filter anywhere in the text is kept (max pooling) and scored. Training
-runs in numpy on a bounded sample (``per_class``). Thresholds are calibrated by language, where the language
+strongest response of each filter anywhere in the text is kept (max pooling) and scored. All labelled
+rows outside the held-out fold are learned from, in shards whose changes are averaged (``learn.rounds``). Thresholds are calibrated by language, where the language
 is told from the words of the text: the stated ``lang`` is not read. A score is shifted so that its
 language's threshold is THRESHOLD.
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from harborlake.llm.common import encoded, fold, plain_words, slices, texts
-from harborlake.llm.learn import FOLDS, HELD_OUT, SAMPLE_PER_CLASS, best_threshold, labelled_sample, product, sigmoid, train
+from harborlake.llm.learn import FOLDS, HELD_OUT, LOGIT_STEPS, ROUNDS, Shards, best_threshold, by_shard, logit_counts, logit_steps, product, rounds, sigmoid, train
 
 BUCKETS = 1 << 17
 DIMENSIONS = 16
@@ -34,7 +34,8 @@ WIDTHS = (1, 2, 3)
 THRESHOLD = 0.3
 PADS = max(WIDTHS)
 CHANCE = 2.5
-BATCH, LEAST_STEPS = 64, 60  # small samples are gone through more often
+BATCH, EPOCHS, LEAST_STEPS = 64, 6, 60  # few rows are gone through more often
+ORDINARY = 4096  # rows; standard errors of more are as large as of so many, so that a model's numbers stay in their range
 BEGINNING = 4  # bytes of a word
 STEPS, LARGEST = 1 << 14, 1 << 21  # of a rounded model: whole numbers to one, and their bound, so that sums stay below 2**53
 
@@ -106,66 +107,110 @@ def rounded(m: dict) -> dict:
 
 
 def _gradients(m: dict, docs: list[np.ndarray], labels: np.ndarray, decay: float) -> dict:
-    grads = {k: decay * v if k != "score_bias" else np.zeros(1) for k, v in m.items()}
+    """Mean gradients of some documents; of the embedding (rows, gradients), where a filter's strongest response lies."""
+    embedding, padding = m["embedding"], len(m["embedding"]) - 1
     weight = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
-    column = np.arange(FILTERS)
-    for own, y, share in zip(docs, labels, weight):
-        ids = np.concatenate([own, np.full((PADS, 2), BUCKETS)])
-        z, places = [], {}
-        for w, r in responses(m, ids).items():
-            r = r[: len(own) + 1]
-            places[w] = r.argmax(axis=0)
-            z.append(np.maximum(r[places[w], column], 0))
-        z = np.concatenate(z)
-        d = (sigmoid(z @ m["score"] + m["score_bias"][0]) - y) * share
-        grads["score"] += d * z
-        grads["score_bias"] += d
-        dz = np.where(z > 0, d * m["score"], 0)
-        for n, w in enumerate(WIDTHS):
-            g = dz[n * FILTERS : (n + 1) * FILTERS]
-            grads[f"bias{w}"] += g
-            for k in range(w):
-                at = ids[places[w] + k]
-                grads[f"filters{w}"][k] += m["embedding"][at].sum(axis=1).T * g
-                step = g[:, None] * m[f"filters{w}"][k].T
-                for part in (0, 1):
-                    np.add.at(grads["embedding"], at[:, part], step)
-    grads["embedding"][BUCKETS] = 0  # padding stays zero
+    pads = np.full((PADS, 2), padding)
+    ids = np.concatenate([part for d in docs for part in (d, pads)])
+    ends = np.cumsum([len(d) + PADS for d in docs])
+    spans = [(end - len(d) - PADS, end - PADS + 1) for d, end in zip(docs, ends.tolist())]
+    x = embedding[ids[:, 0]] + embedding[ids[:, 1]]
+    single = np.concatenate([m[f"filters{w}"][k].T for w in WIDTHS for k in range(w)]) @ x.T
+    places, z, at = {}, [], 0
+    for w in WIDTHS:
+        n = len(ids) - w + 1
+        r = sum(single[at + k * FILTERS : at + (k + 1) * FILTERS, k : k + n] for k in range(w)) + m[f"bias{w}"][:, None]
+        at += w * FILTERS
+        places[w] = np.stack([start + r[:, start:end].argmax(axis=1) for start, end in spans])
+        z.append(r[np.arange(FILTERS), places[w]])
+    z = np.maximum(np.hstack(z), 0)
+    d = ((sigmoid(z @ m["score"] + m["score_bias"][0]) - labels) * weight).astype(z.dtype)
+    grads = {"score": decay * m["score"] + d @ z, "score_bias": np.array([d.sum()])}
+    dz = np.where(z > 0, d[:, None] * m["score"], 0)
+    rows, steps = [], []
+    for n, w in enumerate(WIDTHS):
+        g = dz[:, n * FILTERS : (n + 1) * FILTERS]
+        grads[f"bias{w}"] = decay * m[f"bias{w}"] + g.sum(axis=0)
+        grads[f"filters{w}"] = decay * m[f"filters{w}"]
+        doc, column = np.nonzero(g)
+        for k in range(w):
+            grads[f"filters{w}"][k] += np.einsum("bfd,bf->df", x[places[w] + k], g)
+            own = ids[places[w][doc, column] + k]
+            rows += [own[:, 0], own[:, 1]]
+            steps += [g[doc, column][:, None] * m[f"filters{w}"][k].T[column]] * 2
+    rows, steps = np.concatenate(rows), np.concatenate(steps)
+    order = np.argsort(rows, kind="stable")
+    order = order[: np.searchsorted(rows[order], padding)]  # padding stays zero
+    changed, first = np.unique(rows[order], return_index=True)
+    sums = np.add.reduceat(steps[order], first, axis=0) if len(first) else steps[:0]
+    grads["embedding"] = changed, sums + decay * embedding[changed]
     return grads
 
 
-def telling_words(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+def _standard_errors(size: np.ndarray, present: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Between the classes, of words that ``present`` documents of each have: log odds by ``low`` witnesses of class 0 and ``high`` ones of class 1."""
+    without = size[:, None] - present + 0.5  # documents with the word never count as ones without it
+    odds = np.log((low[0] + 0.5) / without[0]), np.log((high[1] + 0.5) / without[1])
+    return (odds[1] - odds[0]) / np.sqrt((1 / (np.maximum(low, high) + 0.5) + 1 / without).sum(axis=0))
+
+
+def telling_words(rows: DataFrame) -> np.ndarray:
     """Where the first dimension of each word starts: its log odds between the classes in standard errors.
 
     A word counts once in each document, but no oftener than the words it follows differ: copies of
     one text, however many, are one witness. Only what exceeds CHANCE counts, so that words of one
-    document start at nothing.
+    document start at nothing; words of none are not a number. The words before are counted of those
+    words only that could exceed CHANCE by some number of witnesses.
     """
-    present = np.zeros((2, BUCKETS + 1))
-    follows: tuple[list, list] = ([], [])
-    for own, y in zip(docs, labels):
-        present[y, np.unique(own)] += 1
-        before = np.concatenate([[BUCKETS], own[:-1, 0]])[: len(own)]
-        follows[y].append((before.astype(np.int64)[:, None] << 32 | own).ravel())
-    witnesses = present.copy()
-    for y in (0, 1):
-        pairs = np.unique(np.concatenate(follows[y])) if follows[y] else np.zeros(0, dtype=np.int64)
-        witnesses[y] = np.minimum(present[y], np.bincount(pairs & 0xFFFFFFFF, minlength=BUCKETS + 1))
-    size = np.array([[(labels == 0).sum()], [(labels == 1).sum()]])
-    without = size - present + 0.5  # documents with the word never count as ones without it
-    odds = np.log((witnesses + 0.5) / without)
-    z = (odds[1] - odds[0]) / np.sqrt((1 / (witnesses + 0.5) + 1 / without).sum(axis=0))
-    return np.sign(z) * np.maximum(0, np.abs(z) - CHANCE)
-
-
-def fit(docs: list[np.ndarray], languages: np.ndarray, labels: np.ndarray, *, seed: int = 11, epochs: int = 6) -> dict:
-    """A model; a fifth of the documents calibrates a threshold for each language."""
+
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, BUCKETS + 1), dtype=np.int64)
+        for batch in batches:
+            for own, y in zip(_ids(batch.column("ids")), batch.column("label").to_pylist()):
+                total[y, np.unique(own)] += 1
+        y, word = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int32)), pa.array(word.astype(np.int32)), pa.array(total[y, word])], ["label", "word", "n"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = candidates.value
+        for _, table in by_shard(batches):
+            keys = [np.zeros(0, dtype=np.int64)]
+            for own, y in zip(_ids(table.column("ids")), table.column("label").to_pylist()):
+                before = np.concatenate([[BUCKETS], own[:-1, 0]])[: len(own)].astype(np.int64)
+                keys.append((y << 50 | own.astype(np.int64) << 25 | before[:, None])[chosen[own]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(keys)))], ["key"])
+
+    def by_word(counted: pa.Table) -> np.ndarray:
+        out = np.zeros((2, BUCKETS + 1))
+        out[counted.column("label").to_numpy(), counted.column("word").to_numpy()] = counted.column("n").to_numpy()
+        return out
+
+    size = np.zeros(2)
+    for r in rows.groupBy("label").count().collect():
+        size[r["label"]] = r["count"]
+    present = by_word(rows.mapInArrow(occurrences, "label int, word int, n long").groupBy("label", "word").agg(F.sum("n").alias("n")).toArrow())
+    least = np.minimum(present, 1)
+    most = [_standard_errors(size, present, *ends) for ends in ((least, present), (present, least))]
+    candidates = rows.sparkSession.sparkContext.broadcast(np.maximum(most[0], -most[1]) > CHANCE)
+    word = F.shiftright("key", 25).bitwiseAND(F.lit((1 << 25) - 1)).cast("int")
+    different = rows.mapInArrow(pairs, "key long").distinct()
+    witnesses = np.minimum(present, by_word(different.groupBy(F.shiftright("key", 50).cast("int").alias("label"), word.alias("word")).agg(F.count("*").alias("n")).toArrow()))
+    z = _standard_errors(size, present, witnesses, witnesses)
+    z = np.where(candidates.value, np.sign(z) * np.maximum(0, np.abs(z) - CHANCE), 0) / np.sqrt(max(1, size.sum() / ORDINARY))
+    return np.where(present.sum(axis=0) > 0, z, np.nan)
+
+
+def _ids(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(i, "<i4").reshape(-1, 2) for i in column.to_pylist()]
+
+
+def fit(shards: Shards, *, seed: int = 11) -> dict:
+    """A model; the calibrating rows give a threshold for each language."""
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(docs))
-    kept_back, used = order[: len(order) // 5], order[len(order) // 5 :]
+    telling = telling_words(shards.training)
     m = {"embedding": rng.normal(0, 0.02, (BUCKETS + 1, DIMENSIONS))}
-    m["embedding"][:, 0] = telling_words([docs[i] for i in used], labels[used])
-    m["embedding"][BUCKETS] = 0
+    m["embedding"][:, 0] = telling
+    m["embedding"][np.isnan(telling)] = 0
     for w in WIDTHS:
         m[f"filters{w}"] = rng.normal(0, (w * DIMENSIONS) ** -0.5, (w, DIMENSIONS, FILTERS))
         m[f"bias{w}"] = np.zeros(FILTERS)
@@ -174,55 +219,66 @@ def fit(docs: list[np.ndarray], languages: np.ndarray, labels: np.ndarray, *, se
     m["score"] = toward * np.abs(rng.normal(0, 0.3, FILTERS * len(WIDTHS)))
     m["score_bias"] = np.zeros(1)
 
-    def grads_of(numbers):
-        chosen = used[numbers]
-        return _gradients(m, [docs[i] for i in chosen], labels[chosen], 1e-6)
-
-    epochs = max(epochs, -(-LEAST_STEPS * BATCH // len(used)))
-    train(m, grads_of, len(used), rate=0.01, epochs=epochs, batch=BATCH, seed=seed)
-    m = rounded(m)
-    if len(set(labels[kept_back].tolist())) < 2:
-        kept_back = order
-    scores = np.concatenate([logits(m, [docs[i]]) for i in kept_back])
-    y, of = labels[kept_back], languages[kept_back]
-    overall = best_threshold(scores, y)
+    def local(common: dict, table: pa.Table, seed: list[int]) -> tuple[np.ndarray, dict]:
+        docs, labels = _ids(table.column("ids")), table.column("label").to_numpy()
+        own, places = np.unique(np.concatenate(docs), return_inverse=True)
+        docs = np.split(places.reshape(-1, 2), np.cumsum([len(d) for d in docs])[:-1])
+        m = {k: v.astype(np.float32) for k, v in common.items() if k != "embedding"}
+        m["embedding"] = np.vstack([common["embedding"][own], np.zeros((1, DIMENSIONS))]).astype(np.float32)
+        changed = np.zeros(len(own) + 1, dtype=bool)
+
+        def grads_of(numbers):
+            grads = _gradients(m, [docs[i] for i in numbers], labels[numbers], 1e-6)
+            changed[grads["embedding"][0]] = True
+            return grads
+
+        epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(docs)))
+        train(m, grads_of, len(docs), rate=0.01, epochs=-(-epochs // ROUNDS), batch=BATCH, seed=seed)
+        return own[changed[:-1]], m | {"embedding": m["embedding"][changed]}
+
+    m = rounded(rounds(shards, m, local, seed=seed))
+    model = shards.rows.sparkSession.sparkContext.broadcast(m)
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 64):
+                part = batch.slice(a, 64)
+                values = logit_steps(logits(model.value, _ids(part.column("ids"))))
+                yield pa.RecordBatch.from_arrays([values, part.column("label"), part.column("language")], ["step", "label", "language"])
+
+    found = logit_counts(shards, steps, "step int, label int, language int")
+    scores, y, of, n = (found.column(c).to_numpy() for c in ("step", "label", "language", "n"))
+    scores = scores / LOGIT_STEPS
+    overall = best_threshold(scores, y, n)
     m["thresholds"] = np.full(len(LANGUAGES) + 1, overall)
-    for n in range(len(LANGUAGES)):
-        own = of == n
-        positives = int((y[own] == 1).sum())
-        if positives and positives < own.sum():  # drawn to the common one where few rows speak for the language
-            m["thresholds"][n] = (positives * best_threshold(scores[own], y[own]) + 20 * overall) / (positives + 20)
+    for k in range(len(LANGUAGES)):
+        own = of == k
+        positives = int(n[own & (y == 1)].sum())
+        if positives and positives < n[own].sum():  # drawn to the common one where few rows speak for the language
+            m["thresholds"][k] = (positives * best_threshold(scores[own], y[own], n[own]) + 20 * overall) / (positives + 20)
     return m
 
 
-def _learned(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> dict | None:
+def _learned(docs: DataFrame, labels: DataFrame, label: str) -> dict | None:
     def featurised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         telling = _telling()
-        for batch in batches:
+        for batch in slices(batches):
             words = [plain_words(t) for t in encoded(batch.column("text"))]
             columns = [batch.column("doc_id"), batch.column("label")]
             columns.append(pa.array([word_ids(w).astype("<i4").tobytes() for w in words], pa.binary()))
             columns.append(pa.array([language(w, telling) for w in words], pa.int32()))
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "ids", "language"])
 
-    sample = labelled_sample(docs, labels, label, per_class)
-    sample = sample.mapInArrow(featurised, "doc_id long, label int, ids binary, language int")
-    rows = sorted(sample.collect(), key=lambda r: (r.doc_id, r.ids))
-    y = np.array([r.label for r in rows])
-    if len(set(y.tolist())) < 2:
-        return None
-    ids = [np.frombuffer(r.ids, "<i4").reshape(-1, 2) for r in rows]
-    languages = np.array([r.language for r in rows])
-    del rows
-    return fit(ids, languages, y)
+    shards = Shards(docs, labels, label, featurised, "doc_id long, label int, ids binary, language int")
+    return fit(shards) if shards.known else None
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", threshold: float = THRESHOLD, per_class: int = SAMPLE_PER_CLASS, keep: list[str] | None = None) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, language (as told from the text).
 
     ``keep`` names columns of ``docs`` to hand through instead of doc_id alone, for filtering without a join.
     """
-    model = docs.sparkSession.sparkContext.broadcast(_learned(docs, labels, label, per_class))
+    model = docs.sparkSession.sparkContext.broadcast(_learned(docs, labels, label))
     shift = float(np.log(threshold / (1 - threshold)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

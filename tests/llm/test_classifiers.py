@@ -5,8 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from harborlake.llm import quality, toxicity
+from harborlake.llm import learn, quality, toxicity
 from harborlake.llm.common import plain_words
 from test_lost_tasks import lossy
 from test_training_data import frame, prose, sample_of
@@ -118,3 +119,36 @@ def test_odd_tables(spark, name):
     assert len(found) == 61 + len(odd) and all(0 <= r.score <= 1 for r in found)
     alike = {r.score for r in found if r.doc_id is None}
     assert len(alike) == 2 and len({r.held_out for r in found if r.doc_id is None}) == 1
+
+
+def test_all_labelled_rows_are_learned_from(spark):
+    """Only positive rows beyond the first 2000 of their class, by hashed identity, have the word that marks them."""
+    ids = spark.range(8000).select(F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 4 == 2).alias("out"))
+    found = ids.where("doc_id % 2 = 1").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    late = {r.doc_id for r in [r for r in found if not r.out][2000:]} | {r.doc_id for r in found if r.out}
+    rows = [(i, f"{prose(12)} {'zonk' if i in late else 'blarg' if i % 2 else ''} {prose(12)}") for i in range(8000)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(8000)], "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows).repartition(8)
+    held = toxicity.toxicity_scores(docs, labels).where("held_out").collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in held) >= 0.95 * len(held) and len(held) > 1500
+
+
+@pytest.mark.parametrize("name", SCORES)
+def test_many_shards_hold_all_rows_and_do_not_depend_on_partitions(spark, monkeypatch, name):
+    monkeypatch.setattr(learn, "SHARD_ROWS", 40)
+    docs, labels = sample_of(spark, ["zonk", "zonky", "blarg"], name == "quality", 400)
+
+    def as_they_are(batches):
+        for batch in batches:
+            yield batch.select(["doc_id", "label"])
+
+    shards = learn.Shards(docs, labels, "toxic", as_they_are, "doc_id long, label int")
+    trained = {r.doc_id for r in labels.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).collect()}
+    parts = [{r.doc_id for r in part.collect()} for part in (shards.training, shards.calibrating)]
+    assert parts[0] | parts[1] == trained and not parts[0] & parts[1] and shards.training.select("shard").distinct().count() > 3
+    found = SCORES[name](docs, labels)
+    rows = sorted(tuple(r) for r in found.select("doc_id", "score", "predicted").collect())
+    assert rows == sorted(tuple(r) for r in SCORES[name](docs.repartition(9), labels).select("doc_id", "score", "predicted").collect())
+    mark = "quality" if name == "quality" else "toxic"
+    held = found.join(labels, "doc_id").where("held_out").collect()
+    assert sum(r.predicted == r[mark] for r in held) >= 0.9 * len(held)
