@@ -14,10 +14,12 @@ empty benchmark hits nothing. A document of any length lies in one segment. Colu
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -36,18 +38,19 @@ def build_index(docs: DataFrame) -> DataFrame:
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         for number, batch in enumerate(slices(batches)):
-            known: dict[bytes, int] = {}
+            known: defaultdict[bytes, int] = defaultdict()
+            known.default_factory = known.__len__
             ids, counts = [], []
             for text in encoded(batch.column("text")):
                 words = plain_words(text)
                 counts.append(len(words))
-                ids.extend([known.setdefault(w, len(known)) for w in words])
+                ids.append(np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words)))
             terms = sorted(known)
             rank = np.empty(len(terms), dtype=np.int32)
-            rank[[known[t] for t in terms]] = np.arange(len(terms), dtype=np.int32)
-            ids = rank[np.array(ids, dtype=np.int64)]
+            rank[np.fromiter(map(known.__getitem__, terms), dtype=np.int64, count=len(terms))] = np.arange(len(terms), dtype=np.int32)
+            ids = rank[np.concatenate(ids)]
             places = np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)
-            places = places[np.argsort(ids, kind="stable")]
+            places = np.sort(ids.astype(np.int64) << 32 | places) & 0xFFFFFFFF  # by term, then place
             per_term = np.bincount(ids, minlength=len(terms))
             gaps = np.diff(places, prepend=0)
             starts = (np.cumsum(per_term) - per_term).astype(np.int64)
@@ -83,35 +86,45 @@ class Phrases:
         made.__dict__.update(state)
         return made
 
-    def find(self, terms: list[bytes], counts: np.ndarray, gaps: np.ndarray, slop: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def find(self, terms: pa.Array, counts: np.ndarray, gaps: np.ndarray, slop: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(window, first places, last places) in a segment, for windows that occur in it.
 
         With ``slop`` each word may stand up to so many words from where the phrase has it.
         """
-        if not terms or not len(self.rows):
+        if not len(terms) or not len(self.rows):
             return
-        slot = dict(zip(terms, range(len(terms))))
-        at = np.array([slot.get(t, -1) for t in self.terms] + [-2], dtype=np.int64)
+        at = pc.index_in(pa.array(self.terms, terms.type), value_set=terms).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.append(at, -2)
         ends = np.cumsum(counts)
         many = np.where(at >= 0, counts[at], 0)
         many[-1] = np.iinfo(np.int32).max  # the padding of short windows
         frequency = many[self.rows]
         total = np.cumsum(gaps)
+        known: dict[int, np.ndarray] = {}
 
         def places(term: int) -> np.ndarray:
-            start, end = ends[term] - counts[term], ends[term]
-            return total[start:end] - (total[start - 1] if start else 0)
-
-        for w in np.flatnonzero(frequency.min(axis=1) > 0):
-            order = np.argsort(frequency[w][: self.lengths[w]], kind="stable")
-            rare = places(at[self.rows[w, order[0]]]) - order[0]
+            if term not in known:
+                start, end = ends[term] - counts[term], ends[term]
+                known[term] = total[start:end] - (total[start - 1] if start else 0)
+            return known[term]
+
+        some = np.flatnonzero(frequency.min(axis=1) > 0)
+        orders = np.argsort(frequency[some], axis=1, kind="stable")
+        term_of = at[np.take_along_axis(self.rows[some], orders, axis=1)]
+        for w, order, term in zip(some.tolist(), orders.tolist(), term_of.tolist()):
+            order = order[: self.lengths[w]]
+            rare = places(term[0]) - order[0]
             low = high = rare + order[0]
-            for k in order[1:]:
-                other = places(at[self.rows[w, k]]) - k
-                i = np.searchsorted(other, rare)
-                after, before = other[np.minimum(i, len(other) - 1)], other[np.maximum(i - 1, 0)]
-                best = np.where(abs(after - rare) <= abs(before - rare), after, before)
-                near = abs(best - rare) <= slop
+            for k, t in zip(order[1:], term[1:]):
+                other = places(t)
+                i = other.searchsorted(rare + k)
+                after = other[np.minimum(i, len(other) - 1)] - k
+                if slop:
+                    before = other[np.maximum(i - 1, 0)] - k
+                    best = np.where(abs(after - rare) <= abs(before - rare), after, before)
+                    near = abs(best - rare) <= slop
+                else:
+                    best, near = after, after == rare
                 rare, low, high, best = rare[near], low[near], high[near], best[near]
                 if not len(rare):
                     break
@@ -155,7 +168,7 @@ _ARROW = pa.schema([("segment", pa.int64()), ("ordinal", pa.int32()), ("item_id"
 
 def _in_segment(row: pa.RecordBatch, phrases: Phrases, slop: int) -> list[dict]:
     numbers = {name: np.asarray(row.column(name).flatten()) for name in ("doc_words", "term_counts", "gaps")}
-    terms = row.column("terms").flatten().to_pylist()
+    terms = row.column("terms").flatten()
     words = numbers["doc_words"]
     starts = np.cumsum(words) - words + np.arange(len(words))
     spans: dict[tuple[int, str], list[tuple[int, int]]] = {}
