@@ -27,21 +27,38 @@ EXACT = 1 << 20  # changes are added up in whole numbers of a part in so many
 LOGIT_STEPS = 4096  # thresholds lie between steps of logits
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, label) of all labelled rows outside the held-out fold; of several labels of a doc_id the largest counts."""
-    known = _known(labels, label)
-    rows = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).where(fold("doc_id", FOLDS) != HELD_OUT)
-    return _perhaps_in(rows, known).join(known, "doc_id").select("doc_id", "text", "label")
-
+def _candidates(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, text, label) of rows whose doc_id has a hash that a doc_id with that label has: 512 bitmaps of 4 KB a label at most are broadcast.
 
-def _perhaps_in(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows whose doc_id has a hash that one of ``known`` has, so that few other texts are shuffled: 512 bitmaps of 4 KB at most are broadcast."""
+    All labelled rows are among them, and a few others, so that texts need no shuffle to find out.
+    """
+    rows = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).where(fold("doc_id", FOLDS) != HELD_OUT)
     number = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
-    numbers = known.select((number / MAP_BITS).cast("int").alias("__map"), (number % MAP_BITS).alias("at"))
-    maps = numbers.groupBy("__map").agg(F.bitmap_construct_agg("at").alias("__bits"))
+    numbers = known.select((number / MAP_BITS).cast("int").alias("__map"), "label", (number % MAP_BITS).alias("at"))
+    maps = numbers.groupBy("__map", "label").agg(F.bitmap_construct_agg("at").alias("__bits"))
     byte = F.substring("__bits", F.floor(number % MAP_BITS / 8).cast("int") + 1, F.lit(1))
     marked = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (number % 8).cast("int")) == 1
-    return rows.withColumn("__map", (number / MAP_BITS).cast("int")).join(F.broadcast(maps), "__map").where(marked).select(*rows.columns)
+    return rows.withColumn("__map", (number / MAP_BITS).cast("int")).join(F.broadcast(maps), "__map").where(marked).select("doc_id", "text", "label")
+
+
+def _labelled(docs: DataFrame, known: DataFrame, featurised: Callable, kind: str, count: int) -> DataFrame:
+    """Features (columns ``kind``) of all rows with a known label, and their shard out of ``count``; rows of a shard are in one partition.
+
+    Features are shuffled once, to their shards. The doc_ids that do have the label they are thought to have are found beside that,
+    without the features, and meet them there.
+    """
+    rows = _candidates(docs, known).mapInArrow(featurised, kind)
+    values = [F.xxhash64(F.lit(what), *[F.col(c) for c in rows.columns]) for what in ("part", "shard")]
+    number = F.pmod(values[1], F.lit(count)).cast("int")
+    rows = rows.withColumn("shard", F.when(F.pmod(values[0], F.lit(CALIBRATING)) == 0, -1 - number).otherwise(number))
+    pair = [F.col("doc_id").alias("id"), F.col("label").alias("is")]
+    true = rows.select(F.col("shard").alias("of"), *pair).join(known.select(*pair), ["id", "is"], "left_semi")
+
+    def confirmed(own: pa.Table, told: pa.Table) -> pa.Table:
+        pairs = set(zip(told.column("id").to_pylist(), told.column("is").to_pylist()))
+        return own.filter(pa.array([p in pairs for p in zip(own.column("doc_id").to_pylist(), own.column("label").to_pylist())], pa.bool_()))
+
+    return rows.groupBy("shard").cogroup(true.groupBy("of")).applyInArrow(confirmed, rows.schema)
 
 
 def _known(labels: DataFrame, label: str) -> DataFrame:
@@ -55,13 +72,11 @@ class Shards:
 
     def __init__(self, docs: DataFrame, labels: DataFrame, label: str, featurised: Callable, kind: str):
         spark = docs.sparkSession
-        count = max(1, round(_known(labels, label).count() / SHARD_ROWS))
-        rows = labelled_rows(docs, labels, label).mapInArrow(featurised, kind)
-        values = [F.xxhash64(F.lit(what), *[F.col(c) for c in rows.columns]) for what in ("part", "shard")]
-        number = F.pmod(values[1], F.lit(count)).cast("int")
-        rows = rows.withColumn("shard", F.when(F.pmod(values[0], F.lit(CALIBRATING)) == 0, -1 - number).otherwise(number))
+        known = _known(labels, label)
+        count = max(1, round(known.count() / SHARD_ROWS))
+        rows = _labelled(docs, known, featurised, kind, count)
         path = scratch_path(spark, "shards")
-        rows.repartition("shard").write.partitionBy("shard").parquet(path)  # a file for each shard
+        rows.write.partitionBy("shard").parquet(path)  # a file for each shard
         self.rows = spark.read.schema(rows.schema).parquet(path)
         sizes = {(r["label"], r["trains"]): r["count"] for r in self.rows.groupBy("label", (F.col("shard") >= 0).alias("trains")).count().collect()}
         self.known = all(any((y, t) in sizes for t in (True, False)) for y in (0, 1))

@@ -112,8 +112,9 @@ def gradients(m: dict, bag: tuple, labels: np.ndarray, decay: float) -> dict:
     dl, dr = dg * f["right"] * (1 - f["left"] ** 2), dg * f["left"] * f["right"] * (1 - f["right"])
     dh = a[:, None] * dz + dl @ m["gate_tanh"].T + dr @ m["gate_sigmoid"].T
     dp = dh * (1 - h * h)
-    de = np.zeros_like(m["embedding"])
-    np.add.at(de, buckets, np.repeat(dp / np.maximum(size, 1)[:, None], size, axis=0))
+    shares = np.repeat(np.ascontiguousarray((dp / np.maximum(size, 1)[:, None]).T), size, axis=1)
+    at = buckets.astype(np.intp)
+    de = np.stack([np.bincount(at, own, len(m["embedding"])) for own in shares], axis=1)
     return {
         "score": f["z"].T @ d + decay * m["score"],
         "score_bias": np.array([d.sum()]),

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -152,3 +153,45 @@ def test_many_shards_hold_all_rows_and_do_not_depend_on_partitions(spark, monkey
     mark = "quality" if name == "quality" else "toxic"
     held = found.join(labels, "doc_id").where("held_out").collect()
     assert sum(r.predicted == r[mark] for r in held) >= 0.9 * len(held)
+
+
+def test_texts_of_labelled_rows_are_shuffled_once_at_most(spark, monkeypatch):
+    """Doc_ids meet their labels without texts and features; bitmaps so small that most rows share a bit change no row."""
+    docs, labels = sample_of(spark, ["zonk"], False, 300)
+    labels = labels.where("doc_id % 3 = 0").select("doc_id", "toxic")
+    known = learn._known(labels, "toxic")
+    docs = docs.union(frame(spark, [(None, "zonk"), (3, "another"), (3, "another")]))
+
+    def sizes(batches):
+        for batch in batches:
+            yield type(batch).from_arrays([batch.column("doc_id"), batch.column("label"), batch.column("text")], ["doc_id", "label", "features"])
+
+    monkeypatch.setattr(learn, "MARKS", 64)
+    found = learn._labelled(docs, known, sizes, "doc_id long, label int, features string", 4)
+    expected = docs.join(known, "doc_id").select("doc_id", "label", "text")
+    rows = sorted(tuple(r)[:3] for r in found.collect())
+    assert rows == sorted(tuple(r) for r in expected.collect()) and len(rows) > 60
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = learn._labelled(docs, known, sizes, "doc_id long, label int, features string", 4)
+        plan = found._jdf.queryExecution().explainString(found.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    moved = [part for part in plan.split("\n\n") if re.match(r"\(\d+\) Exchange", part.strip())]
+    assert sum("features#" in part or "text#" in part for part in moved) == 1
+
+
+def test_sums_of_gradients_by_bucket():
+    """As adding them up one by one."""
+    m, texts = quality_model(), [prose(n).encode() for n in (0, 3, 64, 200)]
+    bag, labels = quality.passages(texts), np.array([0, 1, 0, 1])
+    found = quality.gradients(m, bag, labels, 0.0)["embedding"]
+    step = 1e-4
+    f = quality.forward(m, *bag)
+    for bucket in set(bag[3][:5].tolist()) | {next(b for b in range(quality.BUCKETS) if b not in bag[3])}:
+        moved = m | {"embedding": m["embedding"].copy()}
+        moved["embedding"][bucket, 2] += step
+        logits = quality.forward(moved, *bag)["logit"]
+        loss = [(np.logaddexp(0, x) - labels * x).sum() / 4 for x in (f["logit"], logits)]
+        assert (loss[1] - loss[0]) / step == pytest.approx(found[bucket, 2], abs=1e-4)
