@@ -77,7 +77,10 @@ def responses(m: dict, ids: np.ndarray) -> dict[int, np.ndarray]:
     for w in WIDTHS:
         n = len(ids) - w + 1
         kernel = m[f"filters{w}"]
-        out[w] = sum(x[k : k + n] @ kernel[k] for k in range(w)) + m[f"bias{w}"]
+        out[w] = x[:n] @ kernel[0]
+        for k in range(1, w):
+            out[w] += x[k : k + n] @ kernel[k]
+        out[w] += m[f"bias{w}"]
     return out
 
 
@@ -147,6 +150,12 @@ def _gradients(m: dict, docs: list[np.ndarray], labels: np.ndarray, decay: float
     return grads
 
 
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """Different ones of some numbers from 0, sorted; here faster than ``np.unique``."""
+    found = np.sort(numbers, axis=None)
+    return found[np.diff(found, prepend=-1) > 0]
+
+
 def _standard_errors(size: np.ndarray, present: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Between the classes, of words that ``present`` documents of each have: log odds by ``low`` witnesses of class 0 and ``high`` ones of class 1."""
     without = size[:, None] - present + 0.5  # documents with the word never count as ones without it
@@ -167,7 +176,7 @@ def telling_words(rows: DataFrame) -> np.ndarray:
         total = np.zeros((2, BUCKETS + 1), dtype=np.int64)
         for batch in batches:
             for own, y in zip(_ids(batch.column("ids")), batch.column("label").to_pylist()):
-                total[y, np.unique(own)] += 1
+                total[y, _distinct(own)] += 1
         y, word = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int32)), pa.array(word.astype(np.int32)), pa.array(total[y, word])], ["label", "word", "n"])
 
@@ -178,7 +187,7 @@ def telling_words(rows: DataFrame) -> np.ndarray:
             for own, y in zip(_ids(table.column("ids")), table.column("label").to_pylist()):
                 before = np.concatenate([[BUCKETS], own[:-1, 0]])[: len(own)].astype(np.int64)
                 keys.append((y << 50 | own.astype(np.int64) << 25 | before[:, None])[chosen[own]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(keys)))], ["key"])
+            yield pa.RecordBatch.from_arrays([pa.array(_distinct(np.concatenate(keys)))], ["key"])
 
     def by_word(counted: pa.Table) -> np.ndarray:
         out = np.zeros((2, BUCKETS + 1))
