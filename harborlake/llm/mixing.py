@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from harborlake.llm.common import encoded, fold, slices, spaced_words, stored, texts
+from harborlake.llm.common import encoded, fold, slices, stored, texts
 
 FOLDS, HELD_OUT = 5, 1
 END = b"\n"  # no word holds it; it also stands before the first byte
@@ -58,9 +58,16 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _CODEC = "zstd"
 
 
+_SPACED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz     ")
+
+
 def coded_text(text: bytes) -> bytes:
-    words = spaced_words(text)
-    return b" ".join(words) + b" " + END if words else END
+    """The words of ``spaced_words``, each with a blank, and the end."""
+    spaced = text.translate(_SPACED)
+    while b"  " in spaced:
+        spaced = spaced.replace(b"  ", b" ")
+    spaced = spaced.strip(b" ")
+    return spaced + b" " + END if spaced else END
 
 
 class Trees:
@@ -98,8 +105,8 @@ class Trees:
         self.lengths = np.array(lengths, dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         mixed = np.array(nodes, dtype=np.uint64) * _ODD
-        self.salts = (mixed >> np.uint64(32)).astype(np.uint32)
-        self.bits = np.array(bits, dtype=np.uint8)
+        # the bit of a decision stands above all bits of its salt that a slot takes
+        self.salts = (mixed >> np.uint64(32)).astype(np.uint32) & np.uint32((1 << 31) - 1) | np.array(bits, dtype=np.uint32) << np.uint32(31)
 
 
 def _before(data: np.ndarray, place: np.ndarray, back: int) -> np.ndarray:
@@ -204,70 +211,78 @@ def _decisions(
     word = np.maximum.accumulate(np.where((back[0] == 32) | (place == 0), at, 0))
     summed = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data + np.uint64(1)) * power[: len(data)])])
     hashes.append(_scramble((summed[at] - summed[word]) * inverse[word], 0))
-    pair = _classed(back[0], back[1], data)
-    lengths = trees.lengths[pair]
+    pair = _classed(back[0], back[1], data).astype(np.intp)
+    lengths = trees.lengths.take(pair, mode="wrap")
     lengths[:lead] = 0  # coded with the piece before
     ends = np.cumsum(lengths)
-    path = np.repeat((trees.starts[pair] - ends + lengths).astype(np.int32), lengths)
-    path += np.arange(len(path), dtype=np.int32)
-    salts = trees.salts[path]
-    masks = [np.uint32((1 << b) - 1) for b in SLOT_BITS]
-    slots = [((np.repeat(h, lengths) + salts) & mask).view(np.int32) for h, mask in zip(hashes, masks)]
-    return trees.bits[path], slots, np.add.reduceat(lengths, first)
+    # Numbers are as wide as Spark's machines count, and wrapped instead of checked: taking is much faster then.
+    owner = np.repeat(at, lengths)
+    path = (trees.starts.take(pair, mode="wrap") - ends + lengths).take(owner, mode="wrap")
+    path += np.arange(len(path))
+    salts = trees.salts.take(path, mode="wrap")
+    slots = []
+    for h, b in zip(hashes, SLOT_BITS):
+        own = h.take(owner, mode="wrap")
+        own += salts
+        own &= np.uint32((1 << b) - 1)
+        slots.append(own.astype(np.intp))
+    return (salts >> np.uint32(31)).astype(np.uint8), slots, np.add.reduceat(lengths, first)
 
 
 class _Grown:
-    """Arrays of eight-bit numbers put one after the other, without a second copy."""
+    """Rows of a decision put one after the other, without a second copy: its bit and its input in each context, a byte each."""
 
     def __init__(self):
-        self.data, self.size = np.zeros(1 << 20, dtype=np.int8), 0
+        self.data, self.size = np.zeros((1 << 18, 1 + CONTEXTS), dtype=np.int8), 0
 
-    def add(self, own: np.ndarray) -> None:
-        end = self.size + len(own)
-        if end > len(self.data):
-            self.data.resize(end + (end >> 3), refcheck=False)
-        self.data[self.size : end] = own
-        self.size = end
+    def more(self, n: int) -> np.ndarray:
+        low, self.size = self.size, self.size + n
+        if self.size > len(self.data):
+            self.data.resize((self.size + (self.size >> 3), 1 + CONTEXTS), refcheck=False)
+        return self.data[low : self.size]
 
 
 def costs(found: list[bytes], trees: Trees, stretch: list[np.ndarray]) -> np.ndarray:
     """Bits that each coded text costs."""
-    bits, inputs, sizes = _Grown(), [_Grown() for _ in range(CONTEXTS)], []
+    grown, sizes = _Grown(), []
     for truth, slots, per_text, goes_on in decisions(found, trees):
-        bits.add(truth.view(np.int8))
+        rows = grown.more(len(truth))
+        rows[:, 0] = truth
         if goes_on:
             sizes[-1][-1] += per_text[0]
         else:
             sizes.append(per_text)
         for k, own in enumerate(slots):
-            inputs[k].add(stretch[k].take(own))
+            rows[:, k + 1] = stretch[k].take(own, mode="wrap")
+        del rows
     if not sizes:
         return np.zeros(0)
-    rest = np.zeros(_TILE, dtype=np.int8)
-    for grown in (bits, *inputs):
-        grown.add(rest)
-    return _mixed(bits.data[: bits.size].view(np.uint8), [own.data[: own.size] for own in inputs], np.concatenate(sizes))
+    grown.more(_TILE)[:] = 0
+    return _mixed(grown.data[: grown.size], np.concatenate(sizes))
 
 
-def _mixed(bits: np.ndarray, inputs: list[np.ndarray], per_text: np.ndarray) -> np.ndarray:
+def _mixed(rows: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     """Bits that each text costs; long texts are cut into spans that run side by side with all others.
 
     Every span starts as a text does, and is then run once more, but for the first of a text, from where the span before it ended: by
-    then, what it had started from is forgotten. So time follows the number of decisions, and not the longest text.
+    then, what it had started from is forgotten. The last of several spans runs the second time only, as none goes on from it. So time
+    follows the number of decisions, and not the longest text.
     """
     spans = -(-per_text // SPAN)
     text = np.repeat(np.arange(len(per_text)), spans)
     number = np.arange(len(text)) - np.repeat(np.cumsum(spans) - spans, spans)
     start = np.repeat(np.cumsum(per_text) - per_text, spans) + number * SPAN
     size = np.minimum(SPAN, per_text[text] - number * SPAN)
-    cost, ended = _advanced(bits, inputs, start, size, None)
     later = np.flatnonzero(number)
+    early = np.flatnonzero((number == 0) | (number + 1 < spans[text]))
+    cost, place = np.empty(len(text)), np.cumsum((number == 0) | (number + 1 < spans[text])) - 1
+    cost[early], ended = _advanced(rows, start[early], size[early], None)
     if len(later):
-        cost[later], _ = _advanced(bits, inputs, start[later], size[later], ended[:, later - 1])
+        cost[later], _ = _advanced(rows, start[later], size[later], ended[:, place[later - 1]])
     return np.bincount(text, cost, minlength=len(per_text))
 
 
-def _advanced(bits: np.ndarray, inputs: list[np.ndarray], starts: np.ndarray, sizes: np.ndarray, state: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def _advanced(rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray, state: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """All spans advance side by side, a decision at a time, longest first; gives their cost, and weights, slope and shift at their end.
 
     Weights and shifts are kept with their sign turned, so that a step needs no negation, and inputs times the root of
@@ -287,18 +302,21 @@ def _advanced(bits: np.ndarray, inputs: list[np.ndarray], starts: np.ndarray, si
     weights, slope, shift = now[:-2], now[-2], now[-1]
     products = np.empty_like(weights)
     cost, buffers = np.zeros(lanes), np.empty((3, lanes), dtype=np.float32)
-    views = [np.lib.stride_tricks.sliding_window_view(v, _TILE) for v in (bits, *inputs)]
+    # a row is taken as one number of four bytes
+    view = np.lib.stride_tricks.sliding_window_view(rows.view(np.int32)[:, 0], _TILE)
+    room = np.empty(_TILE * 2 * CONTEXTS * lanes, dtype=np.float32)
     refine, one, step_size, known_size = np.float32(REFINE_RATE), np.float32(1), np.float32(STEP * RATE**0.5), np.float32(KNOWN * RATE**0.5)
     least, most = np.float32(LEAST), np.float32(1 - LEAST)
     add, multiply, subtract = np.add, np.multiply, np.subtract
     for low in range(0, steps, _TILE):  # the inputs of some steps of all lanes are laid out at a time
         n = int(active[low])
         at = start[:n] + low
-        truth = np.ascontiguousarray(views[0][at].T).astype(np.float32)
-        laid = np.empty((_TILE, 2 * CONTEXTS, n), dtype=np.float32)
-        for k, v in enumerate(views[1:]):
-            multiply(v[at].T, step_size, out=laid[:, k])
-        known = np.abs(laid[:, CONTEXTS - 1]) > known_size
+        own = np.ascontiguousarray(view[at].T).view(np.int8).reshape(_TILE, n, 1 + CONTEXTS)
+        truth = own[:, :, 0].astype(np.float32)
+        laid = room[: _TILE * 2 * CONTEXTS * n].reshape(_TILE, 2 * CONTEXTS, n)
+        for k in range(CONTEXTS):
+            multiply(own[:, :, k + 1], step_size, out=laid[:, k])
+        known = (np.abs(laid[:, CONTEXTS - 1]) > known_size).astype(np.float32)
         multiply(laid[:, :CONTEXTS], known[:, None], out=laid[:, CONTEXTS:])
         chance = np.zeros((_TILE, n), dtype=np.float32)
         m = -1
@@ -372,7 +390,9 @@ def gathered(docs: DataFrame, trees: Trees) -> list[np.ndarray]:
         for batch in slices(batches):
             for bits, slots, *_ in decisions([coded_text(t) for t in encoded(batch.column("text"))], trees):
                 for table, own in zip(tables, slots):
-                    np.add.at(table, own * 2 + bits, np.uint32(1))
+                    own <<= 1
+                    own |= bits
+                    np.add.at(table, own, np.uint32(1))
         codec = pa.Codec(_CODEC, 1)
         for part, own in enumerate(counts.reshape(-1, size)):
             at = np.flatnonzero(own).astype(np.uint16)
@@ -422,6 +442,14 @@ def mixed_bits(docs: DataFrame, trees: Trees, stretch: list[np.ndarray]) -> Data
     return docs.mapInArrow(scored, "doc_id long, text_hash long, held_out boolean, coded_bytes long, bits double")
 
 
+def _cut(words: pa.BinaryArray) -> list[bytes]:
+    """As ``to_pylist`` of an array without nulls, but faster for many short values."""
+    _, ends, data = words.buffers()
+    at = np.frombuffer(ends, np.int32)[words.offset : words.offset + len(words) + 1].tolist() if len(words) else [0]
+    joined = data.to_pybytes() if data else b""
+    return [joined[a:b] for a, b in zip(at, at[1:])]
+
+
 def word_batches(docs: DataFrame) -> DataFrame:
     """Documents in batches, stored, each with its distinct words in the order of their hashes and their training counts.
 
@@ -434,7 +462,7 @@ def word_batches(docs: DataFrame) -> DataFrame:
             held = batch.column("held_out").to_pylist()
             listed_words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(batch.column("text"))))
             found = listed_words.flatten().cast(pa.binary()).dictionary_encode()
-            words = found.dictionary.to_pylist()
+            words = _cut(found.dictionary)
             # the end stands as no bytes, which no word is; a text without words splits into just that
             end = words.index(b"") if b"" in words else len(words)
             words += [b""] * (end == len(words))

@@ -423,6 +423,32 @@ def test_a_text_of_megabytes():
     assert time.monotonic() - began < 60
 
 
+def test_last_spans_run_once(monkeypatch):
+    """No span goes on from the last one, so it needs no first run."""
+    trees = mixing.Trees(np.ones(mixing.CLASSES << 8))
+    odds = [np.random.default_rng(4).integers(-30, 30, 1 << b).astype(np.int8) for b in mixing.SLOT_BITS]
+    text, advanced, runs = mixing.coded_text(prose(300).encode()), mixing._advanced, []
+    size = sum(len(bits) for bits, *_ in mixing.decisions([text], trees))
+    monkeypatch.setattr(mixing, "SPAN", size * 2 // 5)
+    monkeypatch.setattr(mixing, "_advanced", lambda *given: runs.append(given[-2].tolist()) or advanced(*given))
+    assert mixing.costs([text, b"ab \n"], trees, odds)[0] > 0
+    assert runs[0][:2] == [mixing.SPAN] * 2 and len(runs[0]) == 3 and runs[1] == [mixing.SPAN, size - 2 * mixing.SPAN]
+
+
+def test_coded_text_holds_the_spaced_words():
+    draw = random.Random(3)
+    for n in range(300):
+        text = bytes(draw.choice(b"aZ\t\n\v\f\r  \x1c\x85\xa0\xc3\x00") for _ in range(n % 40))
+        words = text.lower().split()
+        assert mixing.coded_text(text) == (b" ".join(words) + b" \n" if words else b"\n")
+
+
+def test_words_cut_from_an_array():
+    for words in ([], [b""], [b"a", b"", "é".encode()]):
+        assert mixing._cut(mixing.pa.array(words, "binary")) == words
+    assert mixing._cut(mixing.pa.array([b"a", b"", b"bc"]).slice(1)) == [b"", b"bc"]
+
+
 def test_probabilities_of_all_next_bytes_add_up():
     trees = mixing.Trees(np.ones(mixing.CLASSES << 8))
     odds = [np.random.default_rng(1).integers(-60, 60, 1 << b).astype(np.int8) for b in mixing.SLOT_BITS]
