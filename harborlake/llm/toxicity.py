@@ -33,6 +33,7 @@ FILTERS = 12
 WIDTHS = (1, 2, 3)
 THRESHOLD = 0.3
 PADS = max(WIDTHS)
+PLACES = 1 << 13  # of windows that responses are held of
 CHANCE = 2.5
 BATCH, EPOCHS, LEAST_STEPS = 64, 6, 60  # few rows are gone through more often
 ORDINARY = 4096  # rows; standard errors of more are as large as of so many, so that a model's numbers stay in their range
@@ -85,14 +86,25 @@ def responses(m: dict, ids: np.ndarray) -> dict[int, np.ndarray]:
 
 
 def logits(m: dict, docs: list[np.ndarray]) -> np.ndarray:
-    """By a rounded model, of documents given as their words' buckets; each is followed by padding, so that no window holds words of two."""
+    """By a rounded model, of documents given as their words' buckets; each is followed by padding, so that no window holds words of two.
+
+    Responses are made of PLACES places at a time and their maxima merged, so memory doesn't follow the number of documents or their length.
+    """
     pads = np.full((PADS, 2), BUCKETS)
     ids = np.concatenate([part for d in docs for part in (d, pads)])
     counts = np.array([len(d) for d in docs])
     starts = np.cumsum(counts + PADS) - counts - PADS
-    spans = np.stack([starts, starts + counts + 1], axis=1).ravel()
-    pooled = [np.maximum.reduceat(r, spans, axis=0)[::2] for r in (np.vstack([v, v[-1:]]) for v in responses(m, ids).values())]
-    z = np.maximum(np.hstack(pooled), 0) / STEPS**2
+    stops = starts + counts + 1
+    pooled = np.full((len(docs), FILTERS * len(WIDTHS)), -np.inf)
+    for low in range(0, len(ids), PLACES):
+        high = low + PLACES
+        a, b = np.searchsorted(stops, low, side="right"), np.searchsorted(starts, high)
+        if a == b:
+            continue  # padding alone
+        spans = np.stack([np.maximum(starts[a:b], low), np.minimum(stops[a:b], high)], axis=1).ravel() - low
+        found = [np.maximum.reduceat(r[: spans[-1]], spans[:-1], axis=0)[::2] for r in responses(m, ids[low : high + PADS - 1]).values()]
+        pooled[a:b] = np.maximum(pooled[a:b], np.hstack(found))
+    z = np.maximum(pooled, 0) / STEPS**2
     return product(z, m["score"][:, None])[:, 0] + m["score_bias"][0]
 
 

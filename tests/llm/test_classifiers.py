@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -58,6 +59,23 @@ def test_toxicity_does_not_depend_on_the_documents_beside():
     assert together.tolist() == toxicity.logits(m, docs[::-1])[::-1].tolist()
 
 
+def test_toxicity_of_long_texts_holds_responses_of_some_places_only(monkeypatch):
+    m = toxicity.rounded(toxic_model())
+    draw = np.random.default_rng(5)
+    docs = [draw.integers(0, toxicity.BUCKETS, (n, 2)) for n in (*range(12), 70, 0, 0, 31)]
+    whole = toxicity.logits(m, docs).tolist()
+    for places in range(1, 20):
+        monkeypatch.setattr(toxicity, "PLACES", places)
+        assert toxicity.logits(m, docs).tolist() == whole
+    monkeypatch.undo()
+    long = [draw.integers(0, toxicity.BUCKETS, (n, 2)) for n in (100_000, 3, 100_000)]
+    tracemalloc.start()
+    toxicity.logits(m, long)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * sum(d.nbytes for d in long) + (8 << 20)
+
+
 def quality_model(seed=2):
     draw = np.random.default_rng(seed)
     shapes = {
