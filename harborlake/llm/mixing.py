@@ -49,12 +49,14 @@ STEP = 0.1  # of log odds, which are kept as eight-bit numbers
 LEAST = 1e-6  # probability that no decision falls below
 SPAN = 4096  # decisions of a long text that run as one lane
 _TILE = 64
-_SCORED_BYTES = 16 << 20  # of texts that are scored side by side; long ones need others beside them
+_SCORED_BYTES = 8 << 20  # of texts that are scored side by side; long ones need others beside them
 _CACHED_BYTES = 1 << 15
+_TALLIED_BYTES = 1 << 18
 _PART_BITS = 14
 _BATCH_BYTES = 8 << 20
 _BUCKET_BYTES = 8 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_ENDS = END * 7
 _CODEC = "zstd"
 
 
@@ -179,45 +181,62 @@ def decisions(
 ) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray, bool]]:
     """Of some texts at a time, so that arrays stay in the cache: bit of each decision, its slot in each context,
     decisions of each text. A long text comes in pieces; the last value says that the first text goes on."""
-    at, lead = 0, max(orders)
+    for some, lead, goes_on in _cached(found, max(orders), _CACHED_BYTES):
+        yield *_decisions(some, trees, orders, lead), goes_on
+
+
+def _cached(found: list[bytes], lead: int, limit: int) -> Iterator[tuple[list[bytes], int, bool]]:
+    """Some texts at a time, or a piece of a long one; with the bytes of it that stand in the piece before, and if it goes on."""
+    at = 0
     while at < len(found):
         stop, size = at, 0
-        while stop < len(found) and (stop == at or size + len(found[stop]) <= _CACHED_BYTES):
+        while stop < len(found) and (stop == at or size + len(found[stop]) <= limit):
             size += len(found[stop])
             stop += 1
         if stop == at + 1:
-            for number, piece in enumerate(_pieces(found[at], _CACHED_BYTES, lead)):
-                yield *_decisions([piece], trees, orders, lead if number else 0), number > 0
+            for number, piece in enumerate(_pieces(found[at], limit, lead)):
+                yield [piece], lead if number else 0, number > 0
         else:
-            yield *_decisions(found[at:stop], trees, orders, 0), False
+            yield found[at:stop], 0, False
         at = stop
 
 
-def _decisions(
+def _coded_bytes(
     found: list[bytes], trees: Trees, orders: tuple[int, int], lead: int
-) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    data = np.frombuffer(b"".join(found), dtype=np.uint8)
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Of each byte, the hashes of its contexts, where its path starts and the decisions on it; of each text, its first byte."""
+    joined = _ENDS + b"".join(found)
+    data = np.frombuffer(joined, dtype=np.uint8)[len(_ENDS) :]
     sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
     first = np.cumsum(sizes) - sizes
-    place = np.arange(len(data)) - np.repeat(first, sizes)
-    back = [_before(data, place, k) for k in range(1, max(orders) + 1)]
-    context, hashes = np.zeros(len(data), dtype=np.uint64), []
-    for k, b in enumerate(back):
-        context |= b.astype(np.uint64) << np.uint64(8 * k)
-        if k + 1 in orders:
-            hashes.append(_scramble(context, k + 1))
+    # each byte with the seven before it, the last one lowest; before a text there are ends
+    context = np.ndarray(len(data), ">u8", joined, strides=(1,)).astype(np.uint64)
+    for k in range(max(orders)):
+        at, own = first[sizes > k] + k, np.uint64((1 << 8 * (k + 1)) - 1)
+        context[at] = context[at] & own | np.uint64(int.from_bytes(_ENDS + END, "big")) & ~own
+    context >>= np.uint64(8)
+    hashes = [_scramble(context & np.uint64((1 << 8 * k) - 1), k) for k in sorted(orders)]
+    last, second = context.astype(np.uint8), (context >> np.uint64(8)).astype(np.uint8)
     power, inverse = _powers(len(data) + 1)
-    at = np.arange(len(data))
-    word = np.maximum.accumulate(np.where((back[0] == 32) | (place == 0), at, 0))
+    at, begins = np.arange(len(data)), last == 32
+    begins[first] = True
+    word = np.maximum.accumulate(np.where(begins, at, 0))
     summed = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data + np.uint64(1)) * power[: len(data)])])
     hashes.append(_scramble((summed[at] - summed[word]) * inverse[word], 0))
-    pair = _classed(back[0], back[1], data).astype(np.intp)
+    pair = _classed(last, second, data).astype(np.intp)
     lengths = trees.lengths.take(pair, mode="wrap")
     lengths[:lead] = 0  # coded with the piece before
+    return hashes, trees.starts.take(pair, mode="wrap"), lengths, first
+
+
+def _decisions(
+    found: list[bytes], trees: Trees, orders: tuple[int, int], lead: int
+) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    hashes, starts, lengths, first = _coded_bytes(found, trees, orders, lead)
     ends = np.cumsum(lengths)
     # Numbers are as wide as Spark's machines count, and wrapped instead of checked: taking is much faster then.
-    owner = np.repeat(at, lengths)
-    path = (trees.starts.take(pair, mode="wrap") - ends + lengths).take(owner, mode="wrap")
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    path = (starts - ends + lengths).take(owner, mode="wrap")
     path += np.arange(len(path))
     salts = trees.salts.take(path, mode="wrap")
     slots = []
@@ -229,6 +248,25 @@ def _decisions(
     return (salts >> np.uint32(31)).astype(np.uint8), slots, np.add.reduceat(lengths, first)
 
 
+def tally(tables: list[np.ndarray], found: list[bytes], trees: Trees) -> None:
+    """Add the decisions of some texts to the counts of zeros and ones, side by side, of their slots in each context.
+
+    Counts don't ask for the order of decisions: bytes stand by how many they take, so that all that take a k-th one are the first of them.
+    """
+    turned = trees.salts << np.uint32(1) | trees.salts >> np.uint32(31)  # the bit below the salt
+    for some, lead, _ in _cached(found, max(ORDERS), _TALLIED_BYTES):
+        hashes, starts, lengths, _ = _coded_bytes(some, trees, ORDERS, lead)
+        order = np.argsort((-lengths).astype(np.int16), kind="stable")
+        hashes, path = [h.take(order, mode="wrap") << np.uint32(1) for h in hashes], starts.take(order, mode="wrap")
+        for n in (len(lengths) - np.cumsum(np.bincount(lengths))[:-1]).tolist():
+            salts = turned.take(path[:n], mode="wrap")
+            path[:n] += 1
+            for table, h, b in zip(tables, hashes, SLOT_BITS):
+                own = h[:n] + salts
+                own &= np.uint32((2 << b) - 1)
+                np.add.at(table, own.astype(np.intp), np.uint32(1))
+
+
 class _Grown:
     """Rows of a decision put one after the other, without a second copy: its bit and its input in each context, a byte each."""
 
@@ -276,21 +314,24 @@ def _mixed(rows: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     later = np.flatnonzero(number)
     early = np.flatnonzero((number == 0) | (number + 1 < spans[text]))
     cost, place = np.empty(len(text)), np.cumsum((number == 0) | (number + 1 < spans[text])) - 1
-    cost[early], ended = _advanced(rows, start[early], size[early], None)
+    cost[early], ended = _advanced(rows, number[early] == 0, start[early], size[early], None)
     if len(later):
-        cost[later], _ = _advanced(rows, start[later], size[later], ended[:, place[later - 1]])
+        cost[later], _ = _advanced(rows, np.ones(len(later), dtype=bool), start[later], size[later], ended[:, place[later - 1]])
     return np.bincount(text, cost, minlength=len(per_text))
 
 
-def _advanced(rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray, state: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def _advanced(rows: np.ndarray, priced: np.ndarray, starts: np.ndarray, sizes: np.ndarray, state: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """All spans advance side by side, a decision at a time, longest first; gives their cost, and weights, slope and shift at their end.
 
+    Spans that are not ``priced`` are as long as any, and their cost stays 0.
+
     Weights and shifts are kept with their sign turned, so that a step needs no negation, and inputs times the root of
     the rate (weights divided by it), so that errors need not be scaled.
 
     The weight of an input is one number, plus another where the gate is open: the word so far is known.
     """
-    owner = np.argsort(-sizes, kind="stable")
+    owner = np.lexsort((priced, -sizes))
+    free = len(owner) - int(priced.sum())  # stand first
     size, start = sizes[owner], starts[owner]
     lanes, steps = len(owner), int(size[0])
     active = np.searchsorted(-size, -np.arange(steps), side="left")  # lanes longer than each step
@@ -318,7 +359,7 @@ def _advanced(rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray, state: np
             multiply(own[:, :, k + 1], step_size, out=laid[:, k])
         known = (np.abs(laid[:, CONTEXTS - 1]) > known_size).astype(np.float32)
         multiply(laid[:, :CONTEXTS], known[:, None], out=laid[:, CONTEXTS:])
-        chance = np.zeros((_TILE, n), dtype=np.float32)
+        chance = np.zeros((_TILE, n - free), dtype=np.float32)
         m = -1
         for step in range(min(_TILE, steps - low)):
             if m != active[low + step]:
@@ -334,7 +375,7 @@ def _advanced(rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray, state: np
             add(multiply(a, x, out=p), b, out=p)
             np.reciprocal(add(np.exp(p, out=p), one, out=p), out=p)
             subtract(t, p, out=e)
-            np.abs(e, out=chance[step, :m])
+            np.abs(e[free:], out=chance[step, : m - free])
             multiply(e, refine, out=e)
             subtract(b, e, out=b)
             subtract(a, multiply(x, e, out=x), out=a)
@@ -343,11 +384,11 @@ def _advanced(rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray, state: np
             np.clip(chance, least, most, out=chance)
         else:
             for step in range(min(_TILE, steps - low)):
-                own = chance[step, : int(active[low + step])]
+                own = chance[step, : int(active[low + step]) - free]
                 np.clip(own, least, most, out=own)
-        some = chance.reshape(-1, 4, n)  # four factors of at least LEAST are far from the least number
+        some = chance.reshape(_TILE // 4, 4, n - free)  # four factors of at least LEAST are far from the least number
         some = some[:, 0] * some[:, 1] * some[:, 2] * some[:, 3]
-        cost[:n] -= np.log2(some, out=some).sum(axis=0, dtype=np.float64)
+        cost[free:n] -= np.log2(some, out=some).sum(axis=0, dtype=np.float64)
     out, ended = np.empty(lanes), np.empty_like(now)
     out[owner], ended[:, owner] = cost, now
     return out, ended
@@ -388,11 +429,7 @@ def gathered(docs: DataFrame, trees: Trees) -> list[np.ndarray]:
         counts = np.zeros(ends[-1], dtype=np.uint32)
         tables = np.split(counts, ends[:-1])
         for batch in slices(batches):
-            for bits, slots, *_ in decisions([coded_text(t) for t in encoded(batch.column("text"))], trees):
-                for table, own in zip(tables, slots):
-                    own <<= 1
-                    own |= bits
-                    np.add.at(table, own, np.uint32(1))
+            tally(tables, [coded_text(t) for t in encoded(batch.column("text"))], trees)
         codec = pa.Codec(_CODEC, 1)
         for part, own in enumerate(counts.reshape(-1, size)):
             at = np.flatnonzero(own).astype(np.uint16)

@@ -435,6 +435,32 @@ def test_last_spans_run_once(monkeypatch):
     assert runs[0][:2] == [mixing.SPAN] * 2 and len(runs[0]) == 3 and runs[1] == [mixing.SPAN, size - 2 * mixing.SPAN]
 
 
+def test_decisions_are_tallied_whatever_their_order(monkeypatch):
+    trees = mixing.Trees(np.random.default_rng(7).integers(0, 50, mixing.CLASSES << 8))
+    texts = [mixing.coded_text(t) for t in (b"", b"a", prose(400).encode(), b"x" * 500 + b" yy", "\u00e9t\u00e9 A b".encode(), prose(60).encode())]
+    told = [np.zeros(2 << b, np.uint32) for b in mixing.SLOT_BITS]
+    for text in texts:
+        for bits, slots, *_ in mixing.decisions([text], trees):
+            for table, own in zip(told, slots):
+                np.add.at(table, own * 2 + bits, np.uint32(1))
+    for limit in (40, 700, 1 << 18):
+        monkeypatch.setattr(mixing, "_TALLIED_BYTES", limit)
+        tables = [np.zeros(2 << b, np.uint32) for b in mixing.SLOT_BITS]
+        mixing.tally(tables, texts, trees)
+        assert all((a == b).all() for a, b in zip(told, tables))
+
+
+def test_spans_whose_cost_is_not_asked_for_end_as_others():
+    rows = np.random.default_rng(9).integers(-30, 30, (900 + mixing._TILE, 1 + mixing.CONTEXTS)).astype(np.int8)
+    rows[:, 0] = rows[:, 0] > 0
+    starts, sizes = np.array([0, 200, 400, 600, 750]), np.array([200, 200, 200, 150, 3])
+    cost, ended = mixing._advanced(rows, np.ones(5, bool), starts, sizes, None)
+    some, same = mixing._advanced(rows, np.array([True, False, False, True, True]), starts, sizes, None)
+    assert (ended == same).all() and some.tolist() == [cost[0], 0, 0, *cost[3:]]
+    none, same = mixing._advanced(rows, np.zeros(3, bool), starts[:3], sizes[:3], None)
+    assert (ended[:, :3] == same).all() and not none.any()
+
+
 def test_coded_text_holds_the_spaced_words():
     draw = random.Random(3)
     for n in range(300):
