@@ -302,9 +302,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
     model = docs.sparkSession.sparkContext.broadcast(_learned(docs, labels, label))
     shift = float(np.log(threshold / (1 - threshold)))
 
+    held = [n for n, f in enumerate(docs.select(*[F.col(f"`{c}`") for c in keep or []]).schema) if (f.name.lower(), f.dataType.simpleString()) == ("text", "string")]
+
+    def with_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(0).flatten()[held[0]]
+            yield batch.append_column("text", text.fill_null("") if text.null_count else text)
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, telling = model.value, _telling()
-        for batch in slices(batches):
+        for batch in slices(with_texts(batches) if held else batches):
             words = [plain_words(t) for t in encoded(batch.column("text"))]
             of = np.array([language(w, telling) for w in words])
             score = np.full(len(words), 0.5)
@@ -322,7 +329,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
     if keep is None:
         rows = texts(docs)
     else:
-        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.coalesce("text", F.lit("")).alias("text"))
+        # rows that hold the text bring it themselves, so that it isn't sent twice
+        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), *([] if held else [F.coalesce("text", F.lit("")).alias("text")]))
     kind = rows.schema[0].dataType.simpleString()
     out = rows.mapInArrow(scored, f"{rows.columns[0]} {kind}, _score double, _predicted int, _language string")
     if keep is not None:

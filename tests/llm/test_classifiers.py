@@ -76,6 +76,21 @@ def test_toxicity_of_long_texts_holds_responses_of_some_places_only(monkeypatch)
     assert peak < 2 * sum(d.nbytes for d in long) + (8 << 20)
 
 
+def test_kept_rows_bring_their_text_once(spark):
+    rows = [(n, None if n == 3 else prose(20 + n % 5), f"s{n}") for n in range(40)] + [(None, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(40)], "doc_id long, toxic int")
+    alone = toxicity.toxicity_scores(docs, labels)
+    told = {r.doc_id: (r.score, r.predicted, r.language) for r in alone.collect()}
+    for keep in (["source", "text", "doc_id"], ["doc_id", "source"]):
+        kept = toxicity.toxicity_scores(docs, labels, keep=keep)
+        found = kept.collect()
+        assert {r["_row"].doc_id: (r["_score"], r["_predicted"], r["_language"]) for r in found} == told
+        assert sorted(map(str, (r["_row"] for r in found))) == sorted(map(str, docs.select(*keep).collect()))
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert ("coalesce(text" in plan) == ("text" not in keep)
+
+
 def quality_model(seed=2):
     draw = np.random.default_rng(seed)
     shapes = {
