@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from harborlake import operators, plans, streaming, versions
@@ -76,15 +78,24 @@ def maintained_reports(spark, sf_dir):
     path = scratch_path(spark, "maintained")
     known = ports(spark, sf_dir)
     arrivals, trend = f"{path}/state", f"{path}/trend"
-    _three_waves(spark, sf_dir, path, lambda: maintained.follow_arrivals(spark, f"{path}/imm", arrivals))
-
-    measured, raw = raw_temperatures(spark, sf_dir), f"{path}/raw_temperatures"
-    for n, days in enumerate(("dt < date'2000-06-01'", "dt between date'2000-01-01' and date'2000-12-31'", "dt > date'2000-06-01'")):
-        version = streaming.append_distinct(measured.where(days), raw, source=("files", n))
-        new = versions.read_batches(spark, raw, version, version.added["files"])
-        built = plans.build_land_temperatures(new, known, as_of=AS_OF, max_days=MAX_DAYS)
-        versions.write_version(built, f"{path}/land_temp", append=True, source=("files", n))
-        maintained.follow_temperatures(spark, f"{path}/land_temp", trend)
+
+    def follow_arrivals() -> None:
+        _three_waves(spark, sf_dir, path, lambda: maintained.follow_arrivals(spark, f"{path}/imm", arrivals))
+
+    def follow_temperatures() -> None:
+        measured, raw = raw_temperatures(spark, sf_dir), f"{path}/raw_temperatures"
+        for n, days in enumerate(("dt < date'2000-06-01'", "dt between date'2000-01-01' and date'2000-12-31'", "dt > date'2000-06-01'")):
+            version = streaming.append_distinct(measured.where(days), raw, source=("files", n))
+            new = versions.read_batches(spark, raw, version, version.added["files"])
+            built = plans.build_land_temperatures(new, known, as_of=AS_OF, max_days=MAX_DAYS)
+            versions.write_version(built, f"{path}/land_temp", append=True, source=("files", n))
+            maintained.follow_temperatures(spark, f"{path}/land_temp", trend)
+
+    # Neither reads what the other writes: side by side they use the cores that small jobs and last tasks leave idle.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        loads = [pool.submit(inheritable_thread_target(spark)(load)) for load in (follow_arrivals, follow_temperatures)]
+        for load in loads:
+            load.result()
 
     counted = maintained.arrivals_counted(spark, arrivals)
     by_month = counted.select(

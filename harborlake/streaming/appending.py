@@ -2,7 +2,8 @@
 
 The raw table has every distinct source row once, with a digest of 128 bits beside it. Of a batch of files, the rows whose digest
 is not among those of the partitions they belong to become a batch of the table (``harborlake.versions``); of stored rows just the
-digests of those partitions are read. The table's pointer is the ledger: which batch of which source it holds, and what that added.
+digests of those partitions are read, and rows of partitions that are new are compared with nothing. The table's pointer is the
+ledger: which batch of which source it holds, and what that added.
 
 The fact follows: what a raw batch added is joined with the ports and appended. When ports have changed since the last
 batch, the fact's rows of those ports are taken back by a void, and all raw rows of those ports are joined anew; other
@@ -35,28 +36,41 @@ def _in_same_partition(left: str, right: str, partition_by: Sequence[str]) -> li
     return [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in partition_by]
 
 
+def _unknown(arrived: DataFrame, stored: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows whose digest is not among the stored ones of their partition."""
+    same = [F.col(f"n.{c}") == F.col(f"s.{c}") for c in DIGEST] + _in_same_partition("n", "s", partition_by)
+    return arrived.alias("n").join(stored.alias("s"), reduce(Column.__and__, same), "left_anti")
+
+
 def append_distinct(rows: DataFrame, table: str, partition_by: Sequence[str] = (), *, source: tuple[str, int] | None = None) -> Version:
     """Append the rows that the table does not have yet, once each; returns the version that has them all.
 
-    ``partition_by`` must be functions of the row, so that equal rows lie in the same partition. The batch itself is written twice
-    (once as it came, to be read from there), stored rows never. Equal digests count as equal rows: with 128 bits that is wrong
+    ``partition_by`` must be functions of the row, so that equal rows lie in the same partition. A batch for a partitioned table is
+    written twice (once as it came, to learn its partitions and be read from there), stored rows never. Rows of partitions that the
+    table has nothing of yet are appended without a join. Equal digests count as equal rows: with 128 bits that is wrong
     once in 10**14 tables of 10**12 rows.
     """
     spark, table, base = rows.sparkSession, table.rstrip("/"), latest(rows.sparkSession, table)
     if base is not None and source is not None and base.applied.get(source[0], -1) >= source[1]:
         return base
     batch, schema = new_batch(base), T.StructType([*rows.schema.fields, *[T.StructField(c, T.LongType()) for c in DIGEST]])
-    fresh = dedupe(rows.select("*", *row_digest(rows, DIGEST)))
+    once = dedupe(rows)
+    fresh = once.select("*", *row_digest(once, DIGEST))  # after the shuffle, which digests would only make larger
     staged = f"{table}/_arrived/{uuid.uuid4().hex}"
     if base is not None and base.batches:
-        fresh.write.parquet(staged)
-        arrived = spark.read.schema(schema).parquet(staged).alias("n")
         stored = read_batches(spark, table, base, base.batches).select(*partition_by, *DIGEST)
         if partition_by:  # as many as the batch has partitions, each of which is a folder anyway
-            stored = stored.where(in_partitions(arrived.select(*partition_by).distinct().collect(), partition_by))
-        stored = stored.alias("s")
-        same = [F.col(f"n.{c}") == F.col(f"s.{c}") for c in DIGEST] + _in_same_partition("n", "s", partition_by)
-        fresh = arrived.join(stored, reduce(Column.__and__, same), "left_anti")
+            fresh.write.parquet(staged)
+            arrived = spark.read.schema(schema).parquet(staged)
+            touched = arrived.select(*partition_by).distinct().collect()
+            stored = stored.where(in_partitions(touched, partition_by))
+            met = stored.select(*partition_by).distinct().collect()
+            is_met = F.coalesce(in_partitions(met, partition_by), F.lit(False))
+            fresh = _unknown(arrived.where(is_met), stored, partition_by)
+            if len(met) < len(touched):  # rows of partitions that the table has nothing of need no look at it
+                fresh = arrived.where(~is_met).unionByName(fresh)
+        else:
+            fresh = _unknown(fresh, stored, partition_by)
     added = write_batch(fresh, table, batch, partition_by)
     delete(spark, staged)
     known = base.batches if base else ()

@@ -2,17 +2,19 @@
 
 import json
 from pathlib import Path
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from harborlake import streaming, versions
+from harborlake.catalogue import loads
 from harborlake.functions import row_digest
 from harborlake.plans import build_arrivals, build_ports, maintained
 from harborlake.sinks import paths
 from harborlake.sources import read_delimited, read_table
-from harborlake.streaming import append_distinct, ingest_arrivals, raw_rows
+from harborlake.streaming import append_distinct, appending, ingest_arrivals, raw_rows
 from harborlake.versions import VersionConflict, compact, expire, history, latest, read_version, write_version
 from harborlake.versions import table as module
 from sources import ARRIVALS, LABELS, write
@@ -274,3 +276,103 @@ def test_pointers_are_small_json(spark, tmp_path):
     write_version(frame(spark, (1, "a", 2015)), str(t))
     found = json.loads((t / "_versions" / "000000000001.json").read_text())
     assert found["rows"] == 1 and found["batches"][0].startswith("000000000001-")
+
+
+def test_rows_of_new_partitions_are_appended_without_a_join(spark, tmp_path, monkeypatch):
+    sent = []
+
+    def write_batch(df, *args):
+        sent.append(plan(df))
+        return module.write_batch(df, *args)
+
+    monkeypatch.setattr(appending, "write_batch", write_batch)
+    t = str(tmp_path / "t")
+    first = frame(spark, (1, "a", 2015), (1, "a", 2015), (2, "b", None), (3, None, 2016))
+    append_distinct(first, t, ["year"])
+    assert "hashpartitioning(id" in sent[-1]
+    assert not any("__a" in line for line in sent[-1].splitlines() if "Exchange hashpartitioning" in line)  # digests come after it
+    append_distinct(frame(spark, (1, "a", 2017), (1, "a", 2017), (4, None, 2018)), t, ["year"])
+    assert "Join" not in sent[-1]
+    mixed = frame(spark, (1, "a", 2015), (2, "b", None), (2, "c", None), (5, "a", 2019), (5, "a", 2019), (3, None, 2016), (3, "", 2017))
+    assert append_distinct(mixed, t, ["year"]).rows == 8
+    assert "Join" in sent[-1]
+    expected = [(1, "a", 2015), (2, "b", None), (3, None, 2016), (1, "a", 2017), (4, None, 2018), (2, "c", None), (5, "a", 2019), (3, "", 2017)]
+    assert rows(raw_rows(spark, t)) == rows(frame(spark, *expected))
+    assert append_distinct(mixed, t, ["year"]).rows == 8
+    deeper = str(tmp_path / "deeper")  # known in one month, new in another, and no month at all
+    dated = "id int, y int, m int"
+    append_distinct(spark.createDataFrame([(1, 2015, 1), (2, None, None)], dated), deeper, ["y", "m"])
+    append_distinct(spark.createDataFrame([(1, 2015, 1), (1, 2015, 2), (1, 2016, 1), (2, None, None), (3, 2015, None)], dated), deeper, ["y", "m"])
+    expected = [(1, 2015, 1), (2, None, None), (1, 2015, 2), (1, 2016, 1), (3, 2015, None)]
+    assert rows(raw_rows(spark, deeper)) == rows(spark.createDataFrame(expected, dated))
+
+
+def test_a_batch_for_a_table_without_partitions_is_written_once(spark, tmp_path, monkeypatch):
+    staged = []
+
+    def delete(spark, path):
+        staged.append(Path(path).exists())
+        paths.delete(spark, path)
+
+    monkeypatch.setattr(appending, "delete", delete)
+    t = str(tmp_path / "t")
+    append_distinct(frame(spark, (1, "a", 2015), (1, "a", 2015), (2, None, None)), t)
+    append_distinct(frame(spark, (2, None, None), (1, "a", 2016), (1, "a", 2016)), t)
+    assert staged == [False, False]
+    assert rows(raw_rows(spark, t)) == rows(frame(spark, (1, "a", 2015), (2, None, None), (1, "a", 2016)))
+
+
+def driver_tables(spark, folder):
+    """A few rows of the tables that ``maintained_reports`` reads."""
+    days = [f"199{5 + n}-0{n + 1}-1{n}" for n in range(5)] + ["2000-05-01", "2000-07-01", "2001-07-01"]
+    tables = {
+        "nation": ([(n, f"NATION_{n}", n % 5) for n in range(25)], "n_nationkey int, n_name string, n_regionkey int"),
+        "orders": (
+            [(n, n % 6, "FPO"[n % 3], f"{days[n % 8]}", ["1-URGENT", "4-NOT SPECIFIED", "5-LOW"][n % 5 % 3]) for n in range(48)],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string, o_orderpriority string",
+        ),
+        "lineitem": (
+            [(n, 1 + n % 3, n % 7, float(n % 4), 0.01 * (n % 2), "NAR"[n % 3], "OF"[n % 2], days[n % 8]) for n in range(64)],
+            "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_discount double, l_returnflag string, l_linestatus string, l_shipdate string",
+        ),
+        "customer": ([(n, n % 7, n * 1.5, "BUILDING") for n in range(20)], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "part": ([(n, "name", f"Brand#{n}", "TIN", n) for n in range(30)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int"),
+    }
+    for name, (data, kinds) in tables.items():
+        df = spark.createDataFrame(data, kinds)
+        moments = {c: F.col(c).cast("timestamp") for c in df.columns if c.endswith("date")}
+        df.withColumns(moments).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_loads_of_the_maintained_reports_run_side_by_side(spark, tmp_path, monkeypatch):
+    """Arrivals and temperatures wait for each other once, which one after the other never ends."""
+    driver_tables(spark, str(tmp_path))
+    both, met = Barrier(2, timeout=60), set()
+
+    def meeting(function):
+        def call(*args, **kwargs):
+            if function not in met:
+                met.add(function)
+                both.wait()
+            return function(*args, **kwargs)
+
+        return call
+
+    monkeypatch.setattr(streaming, "append_distinct", meeting(streaming.append_distinct))
+    monkeypatch.setattr(maintained, "follow_arrivals", meeting(maintained.follow_arrivals))
+    found = loads.maintained_reports(spark, str(tmp_path))
+    assert found.where("report = 'port and month'").agg(F.sum("n")).first()[0] == loads._dated(
+        build_arrivals(loads.raw_arrivals(spark, str(tmp_path)), loads.ports(spark, str(tmp_path)))
+    ).count()
+    assert found.where("report = 'temperatures'").count() > 0
+
+
+def test_a_load_of_the_maintained_reports_that_fails_is_reported(spark, tmp_path, monkeypatch):
+    driver_tables(spark, str(tmp_path))
+
+    def failing(*args, **kwargs):
+        raise OSError("no temperatures today")
+
+    monkeypatch.setattr(maintained, "follow_temperatures", failing)
+    with pytest.raises(OSError, match="no temperatures today"):
+        loads.maintained_reports(spark, str(tmp_path))
