@@ -48,10 +48,10 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return (F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % folds).cast("int")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: object) -> DataFrame:
     """Write to the shared folder and read again: later jobs start there, whatever executors are lost."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,6 +6,10 @@ count on through the documents of a segment with one left out between two of the
 crosses into the next. A phrase is searched from its rarest term of the segment: its positions, less
 its place in the phrase, are intersected with those of the next rarest, until none is left.
 
+Terms, counts and gaps of a segment are one packed value, which Spark passes on as it is; what makes or
+searches the segments unpacks one at a time. A row group of the stored index holds a few segments, so
+a task has neither all its segments at hand when it writes them nor when it reads them.
+
 Words are runs of ASCII letters (A-Z in lower case), digits and all characters beyond ASCII. A missing
 or empty text has no words; an item without words has no window; rows of the benchmark without an
 item_id are left out. Every row of ``docs`` gives one row, repeated rows and null doc_ids included; an empty table gives none, an
@@ -28,8 +32,27 @@ from harborlake.llm.common import encoded, plain_words, slices, stored, texts
 WINDOW = 13
 QUERY_CHARS = 8 << 20  # characters of benchmark text that are searched in one pass over the index
 
-_INDEX = """segment long, doc_ids array<long>, doc_words array<int>,
-    terms array<binary>, term_counts array<int>, gaps array<int>"""
+GROUP_SEGMENTS = 4  # segments in a row group of the stored index: what is written or read at once
+
+_INDEX = "segment long, doc_ids array<long>, doc_words array<int>, postings binary"
+_KINDS = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
+_POSTINGS = pa.schema([("terms", pa.list_(pa.binary())), ("term_counts", pa.list_(pa.int32())), ("gaps", pa.list_(pa.int32()))])
+
+
+def packed(terms: list[bytes], counts: np.ndarray, gaps: np.ndarray) -> bytes:
+    """Terms of a segment, how often each occurs and the gaps between its positions, as one compressed Arrow stream."""
+    row = pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((terms, counts, gaps), _POSTINGS.types)], schema=_POSTINGS)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _POSTINGS, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as stream:
+        stream.write_batch(row)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(postings: pa.Buffer) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """What ``packed`` was given."""
+    row = pa.ipc.open_stream(postings, options=pa.ipc.IpcReadOptions(use_threads=False)).read_next_batch()
+    terms, counts, gaps = (column.flatten() for column in row.columns)
+    return terms, np.asarray(counts), np.asarray(gaps)
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -55,14 +78,18 @@ def build_index(docs: DataFrame) -> DataFrame:
             gaps = np.diff(places, prepend=0)
             starts = (np.cumsum(per_term) - per_term).astype(np.int64)
             gaps[starts] = places[starts]
-            row = [first + number, batch.column("doc_id").to_pylist(), counts, terms, per_term, gaps]
-            kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int32()))
-            names = ["segment", "doc_ids", "doc_words", "terms", "term_counts", "gaps"]
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
+            row = [first + number, batch.column("doc_id").to_pylist(), counts, packed(terms, per_term, gaps)]
+            names = ["segment", "doc_ids", "doc_words", "postings"]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _KINDS)], names)
 
     return texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(segments, _INDEX)
 
 
+def stored_index(docs: DataFrame) -> DataFrame:
+    """The index, written in row groups of GROUP_SEGMENTS segments."""
+    return stored(build_index(docs), "positional_index", **{"parquet.block.row.count.limit": GROUP_SEGMENTS})
+
+
 class Phrases:
     """Windows of a block of items, ready to be looked up: term numbers by window, padded with -1."""
 
@@ -158,7 +185,7 @@ def matches(index: DataFrame, items: DataFrame, *, window: int = WINDOW, slop: i
                 for i in range(batch.num_rows):
                     yield pa.RecordBatch.from_pylist(_in_segment(batch.slice(i, 1), phrases, slop), _ARROW)
 
-        part = index.select("segment", "doc_words", "terms", "term_counts", "gaps").mapInArrow(search, _MATCHES)
+        part = index.select("segment", "doc_words", "postings").mapInArrow(search, _MATCHES)
         found = part if found is None else found.union(part)
     return found
 
@@ -167,12 +194,11 @@ _ARROW = pa.schema([("segment", pa.int64()), ("ordinal", pa.int32()), ("item_id"
 
 
 def _in_segment(row: pa.RecordBatch, phrases: Phrases, slop: int) -> list[dict]:
-    numbers = {name: np.asarray(row.column(name).flatten()) for name in ("doc_words", "term_counts", "gaps")}
-    terms = row.column("terms").flatten()
-    words = numbers["doc_words"]
+    words = np.asarray(row.column("doc_words").flatten())
+    terms, counts, gaps = unpacked(row.column("postings")[0].as_buffer())
     starts = np.cumsum(words) - words + np.arange(len(words))
     spans: dict[tuple[int, str], list[tuple[int, int]]] = {}
-    for w, low, high in phrases.find(terms, numbers["term_counts"], numbers["gaps"], slop):
+    for w, low, high in phrases.find(terms, counts, gaps, slop):
         docs = np.searchsorted(starts, low, side="right") - 1
         inside = high < starts[docs] + words[docs]
         for doc, a, b in zip(docs[inside].tolist(), low[inside].tolist(), high[inside].tolist()):
@@ -196,7 +222,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     A word inside any occurrence of a window of an item is hit; a document is contaminated if at
     least a twentieth of its words are.
     """
-    index = stored(build_index(docs), "positional_index")
+    index = stored_index(docs)
     hits = (
         matches(index, benchmark, window=window)
         .groupBy("segment", "ordinal")

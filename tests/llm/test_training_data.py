@@ -9,6 +9,8 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,6 +161,27 @@ def test_proximity(spark):
         assert as_set(contamination.matches(index, items, slop=slop), "ordinal", "start", "stop") == places
 
 
+def test_index_is_written_and_read_a_few_packed_segments_at_once(spark, monkeypatch):
+    words = [f"w{i}" for i in range(4000)]
+    long = [(i, " ".join(random.Random(i).choices(words, k=400_000)) + (" " + PASSAGE if i == 7 else "")) for i in range(9)]
+    kept = []
+    monkeypatch.setattr(contamination, "stored", lambda *a, **k: kept.append(common.stored(*a, **k)) or kept[-1])
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    found = contamination.contamination(frame(spark, long).coalesce(1), items).collect()
+    length = len(contamination.plain_words(PASSAGE.encode()))
+    assert {(r.doc_id, r.n_words, r.n_hit) for r in found} == {(i, 400_000 + length * (i == 7), length * (i == 7)) for i, _ in long}
+    metadata = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in kept[0].inputFiles()]
+    groups = [m.row_group(k) for m in metadata for k in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 9 and max(g.num_rows for g in groups) <= 4
+    assert sum(g.total_byte_size for g in groups) < 0.8 * sum(len(t) for _, t in long)
+
+
+def test_packed_postings():
+    for terms, counts, gaps in (([], [], []), ([b"a", "\u00e9".encode()], [2, 1], [0, 5, 1 << 30])):
+        found = contamination.unpacked(pa.py_buffer(contamination.packed(terms, np.array(counts, dtype=np.int64), np.array(gaps, dtype=np.int64))))
+        assert [x.tolist() for x in (found[0].to_numpy(False), *found[1:])] == [terms, counts, gaps]
+
+
 def test_licences(docs, rows):
     texts = dict(rows)
     for r in licences.licence_labels(docs).collect():
