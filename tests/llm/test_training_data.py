@@ -176,6 +176,19 @@ def test_index_is_written_and_read_a_few_packed_segments_at_once(spark, monkeypa
     assert sum(g.total_byte_size for g in groups) < 0.8 * sum(len(t) for _, t in long)
 
 
+def test_decontamination_stage_reads_and_writes_a_few_segments_at_once(spark, tmp_path, monkeypatch):
+    words = [f"w{i}" for i in range(4000)]
+    rows = [(i, " ".join(random.Random(i).choices(words, k=400_000))) for i in range(6)] + [(99, PASSAGE), (None, "a b c"), (None, PASSAGE)]
+    kept = {}
+    monkeypatch.setattr(contamination, "stored", lambda df, name, **k: kept.setdefault(name, common.stored(df, name, **k)))
+    spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.decontamination(spark, frame(spark, rows).coalesce(1), str(tmp_path))
+    assert as_set(left, "doc_id", "text") == {r for r in rows if r[1] != PASSAGE}
+    metadata = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in kept["positional_index"].inputFiles()]
+    segments = [m.row_group(k).num_rows for m in metadata for k in range(m.num_row_groups)]
+    assert sum(segments) >= 6 and max(segments) <= 4
+
+
 def test_packed_postings():
     for terms, counts, gaps in (([], [], []), ([b"a", "\u00e9".encode()], [2, 1], [0, 5, 1 << 30])):
         found = contamination.unpacked(pa.py_buffer(contamination.packed(terms, np.array(counts, dtype=np.int64), np.array(gaps, dtype=np.int64))))
